@@ -26,6 +26,7 @@ LOG_SCHEMA = T.StructType([
     T.StructField("NombreJob", T.StringType(), False),
     T.StructField("ProgramadorJob", T.StringType(), True),
     T.StructField("FechaFin", T.TimestampNTZType(), True),
+    T.StructField("InicioVentana", T.DateType(), True),
 ])
 
 # Alert texts.
@@ -39,7 +40,8 @@ def log_rows(spark: SparkSession, results: Iterable[RunResult]) -> DataFrame:
     a handful of scalars per run, never data rows)."""
     rows = [(r.started.replace(microsecond=0), int(r.inserted), r.status,
              None if r.status == STATUS_OK else r.message, r.details, r.job,
-             r.scheduler, r.finished.replace(microsecond=0) if r.finished else None)
+             r.scheduler, r.finished.replace(microsecond=0) if r.finished else None,
+             r.window.start)
             for r in results]
     return spark.createDataFrame(rows, LOG_SCHEMA)
 
@@ -56,7 +58,9 @@ def alert_rows(log: DataFrame, recipients: str | None, profile: str | None) -> D
         return log.limit(0).select(F.lit("").alias("subject"), F.lit("").alias("body"),
                                    F.col("FechaEjecucion").alias("started"),
                                    F.col("FechaFin").alias("finished"),
-                                   F.lit(0).cast("long").alias("seconds"))
+                                   F.lit(0).cast("long").alias("seconds"),
+                                   F.col("InicioVentana").alias("window_start"),
+                                   F.col("MensajeError").alias("error"))
     failed = log.where(F.col("EstadoEjecucion") == STATUS_ERROR)
     secs = seconds_between("FechaEjecucion", "FechaFin")
     crlf = F.lit("\r\n")
@@ -72,7 +76,8 @@ def alert_rows(log: DataFrame, recipients: str | None, profile: str | None) -> D
         F.concat(F.lit(ALERT_SUBJECT), F.coalesce(F.col("NombreJob"), F.lit(UNKNOWN_JOB))).alias("subject"),
         body.alias("body"),
         F.col("FechaEjecucion").alias("started"), F.col("FechaFin").alias("finished"),
-        secs.alias("seconds"))
+        secs.alias("seconds"), F.col("InicioVentana").alias("window_start"),
+        F.col("MensajeError").alias("error"))
 
 
 __all__ = ["LOG_SCHEMA", "log_rows", "log_run", "alert_rows", "STATUS_OK", "STATUS_ERROR"]

@@ -172,3 +172,346 @@ def zero_pad_query(spark, sf_dir):
     return c.select("c_custkey", zero_pad("c_custkey", 6).alias("custkey_6"),
                     zero_pad("c_custkey", 3).alias("custkey_3"),
                     zero_pad("c_nationkey", 3).alias("nationkey_3"))
+
+
+# -- window replacement (S14, A2, X1, X6) ------------------------------------
+_OM = td.orders_spec(MONTHLY)
+_MW = window_for(DAY, MONTHLY)
+_ORDER_COLS_SQL = ("o_orderkey, o_custkey, o_orderstatus, CAST({p} AS DECIMAL(12,2)) AS o_totalprice, "
+                   "CAST(o_orderdate AS DATE) AS o_orderdate, o_orderpriority")
+_OUTSIDE_SQL = (f"SELECT {_ORDER_COLS_SQL.format(p='o_totalprice')}, "
+                f"CAST(date_trunc('month', o_orderdate) AS DATE) AS period_start FROM orders "
+                f"WHERE NOT ({sql_window('o_orderdate', _MW.start, _MW.end)})")
+_STORED = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate",
+           "o_orderpriority", "period_start"]
+
+
+def _orders_table(spark: SparkSession, sf_dir: str, freq: str = MONTHLY):
+    """Initial load of every window of ``orders`` into a fresh report table."""
+    lake = scratch_lake(spark)
+    spec = td.orders_spec(freq)
+    results = reports.backfill(spark, lake, spec, td.orders_landing(spark, sf_dir))
+    failed = [r for r in results if not r.ok]
+    if failed:
+        raise RuntimeError(failed[0].message)
+    return lake, spec, results
+
+
+def _corrected_march(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A late correction of March 1995: only its ``F`` orders, price + 1."""
+    o = td.orders_landing(spark, sf_dir)
+    return (o.where(F.col("o_orderstatus") == "F")
+            .withColumn("o_totalprice", F.col("o_totalprice") + F.lit(1.0)))
+
+
+@register("replace_window", f"""
+{_OUTSIDE_SQL}
+UNION ALL
+SELECT {_ORDER_COLS_SQL.format(p='o_totalprice + 1.0')}, DATE '{_MW.start}' AS period_start
+FROM orders WHERE {sql_window('o_orderdate', _MW.start, _MW.end)} AND o_orderstatus = 'F'""")
+def replace_window_query(spark, sf_dir):
+    """The March window is replaced by its correction; every other window
+    keeps its rows."""
+    lake, spec, _ = _orders_table(spark, sf_dir)
+    res = reports.load(spark, lake, spec, DAY, landing=_corrected_march(spark, sf_dir))
+    if not res.ok:
+        raise RuntimeError(res.message)
+    return spark.table(lake.report_table(spec)).select(*_STORED)
+
+
+@register("replace_window_rerun", ORACLE["replace_window"])
+def replace_window_rerun(spark, sf_dir):
+    """Loading the same window twice gives the same table as loading it once."""
+    lake, spec, _ = _orders_table(spark, sf_dir)
+    for _ in range(2):
+        res = reports.load(spark, lake, spec, DAY, landing=_corrected_march(spark, sf_dir))
+        if not res.ok:
+            raise RuntimeError(res.message)
+    return spark.table(lake.report_table(spec)).select(*_STORED)
+
+
+@register("replace_window_empty", _OUTSIDE_SQL)
+def replace_window_empty(spark, sf_dir):
+    """An empty source empties exactly its window."""
+    lake, spec, _ = _orders_table(spark, sf_dir)
+    empty = td.orders_landing(spark, sf_dir).where(F.lit(False))
+    res = reports.load(spark, lake, spec, DAY, landing=empty)
+    if not res.ok or res.inserted != 0:
+        raise RuntimeError(res.message)
+    return spark.table(lake.report_table(spec)).select(*_STORED)
+
+
+@register("self_refresh", f"""
+{_OUTSIDE_SQL}
+UNION ALL
+SELECT o_orderkey, o_custkey, o_orderstatus, CAST(o_totalprice AS DECIMAL(12,2)) AS o_totalprice,
+       DATE '{DAY}' AS o_orderdate, o_orderpriority, DATE '{_MW.start}' AS period_start
+FROM orders WHERE {sql_window('o_orderdate', _MW.start, _MW.end)}""")
+def self_refresh_query(spark, sf_dir):
+    """Self-select load (fix of X1): the window is rebuilt from a snapshot of
+    itself, with the run day injected into the date (X6)."""
+    lake, spec, _ = _orders_table(spark, sf_dir)
+    selfspec = spec.with_version(source="self", inject="run_day", inject_col="o_orderdate")
+    res = reports.self_refresh(spark, lake, selfspec, DAY)
+    if not res.ok:
+        raise RuntimeError(res.message)
+    return spark.table(lake.report_table(spec)).select(*_STORED)
+
+
+@register("run_log", f"""
+SELECT CAST(date_trunc('month', o_orderdate) AS DATE) AS window_start,
+       count(*) AS inserted, count(*) AS deleted, 'Exitoso' AS status,
+       'Registros eliminados: ' || count(*) || chr(13) || chr(10) ||
+       'Proceso completado. Filas totales: ' || count(*) || chr(13) || chr(10) AS details,
+       '[901_ORDERS]' AS job
+FROM orders GROUP BY 1""")
+def run_log(spark, sf_dir):
+    """The log of a second full load; every window reports the rows
+    it deleted (the first load's) and inserted."""
+    from periodica.operators.runlog import log_rows
+    lake, spec, _ = _orders_table(spark, sf_dir)
+    again = reports.backfill(spark, lake, spec, td.orders_landing(spark, sf_dir))
+    return log_rows(spark, again).select(
+        F.col("InicioVentana").alias("window_start"),
+        F.col("FilasInsertadas").cast("long").alias("inserted"),
+        F.lit(None).cast("long").alias("deleted"),
+        F.col("EstadoEjecucion").alias("status"), F.col("DetallesLog").alias("details"),
+        F.col("NombreJob").alias("job")).join(
+        spark.createDataFrame([(r.window.start, r.deleted) for r in again],
+                              "window_start date, deleted_n long"), "window_start"
+    ).withColumn("deleted", F.col("deleted_n")).drop("deleted_n")
+
+
+_LS = td.lineitem_spec(MONTHLY, strict=True)
+
+
+def _misfit_sql(spec: ReportSpec) -> str:
+    from periodica.functions.types import sql_misfit
+    parts = []
+    for c in spec.stored_columns:
+        if not c.nullable:
+            parts.append(f"{c.name} IS NULL")
+        if c.type.kind != "text":
+            parts.append(sql_misfit(c.name, c.type))
+    return " OR ".join(parts)
+
+
+@register("alert_rows", f"""
+SELECT 'ALERTA: Error en [902_LINEITEM_STRICT]' AS subject,
+       CAST(date_trunc('month', l_shipdate) AS DATE) AS window_start,
+       CAST(count(*) AS VARCHAR) || ' filas no cumplen el layout; ventana sin cambios' AS error
+FROM lineitem WHERE {_misfit_sql(_LS)} GROUP BY 2""")
+def alert_rows_query(spark, sf_dir):
+    """A full load under a layout that some prices do not fit; each
+    window with such rows fails (left untouched, rows quarantined) and gets an
+    alert; windows without them load."""
+    from periodica.operators.runlog import alert_rows, log_rows
+    lake = scratch_lake(spark)
+    results = reports.backfill(spark, lake, _LS, td.lineitem_landing(spark, sf_dir))
+    log = log_rows(spark, results)
+    return alert_rows(log, "ops@example.org", "default").select("subject", "window_start", "error")
+
+
+# -- report index (S16-S18) --------------------------------------------------
+_INDEX_SQL = ("SELECT n_nationkey AS numero, n_name AS nombre, 'Mensual' AS frecuencia, TRUE AS activo, "
+              "CAST(NULL AS VARCHAR) AS nombre_archivo FROM nation")
+_CHANGES_SQL = ("SELECT r_regionkey * 10 AS numero, r_name AS nombre, 'Semanal' AS frecuencia, "
+                "FALSE AS activo, r_name || '.txt' AS nombre_archivo FROM region")
+
+
+def _index(spark, sf_dir):
+    n = td.table(spark, sf_dir, "nation")
+    return n.select(F.col("n_nationkey").cast("int").alias("numero"), F.col("n_name").alias("nombre"),
+                    F.lit("Mensual").alias("frecuencia"), F.lit(True).alias("activo"),
+                    F.lit(None).cast("string").alias("nombre_archivo"))
+
+
+def _changes(spark, sf_dir):
+    r = td.table(spark, sf_dir, "region")
+    return r.select((F.col("r_regionkey") * 10).cast("int").alias("numero"), F.col("r_name").alias("nombre"),
+                    F.lit("Semanal").alias("frecuencia"), F.lit(False).alias("activo"),
+                    F.concat(F.col("r_name"), F.lit(".txt")).alias("nombre_archivo"))
+
+
+@register("index_upsert", f"""
+WITH i AS ({_INDEX_SQL}), c AS ({_CHANGES_SQL})
+SELECT CASE WHEN c.numero IS NOT NULL THEN c.numero ELSE i.numero END AS numero,
+       CASE WHEN c.numero IS NOT NULL THEN c.nombre ELSE i.nombre END AS nombre,
+       CASE WHEN c.numero IS NOT NULL THEN c.frecuencia ELSE i.frecuencia END AS frecuencia,
+       CASE WHEN c.numero IS NOT NULL THEN c.activo ELSE i.activo END AS activo,
+       CASE WHEN c.numero IS NOT NULL THEN c.nombre_archivo ELSE i.nombre_archivo END AS nombre_archivo
+FROM i FULL JOIN c ON i.numero = c.numero""")
+def index_upsert_query(spark, sf_dir):
+    from periodica.operators.index import index_upsert
+    return index_upsert(_index(spark, sf_dir), _changes(spark, sf_dir))
+
+
+@register("index_update", f"""
+WITH i AS ({_INDEX_SQL})
+SELECT numero, nombre,
+       CASE WHEN numero = 7 AND frecuencia IS DISTINCT FROM 'Trimestral' THEN 'Trimestral' ELSE frecuencia END AS frecuencia,
+       activo, nombre_archivo,
+       (numero = 7 AND frecuencia IS DISTINCT FROM 'Trimestral') AS changed
+FROM i""")
+def index_update_query(spark, sf_dir):
+    """Update only where different; ``changed`` counts the affected rows."""
+    from periodica.operators.index import index_update
+    new, _ = index_update(_index(spark, sf_dir), 7, "frecuencia", "Trimestral")
+    return new.withColumnRenamed("_changed", "changed")
+
+
+@register("index_delete", f"WITH i AS ({_INDEX_SQL}) SELECT * FROM i WHERE numero <> 7")
+def index_delete_query(spark, sf_dir):
+    from periodica.operators.index import index_delete
+    return index_delete(_index(spark, sf_dir), 7)
+
+
+# -- joins and catalogs (J1, J3, J4, J5, V7, V8) ----------------------------
+@register("catalog_presence", """
+SELECT r.k AS nationkey, CASE WHEN n.n_nationkey IS NULL THEN 'FALTA' ELSE 'OK' END AS status
+FROM (SELECT c_nationkey AS k FROM customer UNION SELECT s_nationkey FROM supplier) r
+LEFT JOIN nation n ON r.k = n.n_nationkey""")
+def catalog_presence(spark, sf_dir):
+    """Every nation key the customer and supplier tables use, OK / FALTA."""
+    from periodica.operators.joins import presence
+    req = (td.table(spark, sf_dir, "customer").select(F.col("c_nationkey").alias("nationkey"))
+           .union(td.table(spark, sf_dir, "supplier").select(F.col("s_nationkey").alias("nationkey")))
+           .distinct())
+    ex = td.table(spark, sf_dir, "nation").select(F.col("n_nationkey").alias("nationkey"))
+    return presence(req, ex, "nationkey")
+
+
+# Fixed catalogs of the checks below (allowed values).
+CATALOGS = {
+    "prioridad": ["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED"],
+    "bandera": ["A", "R"],
+    "estatus": ["O", "F"],
+}
+
+
+def _catalog(spark, name: str) -> DataFrame:
+    return spark.createDataFrame([(name, k) for k in CATALOGS[name]], "catalog string, key string")
+
+
+def _violations(spark, sf_dir) -> DataFrame:
+    from periodica.operators.joins import catalog_violations
+    o = td.table(spark, sf_dir, "orders")
+    li = td.table(spark, sf_dir, "lineitem")
+    return (catalog_violations(o, "o_orderpriority", _catalog(spark, "prioridad"), "901_ORDERS")
+            .unionByName(catalog_violations(li, "l_returnflag", _catalog(spark, "bandera"), "902_LINEITEM"))
+            .unionByName(catalog_violations(li, "l_linestatus", _catalog(spark, "estatus"), "902_LINEITEM"))
+            .withColumnRenamed("column", "field"))
+
+
+def _in_list(vals) -> str:
+    return ", ".join(f"'{v}'" for v in vals)
+
+
+_VIOL_SQL = f"""
+SELECT '901_ORDERS' AS report, 'o_orderpriority' AS field, o_orderpriority AS value, count(*) AS n_rows
+FROM orders WHERE o_orderpriority NOT IN ({_in_list(CATALOGS['prioridad'])}) GROUP BY 3
+UNION ALL
+SELECT '902_LINEITEM', 'l_returnflag', l_returnflag, count(*) FROM lineitem
+WHERE l_returnflag NOT IN ({_in_list(CATALOGS['bandera'])}) GROUP BY 3
+UNION ALL
+SELECT '902_LINEITEM', 'l_linestatus', l_linestatus, count(*) FROM lineitem
+WHERE l_linestatus NOT IN ({_in_list(CATALOGS['estatus'])}) GROUP BY 3"""
+
+
+@register("catalog_violations", _VIOL_SQL)
+def catalog_violations_query(spark, sf_dir):
+    """Values outside their catalog, counted per value."""
+    return _violations(spark, sf_dir)
+
+
+@register("violation_summary", f"""
+SELECT report, field, sum(n_rows) AS n_rows, count(*) AS n_values,
+       min(value) AS min_value, max(value) AS max_value
+FROM ({_VIOL_SQL}) v GROUP BY report, field""")
+def violation_summary_query(spark, sf_dir):
+    from periodica.operators.joins import violation_summary
+    return violation_summary(_violations(spark, sf_dir).withColumnRenamed("field", "column")) \
+        .withColumnRenamed("column", "field")
+
+
+@register("referential_violations", """
+SELECT o_orderkey, count(*) AS n_rows FROM orders o
+WHERE NOT EXISTS (SELECT 1 FROM lineitem l WHERE l.l_orderkey = o.o_orderkey)
+GROUP BY o_orderkey""")
+def referential_violations(spark, sf_dir):
+    """Orders with no lineitem (the child report must have its parent)."""
+    from periodica.operators.joins import orphan_keys
+    return orphan_keys(td.table(spark, sf_dir, "orders"), "o_orderkey",
+                       td.table(spark, sf_dir, "lineitem"), "l_orderkey")
+
+
+@register("referential_valid", """
+SELECT c_custkey, c_name FROM customer c
+WHERE EXISTS (SELECT 1 FROM orders o WHERE o.o_custkey = c.c_custkey)""")
+def referential_valid(spark, sf_dir):
+    """Customers that have orders (left semi join)."""
+    from periodica.operators.joins import valid_rows
+    c = td.table(spark, sf_dir, "customer").select("c_custkey", "c_name")
+    return valid_rows(c, "c_custkey", td.table(spark, sf_dir, "orders"), "o_custkey")
+
+
+@register("companion_join", f"""
+SELECT o.o_orderkey, strftime(CAST(o.o_orderdate AS DATE), '%Y/%m/%d') AS o_orderdate,
+       l.l_linenumber, l.l_quantity, l.l_extendedprice
+FROM orders o JOIN lineitem l ON l.l_orderkey = o.o_orderkey
+WHERE {sql_window('o.o_orderdate', _MW.start, _MW.end)}""")
+def companion_join(spark, sf_dir):
+    """The window's orders with their companion lineitem rows."""
+    from periodica.operators.joins import companion
+    o = td.table(spark, sf_dir, "orders")
+    o = o.where((F.col("o_orderdate") >= F.lit(_MW.start)) & (F.col("o_orderdate") < F.lit(_MW.end)))
+    li = td.table(spark, sf_dir, "lineitem").withColumnRenamed("l_orderkey", "o_orderkey")
+    j = companion(o.select("o_orderkey", "o_orderdate"),
+                  li.select("o_orderkey", "l_linenumber", "l_quantity", "l_extendedprice"), ["o_orderkey"])
+    return j.select("o_orderkey", render_date(F.to_date("o_orderdate"), YMD_SLASH).alias("o_orderdate"),
+                    "l_linenumber", "l_quantity", "l_extendedprice")
+
+
+# -- quality (V1, V2) --------------------------------------------------------
+_LI_COLS = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice",
+            "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate"]
+
+
+@register("null_report", "SELECT " + ", ".join(
+    f"count(*) FILTER (WHERE {c} IS NULL) AS null_{c}" for c in _LI_COLS) + " FROM lineitem")
+def null_report(spark, sf_dir):
+    from periodica.operators.quality import null_counts
+    return null_counts(td.table(spark, sf_dir, "lineitem"), _LI_COLS)
+
+
+def _scan_sql(table: str, spec_cols) -> str:
+    from periodica.functions.types import sql_misfit
+    parts = []
+    for c in spec_cols:
+        if not c.nullable:
+            parts.append(f"SELECT '{c.name}' AS field, 'null' AS rule, "
+                         f"count(*) FILTER (WHERE {c.name} IS NULL) AS n_rows FROM {table}")
+        if c.type.kind != "text":
+            parts.append(f"SELECT '{c.name}', '{c.type.sql_name}', "
+                         f"count(*) FILTER (WHERE {sql_misfit(c.name, c.type)}) FROM {table}")
+    return "\nUNION ALL\n".join(parts)
+
+
+@register("quality_scan", _scan_sql("lineitem", _LS.columns))
+def quality_scan_query(spark, sf_dir):
+    """V1 + V2 over every lineitem column in one pass (strict layout)."""
+    from periodica.operators.quality import quality_scan
+    return quality_scan(td.table(spark, sf_dir, "lineitem"), _LS.columns)
+
+
+from periodica.spec import parse_layout  # noqa: E402
+
+PART_LAYOUT = parse_layout("p_partkey bigint | p_name varchar(10) | p_brand varchar(8) | "
+                           "p_type varchar(6) | p_size numeric(2,0) | p_retailprice numeric(6,2)")
+
+
+@register("type_violations", _scan_sql("part", PART_LAYOUT))
+def type_violations(spark, sf_dir):
+    """V2: text longer than declared, numbers over the declared precision."""
+    from periodica.operators.quality import quality_scan
+    return quality_scan(td.table(spark, sf_dir, "part"), PART_LAYOUT)

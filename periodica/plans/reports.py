@@ -105,3 +105,25 @@ def seed(spark: SparkSession, lake: Lake, spec: ReportSpec, rows: DataFrame) ->
     sel = [typed(F.col(c), types[c]).alias(c) if c in types else F.col(c) for c in cols]
     df.select(*sel).write.insertInto(target, overwrite=False)
     return spark.table(target).count()
+
+
+def backfill(spark: SparkSession, lake: Lake, spec: ReportSpec, landing: DataFrame,
+             first=None, last=None, scheduler: str | None = None) -> list[RunResult]:
+    """Load every window of a landing frame (or the windows between ``first``
+    and ``last``) in one job: initial loads, re-loads after a landing
+    correction, and frequency changes. Same rows as one ``load`` per window."""
+    from periodica.functions.periods import window_for as wf
+    from periodica.operators.window_sink import replace_windows
+    target = lake.ensure_report_table(spec)
+    renames = {stored: land for land, stored in spec.load_renames}
+    cols = [c for c in spec.stored_columns if c.name != LOAD_TS_COL]
+    rows = landing.select(
+        F.col(ID_COL).cast("string").alias(ID_COL),
+        *conform(cols, renames),
+        F.col(LOAD_TS_COL).cast("timestamp_ntz").alias(LOAD_TS_COL),
+        violation_reason(cols, renames).alias(REASON_COL))
+    f = wf(first, spec.frequency).start if first is not None else None
+    la = wf(last, spec.frequency).start if last is not None else None
+    return replace_windows(spark, target, rows, spec.frequency, spec.control, _job(spec),
+                           first=f, last=la, scheduler=scheduler,
+                           quarantine_table=lake.fq("silver", "quarantine"))
