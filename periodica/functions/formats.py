@@ -55,7 +55,7 @@ def parse_date_any(c: Column | str) -> Column:
     """
     c = F.col(c) if isinstance(c, str) else c
     t = F.trim(c)
-    tries = [F.try_to_date(t, F.lit(p)) for p in INPUT_DATE_FORMS]
+    tries = [F.try_to_date(t, p) for p in INPUT_DATE_FORMS]
     # a value like 2026-6-5 also parses with yyyy-MM-dd; reject 2-digit years
     ok = t.rlike(r"^(\d{4}[-/]\d{1,2}[-/]\d{1,2}|\d{1,2}/\d{1,2}/\d{4})$")
     return F.when(ok, F.coalesce(*tries))

@@ -37,3 +37,12 @@ def windows_agree(load_spec: ReportSpec, deliver_spec: ReportSpec) -> bool:
     """P6 spec rule: a report's load and delivery use the same window."""
     return (load_spec.frequency == deliver_spec.frequency
             and load_spec.control == deliver_spec.control)
+
+
+def change_frequency(spark, table: str, spec: ReportSpec, new_frequency: str) -> ReportSpec:
+    """Move every stored row of a report to the periods of a new frequency
+    (one distributed rewrite, then a swap) and return the new spec."""
+    from periodica.operators.migrate import swap_rewrite
+    df = spark.table(table)
+    swap_rewrite(spark, table, repartition_periods(df, spec.control, new_frequency))
+    return spec.with_version(frequency=new_frequency)

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from periodica.functions.types import parse_type
-from periodica.session import delete_path, unique_path
+from periodica.session import unique_path
 from periodica.spec import PERIOD_COL
 
 
@@ -143,24 +143,24 @@ def migration_rejects(df: DataFrame, steps, keys: list[str]) -> DataFrame:
     value``. An empty result means the migration is lossless."""
     _, conversions, _ = plan_columns(df, steps)
     if not conversions:
-        return df.limit(0).select(*keys, F.lit("").alias("column"), F.lit("").alias("value"))
+        return df.limit(0).select(*keys, F.lit("").alias("field"), F.lit("").alias("value"))
     items = F.array(*[F.when(src.isNotNull() & conv.isNull(),
-                             F.struct(F.lit(name).alias("column"), src.cast("string").alias("value")))
+                             F.struct(F.lit(name).alias("field"), src.cast("string").alias("value")))
                       for name, src, conv in conversions])
     return (df.select(*keys, F.explode(F.filter(items, lambda x: x.isNotNull())).alias("r"))
-            .select(*keys, "r.column", "r.value"))
+            .select(*keys, "r.field", "r.value"))
 
 
 def truncated_rows(df: DataFrame, steps, keys: list[str]) -> DataFrame:
     """Rows whose text a narrowing step cuts (E13), with the old value."""
     _, _, truncs = plan_columns(df, steps)
     if not truncs:
-        return df.limit(0).select(*keys, F.lit("").alias("column"), F.lit("").alias("value"))
-    items = F.array(*[F.when(cond, F.struct(F.lit(n).alias("column"),
+        return df.limit(0).select(*keys, F.lit("").alias("field"), F.lit("").alias("value"))
+    items = F.array(*[F.when(cond, F.struct(F.lit(n).alias("field"),
                                             F.col(f"`{n}`").cast("string").alias("value")))
                       for n, cond in truncs])
     return (df.select(*keys, F.explode(F.filter(items, lambda x: x.isNotNull())).alias("r"))
-            .select(*keys, "r.column", "r.value"))
+            .select(*keys, "r.field", "r.value"))
 
 
 def migrate_table(spark: SparkSession, table: str, steps, keys: list[str],
@@ -182,17 +182,24 @@ def migrate_table(spark: SparkSession, table: str, steps, keys: list[str],
     n_trunc = truncated_rows(df, steps, keys).count() if not allow_truncation else None
     if n_trunc:
         return {"status": "Error", "truncated": n_trunc, "table": table}
-    out = migrate(df, steps)
+    final = swap_rewrite(spark, table, migrate(df, steps), new_name)
+    return {"status": "Exitoso", "table": final}
+
+
+def swap_rewrite(spark: SparkSession, table: str, df: DataFrame, new_name: str | None = None) -> str:
+    """Write ``df`` as a new version of ``table`` next to the old folder
+    (partitioned by ``period_start`` when present), drop the old definition and
+    rename the new one into place. Readers see either version, never a mix."""
     db, _, name = table.rpartition(".")
-    staged = f"{db + '.' if db else ''}{name}__mig"
+    staged = f"{db + '.' if db else ''}{name}__new"
     loc = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").where("col_name = 'Location'").first()
     root = loc["data_type"].rsplit("/", 1)[0] if loc else unique_path(spark, "migrate")
     path = f"{root}/{name}__{unique_path(spark, 'v').rsplit('/', 1)[-1]}"
-    w = out.write.mode("overwrite").format("parquet").option("path", path)
-    if PERIOD_COL in out.columns:
+    w = df.write.mode("overwrite").format("parquet").option("path", path)
+    if PERIOD_COL in df.columns:
         w = w.partitionBy(PERIOD_COL)
     w.saveAsTable(staged)
     spark.sql(f"DROP TABLE {table}")
     final = new_name or table
     spark.sql(f"ALTER TABLE {staged} RENAME TO {final}")
-    return {"status": "Exitoso", "table": final, "location": path}
+    return final

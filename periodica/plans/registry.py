@@ -58,12 +58,16 @@ def _sql_type(t) -> str:
             "timestamp": "TIMESTAMP", "bit": "BOOLEAN"}[t.kind]
 
 
-def sql_delivery_cols(spec: ReportSpec) -> str:
+def sql_delivery_cols(spec: ReportSpec, literals: dict[str, str] | None = None) -> str:
+    """Delivered columns as DuckDB SQL; ``literals`` replaces a column by a
+    fixed SQL value (an injected date)."""
+    literals = literals or {}
     out = []
     for c in spec.columns:
         e = f"CAST({c.name} AS {_sql_type(c.type)})"
         if c.fmt:
             e = f"strftime(CAST({c.name} AS DATE), '{_DUCK_FMT[c.fmt]}')"
+        e = literals.get(c.name, e)
         out.append(f"{e} AS {c.header}")
     return ", ".join(out)
 
@@ -515,3 +519,242 @@ def type_violations(spark, sf_dir):
     """V2: text longer than declared, numbers over the declared precision."""
     from periodica.operators.quality import quality_scan
     return quality_scan(td.table(spark, sf_dir, "part"), PART_LAYOUT)
+
+
+# -- migration (E1-E15, E19) ------------------------------------------------
+from periodica.operators import migrate as mg  # noqa: E402
+from periodica.sources.tables import SILVER  # noqa: E402
+
+CUSTOMER_STEPS = (
+    mg.Rename("c_name", "C_NOMBRE"),                 # E4
+    mg.Drop(("c_mktsegment",)),                      # E8
+    mg.Retype("c_nationkey", "numeric(12,0)"),       # E9 widen int -> numeric(12,0)
+    mg.AddColumn("FECHA_ALTA", "date"),              # E1 nullable
+    mg.AddColumn("CANAL", "varchar(3)", ""),         # E2 marker default
+    mg.Backfill("c_acctbal", 0),                     # E11
+)
+PART_STEPS = (
+    mg.Rename("p_name", "P_NAME"),                   # E5 case only
+    mg.Truncate("p_brand", 5),                       # E13 narrow with LEFT
+    mg.Retype("p_size", "varchar(6)"),               # E10 int -> text
+    mg.Retype("p_retailprice", "numeric(8,2)"),      # E9
+)
+
+
+def _copy_to_lake(spark, lake: Lake, df: DataFrame, name: str) -> str:
+    fq = lake.fq(SILVER, name)
+    df.write.option("path", lake.location(SILVER, name)).saveAsTable(fq)
+    return fq
+
+
+_MIG_CUSTOMER_SQL = """
+SELECT c_custkey, c_name AS C_NOMBRE, CAST(c_nationkey AS DECIMAL(12,0)) AS c_nationkey,
+       COALESCE(c_acctbal, 0) AS c_acctbal, CAST(NULL AS DATE) AS FECHA_ALTA, '' AS CANAL
+FROM customer"""
+
+
+@register("migrate_customer", _MIG_CUSTOMER_SQL)
+def migrate_customer(spark, sf_dir):
+    """E1/E2/E4/E8/E9/E11 as one rewrite of a stored table, then a swap."""
+    lake = scratch_lake(spark)
+    fq = _copy_to_lake(spark, lake, td.table(spark, sf_dir, "customer"), "customer_rep")
+    out = mg.migrate_table(spark, fq, CUSTOMER_STEPS, keys=["c_custkey"])
+    if out["status"] != "Exitoso":
+        raise RuntimeError(out)
+    return spark.table(out["table"])
+
+
+@register("migrate_twice", _MIG_CUSTOMER_SQL)
+def migrate_twice(spark, sf_dir):
+    """Running the same migration again changes nothing (every step checks
+    the current schema first)."""
+    lake = scratch_lake(spark)
+    fq = _copy_to_lake(spark, lake, td.table(spark, sf_dir, "customer"), "customer_rep")
+    for _ in range(2):
+        out = mg.migrate_table(spark, fq, CUSTOMER_STEPS, keys=["c_custkey"])
+        if out["status"] != "Exitoso":
+            raise RuntimeError(out)
+    return spark.table(fq)
+
+
+@register("migrate_part", """
+SELECT p_partkey, p_name AS P_NAME, left(p_brand, 5) AS p_brand, p_type,
+       CAST(p_size AS VARCHAR) AS p_size, CAST(p_retailprice AS DECIMAL(8,2)) AS p_retailprice
+FROM part""")
+def migrate_part(spark, sf_dir):
+    """Case-only rename, narrowing with LEFT, kind change."""
+    return mg.migrate(td.table(spark, sf_dir, "part"), PART_STEPS)
+
+
+@register("migrate_truncated", """
+SELECT p_partkey, 'p_brand' AS field, p_brand AS value FROM part WHERE length(p_brand) > 5""")
+def migrate_truncated(spark, sf_dir):
+    """Rows whose text the narrowing cuts, reported before the swap."""
+    return mg.truncated_rows(td.table(spark, sf_dir, "part"), PART_STEPS, ["p_partkey"])
+
+
+@register("migrate_rejects", """
+SELECT c_custkey, 'c_acctbal' AS field, CAST(c_acctbal AS VARCHAR) AS value
+FROM customer WHERE c_acctbal IS NOT NULL AND TRY_CAST(c_acctbal AS DECIMAL(5,2)) IS NULL""")
+def migrate_rejects(spark, sf_dir):
+    """A lossy type change lists the values it cannot keep (and
+    ``migrate_table`` refuses to swap)."""
+    steps = (mg.Retype("c_acctbal", "numeric(5,2)"),)
+    return mg.migration_rejects(td.table(spark, sf_dir, "customer"), steps, ["c_custkey"])
+
+
+# -- frequency (P6, P7), versions (§2.M), order (A4) -----------------------
+@register("frequency_change", """
+SELECT CAST(date_trunc('month', o_orderdate) AS DATE) AS period_start, count(*) AS n_rows
+FROM orders GROUP BY 1""")
+def frequency_change(spark, sf_dir):
+    """A weekly report becomes monthly; every stored row moves to its
+    month partition in one rewrite."""
+    from periodica.operators.frequency import change_frequency
+    lake, spec, _ = _orders_table(spark, sf_dir, WEEKLY)
+    fq = lake.report_table(spec)
+    change_frequency(spark, fq, spec, MONTHLY)
+    return spark.table(fq).groupBy("period_start").agg(F.count(F.lit(1)).alias("n_rows"))
+
+
+@register("window_drift", """
+SELECT CAST(date_trunc('month', o_orderdate) AS DATE) AS period_start,
+       count(*) AS loaded, count(*) AS delivered, 0 AS drift
+FROM orders GROUP BY 1""")
+def window_drift_query(spark, sf_dir):
+    """Rows loaded by a weekly table, counted per month, against the rows
+    a monthly table delivers per month."""
+    from periodica.operators.frequency import rows_per_period, window_drift
+    wl, wspec, _ = _orders_table(spark, sf_dir, WEEKLY)
+    ml, mspec, _ = _orders_table(spark, sf_dir, MONTHLY)
+    loaded = rows_per_period(spark.table(wl.report_table(wspec)), "o_orderdate", MONTHLY)
+    delivered = (spark.table(ml.report_table(mspec)).groupBy("period_start")
+                 .agg(F.count(F.lit(1)).alias("n_rows")))
+    return window_drift(loaded, delivered)
+
+
+_PREV = td.lineitem_spec(WEEKLY, inject="period_start", inject_col="l_shipdate", version="prev")
+_PW = window_for(DAY, WEEKLY)
+
+
+def _prev_cols_sql() -> str:
+    return sql_delivery_cols(_PREV, {"l_shipdate": f"'{_PW.start.strftime('%Y/%m/%d')}'"})
+
+
+@register("prev_version_deliver", f"""
+SELECT {_prev_cols_sql()} FROM lineitem
+WHERE {sql_window('l_shipdate', _PW.start, _PW.end)}""")
+def prev_version_deliver(spark, sf_dir):
+    """§2.M: the earlier version of a report (weekly, every row dated with the
+    period start) from the same generic load/deliver operator."""
+    return _load_and_deliver(spark, td.lineitem_landing(spark, sf_dir), _PREV, DAY)
+
+
+_SORTED = td.orders_spec(MONTHLY, sort=("o_orderdate", "o_orderkey"))
+
+
+@register("sorted_delivery", f"""
+SELECT {sql_delivery_cols(_SORTED)} FROM orders
+WHERE {sql_window('o_orderdate', _MW.start, _MW.end)}
+ORDER BY o_orderdate, o_orderkey""")
+def sorted_delivery(spark, sf_dir):
+    """A4: deliveries with a declared order (212, 213) sort by two keys."""
+    return _load_and_deliver(spark, td.orders_landing(spark, sf_dir), _SORTED, DAY)
+
+
+# -- ingestion (S1-S10) and the landing stream ------------------------------
+from periodica.spec import IngestSpec  # noqa: E402
+
+ORDERS_INGEST = IngestSpec(
+    name="ORDERS_EXTRACT", file_pattern=r"^part-.*\.csv$", landing="LMDA.ORDERS",
+    column_map=tuple((c, c) for c in ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice",
+                                      "o_orderdate", "o_orderpriority"]),
+    date_fields=("o_orderdate",),
+    numeric_fields=(("o_orderkey", "numeric(18,0)"), ("o_custkey", "numeric(18,0)"),
+                    ("o_totalprice", "numeric(12,2)")),
+    text_fields=(("o_orderstatus", 1), ("o_orderpriority", 15)),
+    allow_empty=False,
+    final_columns=("ID", "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice",
+                   "o_orderdate", "o_orderpriority", "FECHA_EXTRACCION"),
+    file_type="csv", delimiter="|")
+_LANDED = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"]
+
+
+def write_extract(spark: SparkSession, sf_dir: str, folder: str) -> None:
+    """Pipe-delimited extract of ``orders`` as a source system would send it:
+    three date forms (by order status) and the lowest priority left empty."""
+    o = td.table(spark, sf_dir, "orders")
+    d = F.to_date("o_orderdate")
+    date_txt = (F.when(F.col("o_orderstatus") == "F", F.date_format(d, "yyyy/MM/dd"))
+                .when(F.col("o_orderstatus") == "O", F.date_format(d, "dd/MM/yyyy"))
+                .otherwise(F.date_format(d, "yyyy-MM-dd")))
+    prio = F.when(F.col("o_orderpriority") == "5-LOW", F.lit("")).otherwise(F.col("o_orderpriority"))
+    (o.select(F.col("o_orderkey").cast("string").alias("o_orderkey"),
+              F.col("o_custkey").cast("string").alias("o_custkey"), "o_orderstatus",
+              F.col("o_totalprice").cast("string").alias("o_totalprice"),
+              date_txt.alias("o_orderdate"), prio.alias("o_orderpriority"))
+     .write.option("header", True).option("sep", "|").option("emptyValue", "")
+     .option("quote", "\u0000").csv(folder))
+
+
+def _routed(spark, folder: str) -> list[str]:
+    from periodica.sources.files import list_files, route
+    r = route(list_files(spark, folder), [ORDERS_INGEST])
+    return [x["path"] for x in r.where(F.col("spec") == ORDERS_INGEST.name).collect()]
+
+
+_INGEST_SQL = """
+SELECT CAST(o_orderkey AS DECIMAL(18,0)) AS o_orderkey, CAST(o_custkey AS DECIMAL(18,0)) AS o_custkey,
+       o_orderstatus, CAST(o_totalprice AS DECIMAL(12,2)) AS o_totalprice,
+       CAST(o_orderdate AS DATE) AS o_orderdate, o_orderpriority
+FROM orders WHERE o_orderpriority <> '5-LOW'"""
+
+
+def _ingest(spark, sf_dir, times: int = 1):
+    from periodica.sources.ingest import ingest
+    lake = scratch_lake(spark)
+    folder = unique_path(spark, "drop")
+    write_extract(spark, sf_dir, folder)
+    paths = _routed(spark, folder)
+    for _ in range(times):
+        ingest(spark, lake, ORDERS_INGEST, paths)
+    return lake
+
+
+@register("ingest_roundtrip", _INGEST_SQL)
+def ingest_roundtrip(spark, sf_dir):
+    """Route by name, read by header, convert three date forms and the
+    numbers, reject rows with an empty cell (allow_empty = false)."""
+    lake = _ingest(spark, sf_dir)
+    return spark.table(lake.fq("bronze", ORDERS_INGEST.landing_table)).select(*_LANDED)
+
+
+@register("ingest_append_once", _INGEST_SQL)
+def ingest_append_once(spark, sf_dir):
+    """The same files offered twice land once."""
+    lake = _ingest(spark, sf_dir, times=2)
+    return spark.table(lake.fq("bronze", ORDERS_INGEST.landing_table)).select(*_LANDED)
+
+
+@register("ingest_rejects", """
+SELECT CAST(o_orderkey AS VARCHAR) AS o_orderkey, 'o_orderpriority:empty' AS reason
+FROM orders WHERE o_orderpriority = '5-LOW'""")
+def ingest_rejects(spark, sf_dir):
+    """Rejected rows with their reason, kept in the rejects table."""
+    lake = _ingest(spark, sf_dir)
+    rej = spark.table(lake.fq("bronze", "rejects"))
+    return rej.select(F.get_json_object("row", "$.o_orderkey").alias("o_orderkey"),
+                      F.col("_reason").alias("reason"))
+
+
+@register("stream_landing", _INGEST_SQL)
+def stream_landing(spark, sf_dir):
+    """Structured Streaming form of the landing: the drop folder drained with
+    Trigger.AvailableNow, each micro-batch converted and split like a batch."""
+    from periodica.streaming.landing_stream import land_stream
+    lake = scratch_lake(spark)
+    folder = unique_path(spark, "drop")
+    write_extract(spark, sf_dir, folder)
+    land_stream(spark, lake, ORDERS_INGEST, folder,
+                checkpoint=unique_path(spark, "stream-ckpt"))
+    return spark.table(lake.fq("bronze", ORDERS_INGEST.landing_table)).select(*_LANDED)
