@@ -127,3 +127,25 @@ def backfill(spark: SparkSession, lake: Lake, spec: ReportSpec, landing: DataFra
     return replace_windows(spark, target, rows, spec.frequency, spec.control, _job(spec),
                            first=f, last=la, scheduler=scheduler,
                            quarantine_table=lake.fq("silver", "quarantine"))
+
+
+def retire_report(spark: SparkSession, lake: Lake, spec: ReportSpec,
+                  index_table: str | None = None) -> dict:
+    """Remove a report in dependency order: its index row, then its
+    stored table and data (delivery and load are functions of the spec, so
+    nothing else is stored). Landing tables are shared and kept."""
+    from periodica.operators.index import index_delete, rewrite_index
+    from periodica.session import delete_path
+    out = {"index_rows_removed": 0, "table_dropped": False}
+    if index_table and lake.exists(index_table):
+        idx = spark.table(index_table)
+        before = idx.where(F.col("numero") == spec.numero).count()
+        if before:
+            rewrite_index(spark, index_table, index_delete(idx, spec.numero))
+        out["index_rows_removed"] = before
+    fq = lake.report_table(spec)
+    if lake.exists(fq):
+        spark.sql(f"DROP TABLE {fq}")
+        out["table_dropped"] = True
+    delete_path(spark, lake.location("silver", spec.table))
+    return out

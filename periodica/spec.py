@@ -147,12 +147,17 @@ class IngestSpec:
         """Landing table schema in final column order."""
         num = dict(self.numeric_fields)
         fields = []
-        for c in self.final_columns:
+        final = list(self.final_columns)
+        if (self.control_from == "run_date" and self.control_col
+                and self.control_col not in final):
+            final.insert(len(final) - 1 if final and final[-1] == LOAD_TS_COL else len(final),
+                         self.control_col)
+        for c in final:
             if c == ID_COL:
                 fields.append(T.StructField(c, T.StringType(), False))
             elif c == LOAD_TS_COL:
                 fields.append(T.StructField(c, T.TimestampNTZType(), False))
-            elif c in self.date_fields:
+            elif c in self.date_fields or c == self.control_col and c not in num:
                 fields.append(T.StructField(c, T.DateType(), True))
             elif c in num:
                 fields.append(T.StructField(c, parse_type(num[c]).spark, True))
