@@ -120,10 +120,22 @@ def table_vs_layout(spark: SparkSession, df: DataFrame, spec: ReportSpec) -> Dat
 def landing_vs_report(spark: SparkSession, ingest: IngestSpec, spec: ReportSpec) -> DataFrame:
     """V4: declared landing types against report types for shared columns."""
     renames = dict(spec.load_renames)
-    land = ingest.landing_schema()
-    fields = [T.StructField(renames.get(f.name, f.name), f.dataType, f.nullable)
-              for f in land.fields if f.name not in (ID_COL, LOAD_TS_COL)]
-    actual = schema_of_frame(spark, T.StructType(fields))
+    nums, texts = dict(ingest.numeric_fields), dict(ingest.text_fields)
+    rows, i = [], 0
+    for c in ingest.final_columns:
+        if c in (ID_COL, LOAD_TS_COL):
+            continue
+        i += 1
+        if c in ingest.date_fields:
+            t = "date"
+        elif c in nums:
+            t = nums[c].replace(" ", "")
+        elif c in texts:
+            t = f"varchar({texts[c]})"
+        else:
+            t = "text"
+        rows.append((renames.get(c, c), i, t, True))
+    actual = spark.createDataFrame(rows, SCHEMA_FRAME)
     exp = schema_of_layout(spark, spec.stored_columns)
     return schema_diff(exp, actual).where(F.col("finding") == "type")
 
