@@ -48,17 +48,21 @@ def render_ts_120(c: Column | str) -> Column:
 
 
 def parse_date_any(c: Column | str) -> Column:
-    """Text to DATE trying each accepted input form; NULL when none fits.
+    """Text to DATE in any accepted input form; NULL when none fits.
 
-    ``try_to_date`` keeps a bad cell a NULL instead of failing the job under ANSI
-    mode, so the caller can route the row to the rejects.
+    The form is recognised by its shape and the text is rewritten to ISO
+    order, so each cell is parsed exactly once with a plain string-to-date
+    ``try_cast`` (trying every pattern in turn costs a failed parse per
+    attempt). Impossible dates such as ``2026/13/01`` become NULL, so the
+    caller can route the row to the rejects.
     """
     c = F.col(c) if isinstance(c, str) else c
     t = F.trim(c)
-    tries = [F.try_to_date(t, p) for p in INPUT_DATE_FORMS]
-    # a value like 2026-6-5 also parses with yyyy-MM-dd; reject 2-digit years
-    ok = t.rlike(r"^(\d{4}[-/]\d{1,2}[-/]\d{1,2}|\d{1,2}/\d{1,2}/\d{4})$")
-    return F.when(ok, F.coalesce(*tries))
+    parts = F.split(t, "/")
+    dmy = F.concat_ws("-", F.element_at(parts, 3), F.element_at(parts, 2), F.element_at(parts, 1))
+    iso = (F.when(t.rlike(r"^\d{4}[-/]\d{1,2}[-/]\d{1,2}$"), F.translate(t, "/", "-"))
+           .when(t.rlike(r"^\d{1,2}/\d{1,2}/\d{4}$"), dmy))
+    return iso.try_cast("date")
 
 
 def compact_date(text: str) -> str:

@@ -12,7 +12,7 @@ from __future__ import annotations
 import datetime as dt
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -71,7 +71,7 @@ def convert(df: DataFrame, spec: IngestSpec, loaded_at: dt.datetime,
             checks.append((raw.isNotNull() & val.isNull(), f"{dst}:date"))
         elif dst in nums:
             t = parse_type(nums[dst])
-            val = F.regexp_replace(raw, ",", "").try_cast(t.spark)
+            val = F.replace(raw, F.lit(","), F.lit("")).try_cast(t.spark)
             checks.append((raw.isNotNull() & val.isNull(), f"{dst}:{t.sql_name}"))
         else:
             val = raw
@@ -127,17 +127,20 @@ def ingest(spark: SparkSession, lake: Lake, spec: IngestSpec, paths: list[str],
     loaded_at = load_timestamp(now)
     typed = convert(raw, spec, loaded_at, run_date)
     staging = unique_path(spark, "ingest")
-    typed.write.mode("errorifexists").parquet(staging)
+    obs = Observation("ingest")
+    (typed.observe(obs, F.count_if(F.col(REASON_COL) != "").alias("bad"))
+     .write.mode("errorifexists").parquet(staging))
     try:
         staged = spark.read.parquet(staging)
         cols = spark.table(landing).columns
-        good = staged.where(F.col(REASON_COL) == "")
+        good = staged.where(F.col(REASON_COL) == "") if obs.get["bad"] else staged
         good.select(*cols).write.insertInto(landing, overwrite=False)
-        rej = staged.where(F.col(REASON_COL) != "").withColumn("spec", F.lit(spec.name))
-        rej.select("spec", SOURCE_FILE_COL, REASON_COL,
-                   F.to_json(F.struct(*[c for c in staged.columns
-                                        if c not in (REASON_COL, SOURCE_FILE_COL)])).alias("row")
-                   ).write.mode("append").saveAsTable(lake.fq(BRONZE, REJECTS))
+        if obs.get["bad"]:
+            rej = staged.where(F.col(REASON_COL) != "").withColumn("spec", F.lit(spec.name))
+            rej.select("spec", SOURCE_FILE_COL, REASON_COL,
+                       F.to_json(F.struct(*[c for c in staged.columns
+                                            if c not in (REASON_COL, SOURCE_FILE_COL)])).alias("row")
+                       ).write.mode("append").saveAsTable(lake.fq(BRONZE, REJECTS))
         per_file = (staged.groupBy(SOURCE_FILE_COL)
                     .agg(F.count_if(F.col(REASON_COL) == "").alias("rows"),
                          F.count_if(F.col(REASON_COL) != "").alias("rejected")))
