@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from periodica.functions.formats import render_date
 from periodica.functions.periods import Window
 from periodica.sources.tables import scan_window
-from periodica.spec import ReportSpec
+from periodica.spec import ID_COL, ReportSpec
 
 
 def delivery_columns(spec: ReportSpec) -> list[Column]:
@@ -31,7 +31,13 @@ def deliver_rows(df: DataFrame, spec: ReportSpec, window: Window,
     """Delivery of ``window`` from any frame holding the stored columns."""
     rows = scan_window(df, spec.control, window, partitioned=partitioned)
     if spec.sort:
-        rows = rows.orderBy(*[F.col(c).asc_nulls_first() for c in spec.sort])
+        keys = [F.col(c).asc_nulls_first() for c in spec.sort]
+        # unique tie-breaker: equal sort keys (one value may hold a third of a
+        # window) can still be split across range partitions, and the order of
+        # ties is deterministic from run to run
+        if ID_COL in rows.columns:
+            keys.append(F.col(ID_COL).asc())
+        rows = rows.orderBy(*keys)
     return rows.select(*delivery_columns(spec))
 
 

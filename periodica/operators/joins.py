@@ -44,8 +44,14 @@ def orphan_keys(child: DataFrame, child_key: str, parent: DataFrame, parent_key:
     child rows per key. Child rows are pre-aggregated per key (map-side partial
     aggregation) before the anti join, so a hot key does not skew the join."""
     per_key = child.groupBy(F.col(child_key)).agg(F.count(F.lit(1)).alias(count_col))
-    parents = parent.select(F.col(parent_key).alias(child_key)).distinct()
-    return per_key.join(parents, child_key, "left_anti")
+    parents = (parent.select(F.col(parent_key).alias(child_key)).distinct()
+               .withColumn("_parent", F.lit(True)))
+    # LEFT join + NULL test instead of LEFT ANTI: Catalyst would push an anti
+    # join below the aggregate and shuffle raw child rows by key (a hot key
+    # skews that shuffle). This way the aggregate's own exchange already
+    # partitions the distinct keys, and only the parent keys move to meet them.
+    return (per_key.join(parents, child_key, "left")
+            .where(F.col("_parent").isNull()).drop("_parent"))
 
 
 def valid_rows(child: DataFrame, child_key: str, parent: DataFrame, parent_key: str) -> DataFrame:

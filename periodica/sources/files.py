@@ -70,6 +70,17 @@ def read_header(spark: SparkSession, path: str, encoding: str = "UTF-8") -> str:
     return line.lstrip("﻿").rstrip("\r\n")
 
 
+def read_headers(spark: SparkSession, paths: list[str], encoding: str = "UTF-8",
+                 threads: int = 16) -> list[str]:
+    """First lines of many files; the small reads overlap on a thread pool so a
+    batch of many files does not wait on one open at a time."""
+    if len(paths) <= 1:
+        return [read_header(spark, p, encoding) for p in paths]
+    from concurrent.futures import ThreadPoolExecutor
+    with ThreadPoolExecutor(max_workers=min(threads, len(paths))) as pool:
+        return list(pool.map(lambda p: read_header(spark, p, encoding), paths))
+
+
 # -- S2: delimited ----------------------------------------------------------
 def scan_delimited(spark: SparkSession, paths: list[str], spec: IngestSpec,
                    required: list[str] | None = None) -> tuple[DataFrame | None, dict]:
@@ -83,8 +94,8 @@ def scan_delimited(spark: SparkSession, paths: list[str], spec: IngestSpec,
     ``{path: [missing names]}``.
     """
     groups: dict[str, list[str]] = {}
-    for p in paths:
-        groups.setdefault(read_header(spark, p, spec.encoding), []).append(p)
+    for p, header in zip(paths, read_headers(spark, paths, spec.encoding)):
+        groups.setdefault(header, []).append(p)
     frames, rejected = [], {}
     for header, group in groups.items():
         names = [h.strip() for h in header.split(spec.delimiter)]
