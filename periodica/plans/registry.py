@@ -758,3 +758,47 @@ def stream_landing(spark, sf_dir):
     land_stream(spark, lake, ORDERS_INGEST, folder,
                 checkpoint=unique_path(spark, "stream-ckpt"))
     return spark.table(lake.fq("bronze", ORDERS_INGEST.landing_table)).select(*_LANDED)
+
+
+# -- delivered file (S19), T-SQL length and seconds (F9, X-13, X-20) --------
+@register("delivery_file", f"""
+SELECT CAST(o_orderkey AS VARCHAR) AS o_orderkey, CAST(o_custkey AS VARCHAR) AS o_custkey,
+       o_orderstatus, CAST(CAST(o_totalprice AS DECIMAL(12,2)) AS VARCHAR) AS o_totalprice,
+       strftime(CAST(o_orderdate AS DATE), '%Y/%m/%d') AS o_orderdate, o_orderpriority
+FROM orders WHERE {sql_window('o_orderdate', _MW.start, _MW.end)}""")
+def delivery_file(spark, sf_dir):
+    """The delivered window written as a pipe-delimited file with a header
+    and read back as text, exactly as the regulator receives it."""
+    from periodica.operators.deliver import write_delivery
+    out = _load_and_deliver(spark, td.orders_landing(spark, sf_dir), _OM, DAY)
+    path = unique_path(spark, "delivery")
+    write_delivery(out, path)
+    names = out.columns
+    from pyspark.sql import types as T
+    schema = T.StructType([T.StructField(n, T.StringType()) for n in names])
+    return spark.read.schema(schema).option("header", True).option("sep", "|").csv(path)
+
+
+@register("len_predicate", """
+SELECT p_partkey, p_name, length(rtrim(p_name)) AS name_len, left(p_name, 5) AS name_5
+FROM part WHERE length(rtrim(p_name)) > 10""")
+def len_predicate(spark, sf_dir):
+    """F9 / X-19 / X-20: LEN ignores trailing blanks; LEFT keeps the start."""
+    from periodica.functions.scalar import tsql_left, tsql_len
+    p = td.table(spark, sf_dir, "part")
+    return (p.where(tsql_len("p_name") > 10)
+            .select("p_partkey", "p_name", tsql_len("p_name").alias("name_len"),
+                    tsql_left("p_name", 5).alias("name_5")))
+
+
+@register("seconds_to_load", """
+SELECT event_id,
+       CAST(epoch(date_trunc('second', date_trunc('minute', ts + INTERVAL 30 SECOND)))
+            - epoch(date_trunc('second', ts)) AS BIGINT) AS seconds
+FROM events""")
+def seconds_to_load(spark, sf_dir):
+    """X-13 with S13: second boundaries between an event and its load time
+    rounded to the minute (between -30 and 30)."""
+    from periodica.functions.scalar import seconds_between
+    e = td.events_landing(spark, sf_dir)
+    return e.select("event_id", seconds_between("ts", "FECHA_EXTRACCION").alias("seconds"))
