@@ -126,7 +126,7 @@ def main() -> None:
         numeric_fields=tuple((c, "numeric(12,2)") for c in
                              ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]) +
         tuple((c, "numeric(18,0)") for c in ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber"]),
-        text_fields=(("l_returnflag", 1), ("l_linestatus", 1)),
+        text_fields=(("l_returnflag", 1), ("l_linestatus", 1)), control_col="l_shipdate",
         final_columns=("ID", *cols, "FECHA_EXTRACCION"))
     from periodica.sources.files import list_files, route
     paths = [r["path"] for r in route(list_files(spark, folder), [ing]).where(F.col("spec").isNotNull()).collect()]

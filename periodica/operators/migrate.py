@@ -12,12 +12,12 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from periodica.functions.types import parse_type
-from periodica.session import unique_path
+from periodica.session import delete_path, unique_path
 from periodica.spec import PERIOD_COL
 
 
@@ -167,31 +167,52 @@ def migrate_table(spark: SparkSession, table: str, steps, keys: list[str],
                   new_name: str | None = None, allow_truncation: bool = True) -> dict:
     """Rewrite a catalog table with the migrated schema and swap it in.
 
-    Read -> project -> write a new version (partitioned like the source) ->
-    drop the old definition -> rename the new one into place (or to
-    ``new_name``, E7). Aborts before any change when a type change would lose
-    values (E10, E14) or the table is missing (E19).
+    One pass: the new version is written next to the old folder while an
+    ``Observation`` counts values a type change would lose (E10, E14) and
+    texts a narrowing cuts (E13). A version with losses is discarded before
+    any swap and the rejects are returned (computed lazily from the untouched
+    table); otherwise the old definition is dropped and the new one renamed
+    into place (or to ``new_name``, E7). A swap interrupted between the two
+    catalog calls is completed by the next run. Aborts when the table is
+    missing (E19).
     """
+    recover_swap(spark, table)
     if not spark.catalog.tableExists(table):
         raise LookupError(f"table {table} does not exist")
     df = spark.table(table)
-    rej = migration_rejects(df, steps, keys)
-    n_rej = rej.limit(1).count()
-    if n_rej:
-        return {"status": "Error", "rejects": rej, "table": table}
-    n_trunc = truncated_rows(df, steps, keys).count() if not allow_truncation else None
-    if n_trunc:
-        return {"status": "Error", "truncated": n_trunc, "table": table}
-    final = swap_rewrite(spark, table, migrate(df, steps), new_name)
-    return {"status": "Exitoso", "table": final}
+    proj, conversions, truncs = plan_columns(df, steps)
+    lost = F.lit(False)
+    for _, src, conv in conversions:
+        lost = lost | (src.isNotNull() & conv.isNull())
+    cut = F.lit(False)
+    for _, cond in truncs:
+        cut = cut | F.coalesce(cond, F.lit(False))
+    obs = Observation("migrate")
+    out = (df.select(*proj, lost.alias("_lost"), cut.alias("_cut"))
+           .observe(obs, F.count_if(F.col("_lost")).alias("lost"), F.count_if(F.col("_cut")).alias("cut"))
+           .drop("_lost", "_cut"))
+    staged, path = write_version(spark, table, out)
+    m = obs.get
+    if m["lost"] or (m["cut"] and not allow_truncation):
+        spark.sql(f"DROP TABLE IF EXISTS {staged}")
+        delete_path(spark, path)
+        return {"status": "Error", "table": table, "lost": int(m["lost"]), "truncated": int(m["cut"]),
+                "rejects": migration_rejects(df, steps, keys)}
+    final = swap_in(spark, table, staged, new_name)
+    return {"status": "Exitoso", "table": final, "truncated": int(m["cut"])}
+
+
+def _staged_name(table: str) -> str:
+    db, _, name = table.rpartition(".")
+    return f"{db + '.' if db else ''}{name}__new"
 
 
-def swap_rewrite(spark: SparkSession, table: str, df: DataFrame, new_name: str | None = None) -> str:
-    """Write ``df`` as a new version of ``table`` next to the old folder
-    (partitioned by ``period_start`` when present), drop the old definition and
-    rename the new one into place. Readers see either version, never a mix."""
-    db, _, name = table.rpartition(".")
-    staged = f"{db + '.' if db else ''}{name}__new"
+def write_version(spark: SparkSession, table: str, df: DataFrame) -> tuple[str, str]:
+    """Write ``df`` as a new version of ``table`` in a fresh folder next to the
+    old one (partitioned by ``period_start`` when present)."""
+    staged = _staged_name(table)
+    spark.sql(f"DROP TABLE IF EXISTS {staged}")
+    name = table.rpartition(".")[2]
     loc = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").where("col_name = 'Location'").first()
     root = loc["data_type"].rsplit("/", 1)[0] if loc else unique_path(spark, "migrate")
     path = f"{root}/{name}__{unique_path(spark, 'v').rsplit('/', 1)[-1]}"
@@ -199,7 +220,29 @@ def swap_rewrite(spark: SparkSession, table: str, df: DataFrame, new_name: str |
     if PERIOD_COL in df.columns:
         w = w.partitionBy(PERIOD_COL)
     w.saveAsTable(staged)
+    return staged, path
+
+
+def swap_in(spark: SparkSession, table: str, staged: str, new_name: str | None = None) -> str:
+    """Drop the old definition and rename the new version into place."""
     spark.sql(f"DROP TABLE {table}")
     final = new_name or table
     spark.sql(f"ALTER TABLE {staged} RENAME TO {final}")
     return final
+
+
+def recover_swap(spark: SparkSession, table: str) -> bool:
+    """Finish a swap that stopped after the drop: the new version exists but
+    the table name does not."""
+    staged = _staged_name(table)
+    if not spark.catalog.tableExists(table) and spark.catalog.tableExists(staged):
+        spark.sql(f"ALTER TABLE {staged} RENAME TO {table}")
+        return True
+    return False
+
+
+def swap_rewrite(spark: SparkSession, table: str, df: DataFrame, new_name: str | None = None) -> str:
+    """Write a new version of ``table`` from ``df`` and swap it in. Readers see
+    either version, never a mix."""
+    staged, _ = write_version(spark, table, df)
+    return swap_in(spark, table, staged, new_name)

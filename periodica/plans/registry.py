@@ -673,7 +673,7 @@ ORDERS_INGEST = IngestSpec(
     numeric_fields=(("o_orderkey", "numeric(18,0)"), ("o_custkey", "numeric(18,0)"),
                     ("o_totalprice", "numeric(12,2)")),
     text_fields=(("o_orderstatus", 1), ("o_orderpriority", 15)),
-    allow_empty=False,
+    allow_empty=False, control_col="o_orderdate",
     final_columns=("ID", "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice",
                    "o_orderdate", "o_orderpriority", "FECHA_EXTRACCION"),
     file_type="csv", delimiter="|")

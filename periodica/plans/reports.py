@@ -15,7 +15,7 @@ from periodica.operators.conformance import conform, violation_reason
 from periodica.operators.deliver import deliver_rows
 from periodica.operators.window_sink import REASON_COL, RunResult, replace_window
 from periodica.sources.tables import BRONZE, Lake, scan_window
-from periodica.spec import ID_COL, LOAD_TS_COL, PERIOD_COL, ReportSpec
+from periodica.spec import ID_COL, LANDING_PART_COL, LOAD_TS_COL, PERIOD_COL, ReportSpec
 
 
 def _job(spec: ReportSpec) -> str:
@@ -39,7 +39,13 @@ def load_rows(spec: ReportSpec, landing: DataFrame, window: Window, day: dt.date
     re-run writes identical rows (X5)."""
     renames = {stored: land for land, stored in spec.load_renames}
     control_src = renames.get(spec.control, spec.control)
-    src = landing.where(in_window(control_src, window))
+    src = landing
+    if LANDING_PART_COL in landing.columns:
+        # landing is partitioned by month of the control date: prune first
+        last = window.end - dt.timedelta(days=1)
+        src = src.where((F.col(LANDING_PART_COL) >= F.lit(window.start.replace(day=1)))
+                        & (F.col(LANDING_PART_COL) <= F.lit(last.replace(day=1))))
+    src = src.where(in_window(control_src, window))
     src = _inject(src, spec, day, window)
     cols = [c for c in spec.stored_columns if c.name != LOAD_TS_COL]
     return src.select(

@@ -21,7 +21,7 @@ from periodica.functions.types import parse_type
 from periodica.session import delete_path, unique_path
 from periodica.sources.files import CORRUPT_COL, scan_delimited, scan_workbook
 from periodica.sources.tables import BRONZE, Lake
-from periodica.spec import ID_COL, LOAD_TS_COL, SOURCE_FILE_COL, IngestSpec
+from periodica.spec import ID_COL, LANDING_PART_COL, LOAD_TS_COL, SOURCE_FILE_COL, IngestSpec
 
 REASON_COL = "_reason"
 MANIFEST = "landed_files"
@@ -88,9 +88,12 @@ def convert(df: DataFrame, spec: IngestSpec, loaded_at: dt.datetime,
               else F.expr("uuid()"))
     reason = F.concat_ws(";", *[F.when(cond, F.lit(label)) for cond, label in checks]) \
         if checks else F.lit("")
+    ctrl = out.get(spec.control_col) if spec.control_col else None
+    month = F.trunc(ctrl if ctrl is not None else F.lit(loaded_at).cast("date"), "month")
     return df.select(id_col.alias(ID_COL), *[v.alias(k) for k, v in out.items()],
                      F.lit(loaded_at).cast("timestamp_ntz").alias(LOAD_TS_COL),
-                     F.col(SOURCE_FILE_COL), reason.alias(REASON_COL))
+                     F.col(SOURCE_FILE_COL), reason.alias(REASON_COL),
+                     month.alias(LANDING_PART_COL))
 
 
 def landed_files(spark: SparkSession, lake: Lake) -> DataFrame:
@@ -105,10 +108,7 @@ def ingest(spark: SparkSession, lake: Lake, spec: IngestSpec, paths: list[str],
     """Land new files of one source; a file already in the manifest is skipped,
     so feeding the same file twice appends its rows once (S10)."""
     res = IngestResult(spec.name)
-    landing = lake.ensure_table(BRONZE, spec.landing_table,
-                                T.StructType(spec.landing_schema().fields
-                                             + [T.StructField(SOURCE_FILE_COL, T.StringType())]),
-                                partitioned=False)
+    landing = lake.ensure_landing_table(spec)
     done = landed_files(spark, lake).where(F.col("spec") == spec.name).select("path")
     cand = spark.createDataFrame([(p,) for p in paths], "path string")
     # anti-join on file names only (the manifest holds one row per file)
@@ -163,10 +163,7 @@ def ingest(spark: SparkSession, lake: Lake, spec: IngestSpec, paths: list[str],
 def seed_rows(spark: SparkSession, lake: Lake, spec: IngestSpec, rows: DataFrame,
               now: dt.datetime | None = None) -> int:
     """Literal rows straight into landing (S11), then the table's row count (A1)."""
-    landing = lake.ensure_table(BRONZE, spec.landing_table,
-                                T.StructType(spec.landing_schema().fields
-                                             + [T.StructField(SOURCE_FILE_COL, T.StringType())]),
-                                partitioned=False)
+    landing = lake.ensure_landing_table(spec)
     loaded_at = load_timestamp(now)
     df = rows
     if ID_COL not in df.columns:
@@ -175,6 +172,10 @@ def seed_rows(spark: SparkSession, lake: Lake, spec: IngestSpec, rows: DataFrame
         df = df.withColumn(LOAD_TS_COL, F.lit(loaded_at).cast("timestamp_ntz"))
     if SOURCE_FILE_COL not in df.columns:
         df = df.withColumn(SOURCE_FILE_COL, F.lit("seed"))
+    if LANDING_PART_COL not in df.columns:
+        base = F.col(spec.control_col) if spec.control_col and spec.control_col in df.columns \
+            else F.col(LOAD_TS_COL)
+        df = df.withColumn(LANDING_PART_COL, F.trunc(F.to_date(base), "month"))
     tgt = spark.table(landing).schema
     df.select(*[F.col(f.name).cast(f.dataType) if f.name in df.columns
                 else F.lit(None).cast(f.dataType).alias(f.name) for f in tgt]) \

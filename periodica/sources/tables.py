@@ -3,8 +3,9 @@
 Report tables are partitioned by ``period_start`` (first day of the report's
 period), so replacing one window is a static overwrite of one partition and
 delivering one window reads one partition (partition pruning). Landing tables
-are append-only and unpartitioned; their window filters are sargable ranges that
-reach the Parquet scan as pushed filters.
+are append-only and partitioned by the month of the control date; a window load
+prunes to the one or two months its window touches and pushes the sargable
+range on the control column into the Parquet scan.
 """
 
 from __future__ import annotations
@@ -15,7 +16,7 @@ from pyspark.sql import types as T
 
 from periodica.functions.periods import Window, in_window
 from periodica.session import path_exists, shared_path
-from periodica.spec import PERIOD_COL, IngestSpec, ReportSpec
+from periodica.spec import LANDING_PART_COL, PERIOD_COL, SOURCE_FILE_COL, IngestSpec, ReportSpec
 
 BRONZE, SILVER = "bronze", "silver"
 
@@ -57,18 +58,19 @@ class Lake:
 
     # -- creation (E17) -------------------------------------------------------
     def ensure_table(self, layer: str, table: str, schema: T.StructType,
-                     partitioned: bool = True, types: dict[str, str] | None = None) -> str:
+                     partitioned: bool = True, types: dict[str, str] | None = None,
+                     partition_col: str = PERIOD_COL) -> str:
         """CREATE TABLE IF NOT EXISTS with a declared schema; returns its name."""
         fq = self.fq(layer, table)
         loc = self.location(layer, table)
         existed = path_exists(self.spark, loc)
         types = types or {}
         cols = ", ".join(f"{_q(f.name)} {types.get(f.name, _ddl_type(f.dataType))}"
-                         for f in schema.fields if f.name != PERIOD_COL)
+                         for f in schema.fields if f.name != partition_col)
         part = ""
         if partitioned:
-            cols += f", {PERIOD_COL} DATE"
-            part = f" PARTITIONED BY ({PERIOD_COL})"
+            cols += f", {partition_col} DATE"
+            part = f" PARTITIONED BY ({partition_col})"
         if not self.spark.catalog.tableExists(fq):
             self.spark.sql(f"CREATE TABLE IF NOT EXISTS {fq} ({cols}) USING parquet"
                            f"{part} LOCATION '{loc}'")
@@ -81,7 +83,13 @@ class Lake:
         return self.ensure_table(SILVER, spec.table, spec.stored_schema(), True, types)
 
     def ensure_landing_table(self, spec: IngestSpec) -> str:
-        return self.ensure_table(BRONZE, spec.landing_table, spec.landing_schema(), False)
+        """Append-only landing table, partitioned by the month of each row's
+        control date (load month when the source has none), so a window load
+        lists and reads only the months its window touches."""
+        schema = T.StructType(spec.landing_schema().fields
+                              + [T.StructField(SOURCE_FILE_COL, T.StringType())])
+        return self.ensure_table(BRONZE, spec.landing_table, schema, True,
+                                 partition_col=LANDING_PART_COL)
 
     def report_table(self, spec: ReportSpec) -> str:
         return self.fq(SILVER, spec.table)

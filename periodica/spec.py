@@ -17,6 +17,7 @@ ID_COL = "ID"
 LOAD_TS_COL = "FECHA_EXTRACCION"
 PERIOD_COL = "period_start"
 SOURCE_FILE_COL = "source_file"
+LANDING_PART_COL = "landing_month"   # landing partition: month of the control date
 
 
 @dataclass(frozen=True)

@@ -70,10 +70,7 @@ def land_stream(spark: SparkSession, lake: Lake, spec: IngestSpec, folder: str,
                 checkpoint: str | None = None, available_now: bool = True):
     """Start (and, with ``available_now``, run to completion) the landing
     stream of one source. Returns the finished or running query."""
-    landing = lake.ensure_table(BRONZE, spec.landing_table,
-                                T.StructType(spec.landing_schema().fields
-                                             + [T.StructField(SOURCE_FILE_COL, T.StringType())]),
-                                partitioned=False)
+    landing = lake.ensure_landing_table(spec)
     checkpoint = checkpoint or shared_path(spark, "periodica", "streams", spec.landing_table)
     w = (file_stream(spark, folder, spec).writeStream
          .foreachBatch(_batch_writer(spark, lake, spec, landing))
