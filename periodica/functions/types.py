@@ -117,16 +117,38 @@ def typed(c: Column | str, t: ColType) -> Column:
     return c.try_cast(t.spark)
 
 
-def misfit(c: Column | str, t: ColType) -> Column:
+def misfit(c: Column | str, t: ColType, source: T.DataType | None = None) -> Column:
     """TRUE when a non-NULL value would not store in the declared type (V2):
     text longer than the length (trailing blanks ignored, as the server trims
     them), a number that does not convert or overflows the precision, a date
-    that does not parse."""
+    that does not parse.
+
+    With the source column's type known, the check skips conversions that can
+    never fail (a date or timestamp into a date, an integer into a wide enough
+    integer) and tests floating-point values against the precision bound with a
+    plain comparison; only values within a rounding step of the bound (and
+    NaN / infinity) take the exact decimal conversion.
+    """
     c = F.col(c) if isinstance(c, str) else c
     if t.kind == "varchar":
         return c.isNotNull() & (F.length(F.rtrim(c.cast("string"))) > t.length)
     if t.kind == "text":
         return F.lit(False)
+    if source is not None:
+        if t.kind == "date" and isinstance(source, T.DateType | T.TimestampType | T.TimestampNTZType):
+            return F.lit(False)
+        if t.kind == "bigint" and isinstance(source, T.LongType | T.IntegerType | T.ShortType | T.ByteType):
+            return F.lit(False)
+        if t.kind == "int" and isinstance(source, T.IntegerType | T.ShortType | T.ByteType):
+            return F.lit(False)
+        if t.kind == "numeric" and isinstance(source, T.DoubleType | T.FloatType):
+            bound = 10.0 ** (t.precision - t.scale)
+            step = 10.0 ** (-t.scale)
+            a = F.abs(c)
+            exact = c.try_cast(t.spark).isNull()
+            return c.isNotNull() & (F.when(a < F.lit(bound - step), F.lit(False))
+                                    .when(a > F.lit(bound + step), F.lit(True))
+                                    .otherwise(exact))
     return c.isNotNull() & c.try_cast(t.spark).isNull()
 
 

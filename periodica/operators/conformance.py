@@ -16,25 +16,28 @@ from periodica.functions.types import ColType, misfit
 from periodica.spec import LayoutColumn
 
 
-def rule_checks(cols: Iterable[LayoutColumn], source_names: dict[str, str] | None = None
-                ) -> list[tuple[str, Column]]:
+def rule_checks(cols: Iterable[LayoutColumn], source_names: dict[str, str] | None = None,
+                source_types: dict | None = None) -> list[tuple[str, Column]]:
     """(rule label, TRUE-when-broken) for every column: NULL in a mandatory
     column (V1) and a value that does not fit the declared type (V2)."""
     source_names = source_names or {}
+    source_types = source_types or {}
     out = []
     for c in cols:
-        src = F.col(source_names.get(c.name, c.name))
+        name = source_names.get(c.name, c.name)
+        src = F.col(name)
         if not c.nullable:
             out.append((f"{c.name}:null", src.isNull()))
         if c.type.kind not in ("text",):
-            out.append((f"{c.name}:{c.type.sql_name}", misfit(src, c.type)))
+            out.append((f"{c.name}:{c.type.sql_name}", misfit(src, c.type, source_types.get(name))))
     return out
 
 
 def violation_reason(cols: Iterable[LayoutColumn],
-                     source_names: dict[str, str] | None = None) -> Column:
+                     source_names: dict[str, str] | None = None,
+                     source_types: dict | None = None) -> Column:
     """';'-joined labels of the broken rules; empty string when the row conforms."""
-    checks = rule_checks(cols, source_names)
+    checks = rule_checks(cols, source_names, source_types)
     if not checks:
         return F.lit("")
     return F.concat_ws(";", *[F.when(cond, F.lit(label)) for label, cond in checks])

@@ -32,12 +32,13 @@ def quality_scan(df: DataFrame, cols: Iterable[LayoutColumn]) -> DataFrame:
     computed in a single pass. Rows with a count of 0 are kept, so the output
     lists every check that ran."""
     aggs, labels = [], []
+    types = {f.name: f.dataType for f in df.schema.fields}
     for i, c in enumerate(cols):
         if not c.nullable:
             aggs.append(F.count_if(F.col(c.name).isNull()).alias(f"_q{len(labels)}"))
             labels.append((c.name, "null"))
         if c.type.kind != "text":
-            aggs.append(F.count_if(misfit(c.name, c.type)).alias(f"_q{len(labels)}"))
+            aggs.append(F.count_if(misfit(c.name, c.type, types.get(c.name))).alias(f"_q{len(labels)}"))
             labels.append((c.name, c.type.sql_name))
     one = df.agg(*aggs)
     pairs = [F.struct(F.lit(col).alias("field"), F.lit(rule).alias("rule"),

@@ -52,7 +52,11 @@ def load_rows(spec: ReportSpec, landing: DataFrame, window: Window, day: dt.date
         F.col(ID_COL).cast("string").alias(ID_COL),
         *conform(cols, renames),
         F.col(LOAD_TS_COL).cast("timestamp_ntz").alias(LOAD_TS_COL),
-        violation_reason(cols, renames).alias(REASON_COL))
+        violation_reason(cols, renames, _types(landing)).alias(REASON_COL))
+
+
+def _types(df: DataFrame) -> dict:
+    return {f.name: f.dataType for f in df.schema.fields}
 
 
 def load(spark: SparkSession, lake: Lake, spec: ReportSpec, system_date,
@@ -82,7 +86,7 @@ def self_refresh(spark: SparkSession, lake: Lake, spec: ReportSpec, system_date,
     lake.require(target)
     snap = scan_window(spark.table(target), spec.control, window, partitioned=True).drop(PERIOD_COL)
     snap = _inject(snap, spec, day, window)
-    rows = snap.withColumn(REASON_COL, violation_reason(spec.stored_columns))
+    rows = snap.withColumn(REASON_COL, violation_reason(spec.stored_columns, None, _types(snap)))
     return replace_window(spark, target, rows, window, _job(spec),
                           quarantine_table=lake.fq("silver", "quarantine"), scheduler=scheduler)
 
@@ -127,7 +131,7 @@ def backfill(spark: SparkSession, lake: Lake, spec: ReportSpec, landing: DataFra
         F.col(ID_COL).cast("string").alias(ID_COL),
         *conform(cols, renames),
         F.col(LOAD_TS_COL).cast("timestamp_ntz").alias(LOAD_TS_COL),
-        violation_reason(cols, renames).alias(REASON_COL))
+        violation_reason(cols, renames, _types(landing)).alias(REASON_COL))
     f = wf(first, spec.frequency).start if first is not None else None
     la = wf(last, spec.frequency).start if last is not None else None
     return replace_windows(spark, target, rows, spec.frequency, spec.control, _job(spec),

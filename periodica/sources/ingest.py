@@ -128,7 +128,10 @@ def ingest(spark: SparkSession, lake: Lake, spec: IngestSpec, paths: list[str],
     typed = convert(raw, spec, loaded_at, run_date)
     staging = unique_path(spark, "ingest")
     obs = Observation("ingest")
+    # rows clustered by landing month before staging: the landing append then
+    # writes a few right-sized files per month instead of one per task and month
     (typed.observe(obs, F.count_if(F.col(REASON_COL) != "").alias("bad"))
+     .hint("rebalance", LANDING_PART_COL)
      .write.mode("errorifexists").parquet(staging))
     try:
         staged = spark.read.parquet(staging)

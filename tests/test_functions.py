@@ -62,3 +62,15 @@ def test_types_and_misfits(spark):
     assert r[0]["v"] == decimal.Decimal("1.01") and not r[0]["m"]  # excess scale rounds half up
     assert r[1]["v"] is None and r[1]["m"]                           # excess precision
     assert not r[0]["ma"] and r[0]["mb"]                              # trailing blanks ignored
+
+
+def test_double_fast_path_matches_exact_cast(spark):
+    """The range shortcut for doubles gives the same answer as the decimal cast,
+    including values one rounding step around the bound, NaN and infinity."""
+    from pyspark.sql import types as T
+    vals = [99999.994, 99999.99499, 99999.995, 99999.9951, 99999.996, 100000.0, -99999.995,
+            0.0, 1e300, float("nan"), float("inf"), None, 12.345, 99999.98]
+    df = spark.createDataFrame([(v,) for v in vals], "x double")
+    t = parse_type("numeric(7,2)")
+    got = df.select(misfit("x", t, T.DoubleType()).alias("fast"), misfit("x", t).alias("exact")).collect()
+    assert [r["fast"] for r in got] == [r["exact"] for r in got]
