@@ -133,6 +133,13 @@ def main() -> None:
     res = timed("ingest_extract", lambda: ingest(spark, lake, ing, paths))
     assert res.accepted == n_rows, (res.accepted, n_rows)
 
+    # the bench's own scratch tables and extract (created above) are removed
+    from periodica.session import delete_path
+    for t in list(spark.catalog.listTables(lake.db("silver"))) + list(spark.catalog.listTables(lake.db("bronze"))):
+        spark.sql(f"DROP TABLE IF EXISTS {t.database}.{t.name}")
+    delete_path(spark, lake.root)
+    delete_path(spark, folder)
+
     total = round(sum(times.values()), 3)
     sf = os.path.basename(sf_dir).replace("sf", "")
     print(json.dumps({"metric": "total_sec", "value": total, "unit": "sec", "queries": times,

@@ -72,7 +72,11 @@ def schema_of_frame(spark: SparkSession, schema: T.StructType, skip: Iterable[st
         if f.name in skip:
             continue
         i += 1
-        rows.append((f.name, i, spark_type_to_coltype(f.dataType).sql_name, f.nullable))
+        # a table declared VARCHAR(n) reads back as string; the declaration is
+        # kept in the field metadata
+        declared = (f.metadata or {}).get("__CHAR_VARCHAR_TYPE_STRING")
+        t = declared.lower().replace(" ", "") if declared else spark_type_to_coltype(f.dataType).sql_name
+        rows.append((f.name, i, t, f.nullable))
     return spark.createDataFrame(rows, SCHEMA_FRAME)
 
 

@@ -110,3 +110,22 @@ def test_retire_report(spark, lake):
     out = reports.retire_report(spark, lake, spec, idx_t)
     assert out == {"index_rows_removed": 1, "table_dropped": True}
     assert [r[0] for r in spark.table(idx_t).collect()] == [213]
+
+
+def test_placeholder_date_and_post_migration_check(spark, lake):
+    """Existing rows get the 1900-01-01 placeholder; E20: the migrated table
+    conforms to the new layout (V3 returns no finding)."""
+    from periodica.operators.quality import table_vs_layout
+    from periodica.spec import ReportSpec
+    old = ReportSpec(numero=999, name="999_T", frequency="monthly", control="D",
+                     columns=parse_layout("A varchar(3) | D date ymd"))
+    new = old.with_version(columns=parse_layout("A varchar(3) | FE date ymd | D date ymd"))
+    from periodica.plans import reports
+    reports.seed(spark, lake, old, spark.createDataFrame([("abc", dt.date(2026, 6, 1))], "A string, D date"))
+    fq = lake.report_table(old)
+    out = mg.migrate_table(spark, fq, (mg.AddColumn("FE", "date", dt.date(1900, 1, 1)),), ["ID"])
+    assert out["status"] == "Exitoso"
+    df = spark.table(fq)
+    assert df.first()["FE"] == dt.date(1900, 1, 1)
+    moved = df.select("ID", "A", "FE", "D", "FECHA_EXTRACCION", "period_start")
+    assert table_vs_layout(spark, moved, new).where(F.col("finding") != "nullable").count() == 0

@@ -57,3 +57,21 @@ def test_violations_leave_window_untouched(spark, lake):
     assert len(alerts) == 1 and alerts[0]["subject"] == "ALERTA: Error en [902_LINEITEM]"
     assert "segundos" in alerts[0]["body"] and "Programado por: No especificado" in alerts[0]["body"]
     assert alert_rows(log, None, "perfil").count() == 0     # no recipients -> no alert
+
+
+def test_guards_and_regressions(spark, lake):
+    """a NULL control date never matches; F7: EXISTS guard; F10: the legacy
+    impossible range is always empty; X8: a delivery depends on its date."""
+    from periodica.functions.periods import Window, in_window
+    from periodica.sources.tables import window_has_rows
+    df = spark.createDataFrame([(dt.date(1995, 3, 1),), (None,)], "d date")
+    w = window_for(DAY, MONTHLY)
+    assert df.where(in_window("d", w)).count() == 1
+    assert window_has_rows(df.where(in_window("d", w)))
+    same = Window(MONTHLY, DAY, DAY)
+    assert not window_has_rows(df.where(in_window("d", same)))
+    spec = td.orders_spec(MONTHLY)
+    reports.backfill(spark, lake, spec, td.orders_landing(spark, SF))
+    a = {r[0] for r in reports.deliver(spark, lake, spec, DAY).select("o_orderkey").collect()}
+    b = {r[0] for r in reports.deliver(spark, lake, spec, dt.date(1995, 4, 15)).select("o_orderkey").collect()}
+    assert a and b and not a & b
