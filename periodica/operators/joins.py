@@ -66,16 +66,22 @@ def companion(left: DataFrame, right: DataFrame, keys: Iterable[str], how: str =
 
 
 def catalog_violations(df: DataFrame, column: str, catalog: DataFrame, report: str,
-                       key_col: str = "key") -> DataFrame:
+                       key_col: str = "key", pad_width: int | None = None) -> DataFrame:
     """Values of ``column`` not in the catalog, with their counts.
 
     Values are counted first (partial aggregation: one row per distinct value
     per task), then anti-joined with the catalog, broadcast when its size is
-    within the bound."""
+    within the bound. ``pad_width`` normalises mixed-format keys (``'000111'``
+    as text, ``780`` as a number) to zero-padded text on both sides (V9)."""
+    from periodica.functions.scalar import zero_pad
+
+    def norm(c):
+        c = F.col(c).cast("string")
+        return zero_pad(c, pad_width) if pad_width else c
     counts = (df.where(F.col(column).isNotNull())
-              .groupBy(F.col(column).cast("string").alias("value"))
+              .groupBy(norm(column).alias("value"))
               .agg(F.count(F.lit(1)).alias("n_rows")))
-    cat = broadcast_if_small(catalog.select(F.col(key_col).cast("string").alias("value")).distinct())
+    cat = broadcast_if_small(catalog.select(norm(key_col).alias("value")).distinct())
     return (counts.join(cat, "value", "left_anti")
             .select(F.lit(report).alias("report"), F.lit(column).alias("column"), "value", "n_rows"))
 
@@ -98,3 +104,22 @@ def one_line(df: DataFrame, group: list[str], text_col: str, out: str = "summary
     item per column). Items are sorted, so the line is deterministic."""
     return df.groupBy(*group).agg(
         F.array_join(F.array_sort(F.collect_list(text_col)), sep).alias(out))
+
+
+def catalog_columns(spark, tables: list[str]) -> DataFrame:
+    """``(table, column, type)`` of catalog tables, from the catalog's own
+    metadata (the counterpart of the server's objects / columns views)."""
+    rows = [(t, c.name, c.dataType) for t in tables if spark.catalog.tableExists(t)
+            for c in spark.catalog.listColumns(t)]
+    return spark.createDataFrame(rows, "table string, column string, type string")
+
+
+def required_columns(required: DataFrame, existing: DataFrame) -> DataFrame:
+    """J1 + J2: required ``(table, column)`` pairs LEFT JOIN the catalog's
+    columns -> ``OK`` / ``FALTA`` (names compared case-insensitively)."""
+    ex = existing.select(F.lower("table").alias("_t"), F.lower("column").alias("_c"),
+                         F.lit(True).alias("_hit")).distinct()
+    r = required.withColumn("_t", F.lower("table")).withColumn("_c", F.lower("column"))
+    return (r.join(broadcast_if_small(ex), ["_t", "_c"], "left")
+            .withColumn("status", F.when(F.col("_hit").isNull(), F.lit("FALTA")).otherwise(F.lit("OK")))
+            .drop("_t", "_c", "_hit"))

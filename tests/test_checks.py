@@ -129,3 +129,17 @@ def test_placeholder_date_and_post_migration_check(spark, lake):
     assert df.first()["FE"] == dt.date(1900, 1, 1)
     moved = df.select("ID", "A", "FE", "D", "FECHA_EXTRACCION", "period_start")
     assert table_vs_layout(spark, moved, new).where(F.col("finding") != "nullable").count() == 0
+
+
+def test_mixed_format_keys_and_required_columns(spark, lake):
+    """V9: '000780' and 780 are the same catalog key; J1/J2 on catalog metadata."""
+    from periodica.operators.joins import catalog_columns, required_columns
+    cat = spark.createDataFrame([("000780",), ("000111",)], "key string")
+    df = spark.createDataFrame([(780,), (111,), (5,)], "k int")
+    got = [tuple(r) for r in catalog_violations(df, "k", cat, "r", pad_width=6).collect()]
+    assert got == [("r", "k", "000005", 1)]
+    spec = SPECS[209]
+    t = lake.ensure_report_table(spec)
+    req = spark.createDataFrame([(t, "FECHA_LIQ"), (t, "fecha_info"), (t, "NO_EXISTE")], "table string, column string")
+    st = {r["column"]: r["status"] for r in required_columns(req, catalog_columns(spark, [t])).collect()}
+    assert st == {"FECHA_LIQ": "OK", "fecha_info": "OK", "NO_EXISTE": "FALTA"}
