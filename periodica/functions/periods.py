@@ -67,7 +67,7 @@ def window_for(day, frequency: str) -> Window:
     """Window of ``frequency`` that contains ``day`` (a date, datetime or text).
 
     A datetime with a time part is cast to its date first, which is the fix for
-    the reference defect where a DATETIME parameter matched no DATE row.
+    the legacy defect where a DATETIME parameter matched no DATE row.
     """
     d = _as_date(day)
     if frequency == DAILY:
@@ -133,7 +133,7 @@ def minute_rounded(c: Column | str) -> Column:
 
 
 def weekday_offset_start(c: Column | str) -> Column:
-    """The reference's own weekly formula written with Spark functions:
+    """The legacy procedures' own weekly formula written with Spark functions:
     ``day - ((weekday + 5) % 7)`` with Sunday = 1 (DATEFIRST 7). Same result as
     ``trunc(day, 'week')``; kept to prove the equivalence in tests."""
     c = F.to_date(F.col(c) if isinstance(c, str) else c)

@@ -1,4 +1,4 @@
-"""Scalar expressions that need care to give the reference's results (X-5 .. X-20).
+"""Scalar expressions that need care to give the legacy T-SQL results (X-5 .. X-20).
 
 Each helper returns a built-in Spark Column expression, so everything stays in
 whole-stage codegen; nothing here is a Python UDF.

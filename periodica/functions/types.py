@@ -1,8 +1,8 @@
 """Declared column types: parsing, Spark types and "does the value fit" checks (V2).
 
 Layout types are the T-SQL declarations (``varchar(n)``, ``numeric(p,s)``,
-``date``, ``int``, ``bit``) plus two kinds for reports that have no DDL in the
-reference: ``text`` (string, no length limit) and ``number``
+``date``, ``int``, ``bit``) plus two kinds for reports whose tables have no declared
+DDL: ``text`` (string, no length limit) and ``number``
 (``decimal(18,6)``, our choice).
 """
 
@@ -55,7 +55,7 @@ class ColType:
 
     @property
     def sql_name(self) -> str:
-        """The declaration in the reference's words, used in schema diffs (V3)."""
+        """The declaration in T-SQL words, used in schema diffs (V3)."""
         if self.kind == "varchar":
             return f"varchar({self.length})"
         if self.kind == "numeric":

@@ -97,16 +97,16 @@ INGEST_SOURCES = [
     (209, r"^LID_CORRESPONSALES.*\.xlsx?$", "excel", None),
     (210, r"^LID_LIQUIDACIONES.*\.xlsx?$", "excel", None),
 ]
-# Header -> landing column where they differ (mixed-case headers of 121).
+# --- Fixed values: file header -> landing column where they differ (mixed-case
+# --- headers of 121), control columns the file map does not carry (X3), and
+# --- the one source that rejects empty cells.
 HEADER_MAPS = {121: {"Custodio": "CUSTODIO", "FechaValor": "FECHAVALOR",
-                     "Cliente": "CLIENTE", "Restriccion": "RESTRICCION"},
-               50: {"CLAVE_BANXICO": "CLAVE_BANXICO"}}
-# Control column the file map does not carry (in the file but unmapped, or absent).
+                     "Cliente": "CLIENTE", "Restriccion": "RESTRICCION"}}
 UNMAPPED_CONTROL = {76: "FECHA_INFO", 93: "FECHA_INFO", 140: "FECHAINFO"}
-# Only one source rejects empty cells.
 NO_EMPTY = {50}
 
-# Earlier versions kept by the rollback scripts (control column / source / inject).
+# --- Fixed values: earlier versions kept by the rollback scripts (frequency,
+# --- control column, source, injected date).
 PREVIOUS = {
     21: dict(frequency=MONTHLY, control="FE_CON_OPE", source="self"),
     50: dict(frequency=MONTHLY, control="FECHA_REPORTE", source="self",

@@ -29,7 +29,7 @@ def index_frame(spark: SparkSession, rows: list[tuple]) -> DataFrame:
 
 def index_upsert(index: DataFrame, changes: DataFrame) -> DataFrame:
     """Insert new ``numero`` values, overwrite every field of existing ones
-    (the reference sets all fields, NULL included, on update)."""
+    (the legacy upsert sets all fields, NULL included, on update)."""
     i, c = index.alias("i"), changes.alias("c")
     j = i.join(c, F.col("i.numero") == F.col("c.numero"), "full_outer")
     hit = F.col("c.numero").isNotNull()

@@ -14,7 +14,6 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from periodica.functions.types import parse_type
 from periodica.session import delete_path, unique_path

@@ -6,7 +6,7 @@
    folder under the shared checkpoint folder, while an ``Observation`` counts
    rows and layout violations in the same pass;
 2. a window with violations is not touched: its bad rows go to quarantine and
-   the run ends with status ``Error`` (the reference's insert would have failed);
+   the run ends with status ``Error`` (the legacy insert would have failed);
 3. otherwise one static ``INSERT OVERWRITE ... PARTITION (period_start = d)``
    swaps exactly that partition; all other windows are untouched, and an empty
    source empties the window.
@@ -126,7 +126,7 @@ def replace_window(spark: SparkSession, table: str, rows: DataFrame, window: Win
             if res.deleted:
                 res.log(MSG_DELETED.format(n=res.deleted))
             res.log(MSG_DONE.format(n=n))
-    except Exception as e:  # the status is data in the log, as in the reference
+    except Exception as e:  # the status is data in the log, as in the legacy jobs
         res.status = STATUS_ERROR
         res.message = str(e).splitlines()[0][:2000]
         res.inserted = 0

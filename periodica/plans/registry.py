@@ -19,7 +19,6 @@ from periodica.functions.formats import DMY_SLASH, YMD_DASH, YMD_SLASH, render_d
 from periodica.functions.periods import (DAILY, MONTHLY, QUARTERLY, WEEKLY, period_end,
                                          period_start, weekday_offset_start, window_for)
 from periodica.functions.scalar import zero_pad
-from periodica.operators.deliver import deliver_rows
 from periodica.plans import reports
 from periodica.plans import testdata as td
 from periodica.session import unique_path
@@ -138,7 +137,7 @@ SELECT d AS day,
        CAST(d - CAST(((dayofweek(d) + 1 + 5) % 7) AS INTEGER) AS DATE) AS week_start_ref
 FROM (SELECT DISTINCT CAST(o_orderdate AS DATE) AS d FROM orders) t""")
 def window_bounds(spark, sf_dir):
-    """P1-P4 bounds for every distinct order date, plus the reference's own
+    """P1-P4 bounds for every distinct order date, plus the legacy procedures' own
     weekday formula, which must equal the Monday start."""
     d = td.table(spark, sf_dir, "orders").select(F.to_date("o_orderdate").alias("day")).distinct()
     return d.select(

@@ -168,7 +168,7 @@ class IngestSpec:
 
     @staticmethod
     def from_json(text: str, types: dict[str, str] | None = None) -> "IngestSpec":
-        """Read a processor config in the JSON shape the reference uses
+        """Read a processor config in the JSON shape of the existing processor configs
         (``processor_name``, ``file_pattern``, ``read_options``, ``data_mapping``,
         ``db_config``). Numeric targets come from ``types`` (landing DDL) and
         default to ``numeric(18,6)``."""

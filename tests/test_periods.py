@@ -49,7 +49,7 @@ def test_column_bounds_match_driver(spark):
         for f in (DAILY, WEEKLY, MONTHLY, QUARTERLY):
             w = window_for(r["d"], f)
             assert (r[f"s_{f}"], r[f"e_{f}"]) == (w.start, w.end)
-        assert r["ref"] == r[f"s_{WEEKLY}"]  # the reference's weekday formula
+        assert r["ref"] == r[f"s_{WEEKLY}"]  # the legacy weekday formula
 
 
 def test_half_open_and_null(spark):

@@ -126,7 +126,7 @@ def test_self_select_replay(spark, lake, numero):
 
 def test_self_select_literal_defect(spark, lake):
     """X1 (negative test): deleting the window before selecting from it, as the
-    reference does, leaves the window empty."""
+    legacy procedure does, leaves the window empty."""
     from periodica.operators.window_sink import overwrite_partition
     spec = SPECS[212]
     rows = [{c.name: value(c, i, RUN_DAY, iso=True) for c in spec.stored_columns} for i in range(4)]
