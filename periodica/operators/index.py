@@ -62,3 +62,8 @@ def rewrite_index(spark: SparkSession, table: str, new: DataFrame) -> None:
         spark.read.parquet(path).write.mode("overwrite").saveAsTable(table)
     finally:
         delete_path(spark, path)
+
+
+def index_listing(index: DataFrame) -> DataFrame:
+    """A5: the index as listed before and after a change, ordered by number."""
+    return index.orderBy(F.col("numero").asc())

@@ -84,3 +84,25 @@ def test_workbook_first_sheet(spark):
 def test_seed_and_count(spark, lake):
     rows = spark.createDataFrame([("000111", "1.5", dt.date(2026, 1, 1))] * 3, "CODE string, AMOUNT string, DAY date")
     assert seed_rows(spark, lake, SPEC, rows.withColumn("AMOUNT", F.col("AMOUNT").cast("decimal(5,2)"))) == 3
+
+
+def test_stream_restart_lands_each_file_once(spark, lake):
+    """The landing stream resumes from its checkpoint: a second run over the
+    same folder adds nothing; a new file adds only its rows."""
+    from periodica.streaming.landing_stream import land_stream
+    folder = _folder(spark, {"T_1.csv": "CODE|Amount|DAY\n000111|1.5|2026-04-17\n000112|2|17/04/2026\n"})
+    ckpt = unique_path(spark, "stream-ckpt")
+    land_stream(spark, lake, SPEC, folder, checkpoint=ckpt)
+    land_stream(spark, lake, SPEC, folder, checkpoint=ckpt)
+    t = lake.fq("bronze", SPEC.landing_table)
+    assert spark.table(t).count() == 2
+    with open(os.path.join(folder, "T_2.csv"), "w", encoding="utf-8") as fh:
+        fh.write("CODE|Amount|DAY\n000113|3|2026/04/18\n")
+    land_stream(spark, lake, SPEC, folder, checkpoint=ckpt)
+    assert sorted(r[0] for r in spark.table(t).select("CODE").collect()) == ["000111", "000112", "000113"]
+
+
+def test_index_listing_sorted(spark):
+    from periodica.operators.index import index_frame, index_listing
+    idx = index_frame(spark, [(213, "B", "Mensual", True, None), (21, "A", "Semanal", True, None)])
+    assert [r[0] for r in index_listing(idx).collect()] == [21, 213]
