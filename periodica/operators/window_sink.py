@@ -68,18 +68,57 @@ def partition_count(spark: SparkSession, table: str, start: dt.date) -> int:
     return spark.table(table).where(F.col(PERIOD_COL) == F.lit(start)).count()
 
 
-def _stage(spark: SparkSession, rows: DataFrame, job: str) -> tuple[str, int, int]:
+SWAP_COPY, SWAP_LOCATION = "copy", "location"
+
+
+def default_swap(spark: SparkSession) -> str:
+    """``location`` when the catalog persists partition locations (a Hive
+    metastore, as on a cluster); ``copy`` with the session-local catalog, whose
+    re-attached tables only recover partitions in the standard folders."""
+    impl = spark.conf.get("spark.sql.catalogImplementation", "in-memory")
+    return SWAP_LOCATION if impl == "hive" else SWAP_COPY
+
+
+def _stage(spark: SparkSession, rows: DataFrame, job: str, path: str | None = None
+           ) -> tuple[str, int, int]:
     if REASON_COL not in rows.columns:
         rows = rows.withColumn(REASON_COL, F.lit(""))
     obs = Observation(f"stage_{uuid.uuid4().hex[:8]}")
     observed = rows.observe(obs, F.count(F.lit(1)).alias("n"),
                             F.count_if(F.col(REASON_COL) != "").alias("bad"))
-    path = unique_path(spark, "staging")
+    path = path or unique_path(spark, "staging")
     observed.write.mode("errorifexists").parquet(path)
     m = obs.get
     return path, int(m["n"]), int(m["bad"])
 
 
+def table_location(spark: SparkSession, table: str) -> str:
+    row = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").where("col_name = 'Location'").first()
+    return row["data_type"].rstrip("/")
+
+
+def partition_location(spark: SparkSession, table: str, start: dt.date) -> str | None:
+    """Current folder of one window, or None when the partition does not exist."""
+    try:
+        row = (spark.sql(f"DESCRIBE FORMATTED {table} PARTITION ({PERIOD_COL} = DATE'{start.isoformat()}')")
+               .where("col_name = 'Location'").first())
+    except Exception:
+        return None
+    return row["data_type"].rstrip("/") if row else None
+
+
+def point_partition(spark: SparkSession, table: str, start: dt.date, path: str,
+                    exists: bool) -> None:
+    """Make ``path`` the window's folder with one catalog call (atomic for
+    readers: they see the old or the new folder, never a mix)."""
+    spec = f"{PERIOD_COL} = DATE'{start.isoformat()}'"
+    if exists:
+        spark.sql(f"ALTER TABLE {table} PARTITION ({spec}) SET LOCATION '{path}'")
+    else:
+        spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS PARTITION ({spec}) LOCATION '{path}'")
+    spark.sql(f"REFRESH TABLE {table}")
+
+
 def overwrite_partition(spark: SparkSession, table: str, start: dt.date, rows: DataFrame) -> None:
     """Static overwrite of exactly one ``period_start`` partition."""
     cols = [c for c in spark.table(table).columns if c != PERIOD_COL]
@@ -95,18 +134,30 @@ def overwrite_partition(spark: SparkSession, table: str, start: dt.date, rows: D
 
 def replace_window(spark: SparkSession, table: str, rows: DataFrame, window: Window,
                    job: str, quarantine_table: str | None = None,
-                   scheduler: str | None = None) -> RunResult:
+                   scheduler: str | None = None, swap: str | None = None) -> RunResult:
     """Replace the rows of ``window`` in ``table`` with ``rows``.
 
     ``rows`` must already hold only the window's rows with the table's columns
     (any order) and may carry a ``_reason`` column from
     ``periodica.operators.conformance.violation_reason``.
+
+    ``swap='location'`` writes the window once, into a new version folder inside
+    the table's folder, and repoints the partition to it (the previous folder
+    of the window is removed afterwards); ``swap='copy'`` stages in the shared
+    folder and copies with a static ``INSERT OVERWRITE``. Both leave every
+    other window untouched and never expose a half-written window.
     """
+    swap = swap or default_swap(spark)
     res = RunResult(job=job, window=window, scheduler=scheduler)
     staging = None
     try:
         res.deleted = partition_count(spark, table, window.start)
-        staging, n, bad = _stage(spark, rows, job)
+        if swap == SWAP_LOCATION:
+            root = table_location(spark, table)
+            target = f"{root}/_versions/{PERIOD_COL}={window.start.isoformat()}/{uuid.uuid4().hex}"
+            staging, n, bad = _stage(spark, rows, job, target)
+        else:
+            staging, n, bad = _stage(spark, rows, job)
         staged = spark.read.parquet(staging)
         if bad:
             res.rejected = bad
@@ -121,7 +172,14 @@ def replace_window(spark: SparkSession, table: str, rows: DataFrame, window: Win
                 res.quarantine = quarantine_table
             res.deleted = 0
         else:
-            overwrite_partition(spark, table, window.start, staged.drop(REASON_COL))
+            if swap == SWAP_LOCATION:
+                prev = partition_location(spark, table, window.start)
+                point_partition(spark, table, window.start, staging, exists=prev is not None)
+                live, staging = staging, None     # the staged folder is now the window
+                if prev and prev != live and prev.startswith(root):
+                    delete_path(spark, prev)      # previous version of this window only
+            else:
+                overwrite_partition(spark, table, window.start, staged.drop(REASON_COL))
             res.inserted = n
             if res.deleted:
                 res.log(MSG_DELETED.format(n=res.deleted))

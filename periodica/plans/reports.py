@@ -60,10 +60,11 @@ def _types(df: DataFrame) -> dict:
 
 
 def load(spark: SparkSession, lake: Lake, spec: ReportSpec, system_date,
-         landing: DataFrame | None = None, scheduler: str | None = None) -> RunResult:
+         landing: DataFrame | None = None, scheduler: str | None = None,
+         swap: str | None = None) -> RunResult:
     """``load(spec, system_date)`` for a landing-sourced report (L*)."""
     if spec.source == "self":
-        return self_refresh(spark, lake, spec, system_date, scheduler=scheduler)
+        return self_refresh(spark, lake, spec, system_date, scheduler=scheduler, swap=swap)
     day = window_for(system_date, "daily").start
     window = window_for(day, spec.frequency)
     target = lake.ensure_report_table(spec)
@@ -73,11 +74,12 @@ def load(spark: SparkSession, lake: Lake, spec: ReportSpec, system_date,
         landing = spark.table(lake.fq(BRONZE, ing.landing_table))
     rows = load_rows(spec, landing, window, day)
     return replace_window(spark, target, rows, window, _job(spec),
-                          quarantine_table=lake.fq("silver", "quarantine"), scheduler=scheduler)
+                          quarantine_table=lake.fq("silver", "quarantine"), scheduler=scheduler,
+                          swap=swap or lake.swap)
 
 
 def self_refresh(spark: SparkSession, lake: Lake, spec: ReportSpec, system_date,
-                 scheduler: str | None = None) -> RunResult:
+                 scheduler: str | None = None, swap: str | None = None) -> RunResult:
     """Self-select load: the window is re-computed from a snapshot of itself
     taken before the replace (fix of X1), with the injected date applied."""
     day = window_for(system_date, "daily").start
@@ -88,7 +90,8 @@ def self_refresh(spark: SparkSession, lake: Lake, spec: ReportSpec, system_date,
     snap = _inject(snap, spec, day, window)
     rows = snap.withColumn(REASON_COL, violation_reason(spec.stored_columns, None, _types(snap)))
     return replace_window(spark, target, rows, window, _job(spec),
-                          quarantine_table=lake.fq("silver", "quarantine"), scheduler=scheduler)
+                          quarantine_table=lake.fq("silver", "quarantine"), scheduler=scheduler,
+                          swap=swap or lake.swap)
 
 
 def deliver(spark: SparkSession, lake: Lake, spec: ReportSpec, date) -> DataFrame:

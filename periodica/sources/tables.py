@@ -39,10 +39,14 @@ class Lake:
     partitions, so a new session sees the data written by an earlier one.
     """
 
-    def __init__(self, spark: SparkSession, root: str | None = None, prefix: str = ""):
+    def __init__(self, spark: SparkSession, root: str | None = None, prefix: str = "",
+                 swap: str | None = None):
         self.spark = spark
         self.root = (root or shared_path(spark, "periodica", "lake")).rstrip("/")
         self.prefix = prefix
+        # how a window load swaps its partition (see operators.window_sink):
+        # None = by catalog (location swap with a persistent metastore)
+        self.swap = swap
         for layer in (BRONZE, SILVER):
             spark.sql(f"CREATE DATABASE IF NOT EXISTS {self.db(layer)} "
                       f"LOCATION '{self.root}/{self.db(layer)}'")

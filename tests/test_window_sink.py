@@ -18,7 +18,12 @@ def _snapshot(spark, lake, spec):
                   .drop("FECHA_EXTRACCION").collect())
 
 
-def test_load_properties(spark, lake):
+import pytest
+
+
+@pytest.mark.parametrize("swap", ["copy", "location"])
+def test_load_properties(spark, lake, swap):
+    lake.swap = swap
     spec = td.orders_spec(MONTHLY)
     landing = td.orders_landing(spark, SF)
     full = reports.backfill(spark, lake, spec, landing)
@@ -75,3 +80,28 @@ def test_guards_and_regressions(spark, lake):
     a = {r[0] for r in reports.deliver(spark, lake, spec, DAY).select("o_orderkey").collect()}
     b = {r[0] for r in reports.deliver(spark, lake, spec, dt.date(1995, 4, 15)).select("o_orderkey").collect()}
     assert a and b and not a & b
+
+
+def test_location_swap_versions_and_self_refresh(spark, lake):
+    """Location swap: one folder per window version, the previous version is
+    removed, and a self-select refresh reads the old folder while writing the
+    new one (no staging copy needed)."""
+    import os
+    from periodica.operators.window_sink import partition_location
+    lake.swap = "location"
+    spec = td.orders_spec(MONTHLY)
+    landing = td.orders_landing(spark, SF)
+    assert reports.load(spark, lake, spec, DAY, landing=landing).ok
+    t = lake.report_table(spec)
+    first = partition_location(spark, t, window_for(DAY, MONTHLY).start)
+    assert "/_versions/period_start=1995-03-01/" in first
+    n = spark.table(t).count()
+    again = reports.load(spark, lake, spec, DAY, landing=landing)
+    second = partition_location(spark, t, window_for(DAY, MONTHLY).start)
+    assert again.ok and second != first and not os.path.exists(first.replace("file:", ""))
+    assert spark.table(t).count() == n
+    selfspec = spec.with_version(source="self", inject="run_day", inject_col="o_orderdate")
+    res = reports.self_refresh(spark, lake, selfspec, DAY)
+    assert res.ok and res.inserted == n
+    got = {r[0] for r in spark.table(t).select("o_orderdate").collect()}
+    assert got == {DAY}
