@@ -316,24 +316,28 @@ def alert_rows_query(spark, sf_dir):
 
 
 # -- report index (S16-S18) --------------------------------------------------
-_INDEX_SQL = ("SELECT n_nationkey AS numero, n_name AS nombre, 'Mensual' AS frecuencia, TRUE AS activo, "
-              "CAST(NULL AS VARCHAR) AS nombre_archivo FROM nation")
-_CHANGES_SQL = ("SELECT r_regionkey * 10 AS numero, r_name AS nombre, 'Semanal' AS frecuencia, "
-                "FALSE AS activo, r_name || '.txt' AS nombre_archivo FROM region")
+# The index is derived from scaling tables: one entry per supplier, and a batch
+# of changes from the customers (their keys overlap the suppliers' keys, so the
+# upsert both updates and inserts).
+_INDEX_SQL = ("SELECT CAST(s_suppkey AS INTEGER) AS numero, s_name AS nombre, 'Mensual' AS frecuencia, "
+              "s_acctbal >= 0 AS activo, CAST(NULL AS VARCHAR) AS nombre_archivo FROM supplier")
+_CHANGES_SQL = ("SELECT CAST(c_custkey AS INTEGER) AS numero, c_name AS nombre, 'Semanal' AS frecuencia, "
+                "FALSE AS activo, c_mktsegment || '.txt' AS nombre_archivo FROM customer")
+_UPDATE_KEY = 7
 
 
 def _index(spark, sf_dir):
-    n = td.table(spark, sf_dir, "nation")
-    return n.select(F.col("n_nationkey").cast("int").alias("numero"), F.col("n_name").alias("nombre"),
-                    F.lit("Mensual").alias("frecuencia"), F.lit(True).alias("activo"),
+    s = td.table(spark, sf_dir, "supplier")
+    return s.select(F.col("s_suppkey").cast("int").alias("numero"), F.col("s_name").alias("nombre"),
+                    F.lit("Mensual").alias("frecuencia"), (F.col("s_acctbal") >= 0).alias("activo"),
                     F.lit(None).cast("string").alias("nombre_archivo"))
 
 
 def _changes(spark, sf_dir):
-    r = td.table(spark, sf_dir, "region")
-    return r.select((F.col("r_regionkey") * 10).cast("int").alias("numero"), F.col("r_name").alias("nombre"),
+    c = td.table(spark, sf_dir, "customer")
+    return c.select(F.col("c_custkey").cast("int").alias("numero"), F.col("c_name").alias("nombre"),
                     F.lit("Semanal").alias("frecuencia"), F.lit(False).alias("activo"),
-                    F.concat(F.col("r_name"), F.lit(".txt")).alias("nombre_archivo"))
+                    F.concat(F.col("c_mktsegment"), F.lit(".txt")).alias("nombre_archivo"))
 
 
 @register("index_upsert", f"""
@@ -345,6 +349,7 @@ SELECT CASE WHEN c.numero IS NOT NULL THEN c.numero ELSE i.numero END AS numero,
        CASE WHEN c.numero IS NOT NULL THEN c.nombre_archivo ELSE i.nombre_archivo END AS nombre_archivo
 FROM i FULL JOIN c ON i.numero = c.numero""")
 def index_upsert_query(spark, sf_dir):
+    """Full outer join on ``numero``; changed entries take every new field."""
     from periodica.operators.index import index_upsert
     return index_upsert(_index(spark, sf_dir), _changes(spark, sf_dir))
 
@@ -352,21 +357,22 @@ def index_upsert_query(spark, sf_dir):
 @register("index_update", f"""
 WITH i AS ({_INDEX_SQL})
 SELECT numero, nombre,
-       CASE WHEN numero = 7 AND frecuencia IS DISTINCT FROM 'Trimestral' THEN 'Trimestral' ELSE frecuencia END AS frecuencia,
+       CASE WHEN numero = {_UPDATE_KEY} AND frecuencia IS DISTINCT FROM 'Trimestral' THEN 'Trimestral' ELSE frecuencia END AS frecuencia,
        activo, nombre_archivo,
-       (numero = 7 AND frecuencia IS DISTINCT FROM 'Trimestral') AS changed
+       (numero = {_UPDATE_KEY} AND frecuencia IS DISTINCT FROM 'Trimestral') AS changed
 FROM i""")
 def index_update_query(spark, sf_dir):
     """Update only where different; ``changed`` counts the affected rows."""
     from periodica.operators.index import index_update
-    new, _ = index_update(_index(spark, sf_dir), 7, "frecuencia", "Trimestral")
+    new, _ = index_update(_index(spark, sf_dir), _UPDATE_KEY, "frecuencia", "Trimestral")
     return new.withColumnRenamed("_changed", "changed")
 
 
-@register("index_delete", f"WITH i AS ({_INDEX_SQL}) SELECT * FROM i WHERE numero <> 7")
+@register("index_delete", f"WITH i AS ({_INDEX_SQL}) SELECT * FROM i WHERE numero <> {_UPDATE_KEY}")
 def index_delete_query(spark, sf_dir):
+    """Delete one entry by number."""
     from periodica.operators.index import index_delete
-    return index_delete(_index(spark, sf_dir), 7)
+    return index_delete(_index(spark, sf_dir), _UPDATE_KEY)
 
 
 # -- joins and catalogs (J1, J3, J4, J5, V7, V8) ----------------------------

@@ -210,8 +210,9 @@ def scan_workbook(spark: SparkSession, paths: list[str], spec: IngestSpec | None
     paths = [p for p in paths if p.lower().endswith(".xlsx")]
     if not paths:
         return None, rejected
+    # no repartition here: that would shuffle whole file bodies; the binaryFile
+    # scan already packs workbooks into tasks by size (maxPartitionBytes)
     raw = (spark.read.format("binaryFile").load(paths)
-           .repartition(max(1, min(len(paths), spark.sparkContext.defaultParallelism)))
            .mapInPandas(_explode_workbooks, WORKBOOK_SCHEMA))
     # parsed once: a reliable checkpoint in the shared folder cuts the lineage
     # so the header pass and the body pass do not both re-parse every workbook
