@@ -74,3 +74,8 @@ def test_double_fast_path_matches_exact_cast(spark):
     t = parse_type("numeric(7,2)")
     got = df.select(misfit("x", t, T.DoubleType()).alias("fast"), misfit("x", t).alias("exact")).collect()
     assert [r["fast"] for r in got] == [r["exact"] for r in got]
+
+
+def test_compact_date_literal():
+    from periodica.functions.formats import compact_date
+    assert compact_date("19000101") == "1900-01-01"

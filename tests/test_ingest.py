@@ -106,3 +106,21 @@ def test_index_listing_sorted(spark):
     from periodica.operators.index import index_frame, index_listing
     idx = index_frame(spark, [(213, "B", "Mensual", True, None), (21, "A", "Semanal", True, None)])
     assert [r[0] for r in index_listing(idx).collect()] == [21, 213]
+
+
+def test_ingest_spec_from_processor_json():
+    """A processor config in the existing JSON shape becomes an IngestSpec."""
+    text = """{
+      "processor_name": "DEMO", "enabled": true, "file_pattern": "^DEMO.*\\\\.csv$",
+      "read_options": {"delimiter": "|", "encoding": "utf-8"},
+      "data_mapping": {"generate_uuid_if_id_missing": true,
+        "column_map": {"Codigo": "CODIGO", "Fecha": "FECHA", "Monto": "MONTO"},
+        "type_conversions": {"date_fields": ["FECHA"], "numeric_fields": ["MONTO"], "allow_empty": false},
+        "final_db_columns": ["ID", "CODIGO", "FECHA", "MONTO", "FECHA_EXTRACCION"]},
+      "db_config": {"schema": "LMDA", "table_name": "DEMO", "load_strategy": "append"}}"""
+    spec = IngestSpec.from_json(text, types={"MONTO": "numeric(12,2)"})
+    assert spec.file_type == "csv" and spec.delimiter == "|" and not spec.allow_empty
+    assert dict(spec.column_map) == {"Codigo": "CODIGO", "Fecha": "FECHA", "Monto": "MONTO"}
+    assert spec.landing == "LMDA.DEMO" and spec.landing_table == "l_lmda_demo"
+    assert [f.name for f in spec.landing_schema().fields] == list(spec.final_columns)
+    assert str(spec.landing_schema()["MONTO"].dataType) == "DecimalType(12,2)"

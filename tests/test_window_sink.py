@@ -105,3 +105,21 @@ def test_location_swap_versions_and_self_refresh(spark, lake):
     assert res.ok and res.inserted == n
     got = {r[0] for r in spark.table(t).select("o_orderdate").collect()}
     assert got == {DAY}
+
+
+def test_written_delivery_file(spark, lake):
+    """Pipe-delimited text with the layout header; NULL as an empty cell."""
+    import glob
+    from periodica.operators.deliver import write_delivery
+    from periodica.session import unique_path
+    spec = td.orders_spec(MONTHLY)
+    reports.load(spark, lake, spec, DAY, landing=td.orders_landing(spark, SF))
+    out = reports.deliver(spark, lake, spec, DAY)
+    path = unique_path(spark, "delivery")
+    write_delivery(out, path)
+    files = sorted(glob.glob(path.replace("file:", "") + "/part-*.csv"))
+    lines = [ln.rstrip("\n") for f in files for ln in open(f, encoding="utf-8")]
+    assert lines[0] == "|".join(c.header for c in spec.columns)
+    body = [ln for ln in lines if ln != lines[0]]
+    assert len(body) == out.count() and all(ln.count("|") == 5 for ln in body)
+    assert all(ln.split("|")[4][4] == "/" for ln in body)  # yyyy/MM/dd
