@@ -1,10 +1,8 @@
 """File -> landing ingestion driven by an ``IngestSpec`` (S4 .. S11).
 
-One pass over the files computes the typed landing row *and* a rejection reason
-per row; the result is staged once in the shared folder, then split into the
-landing append and the rejects append, so generated IDs and the load timestamp
-are identical in both (no recomputation after an executor loss either: the
-split reads the staged copy).
+One pass over the files computes the typed landing row and a rejection reason
+per row and appends the accepted rows to the landing table; the load timestamp
+is a literal fixed on the driver, so a retried task writes the same value.
 """
 
 from __future__ import annotations
@@ -18,7 +16,7 @@ from pyspark.sql import types as T
 
 from periodica.functions.formats import parse_date_any
 from periodica.functions.types import parse_type
-from periodica.session import delete_path, unique_path
+
 from periodica.sources.files import CORRUPT_COL, scan_delimited, scan_workbook
 from periodica.sources.tables import BRONZE, Lake
 from periodica.spec import ID_COL, LANDING_PART_COL, LOAD_TS_COL, SOURCE_FILE_COL, IngestSpec
@@ -27,9 +25,11 @@ REASON_COL = "_reason"
 MANIFEST = "landed_files"
 REJECTS = "rejects"
 
+# one row per landed file; counts are those of the file's batch (per-file
+# counts are a grouped query on the landing's source_file column)
 MANIFEST_SCHEMA = T.StructType([
     T.StructField("path", T.StringType()), T.StructField("spec", T.StringType()),
-    T.StructField("rows", T.LongType()), T.StructField("rejected", T.LongType()),
+    T.StructField("batch_rows", T.LongType()), T.StructField("batch_rejected", T.LongType()),
     T.StructField("landed_at", T.TimestampNTZType()),
 ])
 
@@ -97,16 +97,48 @@ def convert(df: DataFrame, spec: IngestSpec, loaded_at: dt.datetime,
 
 
 def landed_files(spark: SparkSession, lake: Lake) -> DataFrame:
-    fq = lake.fq(BRONZE, MANIFEST)
-    if not lake.exists(fq):
-        spark.createDataFrame([], MANIFEST_SCHEMA).write.saveAsTable(fq)
+    """Manifest of landed files (one row per file), created on first use."""
+    fq = lake.ensure_table(BRONZE, MANIFEST, MANIFEST_SCHEMA, partitioned=False)
     return spark.table(fq)
 
 
+def append_landing(spark: SparkSession, lake: Lake, spec: IngestSpec, typed: DataFrame,
+                   landing: str) -> tuple[int, int]:
+    """Append the accepted rows of a converted frame to landing (S10) and, only
+    when there are rejects, write those to the rejects table. Returns
+    ``(accepted, rejected)``."""
+    cols = spark.table(landing).columns
+    obs = Observation("ingest")
+    # rows clustered by landing month: the append writes a few right-sized
+    # files per month instead of one per input task and month; the counters
+    # sit after the exchange so a re-run map stage cannot count rows twice
+    (typed.hint("rebalance", LANDING_PART_COL)
+     .observe(obs, F.count(F.lit(1)).alias("n"), F.count_if(F.col(REASON_COL) != "").alias("bad"))
+     .where(F.col(REASON_COL) == "").select(*cols)
+     .write.insertInto(landing, overwrite=False))
+    m = obs.get
+    spark.catalog.refreshTable(landing)
+    rejected = int(m["bad"])
+    if rejected:
+        (typed.where(F.col(REASON_COL) != "")
+         .select(F.lit(spec.name).alias("spec"), SOURCE_FILE_COL, REASON_COL,
+                 F.to_json(F.struct(*[c for c in typed.columns
+                                      if c not in (REASON_COL, SOURCE_FILE_COL)])).alias("row"))
+         .write.mode("append").saveAsTable(lake.fq(BRONZE, REJECTS)))
+    return int(m["n"]) - rejected, rejected
+
+
 def ingest(spark: SparkSession, lake: Lake, spec: IngestSpec, paths: list[str],
            run_date: dt.date | None = None, now: dt.datetime | None = None) -> IngestResult:
     """Land new files of one source; a file already in the manifest is skipped,
-    so feeding the same file twice appends its rows once (S10)."""
+    so feeding the same file twice appends its rows once (S10).
+
+    One pass: files are read, converted and the accepted rows appended to the
+    landing table in a single job (atomic at job commit), while an
+    ``Observation`` counts rows and rejects. Only when rejects exist does a
+    second pass write them, with their reasons, to the rejects table; they
+    never reach landing, so their generated IDs need not match anything.
+    """
     res = IngestResult(spec.name)
     landing = lake.ensure_landing_table(spec)
     done = landed_files(spark, lake).where(F.col("spec") == spec.name).select("path")
@@ -126,40 +158,11 @@ def ingest(spark: SparkSession, lake: Lake, spec: IngestSpec, paths: list[str],
         return res
     loaded_at = load_timestamp(now)
     typed = convert(raw, spec, loaded_at, run_date)
-    staging = unique_path(spark, "ingest")
-    obs = Observation("ingest")
-    # rows clustered by landing month before staging: the landing append then
-    # writes a few right-sized files per month instead of one per task and month
-    (typed.observe(obs, F.count_if(F.col(REASON_COL) != "").alias("bad"))
-     .hint("rebalance", LANDING_PART_COL)
-     .write.mode("errorifexists").parquet(staging))
-    try:
-        staged = spark.read.parquet(staging)
-        cols = spark.table(landing).columns
-        good = staged.where(F.col(REASON_COL) == "") if obs.get["bad"] else staged
-        good.select(*cols).write.insertInto(landing, overwrite=False)
-        if obs.get["bad"]:
-            rej = staged.where(F.col(REASON_COL) != "").withColumn("spec", F.lit(spec.name))
-            rej.select("spec", SOURCE_FILE_COL, REASON_COL,
-                       F.to_json(F.struct(*[c for c in staged.columns
-                                            if c not in (REASON_COL, SOURCE_FILE_COL)])).alias("row")
-                       ).write.mode("append").saveAsTable(lake.fq(BRONZE, REJECTS))
-        per_file = (staged.groupBy(SOURCE_FILE_COL)
-                    .agg(F.count_if(F.col(REASON_COL) == "").alias("rows"),
-                         F.count_if(F.col(REASON_COL) != "").alias("rejected")))
-        counts = per_file.collect()  # one row per file
-        res.accepted = sum(int(r["rows"]) for r in counts)
-        res.rejected = sum(int(r["rejected"]) for r in counts)
-        res.files = [r[SOURCE_FILE_COL] for r in counts]
-        def _count(p: str, key: str) -> int:
-            tail = p.split(":", 1)[-1].lstrip("/")
-            return next((int(r[key]) for r in counts if r[SOURCE_FILE_COL].endswith(tail)), 0)
-        manifest = spark.createDataFrame(
-            [(p, spec.name, _count(p, "rows"), _count(p, "rejected"), loaded_at)
-             for p in new if p not in bad], MANIFEST_SCHEMA)
-        manifest.write.insertInto(lake.fq(BRONZE, MANIFEST), overwrite=False)
-    finally:
-        delete_path(spark, staging)
+    res.accepted, res.rejected = append_landing(spark, lake, spec, typed, landing)
+    res.files = [p for p in new if p not in bad]
+    manifest = spark.createDataFrame(
+        [(p, spec.name, res.accepted, res.rejected, loaded_at) for p in res.files], MANIFEST_SCHEMA)
+    manifest.write.insertInto(lake.fq(BRONZE, MANIFEST), overwrite=False)
     return res
 
 

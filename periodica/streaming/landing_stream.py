@@ -4,7 +4,7 @@ The batch ingestion (``periodica.sources.ingest``) keeps a manifest of landed
 files; here the stream's checkpoint plays that role: every file is offered to
 exactly one micro-batch, and a restarted query resumes after the last
 committed batch. Each micro-batch goes through the same typed conversion and
-the same staged split into landing rows and rejects.
+the same append of accepted rows (and rejects) as a batch ingestion.
 
 ``Trigger.AvailableNow`` processes everything present and stops, which is how a
 scheduled job drains the drop folder; a long-running query can use a
@@ -19,10 +19,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from periodica.session import delete_path, shared_path, unique_path
+from periodica.session import shared_path
 from periodica.sources.files import CORRUPT_COL
-from periodica.sources.ingest import REASON_COL, REJECTS, convert, load_timestamp
-from periodica.sources.tables import BRONZE, Lake
+from periodica.sources.ingest import append_landing, convert, load_timestamp
+from periodica.sources.tables import Lake
 from periodica.spec import SOURCE_FILE_COL, IngestSpec
 
 
@@ -48,21 +48,10 @@ def file_stream(spark: SparkSession, folder: str, spec: IngestSpec,
 
 def _batch_writer(spark: SparkSession, lake: Lake, spec: IngestSpec, landing: str):
     def write(batch: DataFrame, epoch_id: int) -> None:
-        loaded_at = load_timestamp(dt.datetime.now())
-        typed = convert(batch, spec, loaded_at)
-        staging = unique_path(spark, f"stream-{epoch_id}")
-        typed.write.mode("errorifexists").parquet(staging)
-        try:
-            staged = spark.read.parquet(staging)
-            cols = spark.table(landing).columns
-            staged.where(F.col(REASON_COL) == "").select(*cols).write.insertInto(landing)
-            (staged.where(F.col(REASON_COL) != "")
-             .select(F.lit(spec.name).alias("spec"), SOURCE_FILE_COL, REASON_COL,
-                     F.to_json(F.struct(*[c for c in staged.columns
-                                          if c not in (REASON_COL, SOURCE_FILE_COL)])).alias("row"))
-             .write.mode("append").saveAsTable(lake.fq(BRONZE, REJECTS)))
-        finally:
-            delete_path(spark, staging)
+        # the same conversion and append as a batch ingestion; a replayed
+        # micro-batch re-reads exactly the same files (offsets in the checkpoint)
+        typed = convert(batch, spec, load_timestamp(dt.datetime.now()))
+        append_landing(spark, lake, spec, typed, landing)
     return write
 
 
@@ -79,4 +68,7 @@ def land_stream(spark: SparkSession, lake: Lake, spec: IngestSpec, folder: str,
     q = w.start()
     if available_now:
         q.awaitTermination()
+        # micro-batches run in the query's own session; drop this session's
+        # cached file listing of the landing so readers see the new files
+        spark.catalog.refreshTable(landing)
     return q
