@@ -41,9 +41,10 @@ def _as_date(d) -> dt.date:
     raise TypeError(f"not a date: {d!r}")
 
 
-def _add_months(d: dt.date, n: int) -> dt.date:
+def _first_of_month_after(d: dt.date, n: int) -> dt.date:
+    """First day of the month ``n`` months after the month of ``d``."""
     y, m = divmod(d.month - 1 + n, 12)
-    return dt.date(d.year + y, m + 1, 1) if d.day == 1 else dt.date(d.year + y, m + 1, min(d.day, 28))
+    return dt.date(d.year + y, m + 1, 1)
 
 
 @dataclass(frozen=True)
@@ -77,10 +78,10 @@ def window_for(day, frequency: str) -> Window:
         return Window(frequency, start, start + dt.timedelta(days=7))
     if frequency == MONTHLY:
         start = d.replace(day=1)
-        return Window(frequency, start, _add_months(start, 1))
+        return Window(frequency, start, _first_of_month_after(start, 1))
     if frequency == QUARTERLY:
         start = dt.date(d.year, 3 * ((d.month - 1) // 3) + 1, 1)
-        return Window(frequency, start, _add_months(start, 3))
+        return Window(frequency, start, _first_of_month_after(start, 3))
     raise ValueError(f"unknown frequency {frequency!r}")
 
 
