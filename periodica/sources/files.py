@@ -237,9 +237,9 @@ def scan_workbook(spark: SparkSession, paths: list[str], spec: IngestSpec | None
     return _union(frames), rejected
 
 
-def write_xlsx(rows: list[list[str]]) -> bytes:
-    """Minimal single-sheet workbook with inline strings (used to make test
-    inputs; the engine itself only reads workbooks)."""
+def write_xlsx(rows: list[list]) -> bytes:
+    """Minimal single-sheet workbook: text as inline strings, numbers as number
+    cells (used to make test inputs; the engine itself only reads workbooks)."""
     def ref(ci: int, ri: int) -> str:
         s, n = "", ci + 1
         while n:
@@ -250,11 +250,14 @@ def write_xlsx(rows: list[list[str]]) -> bytes:
     def esc(v: str) -> str:
         return v.replace("&", "&amp;").replace("<", "&lt;").replace(">", "&gt;")
 
+    def cell(ci: int, ri: int, v) -> str:
+        if isinstance(v, int | float) and not isinstance(v, bool):
+            return f'<c r="{ref(ci, ri)}"><v>{v}</v></c>'
+        return f'<c r="{ref(ci, ri)}" t="inlineStr"><is><t>{esc(str(v))}</t></is></c>'
+
     sheet_rows = []
     for ri, row in enumerate(rows):
-        cells = "".join(
-            f'<c r="{ref(ci, ri)}" t="inlineStr"><is><t>{esc(v)}</t></is></c>'
-            for ci, v in enumerate(row) if v is not None)
+        cells = "".join(cell(ci, ri, v) for ci, v in enumerate(row) if v is not None)
         sheet_rows.append(f'<row r="{ri + 1}">{cells}</row>')
     sheet = ('<?xml version="1.0" encoding="UTF-8"?><worksheet xmlns="%s"><sheetData>%s'
              '</sheetData></worksheet>' % (_NS["m"], "".join(sheet_rows)))

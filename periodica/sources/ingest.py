@@ -22,6 +22,7 @@ from periodica.sources.tables import BRONZE, Lake
 from periodica.spec import ID_COL, LANDING_PART_COL, LOAD_TS_COL, SOURCE_FILE_COL, IngestSpec
 
 REASON_COL = "_reason"
+EXCEL_EPOCH = dt.date(1899, 12, 30)   # day 0 of workbook date serials
 MANIFEST = "landed_files"
 REJECTS = "rejects"
 
@@ -68,6 +69,11 @@ def convert(df: DataFrame, spec: IngestSpec, loaded_at: dt.datetime,
         raw = _clean(src) if src in df.columns else F.lit(None).cast("string")
         if dst in spec.date_fields:
             val = parse_date_any(raw)
+            if spec.file_type == "excel":
+                # workbook date cells arrive as day serials (days since 1899-12-30)
+                serial = F.when(raw.rlike(r"^\d{1,6}(\.0+)?$"),
+                                F.date_add(F.lit(EXCEL_EPOCH), raw.try_cast("double").cast("int")))
+                val = F.coalesce(val, serial)
             checks.append((raw.isNotNull() & val.isNull(), f"{dst}:date"))
         elif dst in nums:
             t = parse_type(nums[dst])

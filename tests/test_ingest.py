@@ -124,3 +124,19 @@ def test_ingest_spec_from_processor_json():
     assert spec.landing == "LMDA.DEMO" and spec.landing_table == "l_lmda_demo"
     assert [f.name for f in spec.landing_schema().fields] == list(spec.final_columns)
     assert str(spec.landing_schema()["MONTO"].dataType) == "DecimalType(12,2)"
+
+
+def test_workbook_date_serials(spark, lake):
+    """Date cells stored as day serials in a workbook land as dates."""
+    import dataclasses
+    spec = dataclasses.replace(SPEC, name="TX", file_pattern=r"^T_.*\.xlsx$", file_type="excel",
+                               landing="LMDA.TX")
+    folder = unique_path(spark, "drop")
+    os.makedirs(folder, exist_ok=True)
+    p = os.path.join(folder, "T_1.xlsx")
+    with open(p, "wb") as fh:
+        fh.write(write_xlsx([["CODE", "Amount", "DAY"], ["000111", 1.5, 46129], ["000112", 2, "2026-04-18"]]))
+    res = ingest(spark, lake, spec, [p])
+    assert (res.accepted, res.rejected) == (2, 0)
+    got = {r["CODE"]: r["DAY"] for r in spark.table(lake.fq("bronze", spec.landing_table)).collect()}
+    assert got == {"000111": dt.date(2026, 4, 17), "000112": dt.date(2026, 4, 18)}
