@@ -163,3 +163,16 @@ def spec_findings(spec: ReportSpec, ingest: IngestSpec | None = None) -> list[tu
         if ctrl not in ingest.final_columns and ingest.control_from != "run_date":
             out.append(("V10", f"control column {ctrl} is not in the landing columns"))
     return out
+
+
+def landing_coverage(landing: DataFrame, spec: ReportSpec) -> DataFrame:
+    """landing rows per window of the report, with the rows whose control
+    date is NULL in their own bucket (``window_start`` NULL, ``null_control``
+    true); those rows never enter any window, so the loss stays visible."""
+    from periodica.functions.periods import period_start
+    renames = {stored: land for land, stored in spec.load_renames}
+    control = renames.get(spec.control, spec.control)
+    ps = period_start(control, spec.frequency)
+    return (landing.groupBy(ps.alias("window_start"))
+            .agg(F.count(F.lit(1)).alias("n_rows"))
+            .withColumn("null_control", F.col("window_start").isNull()))

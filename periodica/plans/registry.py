@@ -807,3 +807,13 @@ def seconds_to_load(spark, sf_dir):
     from periodica.functions.scalar import seconds_between
     e = td.events_landing(spark, sf_dir)
     return e.select("event_id", seconds_between("ts", "FECHA_EXTRACCION").alias("seconds"))
+
+
+@register("landing_coverage", """
+SELECT CAST(date_trunc('month', l_shipdate) AS DATE) AS window_start, count(*) AS n_rows,
+       CAST(date_trunc('month', l_shipdate) AS DATE) IS NULL AS null_control
+FROM lineitem GROUP BY 1""")
+def landing_coverage_query(spark, sf_dir):
+    """landing rows per monthly window, NULL control dates in their own bucket."""
+    from periodica.operators.quality import landing_coverage
+    return landing_coverage(td.lineitem_landing(spark, sf_dir), td.lineitem_spec(MONTHLY))

@@ -143,3 +143,11 @@ def test_mixed_format_keys_and_required_columns(spark, lake):
     req = spark.createDataFrame([(t, "FECHA_LIQ"), (t, "fecha_info"), (t, "NO_EXISTE")], "table string, column string")
     st = {r["column"]: r["status"] for r in required_columns(req, catalog_columns(spark, [t])).collect()}
     assert st == {"FECHA_LIQ": "OK", "fecha_info": "OK", "NO_EXISTE": "FALTA"}
+
+
+def test_landing_coverage_null_bucket(spark):
+    from periodica.operators.quality import landing_coverage
+    from periodica.plans import testdata as td
+    df = spark.createDataFrame([(dt.date(1995, 3, 1),), (dt.date(1995, 3, 9),), (None,)], "l_shipdate date")
+    got = {(r["window_start"], r["n_rows"], r["null_control"]) for r in landing_coverage(df, td.lineitem_spec()).collect()}
+    assert got == {(dt.date(1995, 3, 1), 2, False), (None, 1, True)}
