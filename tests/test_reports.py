@@ -61,8 +61,10 @@ def _rows(numero, n=12):
     return rows
 
 
-@pytest.mark.parametrize("numero", LANDING)
-def test_landing_report_replay(spark, lake, numero):
+@pytest.mark.parametrize("numero,swap", [(n, "copy") for n in LANDING]
+                         + [(154, "location"), (142, "location"), (75, "location")])
+def test_landing_report_replay(spark, lake, numero, swap):
+    lake.swap = swap
     spec, ing = SPECS[numero], INGEST[numero]
     if ing.unmapped:  # X3: the map never carries the control date; take it from the run date
         ing = dataclasses.replace(ing, control_from="run_date")
