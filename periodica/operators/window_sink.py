@@ -108,7 +108,7 @@ def partition_location(spark: SparkSession, table: str, start: dt.date) -> str |
 
 
 def point_partition(spark: SparkSession, table: str, start: dt.date, path: str,
-                    exists: bool) -> None:
+                    exists: bool, refresh: bool = True) -> None:
     """Make ``path`` the window's folder with one catalog call (atomic for
     readers: they see the old or the new folder, never a mix)."""
     spec = f"{PERIOD_COL} = DATE'{start.isoformat()}'"
@@ -116,7 +116,8 @@ def point_partition(spark: SparkSession, table: str, start: dt.date, path: str,
         spark.sql(f"ALTER TABLE {table} PARTITION ({spec}) SET LOCATION '{path}'")
     else:
         spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS PARTITION ({spec}) LOCATION '{path}'")
-    spark.sql(f"REFRESH TABLE {table}")
+    if refresh:
+        spark.sql(f"REFRESH TABLE {table}")
 
 
 def overwrite_partition(spark: SparkSession, table: str, start: dt.date, rows: DataFrame) -> None:
@@ -132,6 +133,26 @@ def overwrite_partition(spark: SparkSession, table: str, start: dt.date, rows: D
         spark.catalog.dropTempView(view)
 
 
+def overwrite_partitions(spark: SparkSession, table: str, rows: DataFrame) -> None:
+    """Dynamic overwrite: replace exactly the ``period_start`` partitions present
+    in ``rows``, in one job. (The writer option of ``insertInto`` is not applied
+    to catalog tables, so the session mode is switched for this statement and
+    restored.)"""
+    cols = [c for c in spark.table(table).columns if c != PERIOD_COL]
+    view = f"_periodica_src_{uuid.uuid4().hex}"
+    rows.select(*cols, PERIOD_COL).createOrReplaceTempView(view)
+    key = "spark.sql.sources.partitionOverwriteMode"
+    mode = spark.conf.get(key, "static")
+    spark.conf.set(key, "dynamic")
+    try:
+        select = ", ".join(f"`{c}`" for c in cols)
+        spark.sql(f"INSERT OVERWRITE TABLE {table} PARTITION ({PERIOD_COL}) "
+                  f"SELECT {select}, {PERIOD_COL} FROM {view}")
+    finally:
+        spark.conf.set(key, mode)
+        spark.catalog.dropTempView(view)
+
+
 def replace_window(spark: SparkSession, table: str, rows: DataFrame, window: Window,
                    job: str, quarantine_table: str | None = None,
                    scheduler: str | None = None, swap: str | None = None) -> RunResult:
@@ -199,17 +220,26 @@ def replace_window(spark: SparkSession, table: str, rows: DataFrame, window: Win
 def replace_windows(spark: SparkSession, table: str, rows: DataFrame, frequency: str,
                     control: str, job: str, first: dt.date | None = None,
                     last: dt.date | None = None, scheduler: str | None = None,
-                    quarantine_table: str | None = None) -> list[RunResult]:
+                    quarantine_table: str | None = None, swap: str | None = None
+                    ) -> list[RunResult]:
     """Replace every window between ``first`` and ``last`` (inclusive period
     starts; all windows of ``rows`` when omitted) in one distributed job.
 
-    Windows with source rows are overwritten together (dynamic partition
-    overwrite restricted to windows that passed the layout checks); windows of
-    the range that exist in the target but have no source rows are emptied
-    with a static overwrite each, so no stale rows survive. Per-window counts
-    come from one grouped aggregate of the staged rows (one row per window).
+    Rows are rebalanced by window and staged once; per-window counts come from
+    one grouped aggregate of the staged rows (one row per window). Windows with
+    violations are left untouched and their rows quarantined. Then:
+
+    * ``swap='copy'``: the clean windows are overwritten together (dynamic
+      partition overwrite restricted to them);
+    * ``swap='location'``: the staging is written inside the table's folder,
+      partitioned by window, and each clean window is repointed to its staged
+      folder (no second copy).
+
+    Windows of the range that exist in the target but have no source rows are
+    emptied, so no stale rows survive.
     """
     from periodica.functions.periods import period_start, window_for
+    swap = swap or default_swap(spark)
     if REASON_COL not in rows.columns:
         rows = rows.withColumn(REASON_COL, F.lit(""))
     rows = rows.withColumn(PERIOD_COL, period_start(control, frequency))
@@ -219,13 +249,17 @@ def replace_windows(spark: SparkSession, table: str, rows: DataFrame, frequency:
     if last is not None:
         rows = rows.where(F.col(PERIOD_COL) <= F.lit(last))
     started = dt.datetime.now()
-    staging = unique_path(spark, "staging")
+    root = table_location(spark, table) if swap == SWAP_LOCATION else None
+    staging = f"{root}/_versions/batch_{uuid.uuid4().hex}" if root else unique_path(spark, "staging")
     # Cluster rows by window before they are written: AQE's rebalance splits a
     # large window over several tasks and packs small ones together, so each
     # window ends up in a few right-sized files instead of one small file per
-    # input task and window. The final insert reads the staged files as they
-    # are and needs no second shuffle.
-    rows.hint("rebalance", PERIOD_COL).write.mode("errorifexists").parquet(staging)
+    # input task and window.
+    w = rows.hint("rebalance", PERIOD_COL).write.mode("errorifexists")
+    if root:
+        w = w.partitionBy(PERIOD_COL)
+    w.parquet(staging)
+    keep_staging = False
     try:
         staged = spark.read.parquet(staging)
         stats = {r[PERIOD_COL]: (int(r["n"]), int(r["bad"])) for r in
@@ -243,22 +277,38 @@ def replace_windows(spark: SparkSession, table: str, rows: DataFrame, frequency:
                   target.groupBy(PERIOD_COL).agg(F.count(F.lit(1)).alias("n")).collect()}
         good = sorted(p for p, (_, bad) in stats.items() if bad == 0)
         bad_windows = sorted(p for p, (_, bad) in stats.items() if bad > 0)
-        cols = [c for c in spark.table(table).columns]
-        if good:
-            (staged.where(F.col(PERIOD_COL).isin(good)).select(*cols)
-             .write.option("partitionOverwriteMode", "dynamic").insertInto(table, overwrite=True))
         empties = sorted(p for p in before if p not in stats)
-        for p in empties:
-            overwrite_partition(spark, table, p, staged.limit(0).drop(REASON_COL))
         if bad_windows and quarantine_table:
             (staged.where(F.col(REASON_COL) != "").withColumn("_job", F.lit(job))
              .write.mode("append").saveAsTable(quarantine_table))
+        if root:
+            keep_staging = True
+            for p in good:
+                prev = partition_location(spark, table, p)
+                new = f"{staging}/{PERIOD_COL}={p.isoformat()}"
+                point_partition(spark, table, p, new, exists=prev is not None, refresh=False)
+                if prev and prev != new and prev.startswith(root):
+                    delete_path(spark, prev)
+            for p in empties:
+                prev = partition_location(spark, table, p)
+                spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION "
+                          f"({PERIOD_COL} = DATE'{p.isoformat()}')")
+                if prev and prev.startswith(root):
+                    delete_path(spark, prev)
+            for p in bad_windows:
+                delete_path(spark, f"{staging}/{PERIOD_COL}={p.isoformat()}")
+            spark.sql(f"REFRESH TABLE {table}")
+        else:
+            if good:
+                overwrite_partitions(spark, table, staged.where(F.col(PERIOD_COL).isin(good)))
+            for p in empties:
+                overwrite_partition(spark, table, p, staged.limit(0).drop(REASON_COL))
         finished = dt.datetime.now()
         out = []
         for p in sorted(set(stats) | set(empties)):
-            w = window_for(p, frequency)
+            win = window_for(p, frequency)
             n, bad = stats.get(p, (0, 0))
-            r = RunResult(job=job, window=w, started=started, finished=finished,
+            r = RunResult(job=job, window=win, started=started, finished=finished,
                           scheduler=scheduler)
             if bad:
                 r.status, r.rejected = STATUS_ERROR, bad
@@ -272,4 +322,5 @@ def replace_windows(spark: SparkSession, table: str, rows: DataFrame, frequency:
             out.append(r)
         return out
     finally:
-        delete_path(spark, staging)
+        if not keep_staging:
+            delete_path(spark, staging)

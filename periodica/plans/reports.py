@@ -139,7 +139,7 @@ def backfill(spark: SparkSession, lake: Lake, spec: ReportSpec, landing: DataFra
     la = wf(last, spec.frequency).start if last is not None else None
     return replace_windows(spark, target, rows, spec.frequency, spec.control, _job(spec),
                            first=f, last=la, scheduler=scheduler,
-                           quarantine_table=lake.fq("silver", "quarantine"))
+                           quarantine_table=lake.fq("silver", "quarantine"), swap=lake.swap)
 
 
 def retire_report(spark: SparkSession, lake: Lake, spec: ReportSpec,
