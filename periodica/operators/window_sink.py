@@ -107,6 +107,17 @@ def partition_location(spark: SparkSession, table: str, start: dt.date) -> str |
     return row["data_type"].rstrip("/") if row else None
 
 
+def existing_partitions(spark: SparkSession, table: str) -> set[dt.date]:
+    """Windows the table holds, from the catalog (one call)."""
+    out = set()
+    for r in spark.sql(f"SHOW PARTITIONS {table}").collect():
+        for part in r[0].split("/"):
+            k, _, v = part.partition("=")
+            if k == PERIOD_COL and v and v != "__HIVE_DEFAULT_PARTITION__":
+                out.add(dt.date.fromisoformat(v))
+    return out
+
+
 def point_partition(spark: SparkSession, table: str, start: dt.date, path: str,
                     exists: bool, refresh: bool = True) -> None:
     """Make ``path`` the window's folder with one catalog call (atomic for
@@ -232,8 +243,9 @@ def replace_windows(spark: SparkSession, table: str, rows: DataFrame, frequency:
     * ``swap='copy'``: the clean windows are overwritten together (dynamic
       partition overwrite restricted to them);
     * ``swap='location'``: the staging is written inside the table's folder,
-      partitioned by window, and each clean window is repointed to its staged
-      folder (no second copy).
+      partitioned by window; clean windows the table does not hold yet are
+      attached to their staged folders (no second copy, one catalog call per
+      500 windows), windows it already holds are overwritten as in ``copy``.
 
     Windows of the range that exist in the target but have no source rows are
     emptied, so no stale rows survive.
@@ -283,12 +295,21 @@ def replace_windows(spark: SparkSession, table: str, rows: DataFrame, frequency:
              .write.mode("append").saveAsTable(quarantine_table))
         if root:
             keep_staging = True
-            for p in good:
-                prev = partition_location(spark, table, p)
-                new = f"{staging}/{PERIOD_COL}={p.isoformat()}"
-                point_partition(spark, table, p, new, exists=prev is not None, refresh=False)
-                if prev and prev != new and prev.startswith(root):
-                    delete_path(spark, prev)
+            existing = existing_partitions(spark, table)
+            fresh = [p for p in good if p not in existing]
+            for i in range(0, len(fresh), 500):  # new windows: one catalog call per 500
+                specs = " ".join(f"PARTITION ({PERIOD_COL} = DATE'{p.isoformat()}') "
+                                 f"LOCATION '{staging}/{PERIOD_COL}={p.isoformat()}'"
+                                 for p in fresh[i:i + 500])
+                spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS {specs}")
+            # windows the table already holds: one dynamic overwrite from the
+            # staged batch (Spark writes into each partition's current folder),
+            # then their staged copies go; no per-window catalog round trips
+            again = [p for p in good if p in existing]
+            if again:
+                overwrite_partitions(spark, table, staged.where(F.col(PERIOD_COL).isin(again)))
+                for p in again:
+                    delete_path(spark, f"{staging}/{PERIOD_COL}={p.isoformat()}")
             for p in empties:
                 prev = partition_location(spark, table, p)
                 spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION "
