@@ -2,17 +2,24 @@
 
 ``replace_window`` never leaves a window half written by a failed computation:
 
-1. the rows of the window are computed once and written to a fresh staging
-   folder under the shared checkpoint folder, while an ``Observation`` counts
-   rows and layout violations in the same pass;
+1. the rows of the window are computed once and written to a fresh folder
+   while an ``Observation`` counts rows and layout violations in the same pass;
 2. a window with violations is not touched: its bad rows go to quarantine and
    the run ends with status ``Error`` (the legacy insert would have failed);
-3. otherwise one static ``INSERT OVERWRITE ... PARTITION (period_start = d)``
-   swaps exactly that partition; all other windows are untouched, and an empty
-   source empties the window.
-
-Running the same load twice gives the same table (the staging is re-computed
-from the same inputs), which is what makes re-runs and late corrections safe.
+3. otherwise the window is swapped in, and only that window:
+
+   * ``location`` swap (persistent metastore): the folder was written inside
+     the table, and one ``ALTER TABLE ... PARTITION ... SET LOCATION`` makes it
+     the window (atomic for readers, no second copy); the previous folder of
+     the window is removed;
+   * ``copy`` swap (session catalog): the folder is staging in the shared
+     checkpoint folder, copied in by one static
+     ``INSERT OVERWRITE ... PARTITION (period_start = d)``.
+
+All other windows are untouched, and an empty source empties the window.
+Running the same load twice gives the same table, which is what makes re-runs
+and late corrections safe. ``replace_windows`` does the same for many windows
+in one job (backfills).
 """
 
 from __future__ import annotations
