@@ -127,6 +127,49 @@ PREVIOUS = {
 }
 
 
+# --- Fixed values: catalog bindings declared by the layouts (report column ->
+# --- catalog name, and the zero-pad width for keys that mix text and numbers).
+# --- The catalogs' allowed values are the regulator's catalog tables, loaded
+# --- by the user (for example from their workbooks with the S3 scan).
+CATALOG_BINDINGS = {
+    121: (("POSICIONOPERACION", "PosicionOperacionRepo", None),
+          ("MONEDAPRECIOUNITARIO", "MonedaISO", None),
+          ("TIPOTASAPREMIO", "TipoTasaPremio_V1", None),
+          ("CORROELECTRONICO", "CorroElectronico_V1", None),
+          ("TIPOPOSTURA", "TipoPostura", None),
+          ("OPERACIONBANCOTRABAJO", "OperacionRealizadaBanco", None),
+          ("TIPOMODIFICACION", "TipoModificacion_V1", None),
+          ("CLASIFICACIONCONTABLEOPERACION", "ClasificacionContableCVT", None),
+          ("OFICINA", "CveOficina", None),
+          ("SOBRETASA", "CveSobretasa", None),
+          ("EMISOR", "CASFIM", 6),
+          ("CONTRAPARTEREPORTO", "CASFIM", 6),
+          ("CUSTODIO", "CASFIM", 6),
+          ("CLIENTE", "CASFIM", 6),
+          ("APLICA_ANEXO1C", "CveAplicaAnexo1C", None),
+          ("FECHAVALOR", "Fecha Valor", None),
+          ("RESTRICCION", "Restriccion", None)),
+    133: (("POS_OPER", "PosicionOperacion_V4", None),
+          ("OBJ_OPE", "OBJ_OPE_V1", None),
+          ("PAQ_EST", "PAQ_EST_DER_V1", None),
+          ("MON_ACT_OPE", "MonedaISO", None),
+          ("MON_PAS_OPE", "MonedaISO", None),
+          ("MON_NOCIONAL", "MonedaISO", None)),
+    142: (("OFICINA", "ANEXO A", None),
+          ("CONT", "ANEXO B", 6),
+          ("NETEO_POS", "ANEXO M", None),
+          ("TIP_CONTRAT", "ANEXO N", None)),
+    210: (("TIPO_VALOR", "Tipo_valor", None),
+          ("TIPO_OBLIGACION", "Tipo_Obligacion", None),
+          ("MONEDA", "MonedaISO", None),
+          ("ID_PAGOS", "Id_Pagos", None),
+          ("FLAG_HORARIO", "Flag_Horario", None),
+          ("ID_PAGOS_RET", "Id_Pagos_Ret", None),
+          ("MOTIVO_RET", "MOTIVO_RET", None),
+          ("CARACT_LIQUIDACION", "Caract_liq", None)),
+}
+
+
 def _build_reports() -> dict[int, ReportSpec]:
     out = {}
     for numero, name, freq, control, source, landing, inject_col, sort in REPORTS:

@@ -123,3 +123,22 @@ def required_columns(required: DataFrame, existing: DataFrame) -> DataFrame:
     return (r.join(broadcast_if_small(ex), ["_t", "_c"], "left")
             .withColumn("status", F.when(F.col("_hit").isNull(), F.lit("FALTA")).otherwise(F.lit("OK")))
             .drop("_t", "_c", "_hit"))
+
+
+def report_catalog_violations(spec, df: DataFrame, catalogs: dict[str, DataFrame],
+                              key_col: str = "key") -> DataFrame | None:
+    """J5 / V7 / V9 for one report: every layout column bound to a catalog
+    (``layouts.CATALOG_BINDINGS``) is checked against that catalog when it is
+    supplied; returns ``(report, column, value, n_rows)`` or None when no bound
+    catalog was given. One counting pass per bound column; catalogs are
+    broadcast only within the size bound."""
+    from periodica.layouts import CATALOG_BINDINGS
+    frames = [catalog_violations(df, field, catalogs[name], spec.name, key_col, pad)
+              for field, name, pad in CATALOG_BINDINGS.get(spec.numero, ())
+              if name in catalogs and field in df.columns]
+    if not frames:
+        return None
+    out = frames[0]
+    for f in frames[1:]:
+        out = out.unionByName(f)
+    return out

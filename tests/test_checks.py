@@ -151,3 +151,20 @@ def test_landing_coverage_null_bucket(spark):
     df = spark.createDataFrame([(dt.date(1995, 3, 1),), (dt.date(1995, 3, 9),), (None,)], "l_shipdate date")
     got = {(r["window_start"], r["n_rows"], r["null_control"]) for r in landing_coverage(df, td.lineitem_spec()).collect()}
     assert got == {(dt.date(1995, 3, 1), 2, False), (None, 1, True)}
+
+
+def test_report_catalog_bindings(spark):
+    """J5 per report: bound columns checked against supplied catalogs, mixed
+    numeric / text keys normalised (V9); unsupplied catalogs are skipped."""
+    from periodica.operators.joins import report_catalog_violations
+    spec = SPECS[142]
+    rows = spark.createDataFrame([("A", "000780", 1, 1), ("Z", "780", 7, 9), ("R", "1234", 9, 2)],
+                                 "OFICINA string, CONT string, NETEO_POS int, TIP_CONTRAT int")
+    cats = {"ANEXO A": spark.createDataFrame([("A",), ("R",), ("F",)], "key string"),
+            "ANEXO B": spark.createDataFrame([(780,), (111,)], "key int"),
+            "ANEXO M": spark.createDataFrame([(str(k),) for k in (1, 2, 3, 4, 5, 6, 9)], "key string")}
+    got = sorted(tuple(r) for r in report_catalog_violations(spec, rows, cats).collect())
+    assert got == [("142_ENT_GARANTIAS_IV", "CONT", "001234", 1),
+                   ("142_ENT_GARANTIAS_IV", "NETEO_POS", "7", 1),
+                   ("142_ENT_GARANTIAS_IV", "OFICINA", "Z", 1)]
+    assert report_catalog_violations(SPECS[21], rows, cats) is None
