@@ -170,6 +170,13 @@ CATALOG_BINDINGS = {
 }
 
 
+# --- Fixed values: relations between reports described by the layouts.
+# --- child report -> (parent report, key): every child key must exist in the parent
+REFERENTIAL = {212: (213, "ID_LINEA")}
+# --- report -> (companion report, key): rows read together by key
+COMPANIONS = {155: (156, "NU_ID")}
+
+
 def _build_reports() -> dict[int, ReportSpec]:
     out = {}
     for numero, name, freq, control, source, landing, inject_col, sort in REPORTS:

@@ -132,3 +132,22 @@ for _n in sorted(PREVIOUS):
 _v142 = report_142_versions()
 _register(142, _v142["weekly_ymd"], "_weekly_ymd")
 _register(142, _v142["monthly_ymd"], "_monthly_ymd")
+
+
+
+@register("report_212_ref_213", f"""
+SELECT k AS ID_LINEA, count(*) AS n_rows FROM (
+  SELECT {source_expr(next(c for c in SPECS[212].columns if c.name == "ID_LINEA"), "events")} AS k FROM events) c
+WHERE k NOT IN (SELECT {source_expr(next(c for c in SPECS[213].columns if c.name == "ID_LINEA"), "events")} FROM events)
+GROUP BY k""")
+def report_212_ref_213(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every line of report 212 must exist in report 213 (both stored
+    from the whole events table)."""
+    lake = scratch_lake(spark)
+    for n in (212, 213):
+        spec = SPECS[n]
+        res = reports.backfill(spark, lake, spec.with_version(source="landing"),
+                               landing_frame(spark, sf_dir, spec, "events"))
+        if not all(r.ok for r in res):
+            raise RuntimeError(res[0].message)
+    return reports.referential_violations(spark, lake, 212)

@@ -162,3 +162,26 @@ def retire_report(spark: SparkSession, lake: Lake, spec: ReportSpec,
         out["table_dropped"] = True
     delete_path(spark, lake.location("silver", spec.table))
     return out
+
+
+def referential_violations(spark: SparkSession, lake: Lake, child: int) -> DataFrame:
+    """J3 / V8 between stored reports: child keys without a parent row, with the
+    number of child rows per key (keys pre-aggregated before the join)."""
+    from periodica.layouts import REFERENTIAL, SPECS
+    from periodica.operators.joins import orphan_keys
+    parent, key = REFERENTIAL[child]
+    return orphan_keys(spark.table(lake.report_table(SPECS[child])), key,
+                       spark.table(lake.report_table(SPECS[parent])), key)
+
+
+def companion_rows(spark: SparkSession, lake: Lake, numero: int, day) -> DataFrame:
+    """The window's rows of a report with its companion report's rows of
+    the same window, joined by the shared key."""
+    from periodica.layouts import COMPANIONS, SPECS
+    from periodica.operators.joins import companion
+    other, key = COMPANIONS[numero]
+    a, b = SPECS[numero], SPECS[other]
+    left = scan_window(spark.table(lake.report_table(a)), a.control, window_for(day, a.frequency), True)
+    right = scan_window(spark.table(lake.report_table(b)), b.control, window_for(day, b.frequency), True)
+    right = right.select(key, *[F.col(c).alias(f"{b.table}_{c}") for c in right.columns if c != key])
+    return companion(left, right, [key])

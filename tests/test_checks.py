@@ -168,3 +168,28 @@ def test_report_catalog_bindings(spark):
                    ("142_ENT_GARANTIAS_IV", "NETEO_POS", "7", 1),
                    ("142_ENT_GARANTIAS_IV", "OFICINA", "Z", 1)]
     assert report_catalog_violations(SPECS[21], rows, cats) is None
+
+
+def test_report_relations(spark, lake):
+    """J3 212 -> 213 and J4 155 with 156 over stored report tables."""
+    from periodica.plans import reports
+    s212, s213 = SPECS[212], SPECS[213]
+    base = dict(FECHA_INFO=dt.date(2026, 6, 5))
+    r212 = [{**{c.name: None for c in s212.stored_columns}, **base, "ID_LINEA": k, "FECHA_EJE": dt.date(2026, 6, 1)}
+            for k in ("L1", "L2", "L2", "L9")]
+    r213 = [{**{c.name: None for c in s213.stored_columns}, **base, "ID_LINEA": k} for k in ("L1", "L2")]
+    reports.seed(spark, lake, s212, spark.createDataFrame(r212, _schema(s212)))
+    reports.seed(spark, lake, s213, spark.createDataFrame(r213, _schema(s213)))
+    assert [tuple(r) for r in reports.referential_violations(spark, lake, 212).collect()] == [("L9", 1)]
+    s155, s156 = SPECS[155], SPECS[156]
+    day = dt.date(2026, 6, 5)
+    r155 = [{**{c.name: None for c in s155.stored_columns}, "NU_ID": k, "FE_CON_OPE": day} for k in ("A", "B")]
+    r156 = [{**{c.name: None for c in s156.stored_columns}, "NU_ID": k, "FECHA": day} for k in ("A", "C")]
+    reports.seed(spark, lake, s155, spark.createDataFrame(r155, _schema(s155)))
+    reports.seed(spark, lake, s156, spark.createDataFrame(r156, _schema(s156)))
+    assert [r["NU_ID"] for r in reports.companion_rows(spark, lake, 155, day).collect()] == ["A"]
+
+
+def _schema(spec):
+    from pyspark.sql import types as T
+    return T.StructType([T.StructField(c.name, c.type.spark, True) for c in spec.stored_columns])
