@@ -35,6 +35,11 @@ def main() -> None:
     cpus = os.environ.get("BENCH_CPUS", "8")
     from periodica.session import build_session
     extra = {"spark.driver.memory": os.environ.get("BENCH_DRIVER_MEMORY", "16g")}
+    if os.environ.get("BENCH_EVENT_LOG_DIR"):
+        # stage and task times for tools/stage_times.py (off unless asked for)
+        os.makedirs(os.environ["BENCH_EVENT_LOG_DIR"], exist_ok=True)
+        extra.update({"spark.eventLog.enabled": "true",
+                      "spark.eventLog.dir": os.environ["BENCH_EVENT_LOG_DIR"]})
     spark = build_session(master=f"local[{cpus}]", shuffle_partitions=int(cpus) * 2 if cpus.isdigit() else 16,
                           extra=extra)
     if not spark.conf.get("spark.checkpoint.dir", None):
