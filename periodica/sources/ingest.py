@@ -147,11 +147,15 @@ def ingest(spark: SparkSession, lake: Lake, spec: IngestSpec, paths: list[str],
     """
     res = IngestResult(spec.name)
     landing = lake.ensure_landing_table(spec)
+    from periodica.operators.joins import broadcast_if_small
     done = landed_files(spark, lake).where(F.col("spec") == spec.name).select("path")
+    paths = list(dict.fromkeys(paths))
     cand = spark.createDataFrame([(p,) for p in paths], "path string")
-    # anti-join on file names only (the manifest holds one row per file)
-    new = [r["path"] for r in cand.join(done, "path", "left_anti").collect()]
-    res.skipped = [p for p in paths if p not in set(new)]
+    # the batch's candidates (size-checked) are broadcast and the manifest is
+    # scanned once; only the already-landed candidates come back
+    landed = {r["path"] for r in done.join(broadcast_if_small(cand, 100_000), "path", "left_semi").collect()}
+    new = [p for p in paths if p not in landed]
+    res.skipped = [p for p in paths if p in landed]
     if not new:
         return res
     required = [s for s, _ in spec.column_map]
