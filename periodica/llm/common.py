@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+import os
+import shutil
+import tempfile
+
+import periodica
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -16,6 +21,20 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Hand this package to the executors' Python, once for each application."""
+    sc = spark.sparkContext
+    if sc.applicationId not in _shipped:
+        package = os.path.dirname(os.path.abspath(periodica.__file__))
+        made = shutil.make_archive(os.path.join(tempfile.mkdtemp(), "periodica"), "zip",
+                                   os.path.dirname(package), os.path.basename(package))
+        sc.addPyFile(made)
+        _shipped.add(sc.applicationId)
+
+
 def cut(df: DataFrame) -> DataFrame:
     """Cut the lineage with a reliable checkpoint in the shared folder."""
     ensure_shared_dir(df.sparkSession)
@@ -27,6 +46,11 @@ def words_of(text: Column) -> Column:
     return F.filter(F.split(F.coalesce(text, F.lit("")), WORD_SPLIT), lambda w: w != "")
 
 
+def let(value: Column, body) -> Column:
+    """Evaluate ``value`` once and use it in ``body``."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def chunks_for(rows: int, per_chunk: int = 20_000) -> int:
     """Number of hash chunks that keeps a chunk near ``per_chunk`` rows at any input size."""
     return max(8, -(-rows // per_chunk))

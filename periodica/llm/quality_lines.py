@@ -18,7 +18,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from periodica.llm.common import SPACES, WORD_SPLIT, read, words_of
+from periodica.llm.common import SPACES, WORD_SPLIT, let, read, words_of
 
 SYMBOLS = "#*$%&|<>"
 WINDOW = 8
@@ -33,11 +33,6 @@ class LineRules:
     max_repeat_pct: int = 30
 
 
-def _let(value: Column, body) -> Column:
-    """Evaluate ``value`` once and use it in ``body``."""
-    return F.get(F.transform(F.array(value), body), F.lit(0))
-
-
 def _repeat_words(hashes: Column) -> Column:
     """Words inside 8-word windows that occur at least twice."""
     n = F.size(hashes)
@@ -51,11 +46,11 @@ def _repeat_words(hashes: Column) -> Column:
         def repeated(s: Column) -> Column:
             return F.transform(s, lambda x, j: F.when(
                 (F.get(s, j - 1)["h"] == x["h"]) | (F.get(s, j + 1)["h"] == x["h"]), x["i"]))
-        at = F.sort_array(F.filter(_let(ordered, repeated), lambda p: p.isNotNull()))
+        at = F.sort_array(F.filter(let(ordered, repeated), lambda p: p.isNotNull()))
         start = F.struct(F.lit(0).alias("n"), F.lit(-WINDOW).alias("last"))
         return F.aggregate(at, start, lambda a, p: F.struct(
             (a["n"] + F.least(F.lit(WINDOW), p - a["last"])).alias("n"), p.alias("last")))["n"]
-    return _let(windows, lambda w: F.when(
+    return let(windows, lambda w: F.when(
         w.isNull() | (F.size(F.array_distinct(w)) == F.size(w)), F.lit(0)).otherwise(covered(w)))
 
 
