@@ -300,7 +300,7 @@ def pack(pieces: DataFrame, rules: PackRules = PackRules()) -> DataFrame:
                 .append_column("offset", pa.array(offset, pa.int64())))
     packed = (rest.withColumn("_group", F.pmod(F.xxhash64("_row"), F.lit(groups)))
               .groupBy("_group").applyInArrow(run, PACKED))
-    alone = full.withColumn("sequence_id", F.col("_row") + F.lit(1 << 62)).withColumn("offset", F.lit(0).cast("long"))
+    alone = full.withColumn("sequence_id", -F.col("_row") - 1).withColumn("offset", F.lit(0).cast("long"))
     return packed.unionByName(alone.drop("_row"))
 
 
