@@ -3,10 +3,14 @@
 from __future__ import annotations
 
 from periodica.llm.chat import OP2_SQL, op2_chat_prefix
+from periodica.llm.embedding_join import op7_grid_order
 from periodica.llm.mixing import op3_source_mix
+from periodica.llm.ngram_join import op8_prefix_tree
 from periodica.llm.packing import op6_best_fit
 from periodica.llm.quality_lines import op5_quality_lines
 from periodica.llm.sharding import op1_sharding
 
-QUERIES = {f.__name__: f for f in (op1_sharding, op2_chat_prefix, op3_source_mix, op5_quality_lines, op6_best_fit)}
+QUERIES = {f.__name__: f for f in (
+    op1_sharding, op2_chat_prefix, op3_source_mix, op5_quality_lines, op6_best_fit, op7_grid_order,
+    op8_prefix_tree)}
 ORACLE: dict[str, str] = {"op2_chat_prefix": OP2_SQL}
