@@ -9,8 +9,11 @@ from periodica.llm.ngram_join import op8_prefix_tree
 from periodica.llm.packing import op6_best_fit
 from periodica.llm.quality_lines import op5_quality_lines
 from periodica.llm.sharding import op1_sharding
+from periodica.llm.toxicity import op9_toxic_crf
+from periodica.llm.url_lists import OP4_SQL, op4_temporal_lists
+from periodica.llm.weak_quality import op10_weak_quality
 
 QUERIES = {f.__name__: f for f in (
-    op1_sharding, op2_chat_prefix, op3_source_mix, op5_quality_lines, op6_best_fit, op7_grid_order,
-    op8_prefix_tree)}
-ORACLE: dict[str, str] = {"op2_chat_prefix": OP2_SQL}
+    op1_sharding, op2_chat_prefix, op3_source_mix, op4_temporal_lists, op5_quality_lines, op6_best_fit,
+    op7_grid_order, op8_prefix_tree, op9_toxic_crf, op10_weak_quality)}
+ORACLE = {"op2_chat_prefix": OP2_SQL, "op4_temporal_lists": OP4_SQL}
