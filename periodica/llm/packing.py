@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from periodica.llm.common import cut, read, ship
 
 TOKENIZER = "word_bpe_49k.json"
-CACHE_WORDS = 600_000  # words of one Python worker's cache
+CACHE_WORDS = 1_000_000  # words of one Python worker's cache
 TEXTS = 512            # texts encoded together
 
 

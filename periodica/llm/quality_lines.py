@@ -35,10 +35,11 @@ class LineRules:
 
 def _repeat_words(hashes: Column) -> Column:
     """Words inside 8-word windows that occur at least twice."""
-    n = F.size(hashes)
-    windows = F.when(n >= WINDOW, F.transform(
-        F.sequence(F.lit(1), F.greatest(n - (WINDOW - 1), F.lit(1))),
-        lambda i: F.xxhash64(F.slice(hashes, i, F.lit(WINDOW)))))
+    def windows(h: Column) -> Column:
+        n = F.size(h)
+        return F.when(n >= WINDOW, F.transform(
+            F.sequence(F.lit(1), F.greatest(n - (WINDOW - 1), F.lit(1))),
+            lambda i: F.xxhash64(F.slice(h, i, F.lit(WINDOW)))))
 
     def covered(w: Column) -> Column:
         ordered = F.sort_array(F.transform(w, lambda h, i: F.struct(h.alias("h"), i.alias("i"))))
@@ -50,7 +51,7 @@ def _repeat_words(hashes: Column) -> Column:
         start = F.struct(F.lit(0).alias("n"), F.lit(-WINDOW).alias("last"))
         return F.aggregate(at, start, lambda a, p: F.struct(
             (a["n"] + F.least(F.lit(WINDOW), p - a["last"])).alias("n"), p.alias("last")))["n"]
-    return let(windows, lambda w: F.when(
+    return let(let(hashes, windows), lambda w: F.when(
         w.isNull() | (F.size(F.array_distinct(w)) == F.size(w)), F.lit(0)).otherwise(covered(w)))
 
 

@@ -22,6 +22,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from periodica.llm.common import read, ship
 
@@ -36,6 +37,7 @@ class CrfRules:
     steps: int = 25           # of the fit
     rate: float = 0.5
     l2: float = 1e-6
+    limit: float = 0.5        # scores from here on are toxic
     texts: int = 256          # texts scored together
     known_words: int = 400_000
 
@@ -251,22 +253,18 @@ def _spans(text: str, on: np.ndarray) -> list[tuple[int, int]]:
 _scorers: dict[int, Scorer] = {}
 
 
-def toxic_documents(docs: DataFrame, labels: DataFrame, rules: CrfRules = CrfRules(), doc_id: str = "doc_id",
-                    text: str = "text") -> DataFrame:
-    """doc_id, held_out, score, predicted, spans (code point offsets): one row per input row.
+SCORED = T.StructType([T.StructField("_score", T.DoubleType()), T.StructField("_spans", T.ArrayType(
+    T.StructType([T.StructField("start", T.IntegerType()), T.StructField("end", T.IntegerType())])))])
 
-    A null or empty text has no tokens and no spans and a score from that alone;
-    a null doc_id is in no fold; equal rows get equal scores; doc_id only joins
-    labels and names folds, it is no input of a score. Whole texts are scored.
-    Further columns are ignored; an empty table gives no rows, and without labels
-    every score is 1/2 or less.
-    """
+
+def scored(docs: DataFrame, labels: DataFrame, rules: CrfRules, doc_id: str, text: str) -> DataFrame:
+    """The columns of ``docs`` with ``_score`` and ``_spans``."""
     spark = docs.sparkSession
     ship(spark)
-    docs = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    rows = sorted(tuple(r) for r in labelled_sample(docs.filter("text IS NOT NULL"), labels, rules).collect())
+    pair = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
+    rows = sorted(tuple(r) for r in labelled_sample(pair.filter("text IS NOT NULL"), labels, rules).collect())
     model = spark.sparkContext.broadcast(fit([r[0] for r in rows], [int(r[1] > 0) for r in rows], rules))
-    key = hash(model.value.weights.tobytes())
+    key, at = hash(model.value.weights.tobytes()), docs.columns.index(text)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if key not in _scorers:
@@ -274,13 +272,33 @@ def toxic_documents(docs: DataFrame, labels: DataFrame, rules: CrfRules = CrfRul
             _scorers[key] = Scorer(model.value, rules)
         span = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
         for b in (x.slice(a, rules.texts) for x in batches for a in range(0, x.num_rows, rules.texts)):
-            score, spans = _scorers[key].score(b.column(1).to_pylist())
-            yield pa.RecordBatch.from_arrays(
-                [b.column(0), pa.array(score), pa.array([[{"start": s, "end": e} for s, e in x] for x in spans], span)],
-                names=["doc_id", "score", "spans"])
-    scored = docs.mapInArrow(run, "doc_id long, score double, spans array<struct<start:int,end:int>>")
-    return scored.select("doc_id", F.coalesce(fold(F.col("doc_id"), rules) == 0, F.lit(False)).alias("held_out"),
-                         "score", (F.col("score") >= 0.5).cast("int").alias("predicted"), "spans")
+            score, spans = _scorers[key].score(b.column(at).to_pylist())
+            found = pa.array([[{"start": s, "end": e} for s, e in x] for x in spans], span)
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(score), found],
+                                             names=[*b.schema.names, "_score", "_spans"])
+    return docs.mapInArrow(run, T.StructType([*docs.schema.fields, *SCORED.fields]))
+
+
+def toxic_documents(docs: DataFrame, labels: DataFrame, rules: CrfRules = CrfRules(), doc_id: str = "doc_id",
+                    text: str = "text") -> DataFrame:
+    """doc_id, held_out, score, predicted, spans (code point offsets): one row per input row.
+
+    A null or empty text has no tokens and no spans and a score from that alone;
+    a null doc_id is in no fold; equal rows get equal scores; doc_id only joins
+    labels and names folds, it is no input of a score. Whole texts are scored.
+    Further columns are ignored; an empty table gives no rows, and without labels
+    every score is 1/2.
+    """
+    pair = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
+    return scored(pair, labels, rules, "doc_id", "text").select(
+        "doc_id", F.coalesce(fold(F.col("doc_id"), rules) == 0, F.lit(False)).alias("held_out"),
+        F.col("_score").alias("score"), (F.col("_score") >= rules.limit).cast("int").alias("predicted"),
+        F.col("_spans").alias("spans"))
+
+
+def clean_documents(docs: DataFrame, labels: DataFrame, rules: CrfRules = CrfRules()) -> DataFrame:
+    """The documents that are not predicted toxic, with their own columns."""
+    return scored(docs, labels, rules, "doc_id", "text").filter(F.col("_score") < rules.limit).select(*docs.columns)
 
 
 def op9_toxic_crf(spark: SparkSession, sf_dir: str) -> DataFrame:

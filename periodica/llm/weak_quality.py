@@ -62,8 +62,8 @@ def votes(text: str | None) -> list[int]:
     mean = letters / n
     return [_vote(symbols > 0.1, symbols < 0.02),
             _vote(upper > 0.3, upper < 0.1),
-            _vote(stops < 0.05, stops > 0.12),
-            _vote(n < 20, n >= 50),
+            _vote(stops < 0.05 and n >= 20, stops > 0.12),
+            _vote(n < 6, n >= 50),
             _vote(variety < 0.35, variety > 0.6),
             _vote(again > 0.3, again == 0 and len(lines) > 1),
             _vote(ended < 0.2, ended > 0.6),
@@ -82,11 +82,12 @@ def _table(k: int) -> np.ndarray:
 def label_model(counts: np.ndarray, k: int, steps: int) -> tuple[float, np.ndarray, np.ndarray]:
     """(share of good documents, P(vote | class) as [class, labeller, vote], posterior of good by pattern).
 
-    Starts from the majority of votes, so that class 1 means good."""
+    Labellers look for different faults, so one bad vote may be all that a bad
+    document gets: EM starts from doubt about any document with a bad vote, and
+    class 1 means good."""
     v = _table(k)
     weight = counts.astype(float)
-    lean = (v == 2).sum(1) - (v == 0).sum(1).astype(float)
-    post = 1 / (1 + np.exp(-lean))
+    post = 1 / (1 + np.exp(3.0 * (v == 0).sum(1) - 2.0))
     share, p = 0.5, np.full((2, k, 3), 1 / 3)
     for _ in range(steps):
         both = np.stack([(1 - post) * weight, post * weight])
