@@ -122,6 +122,15 @@ def in_window(c: Column | str, w: Window) -> Column:
     return (c >= F.lit(w.start)) & (c < F.lit(w.end))
 
 
+def overlapping_periods(c: Column | str, w: Window) -> Column:
+    """Periods that share days with the window, whatever frequency they were
+    stored under: those that start inside it, and the week, month or quarter
+    that contains its first day. Literal dates only, so it prunes partitions."""
+    c = F.col(c) if isinstance(c, str) else c
+    first = sorted({window_for(w.start, f).start for f in FREQUENCIES} - {w.start})
+    return in_window(c, w) | c.isin(first)
+
+
 def on_day(c: Column | str, day) -> Column:
     """Daily equality on the date part (P1, F1); a datetime parameter is cast first."""
     return in_window(c, window_for(day, DAILY))

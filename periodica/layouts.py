@@ -248,7 +248,8 @@ def _build_ingest() -> dict[int, IngestSpec]:
             column_map=tuple(cmap), date_fields=tuple(dates), numeric_fields=tuple(nums),
             text_fields=tuple(texts), allow_empty=numero not in NO_EMPTY,
             final_columns=tuple(final), file_type=ftype, delimiter=delim or "|",
-            control_col=None if spec.control == LOAD_TS_COL else spec.control,
+            control_col=None if spec.control == LOAD_TS_COL else _landing_name(numero, spec.control),
+            control_from="run_date" if skip else "column",
             unmapped=(skip,) if skip else ())
     return out
 

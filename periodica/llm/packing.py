@@ -250,10 +250,12 @@ class Search:
                      if 0 < self.fill[b] < self.cap and int(b) not in tried]
             if not order:
                 break
-            donor = order[0]
+            donor, squares = order[0], int((self.fill ** 2).sum())
             while self.bins[donor] and self.step(donor):
                 pass
             if self.bins[donor]:
+                if int((self.fill ** 2).sum()) > squares:    # others may find more now
+                    tried.clear()
                 tried.add(donor)
                 missed += 1
             else:

@@ -1,11 +1,9 @@
-"""Joins used by the checks (J1-J5) and the size-checked broadcast helper.
-
-Broadcast is only requested for a side whose row count was checked against a
-bound (``broadcast_if_small``); beyond the bound the join stays a shuffle join
-and AQE (skew-join splitting, runtime broadcast by measured size) decides.
-Checks that compare two large tables aggregate each side to distinct keys with
-counts *before* the shuffle, so a key that holds a third of all rows reaches
-the join as one row.
+"""Joins used by the checks.
+
+Which side is broadcast is left to AQE, which decides at run time from measured
+bytes and splits skewed partitions of shuffle joins. Checks that compare two
+large tables aggregate each side to distinct keys with counts *before* the
+shuffle, so a key that holds a third of all rows reaches the join as one row.
 """
 
 from __future__ import annotations
@@ -15,23 +13,11 @@ from collections.abc import Iterable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-MAX_BROADCAST_ROWS = 1_000_000
-
-
-def bounded_count(df: DataFrame, bound: int) -> int:
-    """Row count capped at ``bound + 1`` (reads no more than that)."""
-    return df.limit(bound + 1).count()
-
-
-def broadcast_if_small(df: DataFrame, bound: int = MAX_BROADCAST_ROWS) -> DataFrame:
-    """Broadcast hint only when the side has at most ``bound`` rows."""
-    return F.broadcast(df) if bounded_count(df, bound) <= bound else df
-
 
 def presence(required: DataFrame, existing: DataFrame, key: str,
              status_col: str = "status") -> DataFrame:
     """Required names LEFT JOIN existing names -> ``OK`` / ``FALTA``."""
-    ex = broadcast_if_small(existing.select(F.col(key)).distinct().withColumn("_hit", F.lit(True)))
+    ex = existing.select(F.col(key)).distinct().withColumn("_hit", F.lit(True))
     return (required.join(ex, key, "left")
             .withColumn(status_col, F.when(F.col("_hit").isNull(), F.lit("FALTA"))
                         .otherwise(F.lit("OK")))
@@ -70,8 +56,7 @@ def catalog_violations(df: DataFrame, column: str, catalog: DataFrame, report: s
     """Values of ``column`` not in the catalog, with their counts.
 
     Values are counted first (partial aggregation: one row per distinct value
-    per task), then anti-joined with the catalog, broadcast when its size is
-    within the bound. ``pad_width`` normalises mixed-format keys (``'000111'``
+    per task), then anti-joined with the catalog. ``pad_width`` normalises mixed-format keys (``'000111'``
     as text, ``780`` as a number) to zero-padded text on both sides (V9)."""
     from periodica.functions.scalar import zero_pad
 
@@ -81,7 +66,7 @@ def catalog_violations(df: DataFrame, column: str, catalog: DataFrame, report: s
     counts = (df.where(F.col(column).isNotNull())
               .groupBy(norm(column).alias("value"))
               .agg(F.count(F.lit(1)).alias("n_rows")))
-    cat = broadcast_if_small(catalog.select(norm(key_col).alias("value")).distinct())
+    cat = catalog.select(norm(key_col).alias("value")).distinct()
     return (counts.join(cat, "value", "left_anti")
             .select(F.lit(report).alias("report"), F.lit(column).alias("column"), "value", "n_rows"))
 
@@ -97,15 +82,6 @@ def violation_summary(violations: DataFrame) -> DataFrame:
                  F.min("value").alias("min_value"), F.max("value").alias("max_value")))
 
 
-def one_line(df: DataFrame, group: list[str], text_col: str, out: str = "summary",
-             sep: str = ", ") -> DataFrame:
-    """A3: string accumulation over rows (``SELECT @s = @s + ...``) for small,
-    bounded groups such as the findings of one table's schema (at most one
-    item per column). Items are sorted, so the line is deterministic."""
-    return df.groupBy(*group).agg(
-        F.array_join(F.array_sort(F.collect_list(text_col)), sep).alias(out))
-
-
 def catalog_columns(spark, tables: list[str]) -> DataFrame:
     """``(table, column, type)`` of catalog tables, from the catalog's own
     metadata (the counterpart of the server's objects / columns views)."""
@@ -120,7 +96,7 @@ def required_columns(required: DataFrame, existing: DataFrame) -> DataFrame:
     ex = existing.select(F.lower("table").alias("_t"), F.lower("column").alias("_c"),
                          F.lit(True).alias("_hit")).distinct()
     r = required.withColumn("_t", F.lower("table")).withColumn("_c", F.lower("column"))
-    return (r.join(broadcast_if_small(ex), ["_t", "_c"], "left")
+    return (r.join(ex, ["_t", "_c"], "left")
             .withColumn("status", F.when(F.col("_hit").isNull(), F.lit("FALTA")).otherwise(F.lit("OK")))
             .drop("_t", "_c", "_hit"))
 
@@ -130,8 +106,7 @@ def report_catalog_violations(spec, df: DataFrame, catalogs: dict[str, DataFrame
     """J5 / V7 / V9 for one report: every layout column bound to a catalog
     (``layouts.CATALOG_BINDINGS``) is checked against that catalog when it is
     supplied; returns ``(report, column, value, n_rows)`` or None when no bound
-    catalog was given. One counting pass per bound column; catalogs are
-    broadcast only within the size bound."""
+    catalog was given. One counting pass per bound column."""
     from periodica.layouts import CATALOG_BINDINGS
     frames = [catalog_violations(df, field, catalogs[name], spec.name, key_col, pad)
               for field, name, pad in CATALOG_BINDINGS.get(spec.numero, ())

@@ -19,7 +19,7 @@ from periodica.operators.window_sink import STATUS_ERROR, STATUS_OK, RunResult
 
 LOG_SCHEMA = T.StructType([
     T.StructField("FechaEjecucion", T.TimestampNTZType(), False),
-    T.StructField("FilasInsertadas", T.IntegerType(), False),
+    T.StructField("FilasInsertadas", T.LongType(), False),
     T.StructField("EstadoEjecucion", T.StringType(), False),
     T.StructField("MensajeError", T.StringType(), True),
     T.StructField("DetallesLog", T.StringType(), False),
@@ -41,7 +41,7 @@ def log_rows(spark: SparkSession, results: Iterable[RunResult]) -> DataFrame:
     rows = [(r.started.replace(microsecond=0), int(r.inserted), r.status,
              None if r.status == STATUS_OK else r.message, r.details, r.job,
              r.scheduler, r.finished.replace(microsecond=0) if r.finished else None,
-             r.window.start)
+             r.window.start if r.window else None)
             for r in results]
     return spark.createDataFrame(rows, LOG_SCHEMA)
 

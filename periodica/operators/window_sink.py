@@ -26,6 +26,7 @@ from __future__ import annotations
 
 import datetime as dt
 import uuid
+from collections.abc import Callable
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -44,13 +45,14 @@ MSG_DELETED = "Registros eliminados: {n}"
 MSG_DONE = "Proceso completado. Filas totales: {n}"
 MSG_FAILED = "Error durante la ejecucion: {e}"
 MSG_REJECTED = "{n} filas no cumplen el layout; ventana sin cambios"
+MSG_NO_WINDOW = "{n} filas sin fecha de control valida; en cuarentena"
 CRLF = "\r\n"
 
 
 @dataclass
 class RunResult:
     job: str
-    window: Window
+    window: Window | None      # None: rows that belong to no window
     deleted: int = 0
     inserted: int = 0
     rejected: int = 0
@@ -86,6 +88,19 @@ def default_swap(spark: SparkSession) -> str:
     return SWAP_LOCATION if impl == "hive" else SWAP_COPY
 
 
+QUARANTINE_SCHEMA = "job STRING, window_start DATE, reason STRING, row STRING"
+
+
+def quarantine_rows(staged: DataFrame, table: str, job: str, window_start) -> None:
+    """Append the violating rows as JSON: one fixed schema for the rows of all
+    reports, of single loads and of backfills."""
+    data = [c for c in staged.columns if c not in (REASON_COL, PERIOD_COL)]
+    (staged.where(F.col(REASON_COL) != "")
+     .select(F.lit(job).alias("job"), window_start.cast("date").alias("window_start"),
+             F.col(REASON_COL).alias("reason"), F.to_json(F.struct(*data)).alias("row"))
+     .write.mode("append").saveAsTable(table))
+
+
 def _stage(spark: SparkSession, rows: DataFrame, job: str, path: str | None = None
            ) -> tuple[str, int, int]:
     if REASON_COL not in rows.columns:
@@ -171,14 +186,15 @@ def overwrite_partitions(spark: SparkSession, table: str, rows: DataFrame) -> No
         spark.catalog.dropTempView(view)
 
 
-def replace_window(spark: SparkSession, table: str, rows: DataFrame, window: Window,
+def replace_window(spark: SparkSession, table: str, rows: DataFrame | Callable[[], DataFrame], window: Window,
                    job: str, quarantine_table: str | None = None,
                    scheduler: str | None = None, swap: str | None = None) -> RunResult:
     """Replace the rows of ``window`` in ``table`` with ``rows``.
 
     ``rows`` must already hold only the window's rows with the table's columns
     (any order) and may carry a ``_reason`` column from
-    ``periodica.operators.conformance.violation_reason``.
+    ``periodica.operators.conformance.violation_reason``. It may be a function
+    that makes them: an error there is then a result of the run, like any other.
 
     ``swap='location'`` writes the window once, into a new version folder inside
     the table's folder, and repoints the partition to it (the previous folder
@@ -190,6 +206,7 @@ def replace_window(spark: SparkSession, table: str, rows: DataFrame, window: Win
     res = RunResult(job=job, window=window, scheduler=scheduler)
     staging = None
     try:
+        rows = rows() if callable(rows) else rows
         res.deleted = partition_count(spark, table, window.start)
         if swap == SWAP_LOCATION:
             root = table_location(spark, table)
@@ -204,10 +221,7 @@ def replace_window(spark: SparkSession, table: str, rows: DataFrame, window: Win
             res.message = MSG_REJECTED.format(n=bad)
             res.log(res.message)
             if quarantine_table:
-                (staged.where(F.col(REASON_COL) != "")
-                 .withColumn("_job", F.lit(job))
-                 .withColumn("_window_start", F.lit(window.start))
-                 .write.mode("append").saveAsTable(quarantine_table))
+                quarantine_rows(staged, quarantine_table, job, F.lit(window.start))
                 res.quarantine = quarantine_table
             res.deleted = 0
         else:
@@ -225,7 +239,7 @@ def replace_window(spark: SparkSession, table: str, rows: DataFrame, window: Win
             res.log(MSG_DONE.format(n=n))
     except Exception as e:  # the status is data in the log, as in the legacy jobs
         res.status = STATUS_ERROR
-        res.message = str(e).splitlines()[0][:2000]
+        res.message = str(e)
         res.inserted = 0
         res.log(MSG_FAILED.format(e=res.message))
     finally:
@@ -255,14 +269,20 @@ def replace_windows(spark: SparkSession, table: str, rows: DataFrame, frequency:
       500 windows), windows it already holds are overwritten as in ``copy``.
 
     Windows of the range that exist in the target but have no source rows are
-    emptied, so no stale rows survive.
+    emptied, so no stale rows survive; without a range nothing outside the rows'
+    own windows changes. Violating rows whose control date does not convert
+    belong to no window: they are quarantined and counted in one more result,
+    whose window is None.
     """
     from periodica.functions.periods import period_start, window_for
     swap = swap or default_swap(spark)
     if REASON_COL not in rows.columns:
         rows = rows.withColumn(REASON_COL, F.lit(""))
-    rows = rows.withColumn(PERIOD_COL, period_start(control, frequency))
-    rows = rows.where(F.col(PERIOD_COL).isNotNull())
+    if PERIOD_COL not in rows.columns:
+        rows = rows.withColumn(PERIOD_COL, period_start(control, frequency))
+    # rows without a window stay only where they break a rule: a control date
+    # that does not convert is quarantined and counted, a NULL one is in no window
+    rows = rows.where(F.col(PERIOD_COL).isNotNull() | (F.col(REASON_COL) != ""))
     if first is not None:
         rows = rows.where(F.col(PERIOD_COL) >= F.lit(first))
     if last is not None:
@@ -285,21 +305,22 @@ def replace_windows(spark: SparkSession, table: str, rows: DataFrame, frequency:
                  staged.groupBy(PERIOD_COL).agg(
                      F.count(F.lit(1)).alias("n"),
                      F.count_if(F.col(REASON_COL) != "").alias("bad")).collect()}
+        lost = stats.pop(None, (0, 0))[0]
         target = spark.table(table)
         if first is not None:
             target = target.where(F.col(PERIOD_COL) >= F.lit(first))
         if last is not None:
             target = target.where(F.col(PERIOD_COL) <= F.lit(last))
-        if first is None and last is None and stats:
+        if first is None and last is None:
+            # all windows of the rows, and no others: without rows nothing changes
             target = target.where(F.col(PERIOD_COL).isin(list(stats)))
         before = {r[PERIOD_COL]: int(r["n"]) for r in
                   target.groupBy(PERIOD_COL).agg(F.count(F.lit(1)).alias("n")).collect()}
         good = sorted(p for p, (_, bad) in stats.items() if bad == 0)
         bad_windows = sorted(p for p, (_, bad) in stats.items() if bad > 0)
         empties = sorted(p for p in before if p not in stats)
-        if bad_windows and quarantine_table:
-            (staged.where(F.col(REASON_COL) != "").withColumn("_job", F.lit(job))
-             .write.mode("append").saveAsTable(quarantine_table))
+        if (bad_windows or lost) and quarantine_table:
+            quarantine_rows(staged, quarantine_table, job, F.col(PERIOD_COL))
         if root:
             keep_staging = True
             existing = existing_partitions(spark, table)
@@ -323,8 +344,8 @@ def replace_windows(spark: SparkSession, table: str, rows: DataFrame, frequency:
                           f"({PERIOD_COL} = DATE'{p.isoformat()}')")
                 if prev and prev.startswith(root):
                     delete_path(spark, prev)
-            for p in bad_windows:
-                delete_path(spark, f"{staging}/{PERIOD_COL}={p.isoformat()}")
+            for p in [*map(dt.date.isoformat, bad_windows), "__HIVE_DEFAULT_PARTITION__"]:
+                delete_path(spark, f"{staging}/{PERIOD_COL}={p}")
             spark.sql(f"REFRESH TABLE {table}")
         else:
             if good:
@@ -348,6 +369,11 @@ def replace_windows(spark: SparkSession, table: str, rows: DataFrame, frequency:
                     r.log(MSG_DELETED.format(n=r.deleted))
                 r.log(MSG_DONE.format(n=n))
             out.append(r)
+        if lost:
+            r = RunResult(job=job, window=None, started=started, finished=finished, scheduler=scheduler,
+                          status=STATUS_ERROR, rejected=lost, message=MSG_NO_WINDOW.format(n=lost))
+            r.log(r.message)
+            out.append(r)
         return out
     finally:
         if not keep_staging:

@@ -7,10 +7,10 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from periodica.functions.periods import Window, in_window, window_for
+from periodica.functions.periods import Window, in_window, period_start, window_for
 from periodica.operators.conformance import conform, violation_reason
 from periodica.operators.deliver import deliver_rows
 from periodica.operators.window_sink import REASON_COL, RunResult, replace_window
@@ -18,41 +18,62 @@ from periodica.sources.tables import BRONZE, Lake, scan_window
 from periodica.spec import ID_COL, LANDING_PART_COL, LOAD_TS_COL, PERIOD_COL, ReportSpec
 
 
+RUN_LOG = "run_log"
+DATED = ("date", "timestamp", "timestamp_ntz")
+
+
 def _job(spec: ReportSpec) -> str:
     return f"[{spec.name}]"
 
 
-def _inject(df: DataFrame, spec: ReportSpec, day: dt.date, window: Window) -> DataFrame:
+def _inject(df: DataFrame, spec: ReportSpec, day: dt.date, start: Column) -> DataFrame:
     """Overwrite the information date (X6): with the run day, or with the
     period start (earlier versions)."""
-    if spec.inject == "run_day":
-        return df.withColumn(spec.inject_col, F.lit(day))
-    if spec.inject == "period_start":
-        return df.withColumn(spec.inject_col, F.lit(window.start))
-    return df
+    value = {"run_day": F.lit(day), "period_start": start}.get(spec.inject)
+    if value is None:
+        return df
+    # the landing column that feeds the injected one, where it has another name
+    names = {stored: land for land, stored in spec.load_renames}
+    name = names.get(spec.inject_col, spec.inject_col)
+    return df.withColumn(name if name in df.columns else spec.inject_col, value)
 
 
-def load_rows(spec: ReportSpec, landing: DataFrame, window: Window, day: dt.date) -> DataFrame:
-    """Rows a landing-sourced load writes for ``window``: landing columns mapped
-    to the stored names, converted to the declared types, with a violation
-    reason per row. The landing ID and load time are carried through, so a
-    re-run writes identical rows (X5)."""
-    renames = {stored: land for land, stored in spec.load_renames}
-    control_src = renames.get(spec.control, spec.control)
+def _control_source(spec: ReportSpec) -> str:
+    return {stored: land for land, stored in spec.load_renames}.get(spec.control, spec.control)
+
+
+def _pruned(landing: DataFrame, control: str, window: Window, landing_control: str | None) -> DataFrame:
+    """The window's landing rows. Months are pruned only where landing is
+    partitioned by the month of this very control column; the range on the
+    column itself is always there, and pushed to Parquet."""
     src = landing
-    if LANDING_PART_COL in landing.columns:
-        # landing is partitioned by month of the control date: prune first
+    if landing_control == control and LANDING_PART_COL in landing.columns:
         last = window.end - dt.timedelta(days=1)
         src = src.where((F.col(LANDING_PART_COL) >= F.lit(window.start.replace(day=1)))
                         & (F.col(LANDING_PART_COL) <= F.lit(last.replace(day=1))))
-    src = src.where(in_window(control_src, window))
-    src = _inject(src, spec, day, window)
+    return src.where(in_window(control, window))
+
+
+def _stored(spec: ReportSpec, src: DataFrame, landing: DataFrame, *more: str) -> DataFrame:
+    """Landing rows as the report stores them, with a violation reason per row.
+    The landing ID and load time are carried through, so a re-run writes
+    identical rows (X5)."""
+    renames = {stored: land for land, stored in spec.load_renames}
     cols = [c for c in spec.stored_columns if c.name != LOAD_TS_COL]
     return src.select(
         F.col(ID_COL).cast("string").alias(ID_COL),
         *conform(cols, renames),
         F.col(LOAD_TS_COL).cast("timestamp_ntz").alias(LOAD_TS_COL),
-        violation_reason(cols, renames, _types(landing)).alias(REASON_COL))
+        violation_reason(cols, renames, _types(landing)).alias(REASON_COL), *more)
+
+
+def load_rows(spec: ReportSpec, landing: DataFrame, window: Window, day: dt.date,
+              landing_control: str | None = None) -> DataFrame:
+    """Rows a landing-sourced load writes for ``window``: landing columns mapped
+    to the stored names and converted to the declared types. ``landing_control``
+    names the column by whose month landing is partitioned, if that is one."""
+    src = _pruned(landing, _control_source(spec), window, landing_control)
+    return _stored(spec, _inject(src, spec, day, F.lit(window.start)), landing)
 
 
 def _types(df: DataFrame) -> dict:
@@ -61,21 +82,31 @@ def _types(df: DataFrame) -> dict:
 
 def load(spark: SparkSession, lake: Lake, spec: ReportSpec, system_date,
          landing: DataFrame | None = None, scheduler: str | None = None,
-         swap: str | None = None) -> RunResult:
+         swap: str | None = None, landing_control: str | None = None) -> RunResult:
     """``load(spec, system_date)`` for a landing-sourced report (L*)."""
     if spec.source == "self":
         return self_refresh(spark, lake, spec, system_date, scheduler=scheduler, swap=swap)
     day = window_for(system_date, "daily").start
     window = window_for(day, spec.frequency)
     target = lake.ensure_report_table(spec)
-    if landing is None:
-        from periodica.layouts import INGEST
-        ing = INGEST[spec.numero]
-        landing = spark.table(lake.fq(BRONZE, ing.landing_table))
-    rows = load_rows(spec, landing, window, day)
-    return replace_window(spark, target, rows, window, _job(spec),
-                          quarantine_table=lake.fq("silver", "quarantine"), scheduler=scheduler,
-                          swap=swap or lake.swap)
+
+    def rows() -> DataFrame:
+        src, by = landing, landing_control
+        if src is None:
+            from periodica.layouts import INGEST
+            fq = lake.fq(BRONZE, INGEST[spec.numero].landing_table)
+            src, by = spark.table(fq), lake.landing_control(fq)
+        return load_rows(spec, src, window, day, by)
+    return _logged(spark, lake, replace_window(
+        spark, target, rows, window, _job(spec), quarantine_table=lake.fq("silver", "quarantine"),
+        scheduler=scheduler, swap=swap or lake.swap))
+
+
+def _logged(spark: SparkSession, lake: Lake, result):
+    """Append the run log rows of a result, or of a list of them (S15), failures included."""
+    from periodica.operators.runlog import log_run
+    log_run(spark, lake.fq("silver", RUN_LOG), result if isinstance(result, list) else [result])
+    return result
 
 
 def self_refresh(spark: SparkSession, lake: Lake, spec: ReportSpec, system_date,
@@ -86,12 +117,14 @@ def self_refresh(spark: SparkSession, lake: Lake, spec: ReportSpec, system_date,
     window = window_for(day, spec.frequency)
     target = lake.report_table(spec)
     lake.require(target)
-    snap = scan_window(spark.table(target), spec.control, window, partitioned=True).drop(PERIOD_COL)
-    snap = _inject(snap, spec, day, window)
-    rows = snap.withColumn(REASON_COL, violation_reason(spec.stored_columns, None, _types(snap)))
-    return replace_window(spark, target, rows, window, _job(spec),
-                          quarantine_table=lake.fq("silver", "quarantine"), scheduler=scheduler,
-                          swap=swap or lake.swap)
+
+    def rows() -> DataFrame:
+        snap = scan_window(spark.table(target), spec.control, window, partitioned=True).drop(PERIOD_COL)
+        snap = _inject(snap, spec, day, F.lit(window.start))
+        return snap.withColumn(REASON_COL, violation_reason(spec.stored_columns, None, _types(snap)))
+    return _logged(spark, lake, replace_window(
+        spark, target, rows, window, _job(spec), quarantine_table=lake.fq("silver", "quarantine"),
+        scheduler=scheduler, swap=swap or lake.swap))
 
 
 def deliver(spark: SparkSession, lake: Lake, spec: ReportSpec, date) -> DataFrame:
@@ -103,7 +136,6 @@ def deliver(spark: SparkSession, lake: Lake, spec: ReportSpec, date) -> DataFram
 def seed(spark: SparkSession, lake: Lake, spec: ReportSpec, rows: DataFrame) -> int:
     """Put rows straight into a report table, each in the partition of its own
     control date (fixture seeding, S11). Returns the row count of the table."""
-    from periodica.functions.periods import period_start
     target = lake.ensure_report_table(spec)
     cols = [c for c in spark.table(target).columns]
     df = rows
@@ -121,25 +153,32 @@ def seed(spark: SparkSession, lake: Lake, spec: ReportSpec, rows: DataFrame) ->
 
 
 def backfill(spark: SparkSession, lake: Lake, spec: ReportSpec, landing: DataFrame,
-             first=None, last=None, scheduler: str | None = None) -> list[RunResult]:
+             first=None, last=None, scheduler: str | None = None, landing_control: str | None = None,
+             run_day=None) -> list[RunResult]:
     """Load every window of a landing frame (or the windows between ``first``
     and ``last``) in one job: initial loads, re-loads after a landing
-    correction, and frequency changes. Same rows as one ``load`` per window."""
+    correction, and frequency changes. Same rows as one ``load`` per window
+    (on ``run_day``, where the report injects it). A bounded backfill reads the
+    range of the control column only, so rows without a valid control date show
+    up in unbounded ones."""
     from periodica.functions.periods import window_for as wf
     from periodica.operators.window_sink import replace_windows
     target = lake.ensure_report_table(spec)
-    renames = {stored: land for land, stored in spec.load_renames}
-    cols = [c for c in spec.stored_columns if c.name != LOAD_TS_COL]
-    rows = landing.select(
-        F.col(ID_COL).cast("string").alias(ID_COL),
-        *conform(cols, renames),
-        F.col(LOAD_TS_COL).cast("timestamp_ntz").alias(LOAD_TS_COL),
-        violation_reason(cols, renames, _types(landing)).alias(REASON_COL))
-    f = wf(first, spec.frequency).start if first is not None else None
-    la = wf(last, spec.frequency).start if last is not None else None
-    return replace_windows(spark, target, rows, spec.frequency, spec.control, _job(spec),
-                           first=f, last=la, scheduler=scheduler,
-                           quarantine_table=lake.fq("silver", "quarantine"), swap=lake.swap)
+    control = _control_source(spec)
+    f = wf(first, spec.frequency) if first is not None else None
+    la = wf(last, spec.frequency) if last is not None else None
+    src = landing
+    if f or la:
+        bounds = Window(spec.frequency, f.start if f else dt.date(1, 1, 1), la.end if la else dt.date(9999, 12, 31))
+        src = _pruned(src, control, bounds, landing_control)
+    day = F.col(control) if landing.schema[control].dataType.typeName() in DATED else F.col(control).try_cast("date")
+    src = src.withColumn(PERIOD_COL, period_start(day, spec.frequency))
+    run_day = wf(run_day, "daily").start if run_day is not None else dt.date.today()
+    rows = _stored(spec, _inject(src, spec, run_day, F.col(PERIOD_COL)), landing, PERIOD_COL)
+    return _logged(spark, lake, replace_windows(
+        spark, target, rows, spec.frequency, spec.control, _job(spec), first=f.start if f else None,
+        last=la.start if la else None, scheduler=scheduler,
+        quarantine_table=lake.fq("silver", "quarantine"), swap=lake.swap))
 
 
 def retire_report(spark: SparkSession, lake: Lake, spec: ReportSpec,

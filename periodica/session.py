@@ -64,17 +64,18 @@ def build_session(master: str | None = None, app: str = "periodica",
 def ensure_shared_dir(spark: SparkSession) -> str:
     """Return the shared folder named by ``spark.checkpoint.dir``.
 
-    The cluster's value is always used when present. Only when it is unset
-    (local tests) a fresh folder under the temp dir is created and set.
+    The cluster's value is always used when present. Only when it is unset and
+    the master is local (tests) a fresh folder under the temp dir is created and
+    set; on a cluster an unset folder is an error, as executors share no other.
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
+        master = spark.sparkContext.master
+        if not (master == "local" or master.startswith("local[")):
+            raise RuntimeError(f"spark.checkpoint.dir must name a folder that all executors of {master} share")
         d = tempfile.mkdtemp(prefix="periodica-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
-    try:
-        spark.sparkContext.setCheckpointDir(d)
-    except Exception:
-        pass
+    spark.sparkContext.setCheckpointDir(d)
     return d
 
 

@@ -8,6 +8,7 @@ is a literal fixed on the driver, so a retried task writes the same value.
 from __future__ import annotations
 
 import datetime as dt
+import re
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -26,13 +27,14 @@ EXCEL_EPOCH = dt.date(1899, 12, 30)   # day 0 of workbook date serials
 MANIFEST = "landed_files"
 REJECTS = "rejects"
 
-# one row per landed file; counts are those of the file's batch (per-file
+# a row when a file's batch starts and one when it is done; counts are those of the file's batch (per-file
 # counts are a grouped query on the landing's source_file column)
 MANIFEST_SCHEMA = T.StructType([
     T.StructField("path", T.StringType()), T.StructField("spec", T.StringType()),
     T.StructField("batch_rows", T.LongType()), T.StructField("batch_rejected", T.LongType()),
-    T.StructField("landed_at", T.TimestampNTZType()),
+    T.StructField("landed_at", T.TimestampNTZType()), T.StructField("state", T.StringType()),
 ])
+STARTED, DONE = "started", "done"
 
 
 @dataclass
@@ -98,21 +100,72 @@ def convert(df: DataFrame, spec: IngestSpec, loaded_at: dt.datetime,
     month = F.trunc(ctrl if ctrl is not None else F.lit(loaded_at).cast("date"), "month")
     return df.select(id_col.alias(ID_COL), *[v.alias(k) for k, v in out.items()],
                      F.lit(loaded_at).cast("timestamp_ntz").alias(LOAD_TS_COL),
-                     F.col(SOURCE_FILE_COL), reason.alias(REASON_COL),
+                     F.regexp_replace(SOURCE_FILE_COL, "^file:/+", "file:/").alias(SOURCE_FILE_COL),
+                     reason.alias(REASON_COL),
                      month.alias(LANDING_PART_COL))
 
 
 def landed_files(spark: SparkSession, lake: Lake) -> DataFrame:
-    """Manifest of landed files (one row per file), created on first use."""
-    fq = lake.ensure_table(BRONZE, MANIFEST, MANIFEST_SCHEMA, partitioned=False)
-    return spark.table(fq)
+    """Manifest of landed files (one row per file)."""
+    return _manifest(spark, lake).where(F.col("state") == DONE).drop("state")
+
+
+def _manifest(spark: SparkSession, lake: Lake) -> DataFrame:
+    return spark.table(lake.ensure_table(BRONZE, MANIFEST, MANIFEST_SCHEMA, partitioned=False))
+
+
+def _note(spark: SparkSession, lake: Lake, spec: IngestSpec, files: list[str], state: str, accepted: int,
+          rejected: int, at: dt.datetime) -> None:
+    if files:
+        spark.createDataFrame([(p, spec.name, accepted, rejected, at, state) for p in files], MANIFEST_SCHEMA) \
+            .coalesce(1).write.insertInto(lake.fq(BRONZE, MANIFEST), overwrite=False)
+
+
+def same_path(p: str) -> str:
+    """One spelling of a file's path, for batch and stream alike."""
+    return re.sub("^file:/+", "file:/", p)
+
+
+def file_states(spark: SparkSession, lake: Lake, spec: IngestSpec, paths: list[str]) -> dict[str, str]:
+    """``done`` or ``started`` for those paths of a batch that the manifest knows."""
+    cand = spark.createDataFrame([(p,) for p in paths], "path string")
+    rows = (_manifest(spark, lake).where(F.col("spec") == spec.name).join(cand, "path", "left_semi")
+            .groupBy("path").agg(F.min("state").alias("state")).collect())
+    return {r["path"]: r["state"] for r in rows}
+
+
+def land_files(spark: SparkSession, lake: Lake, spec: IngestSpec, typed: DataFrame, landing: str,
+               files: list[str], states: dict[str, str], at: dt.datetime) -> tuple[int, int]:
+    """Land the files of a batch once, whatever broke off an earlier try: a file
+    is claimed in the manifest before anything is written and marked done after
+    everything is. Of a file claimed but not done, rows or rejects that did get
+    written are found by its path and not written again."""
+    half = [p for p in files if states.get(p) == STARTED]
+    _note(spark, lake, spec, [p for p in files if p not in states], STARTED, 0, 0, at)
+    landed, refused = set(), set()
+    if half:
+        spark.catalog.refreshTable(landing)
+        landed = _holding(spark, landing, half)
+        rejects = lake.fq(BRONZE, REJECTS)
+        refused = _holding(spark, rejects, half) if spark.catalog.tableExists(rejects) else set()
+    n, bad = append_landing(spark, lake, spec, typed, landing, landed, refused)
+    _note(spark, lake, spec, files, DONE, n, bad, at)
+    return n, bad
+
+
+def _holding(spark: SparkSession, table: str, files: list[str]) -> set[str]:
+    return {r[0] for r in spark.table(table).where(F.col(SOURCE_FILE_COL).isin(files))
+            .select(SOURCE_FILE_COL).distinct().collect()}
 
 
 def append_landing(spark: SparkSession, lake: Lake, spec: IngestSpec, typed: DataFrame,
-                   landing: str) -> tuple[int, int]:
+                   landing: str, landed: set[str] = frozenset(), refused: set[str] = frozenset()) -> tuple[int, int]:
     """Append the accepted rows of a converted frame to landing (S10) and, only
-    when there are rejects, write those to the rejects table. Returns
+    when there are rejects, write those to the rejects table. Rows of ``landed``
+    files and rejects of ``refused`` files are there already. Returns
     ``(accepted, rejected)``."""
+    def fresh(seen: set[str]) -> Column:
+        return ~F.col(SOURCE_FILE_COL).isin(list(seen)) if seen else F.lit(True)
     cols = spark.table(landing).columns
     obs = Observation("ingest")
     # rows clustered by landing month: the append writes a few right-sized
@@ -120,13 +173,13 @@ def append_landing(spark: SparkSession, lake: Lake, spec: IngestSpec, typed: Dat
     # sit after the exchange so a re-run map stage cannot count rows twice
     (typed.hint("rebalance", LANDING_PART_COL)
      .observe(obs, F.count(F.lit(1)).alias("n"), F.count_if(F.col(REASON_COL) != "").alias("bad"))
-     .where(F.col(REASON_COL) == "").select(*cols)
+     .where((F.col(REASON_COL) == "") & fresh(landed)).select(*cols)
      .write.insertInto(landing, overwrite=False))
     m = obs.get
     spark.catalog.refreshTable(landing)
     rejected = int(m["bad"])
     if rejected:
-        (typed.where(F.col(REASON_COL) != "")
+        (typed.where((F.col(REASON_COL) != "") & fresh(refused))
          .select(F.lit(spec.name).alias("spec"), SOURCE_FILE_COL, REASON_COL,
                  F.to_json(F.struct(*[c for c in typed.columns
                                       if c not in (REASON_COL, SOURCE_FILE_COL)])).alias("row"))
@@ -146,16 +199,17 @@ def ingest(spark: SparkSession, lake: Lake, spec: IngestSpec, paths: list[str],
     never reach landing, so their generated IDs need not match anything.
     """
     res = IngestResult(spec.name)
+    if spec.control_col and spec.control_from == "column" and spec.control_col not in dict(
+            (dst, src) for src, dst in spec.column_map):
+        raise ValueError(f"{spec.name}: no file column feeds the control column {spec.control_col} (V10)")
+    if spec.control_from == "run_date" and run_date is None:
+        run_date = load_timestamp(now).date()
     landing = lake.ensure_landing_table(spec)
-    from periodica.operators.joins import broadcast_if_small
-    done = landed_files(spark, lake).where(F.col("spec") == spec.name).select("path")
-    paths = list(dict.fromkeys(paths))
-    cand = spark.createDataFrame([(p,) for p in paths], "path string")
-    # the batch's candidates (size-checked) are broadcast and the manifest is
-    # scanned once; only the already-landed candidates come back
-    landed = {r["path"] for r in done.join(broadcast_if_small(cand, 100_000), "path", "left_semi").collect()}
-    new = [p for p in paths if p not in landed]
-    res.skipped = [p for p in paths if p in landed]
+    paths = list(dict.fromkeys(map(same_path, paths)))
+    # the manifest is scanned once; only the batch's known candidates come back
+    states = file_states(spark, lake, spec, paths)
+    new = [p for p in paths if states.get(p) != DONE]
+    res.skipped = [p for p in paths if states.get(p) == DONE]
     if not new:
         return res
     required = [s for s, _ in spec.column_map]
@@ -168,11 +222,8 @@ def ingest(spark: SparkSession, lake: Lake, spec: IngestSpec, paths: list[str],
         return res
     loaded_at = load_timestamp(now)
     typed = convert(raw, spec, loaded_at, run_date)
-    res.accepted, res.rejected = append_landing(spark, lake, spec, typed, landing)
     res.files = [p for p in new if p not in bad]
-    manifest = spark.createDataFrame(
-        [(p, spec.name, res.accepted, res.rejected, loaded_at) for p in res.files], MANIFEST_SCHEMA)
-    manifest.write.insertInto(lake.fq(BRONZE, MANIFEST), overwrite=False)
+    res.accepted, res.rejected = land_files(spark, lake, spec, typed, landing, res.files, states, loaded_at)
     return res
 
 

@@ -14,11 +14,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from periodica.functions.periods import Window, in_window
+from periodica.functions.periods import Window, in_window, overlapping_periods
 from periodica.session import path_exists, shared_path
 from periodica.spec import LANDING_PART_COL, PERIOD_COL, SOURCE_FILE_COL, IngestSpec, ReportSpec
 
 BRONZE, SILVER = "bronze", "silver"
+LANDING_CONTROL = "periodica.landing.control"   # table property: column behind landing_month
 
 
 def _q(name: str) -> str:
@@ -63,7 +64,8 @@ class Lake:
     # -- creation (E17) -------------------------------------------------------
     def ensure_table(self, layer: str, table: str, schema: T.StructType,
                      partitioned: bool = True, types: dict[str, str] | None = None,
-                     partition_col: str = PERIOD_COL) -> str:
+                     partition_col: str = PERIOD_COL,
+                     properties: dict[str, str] | None = None) -> str:
         """CREATE TABLE IF NOT EXISTS with a declared schema; returns its name."""
         fq = self.fq(layer, table)
         loc = self.location(layer, table)
@@ -75,9 +77,11 @@ class Lake:
         if partitioned:
             cols += f", {partition_col} DATE"
             part = f" PARTITIONED BY ({partition_col})"
+        props = ", ".join(f"'{k}' = '{v}'" for k, v in (properties or {}).items())
+        props = f" TBLPROPERTIES ({props})" if props else ""
         if not self.spark.catalog.tableExists(fq):
             self.spark.sql(f"CREATE TABLE IF NOT EXISTS {fq} ({cols}) USING parquet"
-                           f"{part} LOCATION '{loc}'")
+                           f"{part} LOCATION '{loc}'{props}")
             if partitioned and existed:
                 self.spark.sql(f"ALTER TABLE {fq} RECOVER PARTITIONS")
         return fq
@@ -93,7 +97,14 @@ class Lake:
         schema = T.StructType(spec.landing_schema().fields
                               + [T.StructField(SOURCE_FILE_COL, T.StringType())])
         return self.ensure_table(BRONZE, spec.landing_table, schema, True,
-                                 partition_col=LANDING_PART_COL)
+                                 partition_col=LANDING_PART_COL,
+                                 properties={LANDING_CONTROL: spec.control_col or ""})
+
+    def landing_control(self, fq: str) -> str | None:
+        """The column by whose month a landing table is partitioned; None when
+        that is the load time, so that months say nothing about a window."""
+        row = self.spark.sql(f"SHOW TBLPROPERTIES {fq}").where(F.col("key") == LANDING_CONTROL).first()
+        return (row["value"] or None) if row else None
 
     def report_table(self, spec: ReportSpec) -> str:
         return self.fq(SILVER, spec.table)
@@ -112,11 +123,11 @@ class Lake:
 
 def scan_window(df: DataFrame, control: str, window: Window,
                 partitioned: bool = False) -> DataFrame:
-    """Rows of one window (S12). On a report table the partition filter prunes
-    whole folders; the range on the control column is pushed to Parquet."""
+    """Rows of one window (S12). On a report table the partition filter keeps the
+    folders that overlap the window, also when the table is stored by another
+    frequency; the range on the control column is pushed to Parquet."""
     if partitioned:
-        df = df.where((F.col(PERIOD_COL) >= F.lit(window.start))
-                      & (F.col(PERIOD_COL) < F.lit(window.end)))
+        df = df.where(overlapping_periods(PERIOD_COL, window))
     return df.where(in_window(control, window))
 
 

@@ -167,11 +167,14 @@ class IngestSpec:
         return T.StructType(fields)
 
     @staticmethod
-    def from_json(text: str, types: dict[str, str] | None = None) -> "IngestSpec":
+    def from_json(text: str, types: dict[str, str] | None = None, control_col: str | None = None,
+                  control_from: str = "column") -> "IngestSpec":
         """Read a processor config in the JSON shape of the existing processor configs
         (``processor_name``, ``file_pattern``, ``read_options``, ``data_mapping``,
         ``db_config``). Numeric targets come from ``types`` (landing DDL) and
-        default to ``numeric(18,6)``."""
+        default to ``numeric(18,6)``. The configs do not name the control column
+        of the report they feed: ``control_col`` does, so that landing is
+        partitioned by its month (else by load month)."""
         j = json.loads(text)
         dm = j.get("data_mapping", {})
         tc = dm.get("type_conversions", {})
@@ -195,4 +198,5 @@ class IngestSpec:
             encoding=ro.get("encoding", "utf-8"),
             enabled=bool(j.get("enabled", True)),
             generate_id=bool(dm.get("generate_uuid_if_id_missing", True)),
+            control_col=control_col, control_from=control_from,
         )

@@ -66,8 +66,7 @@ def _rows(numero, n=12):
 def test_landing_report_replay(spark, lake, numero, swap):
     lake.swap = swap
     spec, ing = SPECS[numero], INGEST[numero]
-    if ing.unmapped:  # X3: the map never carries the control date; take it from the run date
-        ing = dataclasses.replace(ing, control_from="run_date")
+
     rows = _rows(numero)
     folder, path = _write_source(spark, numero, rows)
     routed = route(list_files(spark, folder), INGEST.values()).collect()

@@ -56,7 +56,7 @@ def test_violations_leave_window_untouched(spark, lake):
     assert reports.deliver(spark, lake, spec, DAY).count() == ok.inserted
     q = spark.table(lake.fq("silver", "quarantine"))
     assert q.count() == res.rejected
-    assert q.first()["_reason"] == "l_extendedprice:numeric(7,2)"
+    assert q.first()["reason"] == "l_extendedprice:numeric(7,2)"
     log = log_rows(spark, [ok, res])
     alerts = alert_rows(log, "ops@example.org", "perfil").collect()
     assert len(alerts) == 1 and alerts[0]["subject"] == "ALERTA: Error en [902_LINEITEM]"
