@@ -72,7 +72,7 @@ def plan_columns(df: DataFrame, steps) -> tuple[list[Column], list[tuple[str, Co
     Returns ``(projection, conversions, truncations)`` where ``conversions``
     holds ``(column, source value, converted value)`` for type changes (a row
     loses data where the source is not NULL and the converted value is) and
-    ``truncations`` holds ``(column, TRUE-when-changed)``.
+    ``truncations`` holds ``(column, TRUE-when-changed, old value)``.
     """
     cols: dict[str, Column] = {c: F.col(f"`{c}`") for c in df.columns}
     types = {f.name: f.dataType for f in df.schema.fields}
@@ -113,6 +113,10 @@ def plan_columns(df: DataFrame, steps) -> tuple[list[Column], list[tuple[str, Co
                 cols[k] = conv
             else:
                 conv = src.try_cast(target)
+                if t.kind == "numeric":
+                    # a value that the declared scale would round is lost too
+                    exact = src.try_cast("decimal(38,18)")
+                    conv = F.when(exact.isNull() | (conv.cast("decimal(38,18)") == exact), conv)
                 conversions.append((k, src, conv))
                 cols[k] = conv
             types[k] = target
@@ -121,7 +125,7 @@ def plan_columns(df: DataFrame, steps) -> tuple[list[Column], list[tuple[str, Co
             if k is None:
                 continue
             src = cols[k].cast("string")
-            truncations.append((k, F.length(src) > st.length))
+            truncations.append((k, F.length(src) > st.length, src))
             cols[k] = F.substring(src, 1, st.length)
         elif isinstance(st, Backfill):
             k = _find(names, st.name)
@@ -156,8 +160,8 @@ def truncated_rows(df: DataFrame, steps, keys: list[str]) -> DataFrame:
     if not truncs:
         return df.limit(0).select(*keys, F.lit("").alias("field"), F.lit("").alias("value"))
     items = F.array(*[F.when(cond, F.struct(F.lit(n).alias("field"),
-                                            F.col(f"`{n}`").cast("string").alias("value")))
-                      for n, cond in truncs])
+                                            src.alias("value")))
+                      for n, cond, src in truncs])
     return (df.select(*keys, F.explode(F.filter(items, lambda x: x.isNotNull())).alias("r"))
             .select(*keys, "r.field", "r.value"))
 
@@ -184,7 +188,7 @@ def migrate_table(spark: SparkSession, table: str, steps, keys: list[str],
     for _, src, conv in conversions:
         lost = lost | (src.isNotNull() & conv.isNull())
     cut = F.lit(False)
-    for _, cond in truncs:
+    for _, cond, _ in truncs:
         cut = cut | F.coalesce(cond, F.lit(False))
     obs = Observation("migrate")
     out = (df.select(*proj, lost.alias("_lost"), cut.alias("_cut"))
@@ -215,6 +219,8 @@ def write_version(spark: SparkSession, table: str, df: DataFrame) -> tuple[str,
     loc = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").where("col_name = 'Location'").first()
     root = loc["data_type"].rsplit("/", 1)[0] if loc else unique_path(spark, "migrate")
     path = f"{root}/{name}__{unique_path(spark, 'v').rsplit('/', 1)[-1]}"
+    if PERIOD_COL in df.columns:  # a few right-sized files per window, not one per task and window
+        df = df.hint("rebalance", PERIOD_COL)
     w = df.write.mode("overwrite").format("parquet").option("path", path)
     if PERIOD_COL in df.columns:
         w = w.partitionBy(PERIOD_COL)

@@ -7,7 +7,7 @@ text: Spark evaluates it with ``F.expr`` to build the landing rows the real
 ``load`` / ``self_refresh`` / ``deliver`` jobs consume, and the DuckDB oracle
 evaluates the same text. Landing-sourced reports derive from ``lineitem``
 (control dates from ``l_shipdate``); self-select reports from ``events``
-(dates from ``ts``; 30 days, so a daily report keeps 30 windows).
+(dates from ``ts``, spread over two months).
 """
 
 from __future__ import annotations
@@ -32,35 +32,43 @@ SOURCES = {
                      text="l_returnflag || l_linestatus", wide="l_extendedprice",
                      mid="l_quantity", small="l_linenumber", frac="l_discount",
                      id="CAST(l_orderkey AS STRING) || '-' || CAST(l_linenumber AS STRING)"),
-    "events": dict(date="CAST(ts AS DATE)", key="user_id", text="event_type", wide="value",
+    # events fall into one month; every other user's are a month later
+    "events": dict(date="(CAST(ts AS DATE) + CAST((user_id % 2) * 31 AS INT))", key="user_id", text="event_type", wide="value",
                    mid="length(event_type)", small="length(event_type)", frac="value / 1000",
                    id="CAST(event_id AS STRING)"),
 }
 
 
-def source_expr(col: LayoutColumn, src: str) -> str:
-    """SQL text of the value a column takes from the source table; by
-    construction it fits the declared type."""
+def source_expr(col: LayoutColumn, src: str, at: int) -> str:
+    """SQL text of the value that the ``at``-th stored column takes from the source
+    table. By construction it fits the declared type, and columns of one type
+    differ from each other, so that a load that swaps two of them, or windows on
+    the wrong one, delivers other rows than the oracle."""
     s = SOURCES[src]
     t = col.type
     if t.kind == "date":
-        return s["date"]
+        return f"({s['date']} + {at})"
     if t.kind == "varchar":
-        return f"right(repeat('0', {t.length}) || CAST({s['key']} AS STRING), {t.length})"
+        return f"right(repeat('0', {t.length}) || CAST({s['key']} + {at} AS STRING), {t.length})"
     if t.kind == "text":
-        return s["text"]
+        return f"{s['text']} || '{at}'"
     if t.kind == "numeric":
         whole = t.precision - t.scale
         if src == "events":
-            return s["wide"] if whole >= 4 else (s["mid"] if whole >= 1 else s["frac"])
+            return f"({s['wide']} + {at})" if whole >= 4 else (f"({s['mid']} + {at % 2})" if whole >= 1 else s["frac"])
         if whole >= 6:
-            return s["wide"]
+            return f"({s['wide']} + {at})"
         if whole >= 2:
-            return s["mid"]
-        return s["small"] if whole == 1 else s["frac"]
+            return f"({s['mid']} + {at % 49})"
+        return f"({s['small']} + {at % 3})" if whole == 1 else s["frac"]
     raise ValueError(t)
 
 
+def stored_expr(spec: ReportSpec, name: str, src: str) -> str:
+    at = next(i for i, c in enumerate(spec.stored_columns) if c.name == name)
+    return source_expr(spec.stored_columns[at], src, at)
+
+
 def _landing_name(spec: ReportSpec, name: str) -> str:
     for land, stored in spec.load_renames:
         if stored == name:
@@ -71,7 +79,7 @@ def _landing_name(spec: ReportSpec, name: str) -> str:
 def landing_frame(spark: SparkSession, sf_dir: str, spec: ReportSpec, src: str) -> DataFrame:
     """Landing rows of ``spec`` derived from a whole test table."""
     df = td.table(spark, sf_dir, src)
-    cols = [F.expr(source_expr(c, src)).alias(_landing_name(spec, c.name))
+    cols = [F.expr(stored_expr(spec, c.name, src)).alias(_landing_name(spec, c.name))
             for c in spec.stored_columns if c.name != LOAD_TS_COL]
     load_ts = F.expr(f"CAST({SOURCES[src]['date']} AS TIMESTAMP)").cast("timestamp_ntz")
     return df.select(F.expr(SOURCES[src]["id"]).alias(ID_COL), *cols, load_ts.alias(LOAD_TS_COL))
@@ -82,7 +90,7 @@ def oracle(spec: ReportSpec, src: str, day: dt.date) -> str:
     w = window_for(day, spec.frequency)
     out = []
     for c in spec.columns:
-        e = source_expr(c, src)
+        e = stored_expr(spec, c.name, src)
         if c.name == spec.inject_col and spec.inject == "run_day":
             e = f"DATE '{day}'"
         elif c.name == spec.inject_col and spec.inject == "period_start":
@@ -93,8 +101,8 @@ def oracle(spec: ReportSpec, src: str, day: dt.date) -> str:
             e = f"CAST({e} AS DECIMAL({c.type.precision},{c.type.scale}))"
         out.append(f"{e} AS {c.header}")
     control = (f"CAST({SOURCES[src]['date']} AS TIMESTAMP)" if spec.control == LOAD_TS_COL
-               else source_expr(spec.control_column, src))
-    order = f" ORDER BY {', '.join(source_expr(next(c for c in spec.stored_columns if c.name == k), src) for k in spec.sort)}" \
+               else stored_expr(spec, spec.control, src))
+    order = f" ORDER BY {', '.join(stored_expr(spec, k, src) for k in spec.sort)}" \
         if spec.sort else ""
     return (f"SELECT {', '.join(out)} FROM {src} "
             f"WHERE {control} >= DATE '{w.start}' AND {control} < DATE '{w.end}'{order}")
@@ -137,8 +145,8 @@ _register(142, _v142["monthly_ymd"], "_monthly_ymd")
 
 @register("report_212_ref_213", f"""
 SELECT k AS ID_LINEA, count(*) AS n_rows FROM (
-  SELECT {source_expr(next(c for c in SPECS[212].columns if c.name == "ID_LINEA"), "events")} AS k FROM events) c
-WHERE k NOT IN (SELECT {source_expr(next(c for c in SPECS[213].columns if c.name == "ID_LINEA"), "events")} FROM events)
+  SELECT {stored_expr(SPECS[212], "ID_LINEA", "events")} AS k FROM events) c
+WHERE k NOT IN (SELECT {stored_expr(SPECS[213], "ID_LINEA", "events")} FROM events)
 GROUP BY k""")
 def report_212_ref_213(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every line of report 212 must exist in report 213 (both stored

@@ -191,3 +191,13 @@ def test_report_relations(spark, lake):
 def _schema(spec):
     from pyspark.sql import types as T
     return T.StructType([T.StructField(c.name, c.type.spark, True) for c in spec.stored_columns])
+
+
+def test_migration_rejects_rounding_and_reports_cuts_after_a_rename(spark):
+    df = spark.createDataFrame([(1, 1.234567, "1.7", "abcdef"), (2, 1.25, "2", "ab"), (3, None, "x", None)],
+                               "ID int, a double, b string, c string")
+    steps = (mg.Retype("a", "numeric(12,2)"), mg.Retype("b", "numeric(2,0)"))
+    lost = {(r["ID"], r["field"], r["value"]) for r in mg.migration_rejects(df, steps, ["ID"]).collect()}
+    assert lost == {(1, "a", "1.234567"), (1, "b", "1.7"), (3, "b", "x")}
+    cut = mg.truncated_rows(df, (mg.Rename("c", "d"), mg.Truncate("d", 3)), ["ID"]).collect()
+    assert [tuple(r) for r in cut] == [(1, "d", "abcdef")]
