@@ -41,6 +41,25 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def set_aside(docs: DataFrame, keep: list[str]) -> DataFrame:
+    """``keep`` as columns and all others in ``_rest``, so that no helper column clashes with them."""
+    rest = [c for c in docs.columns if c not in keep]
+    return docs.select(*[F.col(f"`{c}`") for c in docs.columns if c in keep],
+                       F.struct(*[F.col(f"`{c}`") for c in rest] or [F.lit(None).alias("_none")]).alias("_rest"))
+
+
+def put_back(rows: DataFrame, columns: list[str], keep: list[str]) -> DataFrame:
+    """The columns that ``set_aside`` took, in their old order."""
+    return rows.select(*[F.col(f"`{c}`") if c in keep else F.col("_rest").getField(c).alias(c) for c in columns])
+
+
+def hashed_share(h: Column, want: int, of: int) -> Column:
+    """True for about ``want`` of ``of`` distinct values of a 64-bit hash, always the same ones."""
+    if of <= want:
+        return F.lit(True)
+    return h < F.lit(int(-2 ** 63 + want / of * 2 ** 64)).cast("long")
+
+
 def words_of(text: Column) -> Column:
     """Array of the words of a text; null and empty texts have none."""
     return F.filter(F.split(F.coalesce(text, F.lit("")), WORD_SPLIT), lambda w: w != "")

@@ -17,7 +17,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from periodica.llm.common import chunks_for, cut, let, read, running_start, words_of
+from periodica.llm.common import chunks_for, cut, let, put_back, read, running_start, set_aside, words_of
 
 
 @dataclass(frozen=True)
@@ -180,12 +180,13 @@ def mix(docs: DataFrame, rules: MixRules = MixRules()) -> DataFrame:
 def mixed_documents(docs: DataFrame, rules: MixRules = MixRules()) -> DataFrame:
     """The mix as documents: for each repeat of a document, the words of its drawn blocks.
 
-    Has the columns of ``docs`` (doc_id, text, lang, source, n_chars); the text of a
-    repeat that took the whole document is the document's own.
+    Has the columns of ``docs``, n_chars counted anew; the text of a repeat that took the
+    whole document is the document's own, that of another joins its words by spaces.
     """
     slim = cut(sized(docs))
     targets = cut(source_targets(slim, rules))
-    full = docs.select("*", F.size(words_of(F.col("text"))).cast("long").alias("size"),
+    keep = ["doc_id", "source", "text", "n_chars"]
+    full = set_aside(docs, keep).select("*", F.size(words_of(F.col("text"))).cast("long").alias("size"),
                        F.xxhash64(F.coalesce(F.col("text"), F.lit(""))).alias("text_hash"))
     chunks = chunks_for(slim.count())
     placed = running_start(slim, ["source"], ORDER, "size", chunks, "start")
@@ -201,7 +202,10 @@ def mixed_documents(docs: DataFrame, rules: MixRules = MixRules()) -> DataFrame:
     some = let(words_of(F.col("text")), lambda w: F.array_join(F.flatten(F.transform("parts", lambda p: F.slice(
         w, (p["from_word"] + 1).cast("int"), p["words"].cast("int")))), " "))
     out = out.withColumn("text", F.when(words == F.col("size"), F.col("text")).otherwise(some))
-    return out.withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
+    if "n_chars" in docs.columns:
+        out = out.withColumn("n_chars", F.when(words == F.col("size"), F.col("n_chars"))
+                             .otherwise(F.length("text")).cast(docs.schema["n_chars"].dataType))
+    return put_back(out, docs.columns, keep)
 
 
 def op3_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:

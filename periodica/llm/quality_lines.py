@@ -18,7 +18,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from periodica.llm.common import SPACES, WORD_SPLIT, let, read, words_of
+from periodica.llm.common import SPACES, WORD_SPLIT, let, put_back, read, set_aside, words_of
 
 SYMBOLS = "#*$%&|<>"
 WINDOW = 8
@@ -127,15 +127,18 @@ def quality(docs: DataFrame, rules: LineRules = LineRules(), host: str = "source
 
 def cleaned(docs: DataFrame, rules: LineRules = LineRules(), host: str = "source",
             text: str = "text") -> DataFrame:
-    """The kept documents with their over-frequent lines removed; the columns of ``docs``."""
-    names = docs.columns
-    good = base_metrics(docs, rules, text).filter(~F.col("base_failed"))
+    """The kept documents without their over-frequent lines; the columns of ``docs``, n_chars counted anew."""
+    keep = [host, text, "n_chars"]
+    good = base_metrics(set_aside(docs, keep), rules, text).filter(~F.col("base_failed"))
     rows = _with_removed(_keyed(good, host, text), removed_lines(docs, rules, host, text), ["_left", "_lines"])
-    keep = F.array_join(F.filter(F.split("_body", "\n", -1), lambda x: ~F.array_contains(
-        F.col("_lines"), _line_hash(x)) | ~x.rlike(HAS_WORD)), "\n")
-    return (rows.filter(F.coalesce(F.col("_left"), F.lit(1.0)) >= rules.min_left)
-            .withColumn(text, F.when(F.col("_lines").isNull(), F.col(text)).otherwise(keep))
-            .select(*names))
+    left = let(F.col("_lines"), lambda gone: F.array_join(F.filter(
+        F.split("_body", "\n", -1), lambda x: ~F.array_contains(gone, _line_hash(x)) | ~x.rlike(HAS_WORD)), "\n"))
+    rows = (rows.filter(F.coalesce(F.col("_left"), F.lit(1.0)) >= rules.min_left)
+            .withColumn(text, F.when(F.col("_lines").isNull(), F.col(text)).otherwise(left)))
+    if "n_chars" in docs.columns:
+        rows = rows.withColumn("n_chars", F.when(F.col("_lines").isNull(), F.col("n_chars"))
+                               .otherwise(F.length(text)).cast(docs.schema["n_chars"].dataType))
+    return put_back(rows, docs.columns, keep)
 
 
 def op5_quality_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
