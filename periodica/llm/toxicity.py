@@ -14,7 +14,6 @@ from __future__ import annotations
 
 import re
 import zlib
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -24,12 +23,12 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from periodica.llm.common import read, ship
+from periodica.llm.common import put_back, read, set_aside, ship
 
 
 @dataclass(frozen=True)
 class CrfRules:
-    sample: int = 8000        # labelled documents that the model is fitted on
+    sample: int = 3000        # labelled documents that the model is fitted on
     bits: int = 18            # hashed features
     folds: int = 5            # documents whose fold is 0 are never learnt from
     more: float = 4.0         # times as frequent in toxic documents: label 1
@@ -122,11 +121,11 @@ class Model:
         return np.exp(np.clip(self.weights[f].sum(1) + self.weights[-1], -30, 30))
 
 
-def _layout(split: list[list[bytes]]) -> tuple[np.ndarray, np.ndarray]:
-    n = np.array([len(w) for w in split], np.int64)
+def _opens(n: np.ndarray) -> np.ndarray:
+    """Marks the first words of documents of these lengths."""
     opens = np.zeros(int(n.sum()), bool)
     opens[(np.cumsum(n) - n)[n > 0]] = True
-    return n, opens
+    return opens
 
 
 def document_features(p: np.ndarray, n: np.ndarray) -> np.ndarray:
@@ -149,53 +148,69 @@ def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-2) -> np.ndarray:
     return w
 
 
+class Sample:
+    """Labelled documents as numbers of their distinct words, in parts of bounded length."""
+
+    def __init__(self, texts: list[str], tokens: int = 150_000):
+        number: dict[bytes, int] = {}
+        self.parts: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []     # word, first of its document, counts
+        held: list[np.ndarray] = []
+        for i, t in enumerate(texts):
+            words = (t or "").encode().split()
+            held.append(np.fromiter((number.setdefault(w, len(number)) for w in words), np.int32, len(words)))
+            if sum(map(len, held)) >= tokens or i == len(texts) - 1:
+                n = np.array([len(x) for x in held], np.int64)
+                self.parts.append((np.concatenate(held), _opens(n), n))
+                held = []
+        self.kinds = list(number)
+        self.tokens = sum(len(p[0]) for p in self.parts)
+
+
 def fit(texts: list[str], toxic: list[int], rules: CrfRules) -> Model:
-    """The model of a sample of labelled documents; without toxic ones all scores are low."""
-    split = [(t or "").encode().split() for t in texts]
-    y = np.array(toxic, dtype=float)
-    stem = {w: w.decode().lower().strip(EDGES) for s in split for w in s}
-    seen: tuple[Counter, Counter] = (Counter(), Counter())
-    for words, label in zip(split, toxic):
-        seen[int(label)].update({stem[w] for w in words})
-    n1, n0 = max(1.0, y.sum()), max(1.0, len(y) - y.sum())
-    telling = {w for w, k in seen[1].items()
-               if w and k >= rules.least and k / n1 > rules.more * (seen[0][w] + 1) / n0}
-    kinds = sorted(stem)
-    number = {w: i for i, w in enumerate(kinds)}
-    kind = np.fromiter((number[w] for s in split for w in s), np.int64, sum(map(len, split)))
-    hot = np.array([stem[w] in telling for w in kinds] or [False])
-    n, opens = _layout(split)
-    target = hot[kind] & (np.repeat(y, n) > 0) if len(kind) else np.zeros(0, bool)
-    feats = np.array([features(w, rules.bits) for w in kinds], np.int64).reshape(-1, 3)
+    """The model of a sample of labelled documents; without any, all scores are 1/2."""
     size = (1 << rules.bits) + 1
     w, t, s = np.zeros(size), np.zeros((2, 2)), np.zeros(2)
+    if not texts:
+        return Model(w, np.exp(s), np.exp(t), np.zeros(4))
+    data, y = Sample(texts), np.array(toxic, dtype=float)
+    stems: dict[str, int] = {}
+    stem = np.array([stems.setdefault(x.decode().lower().strip(EDGES), len(stems)) for x in data.kinds], np.int64)
+    telling, seen, at = np.zeros(len(stems), bool), np.zeros((2, len(stems))), 0
+    label = []
+    for kind, _, n in data.parts:
+        for words, one in zip(np.split(kind, np.cumsum(n)[:-1]), y[at:at + len(n)]):
+            seen[int(one), np.unique(stem[words])] += 1
+        label.append(np.repeat(y[at:at + len(n)], n) > 0)
+        at += len(n)
+    n1, n0 = max(1.0, y.sum()), max(1.0, len(y) - y.sum())
+    telling = (seen[1] >= rules.least) & (seen[1] / n1 > rules.more * (seen[0] + 1) / n0)
+    telling[[i for x, i in stems.items() if not x]] = False
+    hot = telling[stem] if len(stem) else np.zeros(0, bool)
+    feats = np.array([features(x, rules.bits) for x in data.kinds], np.int64).reshape(-1, 3)
     w[-1] = -5.0
     gw, gt, gs = np.full(size, 1e-8), np.full((2, 2), 1e-8), np.full(2, 1e-8)
-    inner = ~opens
-    last = np.roll(target, 1)
-    have = np.array([[(inner & (last == i) & (target == j)).sum() for j in (0, 1)] for i in (0, 1)], float)
-    begin = np.array([(opens & ~target).sum(), (opens & target).sum()], float)
-    for _ in range(rules.steps if len(kind) else 0):
-        odds = np.exp(np.clip(w[feats].sum(1) + w[-1], -30, 30))[kind]
-        p = marginals(odds, opens, np.exp(s), np.exp(t))
-        err = np.bincount(kind, target - p, len(kinds))
+    for _ in range(rules.steps if data.tokens else 0):
+        odds = np.exp(np.clip(w[feats].sum(1) + w[-1], -30, 30))
+        err, dt, ds = np.zeros(len(feats)), np.zeros((2, 2)), np.zeros(2)
+        for (kind, opens, _), toxic_here in zip(data.parts, label):
+            p, target = marginals(odds[kind], opens, np.exp(s), np.exp(t)), hot[kind] & toxic_here
+            err += np.bincount(kind, target - p, len(feats))
+            # transitions seen, less those expected by the marginals of neighbours
+            inner = ~opens[1:]
+            for x, sign in ((target.astype(float), 1.0), (p, -1.0)):
+                q, r = x[:-1][inner], x[1:][inner]
+                dt += sign * np.array([[((1 - q) * (1 - r)).sum(), ((1 - q) * r).sum()],
+                                       [(q * (1 - r)).sum(), (q * r).sum()]])
+                ds += sign * np.array([(1 - x[opens]).sum(), x[opens].sum()])
         d = np.bincount(feats.ravel(), np.repeat(err, 3), size)
         d[-1] = err.sum()
-        d = d / len(kind) - rules.l2 * w
-        # expected transitions by the marginals of neighbours
-        q = np.roll(p, 1)[inner]
-        r = p[inner]
-        both = np.array([[((1 - q) * (1 - r)).sum(), ((1 - q) * r).sum()], [(q * (1 - r)).sum(), (q * r).sum()]])
-        dt = (have - both) / len(kind)
-        ds = (begin - np.array([(1 - p[opens]).sum(), p[opens].sum()])) / len(kind)
-        gw += d * d
-        gt += dt * dt
-        gs += ds * ds
+        d, dt, ds = d / data.tokens - rules.l2 * w, dt / data.tokens, ds / data.tokens
+        gw, gt, gs = gw + d * d, gt + dt * dt, gs + ds * ds
         w, t, s = (w + rules.rate * d / np.sqrt(gw), t + rules.rate * dt / np.sqrt(gt), s + rules.rate * ds / np.sqrt(gs))
     model = Model(w, np.exp(s), np.exp(t), np.zeros(4))
-    if len(y):
-        p = marginals(model.odds(kinds, rules.bits)[kind], opens, model.start, model.trans) if len(kind) else np.zeros(0)
-        model.scale = _logistic(document_features(p, n), y)
+    odds = model.odds(data.kinds, rules.bits)
+    x = [document_features(marginals(odds[kind], opens, model.start, model.trans), n) for kind, opens, n in data.parts]
+    model.scale = _logistic(np.concatenate(x), y)
     return model
 
 
@@ -223,12 +238,12 @@ class Scorer:
         split = [(t or "").encode().split() for t in texts]
         new = list(set().union(*split).difference(self.known))
         self.known.update(zip(new, self.model.odds(new, self.rules.bits).tolist()))
-        n, opens = _layout(split)
+        n = np.array([len(x) for x in split], np.int64)
         odds = np.fromiter((o for s in split for o in map(self.known.__getitem__, s)), float, int(n.sum()))
         if len(self.known) > self.rules.known_words:
             for w in new:
                 del self.known[w]
-        p = marginals(odds, opens, self.model.start, self.model.trans)
+        p = marginals(odds, _opens(n), self.model.start, self.model.trans)
         score = 1 / (1 + np.exp(-np.clip(document_features(p, n) @ self.model.scale, -30, 30)))
         spans, first = [], np.cumsum(n) - n
         for text, a, k in zip(texts, first.tolist(), n.tolist()):
@@ -298,7 +313,9 @@ def toxic_documents(docs: DataFrame, labels: DataFrame, rules: CrfRules = CrfRul
 
 def clean_documents(docs: DataFrame, labels: DataFrame, rules: CrfRules = CrfRules()) -> DataFrame:
     """The documents that are not predicted toxic, with their own columns."""
-    return scored(docs, labels, rules, "doc_id", "text").filter(F.col("_score") < rules.limit).select(*docs.columns)
+    keep = ["doc_id", "text"]
+    rows = scored(set_aside(docs, keep), labels, rules, *keep).filter(F.col("_score") < rules.limit)
+    return put_back(rows, docs.columns, keep)
 
 
 def op9_toxic_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
