@@ -8,6 +8,24 @@ from pyspark.sql import functions as F
 from periodica.llm.common import cut
 
 
+class Forest:
+    """Union-find over positions."""
+
+    def __init__(self, n: int):
+        self.up = list(range(n))
+
+    def find(self, i: int) -> int:
+        while self.up[i] != i:
+            self.up[i] = self.up[self.up[i]]
+            i = self.up[i]
+        return i
+
+    def union(self, i: int, j: int) -> bool:
+        i, j = self.find(i), self.find(j)
+        self.up[max(i, j)] = min(i, j)
+        return i != j
+
+
 def _joined(edges: DataFrame, lows: DataFrame) -> DataFrame:
     return edges.join(lows.withColumnRenamed("a", "_a"), F.col("a") == F.col("_a")).drop("_a")
 

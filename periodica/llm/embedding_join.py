@@ -20,8 +20,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from periodica.llm.common import cut, read, ship
-from periodica.llm.components import components
+from periodica.llm.common import cut, hashed_share, read, ship
+from periodica.llm.components import Forest, components
 
 
 @dataclass(frozen=True)
@@ -37,27 +37,10 @@ class GridRules:
         return float(np.sqrt(2.0 - 2.0 * self.cosine)) + 1e-6
 
 
-class Forest:
-    """Union-find over positions."""
-
-    def __init__(self, n: int):
-        self.up = list(range(n))
-
-    def find(self, i: int) -> int:
-        while self.up[i] != i:
-            self.up[i] = self.up[self.up[i]]
-            i = self.up[i]
-        return i
-
-    def union(self, i: int, j: int) -> bool:
-        i, j = self.find(i), self.find(j)
-        self.up[max(i, j)] = min(i, j)
-        return i != j
-
-
 def directions(classes: DataFrame, rules: GridRules) -> np.ndarray:
-    """Principal directions of a bounded sample (smallest hashes), one per column."""
-    rows = classes.orderBy("cid").limit(rules.sample).select("vector").collect()
+    """Principal directions of a sample of bounded size, chosen by hash, one per column."""
+    some = classes.filter(hashed_share(F.col("cid"), rules.sample, classes.count()))
+    rows = some.orderBy("cid").select("vector").collect()
     dims = max((len(r[0]) for r in rows), default=1)
     x = np.array([r[0] for r in rows if len(r[0]) == dims], dtype=np.float64).reshape(-1, dims)
     x = x / np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-300)

@@ -12,7 +12,8 @@ share an n-gram among their first ``n - ceil(t n) + 1``; so
    their pairs;
 3. every pair of classes that meet and are still in different components is
    then counted over all shared n-grams; a pair stays a candidate unless the
-   count proves that it is below t, and every candidate is compared.
+   count proves that it is below t. A few candidates of each class
+   are compared first, and then all whose components still differ.
 
 Comparisons run over prefix trees: the sets to compare with a probe are stored in
 a trie in the same global order (common first, so that they share paths); the
@@ -23,18 +24,19 @@ subtree is left as soon as the n-grams that remain cannot reach t.
 from __future__ import annotations
 
 import zlib
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.broadcast import Broadcast
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from periodica.llm.common import cut, read, ship
-from periodica.llm.components import components
+from periodica.llm.common import cut, put_back, read, set_aside, ship
+from periodica.llm.components import Forest, components
+from periodica.session import delete_path, unique_path
 
 K1, K2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 S32, S29 = np.uint64(32), np.uint64(29)
@@ -45,12 +47,13 @@ SLICES = 16
 class JaccardRules:
     words: int = 4           # of an n-gram
     percent: int = 85        # similarity
-    order_bits: int = 20     # the order table has 2 ** order_bits counts
-    star_rounds: int = 2
-    stars: int = 4           # n-grams of a class at which it is compared in a round
+    order_bits: int = 21     # the order table has 2 ** order_bits counts
+    star_rounds: int = 1
+    probes: int = 8          # of a block in these rounds, besides its first
+    stars: int = 2           # n-grams of a class at which it is compared in a round
     block: int = 256         # sets of one trie
+    broadcast_rows: int = 500_000   # of 16 bytes; more are joined by a shuffle
     texts: int = 256         # texts hashed together
-    known_words: int = 400_000
 
     def least(self, n: int) -> int:
         """Smallest intersection that a set of n needs with any set."""
@@ -62,61 +65,78 @@ def _mixed(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> S32)
 
 
-class WordHashes:
-    """Words to 64-bit hashes; the cache is bounded, what it lacks is hashed again."""
-
-    def __init__(self, most: int):
-        self.known: dict[bytes, int] = {}
-        self.most = most
-
-    def of(self, texts: list[list[bytes]]) -> np.ndarray:
-        known = self.known
-        new = set().union(*texts).difference(known)
-        known.update(zip(new, map(xxhash.xxh64_intdigest, new)))
-        out = np.fromiter((h for t in texts for h in map(known.__getitem__, t)), np.uint64, sum(map(len, texts)))
-        if len(known) > self.most:
-            for w in new:
-                del known[w]
-        return out
-
-
-_hashes: dict[int, WordHashes] = {}
-
-
-def ngram_sets(texts: list[str | None], rules: JaccardRules,
+# one random code for each byte, A-Z those of a-z; white space parts words
+CODES = np.random.default_rng(20).integers(1, 2 ** 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+CODES[65:91] = CODES[97:123]
+SPACE = np.isin(np.arange(256), [9, 10, 11, 12, 13, 32])
+BASE = np.uint64(0xD6E8FEB86659FD93)
+BASE_INVERSE = np.uint64(pow(int(BASE), -1, 2 ** 64))
+_powers: list[np.ndarray] = [np.zeros(0, np.uint64)] * 2
+
+
+def _power_tables(n: int) -> list[np.ndarray]:
+    """BASE ** i and its inverse modulo 2 ** 64 for i < n."""
+    if len(_powers[0]) < n:
+        for k, b in enumerate((BASE, BASE_INVERSE)):
+            p = np.full(n + n // 4 + 1, b)
+            p[0] = 1
+            _powers[k] = np.multiply.accumulate(p)
+    return _powers
+
+
+def _word_hashes(col: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Hash of each word, the document it is in, and the documents' word counts.
+
+    All texts are hashed at once: running sums of byte codes times powers of a
+    base give any word's polynomial hash by one difference."""
+    col = col.fill_null("").cast(pa.large_binary())
+    at = np.frombuffer(col.buffers()[1], np.int64)[col.offset:col.offset + len(col) + 1]
+    data = np.frombuffer(col.buffers()[2], np.uint8)[at[0]:at[-1]] if at[-1] > at[0] else np.zeros(0, np.uint8)
+    at = at - at[0]
+    blank = SPACE[data]
+    edge = np.ones(len(data) + 1, bool)         # a word may begin here
+    edge[1:] = np.append(blank, True)[:len(data)]
+    edge[at] = True
+    start = np.flatnonzero(edge[:-1] & ~blank)
+    stop = np.ones(len(data) + 1, bool)         # a word may end before here
+    stop[:-1] = blank
+    stop[at] = True
+    end = np.flatnonzero(stop[1:] & ~blank) + 1
+    up, down = _power_tables(len(data) + 1)
+    total = np.zeros(len(data) + 1, np.uint64)
+    np.cumsum(CODES[data] * up[:len(data)], out=total[1:])
+    h = _mixed((total[end] - total[start]) * down[start])
+    doc = np.searchsorted(at[1:], start, "right")
+    return h, doc, np.bincount(doc, minlength=len(col)).astype(np.int64)
+
+
+def ngram_sets(texts: pa.Array, rules: JaccardRules,
                counts: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
     """All sets in one array, each in the global order (by hash without ``counts``), and their sizes.
 
     A-Z are lower-cased. A text of fewer words than an n-gram has its whole
     sequence as its one n-gram; a text without words, or null, an empty set.
     """
-    hashes = _hashes.setdefault(rules.known_words, WordHashes(rules.known_words))
-    words = [(t or "").encode().lower().split() for t in texts]
-    n = np.array([len(w) for w in words], np.int64)
-    h = hashes.of(words)
-    doc = np.repeat(np.arange(len(texts)), n)
+    h, doc, n = _word_hashes(texts)
     start = np.cumsum(n) - n
     k = rules.words
     # a window of the next k words; of short texts, the first window holds what there is
-    place = np.arange(len(h)) - start[doc] if len(h) else np.zeros(0, np.int64)
-    opens = (place <= n[doc] - k) | ((place == 0) & (n[doc] < k))
-    length = np.minimum(n[doc], k).astype(np.uint64)
-    at = np.flatnonzero(opens)
-    g = length[at] * K1
+    place = np.arange(len(h)) - start[doc]
+    at = np.flatnonzero((place <= n[doc] - k) | ((place == 0) & (n[doc] < k)))
+    length = np.minimum(n[doc[at]], k)
+    g = length.astype(np.uint64) * K1
     for i in range(k):
-        has = i < length[at]
-        nxt = h[np.minimum(at + i, max(len(h) - 1, 0))]
-        g = np.where(has, (g ^ (g >> S32)) * K1 + nxt, g)
-    g, owner = _mixed(g), doc[at]
-    order = np.lexsort((g, owner))
-    g, owner = g[order], owner[order]
-    if len(g):
-        first = np.append(True, (g[1:] != g[:-1]) | (owner[1:] != owner[:-1]))
-        g, owner = g[first], owner[first]
-    if counts is not None and len(g):
-        order = np.lexsort((g, counts[_bucket(g, rules)], owner))
-        g, owner = g[order], owner[order]
-    return g, np.bincount(owner, minlength=len(texts)).astype(np.int64)
+        nxt = (g ^ (g >> S32)) * K1 + h[np.minimum(at + i, max(len(h) - 1, 0))]
+        g = nxt if (length > i).all() else np.where(length > i, nxt, g)
+    g = _mixed(g)
+    found, ends = [], np.cumsum(np.bincount(doc[at], minlength=len(n)))
+    a = 0
+    for b in ends.tolist():
+        s = np.unique(g[a:b])
+        found.append(s if counts is None else s[np.argsort(counts[_bucket(s, rules)], kind="stable")])
+        a = b
+    sizes = np.array([len(s) for s in found], np.int64)
+    return np.concatenate(found) if found else np.zeros(0, np.uint64), sizes
 
 
 def _bucket(g: np.ndarray, rules: JaccardRules) -> np.ndarray:
@@ -142,7 +162,7 @@ def _signed(docs: DataFrame, rules: JaccardRules) -> DataFrame:
         counts = np.zeros(2 ** rules.order_bits, np.uint32)
         names = ["doc_id", "n", "cid", "slice", "counts"]
         for b in _chunks(batches, rules.texts):
-            g, sizes = ngram_sets(b.column(1).to_pylist(), rules)
+            g, sizes = ngram_sets(b.column(1), rules)
             np.add.at(counts, _bucket(g, rules), 1)
             none = pa.nulls(b.num_rows, pa.int32())
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(sizes), pa.array(_classes_of(g, sizes)), none,
@@ -177,7 +197,7 @@ def _prefixes(docs: DataFrame, order: Broadcast, rules: JaccardRules) -> DataFra
     """(token, cid, n) for the n-grams of each set's prefix."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in _chunks(batches, rules.texts):
-            g, sizes = ngram_sets(b.column(0).to_pylist(), rules, order.value)
+            g, sizes = ngram_sets(b.column(0), rules, order.value)
             cids = _classes_of(g, sizes)
             keep = np.where(sizes > 0, sizes - (-(-rules.percent * sizes // 100)) + 1, 0)
             owner = np.repeat(np.arange(len(sizes)), sizes)
@@ -189,20 +209,21 @@ def _prefixes(docs: DataFrame, order: Broadcast, rules: JaccardRules) -> DataFra
     return docs.select("text").mapInArrow(run, "token long, cid long, n int")
 
 
-def _sets(docs: DataFrame, wanted: DataFrame, order: Broadcast, rules: JaccardRules) -> DataFrame:
-    """(cid, tokens) of the wanted classes (doc_id, cid): sets as packed hashes, in global order."""
+def _texts(docs: DataFrame, wanted: DataFrame, rules: JaccardRules) -> DataFrame:
+    """(cid, text): a text of each wanted class (doc_id, cid); a repeated doc_id may give one twice."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[int] = set()
         for b in _chunks(batches, rules.texts):
-            g, sizes = ngram_sets(b.column(1).to_pylist(), rules, order.value)
-            ends = np.cumsum(sizes)
-            cids = _classes_of(g, sizes)
-            ok = np.flatnonzero(cids == b.column(0).to_numpy())
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(cids[ok]), pa.array([g[ends[i] - sizes[i]:ends[i]].tobytes() for i in ok], pa.binary())],
-                names=["cid", "tokens"])
-    rows = (docs.join(wanted.select(F.col("doc_id").alias("_w"), "cid"), F.col("doc_id").eqNullSafe(F.col("_w")))
-            .select("cid", "text"))
-    return rows.mapInArrow(run, "cid long, tokens binary").dropDuplicates(["cid"])
+            cids = b.column(0).to_numpy()
+            ok = [i for i in np.flatnonzero(_classes_of(*ngram_sets(b.column(1), rules)) == cids).tolist()
+                  if int(cids[i]) not in seen]
+            seen.update(cids[ok].tolist())
+            yield b.take(pa.array(ok, pa.int64()))
+    wanted = cut(wanted.select(F.col("doc_id").alias("_w"), "cid"))
+    if wanted.count() <= rules.broadcast_rows:
+        wanted = F.broadcast(wanted)
+    rows = docs.join(wanted, F.col("doc_id").eqNullSafe(F.col("_w"))).select("cid", "text")
+    return rows.mapInArrow(run, "cid long, text string")
 
 
 class Trie:
@@ -252,26 +273,38 @@ class Trie:
         return found
 
 
-def _compare(pairs: DataFrame, sets: DataFrame, order: Broadcast, rules: JaccardRules) -> DataFrame:
-    """Links (a, b) among distinct pairs (x, y): the partners y of a probe x are dealt into tries."""
+def _compare(pairs: DataFrame, texts: DataFrame, order: Broadcast, rules: JaccardRules, more: int = 0) -> DataFrame:
+    """Links (a, b) of distinct pairs (x, y), as a spanning forest of each block.
+
+    The partners y of a probe x are dealt into blocks, each a trie. With ``more``,
+    up to so many partners of a block become probes too, each one that no link
+    has joined to the block's largest group."""
     blocks = pairs.groupBy("x").agg(F.ceil(F.count("*") / rules.block).alias("k"))
     dealt = pairs.join(blocks, "x").select(
         "x", F.pmod(F.xxhash64("y"), F.col("k")).alias("part"), F.col("y").alias("cid"), F.lit(False).alias("probe"))
     probes = dealt.select("x", "part").distinct().select("x", "part", F.col("x").alias("cid"), F.lit(True).alias("probe"))
-    work = dealt.unionByName(probes).join(sets, "cid")
+    work = dealt.unionByName(probes).join(texts, "cid")
 
     def run(t: pa.Table) -> pa.Table:
-        sets_ = [np.frombuffer(x.as_py(), np.uint64) for x in t.column("tokens")]
+        g, sizes = ngram_sets(t.column("text").combine_chunks(), rules)
         cids, probe = t.column("cid").to_pylist(), t.column("probe").to_pylist()
-        every = np.unique(np.concatenate(sets_))
+        every = np.unique(g)
         rank = np.empty(len(every), np.uint32)          # common first
         rank[np.lexsort((every, order.value[_bucket(every, rules)]))[::-1]] = np.arange(len(every), dtype=np.uint32)
-        rows = [np.sort(rank[np.searchsorted(every, s)]) for s in sets_]
-        stored = [i for i, p in enumerate(probe) if not p]
-        trie = Trie([rows[i] for i in stored])
-        out = [(cids[p], cids[stored[m]]) for p in range(len(rows)) if probe[p]
-               for m in trie.matches(rows[p], len(every), rules)]
-        return pa.table({"a": pa.array([o[0] for o in out], pa.int64()), "b": pa.array([o[1] for o in out], pa.int64())})
+        rows = [np.sort(rank[np.searchsorted(every, s)]) for s in np.split(g, np.cumsum(sizes)[:-1])]
+        trie, joined, links = Trie(rows), Forest(len(rows)), []
+        todo, asked = [i for i, p in enumerate(probe) if p], set()
+        for _ in range(len(todo) + more):
+            if not todo:
+                groups = Counter(map(joined.find, range(len(rows))))
+                largest = groups.most_common(1)[0][0]
+                todo = [i for i in range(len(rows)) if i not in asked and joined.find(i) != largest][:1]
+                if not todo:
+                    break
+            i = todo.pop()
+            asked.add(i)
+            links += [(cids[i], cids[m]) for m in trie.matches(rows[i], len(every), rules) if joined.union(i, m)]
+        return pa.table({"a": pa.array([x[0] for x in links], pa.int64()), "b": pa.array([x[1] for x in links], pa.int64())})
     return work.groupBy("x", "part").applyInArrow(run, "a long, b long")
 
 
@@ -283,6 +316,17 @@ def _with_roots(rows: DataFrame, roots: DataFrame | None) -> DataFrame:
             .withColumn("root", F.coalesce("_r", "cid")).drop("_n", "_r"))
 
 
+def _merged(roots: DataFrame | None, links: DataFrame) -> DataFrame:
+    """Roots after more links, whose ends are first replaced by the roots so far."""
+    if roots is None:
+        return cut(components(links))
+    a = _with_roots(links.select(F.col("a").alias("cid"), "b"), roots).select(F.col("root").alias("a"), F.col("b").alias("cid"))
+    more = cut(components(_with_roots(a, roots).select("a", F.col("root").alias("b"))))
+    old = roots.join(more.select(F.col("node").alias("_m"), F.col("root").alias("_t")), F.col("root") == F.col("_m"), "left")
+    old = old.select("node", F.coalesce("_t", "root").alias("root"))
+    return cut(old.unionByName(more.join(old.select(F.col("node").alias("_o")), F.col("node") == F.col("_o"), "left_anti")))
+
+
 def _star_pairs(shared: DataFrame, roots: DataFrame | None, salt: int, rules: JaccardRules) -> DataFrame:
     """Each class with the class chosen at a few of its shared n-grams, where components differ."""
     few = (shared.groupBy("cid").agg(F.first("n").alias("n"), F.slice(F.sort_array(F.collect_list(
@@ -306,18 +350,37 @@ def _open_pairs(shared: DataFrame, roots: DataFrame | None, rules: JaccardRules)
     major = (per.groupBy("token").agg(F.max_by("root", F.struct("k", "root")).alias("major"), F.count("*").alias("roots"))
              .filter("roots > 1"))
     mixed = rows.join(major, "token")
-    left = mixed.filter("root <> major").select("token", F.col("cid").alias("x"), F.col("n").alias("nx"), F.col("root").alias("rx"))
-    right = mixed.select("token", F.col("cid").alias("y"), F.col("n").alias("ny"), F.col("root").alias("ry"), "major")
+    left = mixed.filter("root <> major").select("token", F.col("cid").alias("x"), F.col("n").alias("nx"), F.col("root").alias("rx"),
+                                                 F.col("shared").alias("sx"))
+    right = mixed.select("token", F.col("cid").alias("y"), F.col("n").alias("ny"), F.col("root").alias("ry"),
+                         F.col("shared").alias("sy"), "major")
     p = F.lit(rules.percent)
+    hi, lo = F.greatest("nx", "ny"), F.least("nx", "ny")
+
+    def possible(common: Column, hi: Column, lo: Column) -> Column:
+        """Whether t can be reached with so many common n-grams in the prefixes: beyond
+        them a set has ceil(t n) - 1 n-grams, and t demands a number in common."""
+        return common + F.ceil(p * hi / 100) - 1 >= F.ceil(p * (hi + lo) / (100 + p))
     met = (left.join(right, "token").filter(F.col("rx") != F.col("ry"))
            .filter((F.col("ry") == F.col("major")) | (F.col("x") < F.col("y")))
-           .filter(100 * F.least("nx", "ny") >= p * F.greatest("nx", "ny")))
-    pair = met.select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y"), "nx", "ny")
-    counted = pair.groupBy("x", "y").agg(F.count("*").alias("c"), F.max(F.greatest("nx", "ny")).alias("hi"),
-                                         F.min(F.least("nx", "ny")).alias("lo"))
-    # beyond the prefixes a set has ceil(t n) - 1 n-grams, and t demands this many in common
-    most = F.col("c") + F.ceil(p * F.col("hi") / 100) - 1
-    return counted.filter(most >= F.ceil(p * (F.col("hi") + F.col("lo")) / (100 + p))).select("x", "y")
+           .filter((100 * lo >= p * hi) & possible(F.least("sx", "sy"), hi, lo)))
+    pair = met.select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y"), hi.alias("hi"), lo.alias("lo"))
+    counted = pair.groupBy("x", "y", "hi", "lo").agg(F.count("*").alias("c"))
+    return counted.filter(possible(F.col("c"), F.col("hi"), F.col("lo"))).select("x", "y")
+
+
+def _between(pairs: DataFrame, roots: DataFrame, most: int | None) -> DataFrame:
+    """Pairs whose components still differ; with ``most``, so many of each class,
+    which spares most others where one links."""
+    p = _with_roots(pairs.withColumnRenamed("x", "cid"), roots).select(F.col("cid").alias("x"), "y", F.col("root").alias("rx"))
+    p = _with_roots(p.withColumnRenamed("y", "cid"), roots).select("x", F.col("cid").alias("y"), "rx", F.col("root").alias("ry"))
+    p = p.filter("rx <> ry")
+    if most:
+        h = F.xxhash64("x", "y")
+        p = (p.withColumn("_i", F.row_number().over(Window.partitionBy("x").orderBy(h)))
+             .withColumn("_j", F.row_number().over(Window.partitionBy("y").orderBy(h)))
+             .filter((F.col("_i") <= most) | (F.col("_j") <= most)))
+    return p.select("x", "y")
 
 
 def near_documents(docs: DataFrame, rules: JaccardRules = JaccardRules(), doc_id: str = "doc_id",
@@ -339,15 +402,21 @@ def near_documents(docs: DataFrame, rules: JaccardRules = JaccardRules(), doc_id
     shared = (_prefixes(docs, order, rules)
               .select("*", F.min("cid").over(met).alias("_lo"), F.max("cid").over(met).alias("_hi"))
               .filter("_lo <> _hi").groupBy("token", "cid").agg(F.first("n").alias("n")))
-    shared = cut(shared)
+    # with the number of shared n-grams in a class's prefix: no pair has more in common there
+    shared = cut(shared.withColumn("shared", F.count("*").over(Window.partitionBy("cid"))))
     wanted = full.join(shared.select("cid").distinct(), "cid", "left_semi").groupBy("cid").agg(F.min("doc_id").alias("doc_id"))
-    sets = cut(_sets(docs, wanted, order, rules))
-    links, roots = None, None
-    for r in range(rules.star_rounds + 1):
-        pairs = _star_pairs(shared, roots, r, rules) if r < rules.star_rounds else _open_pairs(shared, roots, rules)
-        new = cut(_compare(cut(pairs), sets, order, rules))
-        links = new if links is None else links.unionByName(new)
-        roots = components(links)
+    place = unique_path(docs.sparkSession, "ngram-texts")
+    _texts(docs, wanted, rules).write.parquet(place)
+    texts = docs.sparkSession.read.parquet(place)
+    roots = None
+    for r in range(rules.star_rounds):
+        pairs = cut(_star_pairs(shared, roots, r, rules))
+        roots = _merged(roots, cut(_compare(pairs, texts, order, rules, rules.probes)))
+    still = cut(_open_pairs(shared, roots, rules))
+    for few in (True, False):
+        pairs = cut(_between(still, roots, rules.probes if few else None))
+        roots = _merged(roots, cut(_compare(pairs, texts, order, rules)))
+    delete_path(docs.sparkSession, place)      # all comparisons are made and cut
     known = _with_roots(full.groupBy("cid").agg(F.min("doc_id").alias("low")), roots)
     lows = known.groupBy("root").agg(F.min("low").alias("component")).withColumnRenamed("root", "_root")
     known = known.join(lows, F.col("root") == F.col("_root")).select(F.col("cid").alias("_c"), "component")
@@ -360,8 +429,10 @@ def deduplicated(docs: DataFrame, rules: JaccardRules = JaccardRules()) -> DataF
     """One document of each group: the one that names it. Equal rows become one."""
     found = near_documents(docs, rules)
     kept = found.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("_k")).distinct()
-    return (docs.join(kept, F.col("doc_id").eqNullSafe(F.col("_k")), "left_semi")
-            .withColumn("_h", F.xxhash64("text")).dropDuplicates(["doc_id", "_h"]).drop("_h"))
+    keep = ["doc_id", "text"]
+    rows = (set_aside(docs, keep).join(kept, F.col("doc_id").eqNullSafe(F.col("_k")), "left_semi")
+            .withColumn("_h", F.xxhash64("text")).dropDuplicates(["doc_id", "_h"]))
+    return put_back(rows, docs.columns, keep)
 
 
 def op8_prefix_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
