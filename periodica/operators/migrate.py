@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from periodica.functions.types import parse_type
-from periodica.session import delete_path, unique_path
+from periodica.session import LOCATION_SUFFIX, delete_path, read_lines, unique_path, write_lines
 from periodica.spec import PERIOD_COL
 
 
@@ -229,25 +229,50 @@ def write_version(spark: SparkSession, table: str, df: DataFrame) -> tuple[str,
 
 
 def swap_in(spark: SparkSession, table: str, staged: str, new_name: str | None = None) -> str:
-    """Drop the old definition and rename the new version into place."""
+    """Drop the old definition and rename the new version into place.
+
+    Between the two calls no table has the name; ``recover_swap`` completes a swap
+    that broke off there. The new folder is noted next to it, so that a later
+    session attaches it; the folder that was in use stays for readers that are
+    still open, and goes with the next migration."""
+    old, new = _location(spark, table), _location(spark, staged)
     spark.sql(f"DROP TABLE {table}")
     final = new_name or table
     spark.sql(f"ALTER TABLE {staged} RENAME TO {final}")
+    _note_location(spark, table, final, new, old)
     return final
 
 
+def _location(spark: SparkSession, table: str) -> str | None:
+    row = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").where("col_name = 'Location'").first()
+    return row["data_type"].rstrip("/") if row else None
+
+
+def _note_location(spark: SparkSession, table: str, final: str, new: str, old: str | None) -> None:
+    root = new.rsplit("/", 1)[0]
+    before = f"{root}/{table.rpartition('.')[2]}{LOCATION_SUFFIX}"
+    for stale in read_lines(spark, before)[1:]:
+        if stale not in (new, old):
+            delete_path(spark, stale)
+    if final != table:
+        delete_path(spark, before)
+    write_lines(spark, f"{root}/{final.rpartition('.')[2]}{LOCATION_SUFFIX}", [new, old] if old else [new])
+
+
 def recover_swap(spark: SparkSession, table: str) -> bool:
     """Finish a swap that stopped after the drop: the new version exists but
     the table name does not."""
     staged = _staged_name(table)
     if not spark.catalog.tableExists(table) and spark.catalog.tableExists(staged):
+        new = _location(spark, staged)
         spark.sql(f"ALTER TABLE {staged} RENAME TO {table}")
+        _note_location(spark, table, table, new, None)
         return True
     return False
 
 
 def swap_rewrite(spark: SparkSession, table: str, df: DataFrame, new_name: str | None = None) -> str:
-    """Write a new version of ``table`` from ``df`` and swap it in. Readers see
+    """Write a new version of ``table`` from ``df`` and swap it in. A query reads
     either version, never a mix."""
     staged, _ = write_version(spark, table, df)
     return swap_in(spark, table, staged, new_name)

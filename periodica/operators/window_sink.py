@@ -11,7 +11,7 @@
    * ``location`` swap (persistent metastore): the folder was written inside
      the table, and one ``ALTER TABLE ... PARTITION ... SET LOCATION`` makes it
      the window (atomic for readers, no second copy); the previous folder of
-     the window is removed;
+     the window stays for open readers and goes with the next load;
    * ``copy`` swap (session catalog): the folder is staging in the shared
      checkpoint folder, copied in by one static
      ``INSERT OVERWRITE ... PARTITION (period_start = d)``.
@@ -25,15 +25,17 @@ in one job (backfills).
 from __future__ import annotations
 
 import datetime as dt
+import re
 import uuid
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from periodica.functions.periods import Window
-from periodica.session import delete_path, unique_path
+from periodica.session import delete_path, list_path, unique_path
 from periodica.spec import PERIOD_COL
 
 REASON_COL = "_reason"
@@ -114,6 +116,11 @@ def _stage(spark: SparkSession, rows: DataFrame, job: str, path: str | None = No
     return path, int(m["n"]), int(m["bad"])
 
 
+def _same(a: str, b: str) -> bool:
+    """Whether two spellings name one folder (``file:/x`` and ``file:///x``)."""
+    return re.sub(":/+", ":/", a.rstrip("/")) == re.sub(":/+", ":/", b.rstrip("/"))
+
+
 def table_location(spark: SparkSession, table: str) -> str:
     row = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").where("col_name = 'Location'").first()
     return row["data_type"].rstrip("/")
@@ -124,8 +131,10 @@ def partition_location(spark: SparkSession, table: str, start: dt.date) -> str |
     try:
         row = (spark.sql(f"DESCRIBE FORMATTED {table} PARTITION ({PERIOD_COL} = DATE'{start.isoformat()}')")
                .where("col_name = 'Location'").first())
-    except Exception:
-        return None
+    except AnalysisException as e:
+        if "PARTITION" in (e.getCondition() or ""):      # no such partition; other errors are the run's
+            return None
+        raise
     return row["data_type"].rstrip("/") if row else None
 
 
@@ -198,7 +207,7 @@ def replace_window(spark: SparkSession, table: str, rows: DataFrame | Callable[[
 
     ``swap='location'`` writes the window once, into a new version folder inside
     the table's folder, and repoints the partition to it (the previous folder
-    of the window is removed afterwards); ``swap='copy'`` stages in the shared
+    of the window stays for open readers until the next load); ``swap='copy'`` stages in the shared
     folder and copies with a static ``INSERT OVERWRITE``. Both leave every
     other window untouched and never expose a half-written window.
     """
@@ -229,8 +238,13 @@ def replace_window(spark: SparkSession, table: str, rows: DataFrame | Callable[[
                 prev = partition_location(spark, table, window.start)
                 point_partition(spark, table, window.start, staging, exists=prev is not None)
                 live, staging = staging, None     # the staged folder is now the window
-                if prev and prev != live and prev.startswith(root):
-                    delete_path(spark, prev)      # previous version of this window only
+                # the previous version stays for open readers; older ones of this window go
+                versions = list_path(spark, live.rsplit("/", 1)[0])
+                if prev and "/_versions/" in prev:
+                    versions.append(f"{root}/{PERIOD_COL}={window.start.isoformat()}")
+                for path in versions:
+                    if not _same(path, live) and not (prev and _same(path, prev)):
+                        delete_path(spark, path)
             else:
                 overwrite_partition(spark, table, window.start, staged.drop(REASON_COL))
             res.inserted = n

@@ -187,7 +187,7 @@ def retire_report(spark: SparkSession, lake: Lake, spec: ReportSpec,
     stored table and data (delivery and load are functions of the spec, so
     nothing else is stored). Landing tables are shared and kept."""
     from periodica.operators.index import index_delete, rewrite_index
-    from periodica.session import delete_path
+    from periodica.session import LOCATION_SUFFIX, delete_path, read_lines
     out = {"index_rows_removed": 0, "table_dropped": False}
     if index_table and lake.exists(index_table):
         idx = spark.table(index_table)
@@ -199,7 +199,9 @@ def retire_report(spark: SparkSession, lake: Lake, spec: ReportSpec,
     if lake.exists(fq):
         spark.sql(f"DROP TABLE {fq}")
         out["table_dropped"] = True
-    delete_path(spark, lake.location("silver", spec.table))
+    standard = f"{lake.root}/{lake.db('silver')}/{spec.table}"
+    for path in {*read_lines(spark, standard + LOCATION_SUFFIX), standard, standard + LOCATION_SUFFIX}:
+        delete_path(spark, path)
     return out
 
 

@@ -31,6 +31,10 @@ BASE_CONF = {
 }
 
 
+# a text file next to a table's folder: its folder since the last migration, and the one before
+LOCATION_SUFFIX = ".location"
+
+
 def build_session(master: str | None = None, app: str = "periodica",
                   shuffle_partitions: int | None = None,
                   extra: dict | None = None) -> SparkSession:
@@ -97,6 +101,43 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(p))
 
 
+def _file(spark: SparkSession, path: str):
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p, p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def write_lines(spark: SparkSession, path: str, lines: list[str]) -> None:
+    """Replace a small text file (Hadoop FS, any scheme)."""
+    p, fs = _file(spark, path)
+    out = fs.create(p, True)
+    try:
+        out.write(bytearray("\n".join(lines).encode()))
+    finally:
+        out.close()
+
+
+def read_lines(spark: SparkSession, path: str) -> list[str]:
+    """Lines of a small text file; none where it does not exist."""
+    p, fs = _file(spark, path)
+    if not fs.exists(p):
+        return []
+    jvm = spark.sparkContext._jvm
+    reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(fs.open(p), "UTF-8"))
+    try:
+        out = []
+        while (line := reader.readLine()) is not None:
+            out.append(line)
+        return out
+    finally:
+        reader.close()
+
+
+def list_path(spark: SparkSession, path: str) -> list[str]:
+    """Paths directly under a folder; none where it does not exist."""
+    p, fs = _file(spark, path)
+    return [str(s.getPath().toString()) for s in fs.listStatus(p)] if fs.exists(p) else []
+
+
 def delete_path(spark: SparkSession, path: str) -> None:
     """Remove a staging folder the engine itself created (Hadoop FS, any scheme)."""
     jvm = spark.sparkContext._jvm

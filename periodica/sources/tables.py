@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from periodica.functions.periods import Window, in_window, overlapping_periods
-from periodica.session import path_exists, shared_path
+from periodica.session import LOCATION_SUFFIX, path_exists, read_lines, shared_path
 from periodica.spec import LANDING_PART_COL, PERIOD_COL, SOURCE_FILE_COL, IngestSpec, ReportSpec
 
 BRONZE, SILVER = "bronze", "silver"
@@ -56,7 +56,9 @@ class Lake:
         return f"{self.prefix}{layer}"
 
     def location(self, layer: str, table: str) -> str:
-        return f"{self.root}/{self.db(layer)}/{table}"
+        """Folder of a table: where its last migration put it, else the standard one."""
+        standard = f"{self.root}/{self.db(layer)}/{table}"
+        return next(iter(read_lines(self.spark, standard + LOCATION_SUFFIX)), standard)
 
     def fq(self, layer: str, table: str) -> str:
         return f"{self.db(layer)}.{table}"

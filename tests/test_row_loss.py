@@ -82,3 +82,25 @@ def test_oracle_tells_columns_apart(spark, numero):
     names = [c.name for c in spec.stored_columns if c.type.kind == "date"]
     controls = {report_queries.stored_expr(spec, n, "lineitem") for n in names}
     assert len(controls) == len(names)
+
+
+def test_a_new_session_attaches_the_migrated_folder(spark, lake):
+    """A migration moves a table's folder; its definition lost (a session catalog),
+    the table is attached where it is, and older folders go one migration later."""
+    from periodica.operators import migrate as mg
+    from periodica.session import path_exists, read_lines
+    spec = td.orders_spec(MONTHLY)
+    reports.load(spark, lake, spec, "1995-03-15", landing=td.orders_landing(spark, SF_SMALL))
+    table, n = lake.report_table(spec), spark.table(lake.report_table(spec)).count()
+    standard = lake.location("silver", spec.table)
+    folders = [standard]
+    for i in range(2):
+        assert mg.migrate_table(spark, table, (mg.AddColumn(f"extra{i}", "int"),), keys=["ID"])["status"] == "Exitoso"
+        folders.append(lake.location("silver", spec.table))
+    assert len(set(folders)) == 3 and read_lines(spark, standard + ".location") == [folders[2], folders[1]]
+    assert [path_exists(spark, f) for f in folders] == [False, True, True]
+    spark.sql(f"DROP TABLE {table}")
+    lake.ensure_report_table(spec)
+    assert spark.table(table).count() == n
+    reports.retire_report(spark, lake, spec)
+    assert not any(path_exists(spark, f) for f in [*folders, standard + ".location"])
