@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from periodica.llm.common import read, ship
+from periodica.llm.common import hashed_share, read, ship
 
 # fixed values: frequent function words of the four languages
 STOP = frozenset("""the of and to in a is that it for on with as was at by an be this from or are
@@ -30,7 +30,7 @@ le la les de des et un une du en que est pour qui dans ce il au sur""".split())
 
 @dataclass(frozen=True)
 class WeakRules:
-    sample: int = 8000        # documents that the scorer is trained on
+    sample: int = 4000        # distinct texts, about, that the scorer is trained on
     bits: int = 16            # hashed features
     em_steps: int = 100
     steps: int = 60           # of the fit
@@ -149,24 +149,26 @@ def variety_bin(words: list[bytes]) -> int:
 def train(texts: list[str], target: np.ndarray, rules: WeakRules) -> np.ndarray:
     """Weights of a logistic scorer for soft targets, by full-batch adaptive gradient steps."""
     size = (1 << rules.bits) + 64
-    split = [(t or "").encode().split() for t in texts]
-    kinds = sorted(set().union(*split))
-    number = {w: i for i, w in enumerate(kinds)}
-    n = np.array([len(s) for s in split], np.int64)
-    kind = np.fromiter((number[w] for s in split for w in s), np.int64, int(n.sum()))
-    owner = np.repeat(np.arange(len(split)), n)
+    number: dict[bytes, int] = {}
+    kind_of, n, more = [], np.zeros(len(texts), np.int64), np.zeros(len(texts), np.int64)
+    for i, t in enumerate(texts):
+        words = (t or "").encode().split()
+        kind_of.append(np.fromiter((number.setdefault(w, len(number)) for w in words), np.int32, len(words)))
+        n[i], more[i] = len(words), (1 << rules.bits) + 32 + variety_bin(words)
+    kinds = list(number)
+    kind = np.concatenate(kind_of) if kind_of else np.zeros(0, np.int32)
+    owner = np.repeat(np.arange(len(texts)), n)
     share = 1.0 / np.maximum(n, 1)
     f = np.array([features(w, rules.bits) for w in kinds], np.int64).reshape(-1, 2)
     bins = (1 << rules.bits) + np.array([length_bin(int(x)) for x in n], np.int64)
-    more = (1 << rules.bits) + 32 + np.array([variety_bin(s) for s in split], np.int64)
     w, g2 = np.zeros(size), np.full(size, 1e-8)
-    for _ in range(rules.steps if len(split) else 0):
+    for _ in range(rules.steps if len(texts) else 0):
         by_kind = w[f].sum(1) if len(kinds) else np.zeros(0)
-        z = np.bincount(owner, by_kind[kind], len(split)) * share + w[bins] + w[more]
+        z = np.bincount(owner, by_kind[kind], len(texts)) * share + w[bins] + w[more]
         err = target - 1 / (1 + np.exp(-np.clip(z, -30, 30)))
         per = np.bincount(kind, (err * share)[owner], len(kinds))
         d = np.bincount(f.ravel(), np.repeat(per, 2), size) + np.bincount(bins, err, size) + np.bincount(more, err, size)
-        d = d / len(split) - 1e-7 * w
+        d = d / len(texts) - 1e-7 * w
         g2 += d * d
         w = w + rules.rate * d / np.sqrt(g2)
     return w
@@ -197,8 +199,9 @@ def weak_quality(docs: DataFrame, rules: WeakRules = WeakRules(), doc_id: str =
     for r in counted.collect():                      # at most 3 ** 8 rows
         counts[r["pattern"]] = r["n"]
     _, _, post = label_model(counts, k, rules.em_steps)
-    chosen = F.xxhash64(F.coalesce(F.col("text"), F.lit("")))
-    sample = sorted({r[0] or "" for r in docs.orderBy(chosen, "text").limit(rules.sample).select("text").collect()})
+    h = F.xxhash64(F.coalesce(F.col("text"), F.lit("")))
+    some = docs.select("text", h.alias("h")).filter(hashed_share(F.col("h"), rules.sample, int(counts.sum())))
+    sample = sorted(r[0] or "" for r in some.groupBy("h").agg(F.min("text").alias("text")).select("text").collect())
     target = np.array([post[pattern(votes(t))] for t in sample])
     model = spark.sparkContext.broadcast((train(sample, target, rules), post))
     key = hash(model.value[0].tobytes())

@@ -35,7 +35,7 @@ def _corpus(seed):
 @pytest.mark.parametrize("seed,words,percent", [(1, 4, 85), (2, 5, 80), (3, 2, 60)])
 def test_matches_brute_force(spark, seed, words, percent):
     rows = _corpus(seed)
-    rules = JaccardRules(words=words, percent=percent, order_bits=8, block=4, stars=1, star_rounds=1)
+    rules = JaccardRules(words=words, percent=percent, order_bits=8, block=seed + 1, wide_block=3, stars=1, stray_rounds=seed % 3)
     got = near_documents(spark.createDataFrame(rows, SCHEMA), rules).collect()
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == jaccard_groups(rows, words, percent)
 
