@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from periodica.llm.common import cut, read, ship
 
 TOKENIZER = "word_bpe_49k.json"
-CACHE_WORDS = 1_000_000  # words of one Python worker's cache
+CACHE_WORDS = 1_500_000  # words of one Python worker's cache
 TEXTS = 512            # texts encoded together
 
 
@@ -224,8 +224,7 @@ class Search:
                 b = int(fits[np.argmin(room[fits])])
                 if self.fill[b] + n > self.fill[donor] and n > best:
                     best, act = n, (out, b, [])
-                continue
-            flow = n - self.len                                        # one or two for one
+            flow = n - self.len                                         # one or two for one
             flow[(flow <= 0) | (flow > room[self.at]) | (self.fill[self.at] + flow <= self.fill[donor])] = 0
             j = int(np.argmax(flow))
             if flow[j] > best:
