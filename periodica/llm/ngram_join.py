@@ -7,13 +7,13 @@ hash. Documents with equal sets are one class. Sets that reach similarity t
 share an n-gram among their first ``n - ceil(t n) + 1``; so
 
 1. classes meet at the n-grams of these prefixes;
-2. in star rounds every class is compared, at a few of its shared n-grams, with
-   one class chosen there, which joins groups of near copies without listing
-   their pairs;
-3. every pair of classes that meet and are still in different components is
-   then counted over all shared n-grams; a pair stays a candidate unless the
-   count proves that it is below t. A few candidates of each class
-   are compared first, and then all whose components still differ.
+2. every class is compared, at a few of its shared n-grams, with one class chosen
+   there, and then each class that is outside the largest component at one of its
+   n-grams with a few of that component: this joins groups of near copies
+   without listing their pairs;
+3. every pair of classes that meet and are still in different components is a
+   candidate unless sizes, places of the n-gram or counts of shared n-grams prove
+   that it is below t, and every candidate is compared.
 
 Comparisons run over prefix trees: the sets to compare with a probe are stored in
 a trie in the same global order (common first, so that they share paths); the
@@ -48,10 +48,11 @@ class JaccardRules:
     words: int = 4           # of an n-gram
     percent: int = 85        # similarity
     order_bits: int = 21     # the order table has 2 ** order_bits counts
-    star_rounds: int = 1
-    probes: int = 8          # of a block in these rounds, besides its first
-    stars: int = 2           # n-grams of a class at which it is compared in a round
-    block: int = 256         # sets of one trie
+    stray_rounds: int = 1
+    probes: int = 8          # of a block of stars, besides its first; pairs of a stray class
+    stars: int = 2           # n-grams of a class at which it is compared first
+    block: int = 128         # sets of a trie of pairs; where more pairs than its square meet, blocks do
+    wide_block: int = 1024   # sets of such a block's trie, and its probes
     broadcast_rows: int = 500_000   # of 16 bytes; more are joined by a shuffle
     texts: int = 256         # texts hashed together
 
@@ -194,7 +195,7 @@ def _order_table(signed: DataFrame, rules: JaccardRules) -> Broadcast:
 
 
 def _prefixes(docs: DataFrame, order: Broadcast, rules: JaccardRules) -> DataFrame:
-    """(token, cid, n) for the n-grams of each set's prefix."""
+    """(token, cid, n, place) for the n-grams of each set's prefix."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in _chunks(batches, rules.texts):
             g, sizes = ngram_sets(b.column(0), rules, order.value)
@@ -204,9 +205,9 @@ def _prefixes(docs: DataFrame, order: Broadcast, rules: JaccardRules) -> DataFra
             place = np.arange(len(g)) - (np.cumsum(sizes) - sizes)[owner]
             m = place < keep[owner]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(g[m].view(np.int64)), pa.array(cids[owner[m]]), pa.array(sizes[owner[m]].astype(np.int32))],
-                names=["token", "cid", "n"])
-    return docs.select("text").mapInArrow(run, "token long, cid long, n int")
+                [pa.array(g[m].view(np.int64)), pa.array(cids[owner[m]]), pa.array(sizes[owner[m]].astype(np.int32)),
+                 pa.array(place[m].astype(np.int32))], names=["token", "cid", "n", "place"])
+    return docs.select("text").mapInArrow(run, "token long, cid long, n int, place int")
 
 
 def _texts(docs: DataFrame, wanted: DataFrame, rules: JaccardRules) -> DataFrame:
@@ -226,6 +227,10 @@ def _texts(docs: DataFrame, wanted: DataFrame, rules: JaccardRules) -> DataFrame
     return rows.mapInArrow(run, "cid long, text string")
 
 
+def _no_place() -> list[Column]:
+    return [F.lit(None).cast("int").alias("place"), F.lit(None).cast("long").alias("shared")]
+
+
 class Trie:
     """Sets as sorted rank rows: rows that begin alike lie together, so a node of the
     prefix tree is a range of rows with a common prefix; paths are compressed."""
@@ -235,14 +240,17 @@ class Trie:
         self.rows = [rows[i] for i in self.order]
         self.sizes = np.array([len(r) for r in self.rows], np.int64)
 
-    def matches(self, probe: np.ndarray, universe: int, rules: JaccardRules) -> list[int]:
-        """Numbers of the stored sets whose similarity with the probe reaches the threshold."""
+    def matches(self, probe: np.ndarray, universe: int, rules: JaccardRules, only: np.ndarray | None = None) -> list[int]:
+        """Numbers of the stored sets (of those marked in ``only``) that reach the threshold."""
+        upto = np.arange(len(self.rows) + 1) if only is None else np.append(0, np.cumsum(only[self.order]))
         inside = np.zeros(universe + 1, bool)
         inside[probe] = True
         pct, nx, found = rules.percent, len(probe), []
         todo = [(0, len(self.rows), 0, 0)] if self.rows else []
         while todo:
             lo, hi, depth, overlap = todo.pop()
+            if upto[lo] == upto[hi]:
+                continue
             first, last = self.rows[lo], self.rows[hi - 1]
             if hi - lo == 1:
                 end = len(first)
@@ -263,7 +271,7 @@ class Trie:
             if len(first) == end:                       # sets that end here come first
                 done = lo
                 while done < hi and len(self.rows[done]) == end:
-                    if (100 + pct) * overlap >= pct * (nx + end):
+                    if upto[done] < upto[done + 1] and (100 + pct) * overlap >= pct * (nx + end):
                         found.append(self.order[done])
                     done += 1
                 lo = done
@@ -273,37 +281,60 @@ class Trie:
         return found
 
 
-def _compare(pairs: DataFrame, texts: DataFrame, order: Broadcast, rules: JaccardRules, more: int = 0) -> DataFrame:
-    """Links (a, b) of distinct pairs (x, y), as a spanning forest of each block.
+def _reachable(i: int, n: np.ndarray, place: np.ndarray, shared: np.ndarray, rules: JaccardRules) -> np.ndarray:
+    """``_possible`` for row i of a block with all its rows."""
+    p = rules.percent
+    need = -(-p * (n[i] + n) // (100 + p))
+    hi = np.maximum(n[i], n)
+    return ((100 * np.minimum(n[i], n) >= p * hi) & (place[i] <= n[i] - need) & (place <= n - need)
+            & (np.minimum(shared[i], shared) - (-p * hi // 100) - 1 >= need))
 
-    The partners y of a probe x are dealt into blocks, each a trie. With ``more``,
-    up to so many partners of a block become probes too, each one that no link
-    has joined to the block's largest group."""
+
+def _compare(pairs: DataFrame, texts: DataFrame, order: Broadcast, rules: JaccardRules, more: int = 0) -> DataFrame:
+    """Links (a, b) of distinct pairs (x, y): the partners y of a probe x are dealt into blocks."""
     blocks = pairs.groupBy("x").agg(F.ceil(F.count("*") / rules.block).alias("k"))
     dealt = pairs.join(blocks, "x").select(
-        "x", F.pmod(F.xxhash64("y"), F.col("k")).alias("part"), F.col("y").alias("cid"), F.lit(False).alias("probe"))
-    probes = dealt.select("x", "part").distinct().select("x", "part", F.col("x").alias("cid"), F.lit(True).alias("probe"))
-    work = dealt.unionByName(probes).join(texts, "cid")
+        "x", F.pmod(F.xxhash64("y"), F.col("k")).alias("part"), F.col("y").alias("cid"), F.col("y").alias("root"),
+        F.lit(False).alias("probe"), *_no_place())
+    probes = dealt.select("x", "part").distinct().select(
+        "x", "part", F.col("x").alias("cid"), F.col("x").alias("root"), F.lit(True).alias("probe"), *_no_place())
+    return _tries(dealt.unionByName(probes), texts, order, rules, more)
+
+
+def _tries(rows: DataFrame, texts: DataFrame, order: Broadcast, rules: JaccardRules, more: int = 0) -> DataFrame:
+    """Links (a, b) between the probes and the classes of each block (x, part), as a spanning
+    forest. A block's classes are a trie; those of one root are linked already, and a
+    probe is not compared once all are linked with it. With ``more``, up to so many
+    classes become probes too, each one that no link has joined to the largest group.
+    Rows that met at an n-gram carry its ``place`` and their ``shared`` count, and a
+    probe then descends only to the classes that these do not rule out."""
+    work = rows.join(texts, "cid")
 
     def run(t: pa.Table) -> pa.Table:
         g, sizes = ngram_sets(t.column("text").combine_chunks(), rules)
-        cids, probe = t.column("cid").to_pylist(), t.column("probe").to_pylist()
+        cids, probe, root = t.column("cid").to_pylist(), t.column("probe").to_pylist(), t.column("root").to_pylist()
+        met = t.column("place").null_count == 0
+        place, shared = (t.column(c).to_numpy() if met else None for c in ("place", "shared"))
         every = np.unique(g)
         rank = np.empty(len(every), np.uint32)          # common first
         rank[np.lexsort((every, order.value[_bucket(every, rules)]))[::-1]] = np.arange(len(every), dtype=np.uint32)
-        rows = [np.sort(rank[np.searchsorted(every, s)]) for s in np.split(g, np.cumsum(sizes)[:-1])]
-        trie, joined, links = Trie(rows), Forest(len(rows)), []
+        sets = [np.sort(rank[np.searchsorted(every, s)]) for s in np.split(g, np.cumsum(sizes)[:-1])]
+        trie, joined, links, first = Trie(sets), Forest(len(sets)), [], {}
+        for i, r in enumerate(root):
+            joined.union(first.setdefault(r, i), i)
         todo, asked = [i for i, p in enumerate(probe) if p], set()
         for _ in range(len(todo) + more):
             if not todo:
-                groups = Counter(map(joined.find, range(len(rows))))
-                largest = groups.most_common(1)[0][0]
-                todo = [i for i in range(len(rows)) if i not in asked and joined.find(i) != largest][:1]
+                largest = Counter(map(joined.find, range(len(sets)))).most_common(1)[0][0]
+                todo = [i for i in range(len(sets)) if i not in asked and joined.find(i) != largest][:1]
                 if not todo:
                     break
             i = todo.pop()
             asked.add(i)
-            links += [(cids[i], cids[m]) for m in trie.matches(rows[i], len(every), rules) if joined.union(i, m)]
+            only = np.array([joined.find(m) != joined.find(i) for m in range(len(sets))])
+            if place is not None:
+                only &= _reachable(i, sizes, place, shared, rules)
+            links += [(cids[i], cids[m]) for m in trie.matches(sets[i], len(every), rules, only) if joined.union(i, m)]
         return pa.table({"a": pa.array([x[0] for x in links], pa.int64()), "b": pa.array([x[1] for x in links], pa.int64())})
     return work.groupBy("x", "part").applyInArrow(run, "a long, b long")
 
@@ -327,60 +358,86 @@ def _merged(roots: DataFrame | None, links: DataFrame) -> DataFrame:
     return cut(old.unionByName(more.join(old.select(F.col("node").alias("_o")), F.col("node") == F.col("_o"), "left_anti")))
 
 
-def _star_pairs(shared: DataFrame, roots: DataFrame | None, salt: int, rules: JaccardRules) -> DataFrame:
-    """Each class with the class chosen at a few of its shared n-grams, where components differ."""
+def _star_pairs(shared: DataFrame, rules: JaccardRules) -> DataFrame:
+    """Each class with the class chosen at a few of its shared n-grams."""
     few = (shared.groupBy("cid").agg(F.first("n").alias("n"), F.slice(F.sort_array(F.collect_list(
-        F.struct(F.xxhash64(F.lit(salt), F.col("token")).alias("h"), "token"))), 1, rules.stars).alias("t"))
+        F.struct(F.xxhash64("token").alias("h"), "token"))), 1, rules.stars).alias("t"))
         .select("cid", "n", F.explode("t.token").alias("token")))
-    few = _with_roots(few, roots)
     # classes of like size meet; the band is only a choice of whom to try first
     few = few.withColumn("band", F.floor(F.log(F.col("n")) * 4))
-    chosen = (few.groupBy("token", "band").agg(F.min_by(F.struct("cid", "root"), F.xxhash64(F.lit(salt), F.col("cid"))).alias("c")))
-    met = few.join(chosen, ["token", "band"]).filter(F.col("root") != F.col("c.root"))
-    return met.select(F.col("c.cid").alias("x"), F.col("cid").alias("y")).distinct()
+    chosen = few.groupBy("token", "band").agg(F.min_by("cid", F.xxhash64("cid")).alias("x"))
+    met = few.join(chosen, ["token", "band"]).filter(F.col("cid") != F.col("x"))
+    return met.select("x", F.col("cid").alias("y")).distinct()
 
 
-def _open_pairs(shared: DataFrame, roots: DataFrame | None, rules: JaccardRules) -> DataFrame:
-    """Pairs in different components that the prefix counts cannot rule out.
+def _possible(a: str, b: str, rules: JaccardRules) -> Column:
+    """Whether rows a and b of an n-gram (n, place, shared) can be of sets that reach t.
 
-    At an n-gram, the component with most classes there is set against the others,
-    and these against each other: no pair inside a component is ever made."""
+    t demands ``need`` n-grams in common, so such sets share one among their first
+    ``n - need + 1``, and only there they need to meet; and with all n-grams common to
+    their prefixes, and the ceil(t n) - 1 beyond, they must come to ``need``."""
+    p, x, y = F.lit(rules.percent), F.col(f"{a}.n"), F.col(f"{b}.n")
+    hi, need = F.greatest(x, y), F.ceil(p * (x + y) / (100 + p))
+    return ((100 * F.least(x, y) >= p * hi) & (F.col(f"{a}.place") <= x - need) & (F.col(f"{b}.place") <= y - need)
+            & (F.least(f"{a}.shared", f"{b}.shared") + F.ceil(p * hi / 100) - 1 >= need))
+
+
+def _mixed_tokens(shared: DataFrame, roots: DataFrame | None, salts: tuple[int, ...] = ()) -> DataFrame:
+    """The shared n-grams at which several components meet: all rows, with the component
+    that has most classes there (``major``) and, for each salt, one class of it."""
     rows = _with_roots(shared, roots)
-    per = rows.groupBy("token", "root").agg(F.count("*").alias("k"))
-    major = (per.groupBy("token").agg(F.max_by("root", F.struct("k", "root")).alias("major"), F.count("*").alias("roots"))
+    one = F.struct("cid", "n", "place", "shared")
+    per = rows.groupBy("token", "root").agg(
+        F.count("*").alias("k"), *[F.min_by(one, F.xxhash64(F.lit(i), F.col("cid"))).alias(f"c{i}") for i in salts])
+    best = F.struct("k", "root")
+    major = (per.groupBy("token").agg(F.max_by("root", best).alias("major"), F.count("*").alias("roots"),
+                                      F.sum("k").alias("all"), F.max("k").alias("inside"),
+                                      F.max_by(F.array(*[f"c{i}" for i in salts]) if salts else F.lit(None), best).alias("some"))
              .filter("roots > 1"))
-    mixed = rows.join(major, "token")
-    left = mixed.filter("root <> major").select("token", F.col("cid").alias("x"), F.col("n").alias("nx"), F.col("root").alias("rx"),
-                                                 F.col("shared").alias("sx"))
-    right = mixed.select("token", F.col("cid").alias("y"), F.col("n").alias("ny"), F.col("root").alias("ry"),
-                         F.col("shared").alias("sy"), "major")
-    p = F.lit(rules.percent)
-    hi, lo = F.greatest("nx", "ny"), F.least("nx", "ny")
-
-    def possible(common: Column, hi: Column, lo: Column) -> Column:
-        """Whether t can be reached with so many common n-grams in the prefixes: beyond
-        them a set has ceil(t n) - 1 n-grams, and t demands a number in common."""
-        return common + F.ceil(p * hi / 100) - 1 >= F.ceil(p * (hi + lo) / (100 + p))
-    met = (left.join(right, "token").filter(F.col("rx") != F.col("ry"))
-           .filter((F.col("ry") == F.col("major")) | (F.col("x") < F.col("y")))
-           .filter((100 * lo >= p * hi) & possible(F.least("sx", "sy"), hi, lo)))
-    pair = met.select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y"), hi.alias("hi"), lo.alias("lo"))
-    counted = pair.groupBy("x", "y", "hi", "lo").agg(F.count("*").alias("c"))
-    return counted.filter(possible(F.col("c"), F.col("hi"), F.col("lo"))).select("x", "y")
-
-
-def _between(pairs: DataFrame, roots: DataFrame, most: int | None) -> DataFrame:
-    """Pairs whose components still differ; with ``most``, so many of each class,
-    which spares most others where one links."""
-    p = _with_roots(pairs.withColumnRenamed("x", "cid"), roots).select(F.col("cid").alias("x"), "y", F.col("root").alias("rx"))
-    p = _with_roots(p.withColumnRenamed("y", "cid"), roots).select("x", F.col("cid").alias("y"), "rx", F.col("root").alias("ry"))
-    p = p.filter("rx <> ry")
-    if most:
-        h = F.xxhash64("x", "y")
-        p = (p.withColumn("_i", F.row_number().over(Window.partitionBy("x").orderBy(h)))
-             .withColumn("_j", F.row_number().over(Window.partitionBy("y").orderBy(h)))
-             .filter((F.col("_i") <= most) | (F.col("_j") <= most)))
-    return p.select("x", "y")
+    return rows.join(major, "token")
+
+
+def _stray_pairs(shared: DataFrame, roots: DataFrame, salt: int, rules: JaccardRules) -> DataFrame:
+    """A few pairs of each class outside the major component of its n-grams with classes inside."""
+    rows = _mixed_tokens(shared, roots, tuple(range(salt, salt + 4))).filter("root <> major")
+    met = rows.select(F.struct("cid", "n", "place", "shared").alias("y"), F.explode("some").alias("x"))
+    met = met.filter(_possible("x", "y", rules)).select(F.col("x.cid").alias("x"), F.col("y.cid").alias("y")).distinct()
+    order = Window.partitionBy("y").orderBy(F.xxhash64("x", "y"))
+    return met.withColumn("_i", F.row_number().over(order)).filter(F.col("_i") <= rules.probes).select("x", "y")
+
+
+def _open(shared: DataFrame, roots: DataFrame, rules: JaccardRules) -> tuple[DataFrame, DataFrame]:
+    """What is left to compare: pairs (x, y), and blocks of rows (x, part, cid, root, probe).
+
+    At an n-gram, the component with most classes there is set against the others,
+    and these against each other: no pair inside a component is ever made. Where few
+    classes meet, these are the pairs that sizes, places and counts cannot rule out.
+    Where many do, the classes outside are dealt into blocks as probes, and all into
+    blocks as tries, and every block of probes meets every trie: rows grow with the
+    classes and the number of blocks, not with the pairs."""
+    row = F.struct("cid", "n", "place", "shared", "root")
+    outside = F.col("all") - F.col("inside")
+    mixed = _mixed_tokens(shared, roots).select("token", "root", "major", "all", outside.alias("out"), row.alias("r"))
+    small = mixed.filter(F.col("out") * F.col("all") <= rules.block ** 2)
+    left = small.filter("root <> major").select("token", F.col("r").alias("x"))
+    right = small.select("token", "major", F.col("r").alias("y"))
+    met = (left.join(right, "token").filter(F.col("x.root") != F.col("y.root"))
+           .filter((F.col("y.root") == F.col("major")) | (F.col("x.cid") < F.col("y.cid")))
+           .filter(_possible("x", "y", rules)))
+    pairs = met.select(F.least("x.cid", "y.cid").alias("x"), F.greatest("x.cid", "y.cid").alias("y")).distinct()
+
+    large = mixed.filter(F.col("out") * F.col("all") > rules.block ** 2)
+    probes, tries = F.ceil(F.col("out") / rules.wide_block), F.ceil(F.col("all") / rules.wide_block)
+    mine = F.xxhash64("r.cid")
+
+    def dealt(own: Column, others: Column, code: Column, d: DataFrame, probe: bool) -> DataFrame:
+        d = d.select("token", F.pmod(mine, own).alias("_own"), F.explode(F.sequence(F.lit(0), others - 1)).alias("_other"), "r", "all")
+        return d.select(F.col("token").alias("x"), code.alias("part"), F.col("r.cid").alias("cid"), F.col("r.root").alias("root"),
+                        F.lit(probe).alias("probe"), F.col("r.place").alias("place"), F.col("r.shared").alias("shared"))
+    wide = F.lit(1 << 24)
+    blocks = dealt(probes, tries, F.col("_own") * wide + F.col("_other"), large.filter("root <> major"), True).unionByName(
+        dealt(tries, probes, F.col("_other") * wide + F.col("_own"), large, False))
+    return pairs, blocks
 
 
 def near_documents(docs: DataFrame, rules: JaccardRules = JaccardRules(), doc_id: str = "doc_id",
@@ -401,22 +458,23 @@ def near_documents(docs: DataFrame, rules: JaccardRules = JaccardRules(), doc_id
     met = Window.partitionBy("token")
     shared = (_prefixes(docs, order, rules)
               .select("*", F.min("cid").over(met).alias("_lo"), F.max("cid").over(met).alias("_hi"))
-              .filter("_lo <> _hi").groupBy("token", "cid").agg(F.first("n").alias("n")))
+              .filter("_lo <> _hi").groupBy("token", "cid")
+              .agg(F.first("n").alias("n"), F.first("place").alias("place")))
     # with the number of shared n-grams in a class's prefix: no pair has more in common there
     shared = cut(shared.withColumn("shared", F.count("*").over(Window.partitionBy("cid"))))
     wanted = full.join(shared.select("cid").distinct(), "cid", "left_semi").groupBy("cid").agg(F.min("doc_id").alias("doc_id"))
     place = unique_path(docs.sparkSession, "ngram-texts")
     _texts(docs, wanted, rules).write.parquet(place)
     texts = docs.sparkSession.read.parquet(place)
-    roots = None
-    for r in range(rules.star_rounds):
-        pairs = cut(_star_pairs(shared, roots, r, rules))
-        roots = _merged(roots, cut(_compare(pairs, texts, order, rules, rules.probes)))
-    still = cut(_open_pairs(shared, roots, rules))
-    for few in (True, False):
-        pairs = cut(_between(still, roots, rules.probes if few else None))
+    roots = _merged(None, cut(_compare(cut(_star_pairs(shared, rules)), texts, order, rules, rules.probes)))
+    for r in range(rules.stray_rounds):
+        pairs = cut(_stray_pairs(shared, roots, 10 * r, rules))
         roots = _merged(roots, cut(_compare(pairs, texts, order, rules)))
+    pairs, blocks = _open(shared, roots, rules)
+    links = _compare(cut(pairs), texts, order, rules).unionByName(_tries(blocks, texts, order, rules))
+    roots = _merged(roots, cut(links))
     delete_path(docs.sparkSession, place)      # all comparisons are made and cut
+    order.destroy()
     known = _with_roots(full.groupBy("cid").agg(F.min("doc_id").alias("low")), roots)
     lows = known.groupBy("root").agg(F.min("low").alias("component")).withColumnRenamed("root", "_root")
     known = known.join(lows, F.col("root") == F.col("_root")).select(F.col("cid").alias("_c"), "component")
