@@ -174,6 +174,14 @@ def train(texts: list[str], target: np.ndarray, rules: WeakRules) -> np.ndarray:
     return w
 
 
+def training_texts(docs: DataFrame, rules: WeakRules) -> DataFrame:
+    """``text``: about ``sample`` distinct texts, all of them where there are no more; copies count once."""
+    h = F.xxhash64(F.coalesce(F.col("text"), F.lit("")))
+    kinds = docs.select(h.alias("h")).distinct().count()
+    some = docs.select("text", h.alias("h")).filter(hashed_share(F.col("h"), rules.sample, kinds))
+    return some.groupBy("h").agg(F.min("text").alias("text")).select("text")
+
+
 _scorers: dict[int, Scorer] = {}
 
 
@@ -199,9 +207,7 @@ def weak_quality(docs: DataFrame, rules: WeakRules = WeakRules(), doc_id: str =
     for r in counted.collect():                      # at most 3 ** 8 rows
         counts[r["pattern"]] = r["n"]
     _, _, post = label_model(counts, k, rules.em_steps)
-    h = F.xxhash64(F.coalesce(F.col("text"), F.lit("")))
-    some = docs.select("text", h.alias("h")).filter(hashed_share(F.col("h"), rules.sample, int(counts.sum())))
-    sample = sorted(r[0] or "" for r in some.groupBy("h").agg(F.min("text").alias("text")).select("text").collect())
+    sample = sorted(r["text"] or "" for r in training_texts(docs, rules).collect())
     target = np.array([post[pattern(votes(t))] for t in sample])
     model = spark.sparkContext.broadcast((train(sample, target, rules), post))
     key = hash(model.value[0].tobytes())

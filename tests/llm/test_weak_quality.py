@@ -1,6 +1,8 @@
 import numpy as np
+from pyspark.sql import functions as F
 
-from periodica.llm.weak_quality import label_model, op10_weak_quality, pattern, votes, weak_quality
+from periodica.llm.weak_quality import (
+    WeakRules, label_model, op10_weak_quality, pattern, training_texts, votes, weak_quality)
 
 SF = "/root/testdata/sf0.01"
 
@@ -33,3 +35,17 @@ def test_edges(spark, edge, empty, clash):
     assert {tuple(r.votes) for r in got if r.doc_id in (3, 4, 5)} == {(0, 0, 0, -1, 0, 0, 0, 0)} == {tuple(votes(None))}
     assert weak_quality(empty).count() == 0
     assert sorted(map(tuple, weak_quality(clash).collect()), key=str) == sorted(map(tuple, got), key=str)
+
+
+def test_copies_do_not_shrink_the_sample(spark):
+    text = F.concat_ws(" ", F.lit("The cat sat on the mat near the door of house"), F.col("n").cast("string"))
+    many = spark.range(30_000).select(F.col("id").alias("n"), F.col("id").alias("doc_id"))
+    plain = many.select("doc_id", text.alias("text"))
+    copied = many.withColumn("n", F.when(F.col("n") < 10_000, -1).otherwise(F.col("n"))).select("doc_id", text.alias("text"))
+    for docs, kinds, sample in ((plain, 30_000, 2000), (copied, 20_001, 2000)):
+        assert docs.select("text").distinct().count() == kinds
+        assert abs(training_texts(docs, WeakRules(sample=sample)).count() - sample) < 150
+    repeated = many.withColumn("n", F.col("n") % 7).select("doc_id", text.alias("text"))
+    assert training_texts(repeated, WeakRules(sample=10)).count() == 7            # fewer than the sample: all
+    got = weak_quality(repeated, WeakRules(sample=10)).select("score").distinct().collect()
+    assert all(r.score != 0.5 for r in got)
