@@ -2,8 +2,8 @@
 
 Lines are normalised (lower case, white space collapsed) and hashed. Per host the
 number of distinct documents that hold a line is counted, exact copies of a text
-counting once. Lines held by more than ``max_docs`` documents of their host are
-removed, except from the line's first holder (the smallest document hash), so no
+counting once. Lines held by more than the share ``max_share`` of their host's
+distinct documents, and by more than ``max_docs`` of them, are removed, except from the line's first holder (the smallest document hash), so no
 content vanishes altogether. A document left with less than ``min_left`` of its
 words is depleted and rejected, as are those that fail the base rules.
 
@@ -27,7 +27,8 @@ HAS_WORD = r"[^\x20\x09-\x0D]"
 
 @dataclass(frozen=True)
 class LineRules:
-    max_docs: int = 20
+    max_docs: int = 20          # holders that a line may have on a host of any size
+    max_share: float = 0.06     # of the host's distinct documents
     min_left: float = 0.3
     min_words: int = 20
     max_repeat_pct: int = 30
@@ -92,9 +93,12 @@ def removed_lines(docs: DataFrame, rules: LineRules, host: str = "source", text:
                          F.size(words_of(F.col("_line"))).alias("_n")).filter("_n > 0")
     # every copy of a text adds the same counts, so shares of words are those of one copy
     held = lines.groupBy("_host", "_lh", "_k1", "_k2").agg(F.sum("_n").alias("_n"))
+    sizes = (k.select("_host", "_k1", "_k2").distinct().groupBy("_host").agg(F.count("*").alias("_size"))
+             .withColumnRenamed("_host", "_sh"))
     common = (held.groupBy("_host", "_lh")
               .agg(F.count("*").alias("_docs"), F.min(F.struct("_k1", "_k2")).alias("_first"))
               .filter(F.col("_docs") > rules.max_docs)
+              .join(sizes, F.col("_host").eqNullSafe(F.col("_sh")) & (F.col("_docs") > rules.max_share * F.col("_size")))
               .select(F.col("_host").alias("_ch"), F.col("_lh").alias("_cl"), "_first"))
     hit = held.join(common, F.col("_host").eqNullSafe(F.col("_ch")) & (F.col("_lh") == F.col("_cl")), "left")
     gone = (F.col("_cl").isNotNull()

@@ -75,3 +75,17 @@ def test_edges(edge, empty, clash):
     same = quality(clash).collect()
     assert sorted(map(tuple, same), key=str) == sorted(map(tuple, got), key=str)
     assert cleaned(clash).columns == clash.columns and cleaned(clash).count() == sum(r.kept for r in got)
+
+
+def test_limit_grows_with_the_host(spark):
+    """A line of 4 % of a host's documents stays and one of 30 % goes, at any size; so on a null host."""
+    def doc(i, n):
+        held = ["Les."] * (i < 0.04 * n) + ["Cookies help us deliver our services every day."] * (i >= 0.7 * n)
+        return "\n".join(held + [" ".join(f"w{i}x{j}" for j in range(30))])
+    for n in (100, 1000):
+        rows = [(1000 * h + i, doc(i, n), host) for h, host in enumerate(("h1", None)) for i in range(n)]
+        got = {r.doc_id: r for r in quality(spark.createDataFrame(rows, "doc_id long, text string, source string")).collect()}
+        for h in (0, 1000):
+            assert not any(got[h + i].lines_removed for i in range(int(0.7 * n)))
+            assert sum(got[h + i].lines_removed for i in range(int(0.7 * n), n)) == 0.3 * n - 1
+        assert all(r.kept for r in got.values())
