@@ -53,9 +53,13 @@ def features(word: bytes, bits: int) -> tuple[int, int, int]:
 LENGTH = 64  # steps of one piece of the chain
 
 
-def marginals(odds: np.ndarray, opens: np.ndarray, start: np.ndarray, trans: np.ndarray) -> np.ndarray:
+def marginals(odds: np.ndarray, opens: np.ndarray, start: np.ndarray, trans: np.ndarray,
+              pairs: bool = False) -> np.ndarray | tuple[np.ndarray, np.ndarray]:
     """Probability of state 1 at each token of many documents laid end to end.
 
+    With ``pairs`` also, as rows 00, 01, 10, 11, those of the states of the token
+    before and of the token; they mean nothing at first tokens.
+
     ``odds`` is exp(state weight) of state 1 against 0, ``opens`` marks first
     tokens, ``start`` and ``trans`` are positive weights. The chain is cut into
     pieces of equal length that are run side by side: products over the pieces,
@@ -63,7 +67,7 @@ def marginals(odds: np.ndarray, opens: np.ndarray, start: np.ndarray, trans: np.
     """
     n = len(odds)
     if not n:
-        return np.zeros(0)
+        return (np.zeros(0), np.zeros((4, 0))) if pairs else np.zeros(0)
     rows = -(-n // LENGTH)
     m = np.zeros((4, rows * LENGTH))
     m[0], m[3] = 1.0, 1.0                                     # identity beyond the end
@@ -98,15 +102,21 @@ def marginals(odds: np.ndarray, opens: np.ndarray, start: np.ndarray, trans: np.
         x, y = x / z, y / z
         fore[0, t], fore[1, t] = x, y
     out = np.empty((LENGTH, rows))
+    both = np.empty((4, LENGTH, rows) if pairs else 0)
     x, y = behind
     for t in range(LENGTH - 1, -1, -1):
         one = fore[1, t] * y
         out[t] = one / (fore[0, t] * x + one)
         e, f, g, h = m[:, t]
+        if pairs:
+            u, v = fore[:, t - 1] if t else ahead
+            both[:, t] = u * e * x, u * f * y, v * g * x, v * h * y
+            both[:, t] /= both[:, t].sum(0)
         x, y = e * x + f * y, g * x + h * y
         z = x + y
         x, y = x / z, y / z
-    return out.T.reshape(-1)[:n]
+    p = out.T.reshape(-1)[:n]
+    return (p, both.transpose(0, 2, 1).reshape(4, -1)[:, :n]) if pairs else p
 
 
 @dataclass
@@ -193,15 +203,13 @@ def fit(texts: list[str], toxic: list[int], rules: CrfRules) -> Model:
         odds = np.exp(np.clip(w[feats].sum(1) + w[-1], -30, 30))
         err, dt, ds = np.zeros(len(feats)), np.zeros((2, 2)), np.zeros(2)
         for (kind, opens, _), toxic_here in zip(data.parts, label):
-            p, target = marginals(odds[kind], opens, np.exp(s), np.exp(t)), hot[kind] & toxic_here
+            (p, both), target = marginals(odds[kind], opens, np.exp(s), np.exp(t), True), hot[kind] & toxic_here
             err += np.bincount(kind, target - p, len(feats))
-            # transitions seen, less those expected by the marginals of neighbours
-            inner = ~opens[1:]
-            for x, sign in ((target.astype(float), 1.0), (p, -1.0)):
-                q, r = x[:-1][inner], x[1:][inner]
-                dt += sign * np.array([[((1 - q) * (1 - r)).sum(), ((1 - q) * r).sum()],
-                                       [(q * (1 - r)).sum(), (q * r).sum()]])
-                ds += sign * np.array([(1 - x[opens]).sum(), x[opens].sum()])
+            # transitions seen, less those expected by the pairwise marginals
+            seen_here = np.bincount((2 * target[:-1] + target[1:])[~opens[1:]], minlength=4)
+            dt += (seen_here - both[:, ~opens].sum(1)).reshape(2, 2)
+            one = (target - p)[opens].sum()
+            ds += np.array([-one, one])
         d = np.bincount(feats.ravel(), np.repeat(err, 3), size)
         d[-1] = err.sum()
         d, dt, ds = d / data.tokens - rules.l2 * w, dt / data.tokens, ds / data.tokens

@@ -28,6 +28,36 @@ def _plain(odds, opens, start, trans):
     return np.array(out)
 
 
+def _log_z(odds, opens, start, trans):
+    """Log of the sum over all labellings, document by document."""
+    total, cuts = 0.0, [*np.flatnonzero(opens).tolist(), len(odds)]
+    for a, b in zip(cuts, cuts[1:]):
+        f = start * [1, odds[a]]
+        for t in range(a + 1, b):
+            total += np.log(f.sum())
+            f = (f / f.sum()) @ trans * [1, odds[t]]
+        total += np.log(f.sum())
+    return total
+
+
+@pytest.mark.parametrize("n", [0, 1, 2, 63, 64, 65, 300])
+def test_pairwise_marginals(n):
+    """Expected transitions are the derivatives of the log partition function."""
+    rng = np.random.default_rng(n)
+    odds, opens = np.exp(rng.normal(size=n) * 2), rng.random(n) < 0.05
+    opens[:1] = True
+    start, t = np.exp(rng.normal(size=2)), rng.normal(size=(2, 2)) * 2
+    p, both = marginals(odds, opens, start, np.exp(t), True)
+    assert np.allclose(p, _plain(odds, opens, start, np.exp(t)), atol=1e-9) and both.shape == (4, n)
+    inner = ~opens
+    assert np.allclose((both[1] + both[3])[inner], p[inner])
+    for i in range(4):
+        step = np.zeros(4)
+        step[i] = 1e-5
+        up, down = (_log_z(odds, opens, start, np.exp(t + k * step.reshape(2, 2))) for k in (1, -1))
+        assert abs((up - down) / 2e-5 - both[i, inner].sum()) < 1e-4
+
+
 @pytest.mark.parametrize("n", [0, 1, 63, 64, 65, 1000])
 def test_marginals(n):
     rng = np.random.default_rng(n)
