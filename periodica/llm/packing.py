@@ -6,7 +6,7 @@ bounded number of pieces. Each group is packed best-fit decreasing and then
 improved: moves, one-for-one and two-for-one exchanges between underfull bins
 that raise the sum of squared fills, so tokens flow from the emptiest bins into
 fuller ones until bins run empty. It ends when a lower bound proves that no bin
-can be saved, or when no donor can be emptied any more.
+can be saved, or when every underfull bin was tried as a donor since the last change.
 """
 
 from __future__ import annotations
@@ -34,7 +34,7 @@ TEXTS = 512            # texts encoded together
 class PackRules:
     capacity: int = 2048
     group: int = 4096      # pieces packed together
-    patience: int = 24     # donors in a row that could not be emptied
+    patience: int | None = None  # donors in a row that could not be emptied; None: until all were tried
     end_id: int = 0        # closes each document
 
 
@@ -241,10 +241,10 @@ class Search:
         self.change(donor, *act)
         return True
 
-    def run(self, patience: int) -> list[list[int]]:
+    def run(self, patience: int | None = None) -> list[list[int]]:
         goal, missed, tried = lower_bound(self.len, self.cap), 0, set()
         live = sum(1 for b in self.bins if b)
-        while live > goal and missed < patience:
+        while live > goal and (patience is None or missed < patience):
             order = [int(b) for b in np.argsort(self.fill, kind="stable")
                      if 0 < self.fill[b] < self.cap and int(b) not in tried]
             if not order:

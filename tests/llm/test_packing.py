@@ -7,7 +7,7 @@ import pytest
 from hypothesis import given, settings, strategies as st
 
 from periodica.llm.packing import (PackRules, Search, TOKENIZER, WordIds, best_fit, lower_bound, op6_best_fit, pack,
-                                   token_pieces)
+                                   pack_group, token_pieces)
 
 SF = "/root/testdata/sf0.001"
 PATH = public_tokenizers.path(TOKENIZER)
@@ -118,3 +118,10 @@ def test_exchanges_empty_a_bin():
     x = np.array([6, 5, 5, 4, 3, 3, 2, 2])
     start = [[0, 4], [1, 3], [2, 5], [6, 7]]
     assert len(Search(x, start, 10).run(10)) == 3
+
+
+def test_search_tries_every_underfull_bin():
+    x = np.random.default_rng(0).integers(400, 1100, 200)
+    start = best_fit(x, 2048)
+    where, _ = pack_group(x, PackRules())
+    assert len(set(where.tolist())) == len(Search(x, start, 2048).run(len(x) ** 2)) == 77      # 79 after 24 donors in vain
