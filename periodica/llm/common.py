@@ -48,9 +48,9 @@ def set_aside(docs: DataFrame, keep: list[str]) -> DataFrame:
                        F.struct(*[F.col(f"`{c}`") for c in rest] or [F.lit(None).alias("_none")]).alias("_rest"))
 
 
-def put_back(rows: DataFrame, columns: list[str], keep: list[str]) -> DataFrame:
-    """The columns that ``set_aside`` took, in their old order."""
-    return rows.select(*[F.col(f"`{c}`") if c in keep else F.col("_rest").getField(c).alias(c) for c in columns])
+def put_back(rows: DataFrame, columns: list[str], keep: list[str], *more: Column) -> DataFrame:
+    """The columns that ``set_aside`` took, in their old order, and ``more``."""
+    return rows.select(*[F.col(f"`{c}`") if c in keep else F.col("_rest").getField(c).alias(c) for c in columns], *more)
 
 
 def hashed_share(h: Column, want: int, of: int) -> Column:
