@@ -77,9 +77,6 @@ def main() -> None:
         reports.load(spark, wl, td.orders_spec(MONTHLY), day, landing=td.orders_landing(spark, warm_dir))
 
     lake = scratch_lake(spark)
-    # window loads swap the partition location (the mode a cluster with a
-    # persistent metastore uses); BENCH_SWAP=copy measures the staged copy
-    lake.swap = os.environ.get("BENCH_SWAP", "location")
     spec = td.lineitem_spec(MONTHLY)
     landing = td.lineitem_landing(spark, sf_dir)
     n_rows = landing.count()
@@ -135,7 +132,7 @@ def main() -> None:
         text_fields=(("l_returnflag", 1), ("l_linestatus", 1)), control_col="l_shipdate",
         final_columns=("ID", *cols, "FECHA_EXTRACCION"))
     from periodica.sources.files import list_files, route
-    paths = [r["path"] for r in route(list_files(spark, folder), [ing]).where(F.col("spec").isNotNull()).collect()]
+    paths = route(list_files(spark, folder), [ing]).where(F.col("spec").isNotNull())
     res = timed("ingest_extract", lambda: ingest(spark, lake, ing, paths))
     assert res.accepted == n_rows, (res.accepted, n_rows)
 
@@ -152,7 +149,7 @@ def main() -> None:
                       "sf": float(sf) if sf.replace(".", "").isdigit() else sf,
                       "lineitem_rows": n_rows,
                       "ingest_rows_per_sec": round(n_rows / times["ingest_extract"], 1),
-                      "cpus": cpus, "swap": lake.swap}))
+                      "cpus": cpus}))
     spark.stop()
 
 

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from periodica.functions.types import parse_type
 from periodica.session import LOCATION_SUFFIX, delete_path, read_lines, unique_path, write_lines
+from periodica.sources.versions import forget_windows, sync_windows, table_location
 from periodica.spec import PERIOD_COL
 
 
@@ -182,6 +183,7 @@ def migrate_table(spark: SparkSession, table: str, steps, keys: list[str],
     recover_swap(spark, table)
     if not spark.catalog.tableExists(table):
         raise LookupError(f"table {table} does not exist")
+    sync_windows(spark, table, table_location(spark, table))
     df = spark.table(table)
     proj, conversions, truncs = plan_columns(df, steps)
     lost = F.lit(False)
@@ -239,6 +241,8 @@ def swap_in(spark: SparkSession, table: str, staged: str, new_name: str | None =
     spark.sql(f"DROP TABLE {table}")
     final = new_name or table
     spark.sql(f"ALTER TABLE {staged} RENAME TO {final}")
+    forget_windows(spark, table)
+    forget_windows(spark, final)
     _note_location(spark, table, final, new, old)
     return final
 

@@ -16,6 +16,7 @@ from pyspark.sql import types as T
 from periodica.functions.formats import render_ts_120
 from periodica.functions.scalar import seconds_between
 from periodica.operators.window_sink import STATUS_ERROR, STATUS_OK, RunResult
+from periodica.sources.appends import append_run
 
 LOG_SCHEMA = T.StructType([
     T.StructField("FechaEjecucion", T.TimestampNTZType(), False),
@@ -47,8 +48,9 @@ def log_rows(spark: SparkSession, results: Iterable[RunResult]) -> DataFrame:
 
 
 def log_run(spark: SparkSession, table: str, results: Iterable[RunResult]) -> None:
-    """Append to the run-log table (created on first use)."""
-    log_rows(spark, results).write.mode("append").saveAsTable(table)
+    """Append to the run-log table (created on first use), in a folder of this call alone,
+    so that runs side by side all leave their rows (``sources.appends``)."""
+    append_run(spark, table, log_rows(spark, results).coalesce(1))
 
 
 def alert_rows(log: DataFrame, recipients: str | None, profile: str | None) -> DataFrame:

@@ -1,20 +1,22 @@
 """Idempotent window replacement (S14), its counts (A2) and the run result.
 
-``replace_window`` never leaves a window half written by a failed computation:
+``replace_window`` never leaves a window half written, and never touches the
+rows it replaces:
 
-1. the rows of the window are computed once and written to a fresh folder
-   while an ``Observation`` counts rows and layout violations in the same pass;
+1. the rows of the window are computed once and written to a fresh version
+   folder inside the table's folder, while an ``Observation`` counts rows and
+   layout violations in the same pass;
 2. a window with violations is not touched: its bad rows go to quarantine and
    the run ends with status ``Error`` (the legacy insert would have failed);
-3. otherwise the window is swapped in, and only that window:
+3. otherwise one commit file makes that folder the window
+   (``periodica.sources.versions``) and the catalog's partition is pointed to it.
+   The folder of the version before stays for open readers and goes with the
+   next load.
 
-   * ``location`` swap (persistent metastore): the folder was written inside
-     the table, and one ``ALTER TABLE ... PARTITION ... SET LOCATION`` makes it
-     the window (atomic for readers, no second copy); the previous folder of
-     the window stays for open readers and goes with the next load;
-   * ``copy`` swap (session catalog): the folder is staging in the shared
-     checkpoint folder, copied in by one static
-     ``INSERT OVERWRITE ... PARTITION (period_start = d)``.
+An error anywhere before the commit leaves the window as it was; one after it
+leaves the new rows, which the next reader's ``sync_windows`` finds. A load that
+reads its own window (self refresh) commits only if no other load committed
+since it began to read; it starts over where one did.
 
 All other windows are untouched, and an empty source empties the window.
 Running the same load twice gives the same table, which is what makes re-runs
@@ -25,17 +27,18 @@ in one job (backfills).
 from __future__ import annotations
 
 import datetime as dt
-import re
 import uuid
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from periodica.functions.periods import Window
-from periodica.session import delete_path, list_path, unique_path
+from periodica.session import delete_path
+from periodica.sources.appends import append_run
+from periodica.sources.versions import (VERSIONS, Version, commit_window, point_windows, sync_windows,
+                                        table_location)
 from periodica.spec import PERIOD_COL
 
 REASON_COL = "_reason"
@@ -47,9 +50,12 @@ MSG_DELETED = "Registros eliminados: {n}"
 MSG_DONE = "Proceso completado. Filas totales: {n}"
 MSG_FAILED = "Error durante la ejecucion: {e}"
 MSG_REJECTED = "{n} filas no cumplen el layout; ventana sin cambios"
+MSG_BUSY = "La ventana cambio durante la ejecucion ({n} intentos)"
 MSG_NO_WINDOW = "{n} filas sin fecha de control valida; en cuarentena"
 CRLF = "\r\n"
 
+TRIES = 5       # of a load whose window another load commits first
+
 
 @dataclass
 class RunResult:
@@ -74,188 +80,89 @@ class RunResult:
         self.details += line + CRLF
 
 
+def failed(res: RunResult, e: Exception) -> RunResult:
+    """The result of a run that an error has ended."""
+    res.status, res.message = STATUS_ERROR, str(e)
+    res.deleted = res.inserted = 0
+    res.log(MSG_FAILED.format(e=res.message))
+    res.finished = dt.datetime.now()
+    return res
+
+
 def partition_count(spark: SparkSession, table: str, start: dt.date) -> int:
     """Rows currently stored for one window; reads one partition only."""
     return spark.table(table).where(F.col(PERIOD_COL) == F.lit(start)).count()
 
 
-SWAP_COPY, SWAP_LOCATION = "copy", "location"
-
-
-def default_swap(spark: SparkSession) -> str:
-    """``location`` when the catalog persists partition locations (a Hive
-    metastore, as on a cluster); ``copy`` with the session-local catalog, whose
-    re-attached tables only recover partitions in the standard folders."""
-    impl = spark.conf.get("spark.sql.catalogImplementation", "in-memory")
-    return SWAP_LOCATION if impl == "hive" else SWAP_COPY
-
-
 QUARANTINE_SCHEMA = "job STRING, window_start DATE, reason STRING, row STRING"
 
 
 def quarantine_rows(staged: DataFrame, table: str, job: str, window_start) -> None:
     """Append the violating rows as JSON: one fixed schema for the rows of all
-    reports, of single loads and of backfills."""
+    reports, of single loads and of backfills, and one folder for each run."""
     data = [c for c in staged.columns if c not in (REASON_COL, PERIOD_COL)]
-    (staged.where(F.col(REASON_COL) != "")
-     .select(F.lit(job).alias("job"), window_start.cast("date").alias("window_start"),
-             F.col(REASON_COL).alias("reason"), F.to_json(F.struct(*data)).alias("row"))
-     .write.mode("append").saveAsTable(table))
+    append_run(staged.sparkSession, table, staged.where(F.col(REASON_COL) != "").select(
+        F.lit(job).alias("job"), window_start.cast("date").alias("window_start"),
+        F.col(REASON_COL).alias("reason"), F.to_json(F.struct(*data)).alias("row")))
 
 
-def _stage(spark: SparkSession, rows: DataFrame, job: str, path: str | None = None
-           ) -> tuple[str, int, int]:
+def _stage(spark: SparkSession, rows: DataFrame, path: str) -> tuple[int, int]:
+    """Write the rows; their number, and that of the rows that break the layout."""
     if REASON_COL not in rows.columns:
         rows = rows.withColumn(REASON_COL, F.lit(""))
     obs = Observation(f"stage_{uuid.uuid4().hex[:8]}")
     observed = rows.observe(obs, F.count(F.lit(1)).alias("n"),
                             F.count_if(F.col(REASON_COL) != "").alias("bad"))
-    path = path or unique_path(spark, "staging")
     observed.write.mode("errorifexists").parquet(path)
     m = obs.get
-    return path, int(m["n"]), int(m["bad"])
-
-
-def _same(a: str, b: str) -> bool:
-    """Whether two spellings name one folder (``file:/x`` and ``file:///x``)."""
-    return re.sub(":/+", ":/", a.rstrip("/")) == re.sub(":/+", ":/", b.rstrip("/"))
-
-
-def table_location(spark: SparkSession, table: str) -> str:
-    row = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").where("col_name = 'Location'").first()
-    return row["data_type"].rstrip("/")
-
-
-def partition_location(spark: SparkSession, table: str, start: dt.date) -> str | None:
-    """Current folder of one window, or None when the partition does not exist."""
-    try:
-        row = (spark.sql(f"DESCRIBE FORMATTED {table} PARTITION ({PERIOD_COL} = DATE'{start.isoformat()}')")
-               .where("col_name = 'Location'").first())
-    except AnalysisException as e:
-        if "PARTITION" in (e.getCondition() or ""):      # no such partition; other errors are the run's
-            return None
-        raise
-    return row["data_type"].rstrip("/") if row else None
-
-
-def existing_partitions(spark: SparkSession, table: str) -> set[dt.date]:
-    """Windows the table holds, from the catalog (one call)."""
-    out = set()
-    for r in spark.sql(f"SHOW PARTITIONS {table}").collect():
-        for part in r[0].split("/"):
-            k, _, v = part.partition("=")
-            if k == PERIOD_COL and v and v != "__HIVE_DEFAULT_PARTITION__":
-                out.add(dt.date.fromisoformat(v))
-    return out
-
-
-def point_partition(spark: SparkSession, table: str, start: dt.date, path: str,
-                    exists: bool, refresh: bool = True) -> None:
-    """Make ``path`` the window's folder with one catalog call (atomic for
-    readers: they see the old or the new folder, never a mix)."""
-    spec = f"{PERIOD_COL} = DATE'{start.isoformat()}'"
-    if exists:
-        spark.sql(f"ALTER TABLE {table} PARTITION ({spec}) SET LOCATION '{path}'")
-    else:
-        spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS PARTITION ({spec}) LOCATION '{path}'")
-    if refresh:
-        spark.sql(f"REFRESH TABLE {table}")
-
-
-def overwrite_partition(spark: SparkSession, table: str, start: dt.date, rows: DataFrame) -> None:
-    """Static overwrite of exactly one ``period_start`` partition."""
-    cols = [c for c in spark.table(table).columns if c != PERIOD_COL]
-    view = f"_periodica_src_{uuid.uuid4().hex}"
-    rows.select(*cols).createOrReplaceTempView(view)
-    try:
-        select = ", ".join(f"`{c}`" for c in cols)
-        spark.sql(f"INSERT OVERWRITE TABLE {table} PARTITION ({PERIOD_COL} = DATE'{start.isoformat()}') "
-                  f"SELECT {select} FROM {view}")
-    finally:
-        spark.catalog.dropTempView(view)
-
-
-def overwrite_partitions(spark: SparkSession, table: str, rows: DataFrame) -> None:
-    """Dynamic overwrite: replace exactly the ``period_start`` partitions present
-    in ``rows``, in one job. (The writer option of ``insertInto`` is not applied
-    to catalog tables, so the session mode is switched for this statement and
-    restored.)"""
-    cols = [c for c in spark.table(table).columns if c != PERIOD_COL]
-    view = f"_periodica_src_{uuid.uuid4().hex}"
-    rows.select(*cols, PERIOD_COL).createOrReplaceTempView(view)
-    key = "spark.sql.sources.partitionOverwriteMode"
-    mode = spark.conf.get(key, "static")
-    spark.conf.set(key, "dynamic")
-    try:
-        select = ", ".join(f"`{c}`" for c in cols)
-        spark.sql(f"INSERT OVERWRITE TABLE {table} PARTITION ({PERIOD_COL}) "
-                  f"SELECT {select}, {PERIOD_COL} FROM {view}")
-    finally:
-        spark.conf.set(key, mode)
-        spark.catalog.dropTempView(view)
+    return int(m["n"]), int(m["bad"])
 
 
 def replace_window(spark: SparkSession, table: str, rows: DataFrame | Callable[[], DataFrame], window: Window,
                    job: str, quarantine_table: str | None = None,
-                   scheduler: str | None = None, swap: str | None = None) -> RunResult:
+                   scheduler: str | None = None) -> RunResult:
     """Replace the rows of ``window`` in ``table`` with ``rows``.
 
     ``rows`` must already hold only the window's rows with the table's columns
     (any order) and may carry a ``_reason`` column from
     ``periodica.operators.conformance.violation_reason``. It may be a function
-    that makes them: an error there is then a result of the run, like any other.
-
-    ``swap='location'`` writes the window once, into a new version folder inside
-    the table's folder, and repoints the partition to it (the previous folder
-    of the window stays for open readers until the next load); ``swap='copy'`` stages in the shared
-    folder and copies with a static ``INSERT OVERWRITE``. Both leave every
-    other window untouched and never expose a half-written window.
+    that makes them: an error there is then a result of the run, like any other,
+    and it is called again where another load of the window came first.
     """
-    swap = swap or default_swap(spark)
     res = RunResult(job=job, window=window, scheduler=scheduler)
-    staging = None
+    staging = live = None
     try:
-        rows = rows() if callable(rows) else rows
-        res.deleted = partition_count(spark, table, window.start)
-        if swap == SWAP_LOCATION:
-            root = table_location(spark, table)
-            target = f"{root}/_versions/{PERIOD_COL}={window.start.isoformat()}/{uuid.uuid4().hex}"
-            staging, n, bad = _stage(spark, rows, job, target)
-        else:
-            staging, n, bad = _stage(spark, rows, job)
-        staged = spark.read.parquet(staging)
-        if bad:
-            res.rejected = bad
-            res.status = STATUS_ERROR
-            res.message = MSG_REJECTED.format(n=bad)
-            res.log(res.message)
-            if quarantine_table:
-                quarantine_rows(staged, quarantine_table, job, F.lit(window.start))
-                res.quarantine = quarantine_table
-            res.deleted = 0
-        else:
-            if swap == SWAP_LOCATION:
-                prev = partition_location(spark, table, window.start)
-                point_partition(spark, table, window.start, staging, exists=prev is not None)
+        root = table_location(spark, table)
+        for _ in range(TRIES):
+            seen = sync_windows(spark, table, root).get(window.start, 0)
+            made = rows() if callable(rows) else rows
+            res.deleted = partition_count(spark, table, window.start)
+            staging = f"{root}/{VERSIONS}/{PERIOD_COL}={window.start.isoformat()}/{uuid.uuid4().hex}"
+            n, bad = _stage(spark, made, staging)
+            if bad:
+                res.rejected, res.deleted = bad, 0
+                res.status, res.message = STATUS_ERROR, MSG_REJECTED.format(n=bad)
+                res.log(res.message)
+                if quarantine_table:
+                    quarantine_rows(spark.read.parquet(staging), quarantine_table, job, F.lit(window.start))
+                    res.quarantine = quarantine_table
+                break
+            if commit_window(spark, root, window.start, seen, staging):
                 live, staging = staging, None     # the staged folder is now the window
-                # the previous version stays for open readers; older ones of this window go
-                versions = list_path(spark, live.rsplit("/", 1)[0])
-                if prev and "/_versions/" in prev:
-                    versions.append(f"{root}/{PERIOD_COL}={window.start.isoformat()}")
-                for path in versions:
-                    if not _same(path, live) and not (prev and _same(path, prev)):
-                        delete_path(spark, path)
-            else:
-                overwrite_partition(spark, table, window.start, staged.drop(REASON_COL))
-            res.inserted = n
-            if res.deleted:
-                res.log(MSG_DELETED.format(n=res.deleted))
-            res.log(MSG_DONE.format(n=n))
+                res.inserted = n
+                if res.deleted:
+                    res.log(MSG_DELETED.format(n=res.deleted))
+                res.log(MSG_DONE.format(n=n))
+                point_windows(spark, table, {window.start: Version(seen + 1, live)})
+                break
+            delete_path(spark, staging)
+        else:
+            raise RuntimeError(MSG_BUSY.format(n=TRIES))
     except Exception as e:  # the status is data in the log, as in the legacy jobs
-        res.status = STATUS_ERROR
-        res.message = str(e)
-        res.inserted = 0
-        res.log(MSG_FAILED.format(e=res.message))
+        if live:        # committed: the next reader points the catalog
+            res.log(MSG_FAILED.format(e=e))
+        else:
+            failed(res, e)
     finally:
         if staging:
             delete_path(spark, staging)
@@ -266,21 +173,16 @@ def replace_window(spark: SparkSession, table: str, rows: DataFrame | Callable[[
 def replace_windows(spark: SparkSession, table: str, rows: DataFrame, frequency: str,
                     control: str, job: str, first: dt.date | None = None,
                     last: dt.date | None = None, scheduler: str | None = None,
-                    quarantine_table: str | None = None, swap: str | None = None
-                    ) -> list[RunResult]:
+                    quarantine_table: str | None = None) -> list[RunResult]:
     """Replace every window between ``first`` and ``last`` (inclusive period
     starts; all windows of ``rows`` when omitted) in one distributed job.
 
-    Rows are rebalanced by window and staged once; per-window counts come from
-    one grouped aggregate of the staged rows (one row per window). Windows with
-    violations are left untouched and their rows quarantined. Then:
-
-    * ``swap='copy'``: the clean windows are overwritten together (dynamic
-      partition overwrite restricted to them);
-    * ``swap='location'``: the staging is written inside the table's folder,
-      partitioned by window; clean windows the table does not hold yet are
-      attached to their staged folders (no second copy, one catalog call per
-      500 windows), windows it already holds are overwritten as in ``copy``.
+    Rows are rebalanced by window and written once, partitioned by window, inside
+    the table's folder; per-window counts come from one grouped aggregate of what
+    was written (one row per window). Windows with violations are left untouched
+    and their rows quarantined. Every clean window is then committed by itself, and
+    its folder becomes the window: nothing is copied and no live folder is written
+    to. A window that another load committed meanwhile ends with status ``Error``.
 
     Windows of the range that exist in the target but have no source rows are
     emptied, so no stale rows survive; without a range nothing outside the rows'
@@ -289,7 +191,6 @@ def replace_windows(spark: SparkSession, table: str, rows: DataFrame, frequency:
     whose window is None.
     """
     from periodica.functions.periods import period_start, window_for
-    swap = swap or default_swap(spark)
     if REASON_COL not in rows.columns:
         rows = rows.withColumn(REASON_COL, F.lit(""))
     if PERIOD_COL not in rows.columns:
@@ -302,19 +203,17 @@ def replace_windows(spark: SparkSession, table: str, rows: DataFrame, frequency:
     if last is not None:
         rows = rows.where(F.col(PERIOD_COL) <= F.lit(last))
     started = dt.datetime.now()
-    root = table_location(spark, table) if swap == SWAP_LOCATION else None
-    staging = f"{root}/_versions/batch_{uuid.uuid4().hex}" if root else unique_path(spark, "staging")
-    # Cluster rows by window before they are written: AQE's rebalance splits a
-    # large window over several tasks and packs small ones together, so each
-    # window ends up in a few right-sized files instead of one small file per
-    # input task and window.
-    w = rows.hint("rebalance", PERIOD_COL).write.mode("errorifexists")
-    if root:
-        w = w.partitionBy(PERIOD_COL)
-    w.parquet(staging)
-    keep_staging = False
+    root = table_location(spark, table)
+    seen = sync_windows(spark, table, root)
+    staging = f"{root}/{VERSIONS}/batch_{uuid.uuid4().hex}"
+    live = False        # whether a window of the staged batch has been committed
     try:
-        staged = spark.read.parquet(staging)
+        # Cluster rows by window before they are written: AQE's rebalance splits a
+        # large window over several tasks and packs small ones together, so each
+        # window ends up in a few right-sized files instead of one small file per
+        # input task and window.
+        rows.hint("rebalance", PERIOD_COL).write.mode("errorifexists").partitionBy(PERIOD_COL).parquet(staging)
+        staged = spark.read.schema(f"{PERIOD_COL} DATE, {REASON_COL} STRING").parquet(staging)
         stats = {r[PERIOD_COL]: (int(r["n"]), int(r["bad"])) for r in
                  staged.groupBy(PERIOD_COL).agg(
                      F.count(F.lit(1)).alias("n"),
@@ -330,52 +229,33 @@ def replace_windows(spark: SparkSession, table: str, rows: DataFrame, frequency:
             target = target.where(F.col(PERIOD_COL).isin(list(stats)))
         before = {r[PERIOD_COL]: int(r["n"]) for r in
                   target.groupBy(PERIOD_COL).agg(F.count(F.lit(1)).alias("n")).collect()}
-        good = sorted(p for p, (_, bad) in stats.items() if bad == 0)
         bad_windows = sorted(p for p, (_, bad) in stats.items() if bad > 0)
-        empties = sorted(p for p in before if p not in stats)
         if (bad_windows or lost) and quarantine_table:
-            quarantine_rows(staged, quarantine_table, job, F.col(PERIOD_COL))
-        if root:
-            keep_staging = True
-            existing = existing_partitions(spark, table)
-            fresh = [p for p in good if p not in existing]
-            for i in range(0, len(fresh), 500):  # new windows: one catalog call per 500
-                specs = " ".join(f"PARTITION ({PERIOD_COL} = DATE'{p.isoformat()}') "
-                                 f"LOCATION '{staging}/{PERIOD_COL}={p.isoformat()}'"
-                                 for p in fresh[i:i + 500])
-                spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS {specs}")
-            # windows the table already holds: one dynamic overwrite from the
-            # staged batch (Spark writes into each partition's current folder),
-            # then their staged copies go; no per-window catalog round trips
-            again = [p for p in good if p in existing]
-            if again:
-                overwrite_partitions(spark, table, staged.where(F.col(PERIOD_COL).isin(again)))
-                for p in again:
-                    delete_path(spark, f"{staging}/{PERIOD_COL}={p.isoformat()}")
-            for p in empties:
-                prev = partition_location(spark, table, p)
-                spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION "
-                          f"({PERIOD_COL} = DATE'{p.isoformat()}')")
-                if prev and prev.startswith(root):
-                    delete_path(spark, prev)
-            for p in [*map(dt.date.isoformat, bad_windows), "__HIVE_DEFAULT_PARTITION__"]:
-                delete_path(spark, f"{staging}/{PERIOD_COL}={p}")
-            spark.sql(f"REFRESH TABLE {table}")
-        else:
-            if good:
-                overwrite_partitions(spark, table, staged.where(F.col(PERIOD_COL).isin(good)))
-            for p in empties:
-                overwrite_partition(spark, table, p, staged.limit(0).drop(REASON_COL))
+            quarantine_rows(spark.read.parquet(staging), quarantine_table, job, F.col(PERIOD_COL))
+        made, late = {}, set()
+        for p in sorted(set(stats) | set(before)):
+            n, bad = stats.get(p, (0, 0))
+            if bad:
+                continue
+            folder = f"{staging}/{PERIOD_COL}={p.isoformat()}" if p in stats else None
+            if commit_window(spark, root, p, seen.get(p, 0), folder):
+                made[p] = Version(seen.get(p, 0) + 1, folder)
+                live = live or folder is not None
+            else:
+                late.add(p)
+        point_windows(spark, table, made)
+        for p in [*map(dt.date.isoformat, [*bad_windows, *late]), "__HIVE_DEFAULT_PARTITION__"]:
+            delete_path(spark, f"{staging}/{PERIOD_COL}={p}")
         finished = dt.datetime.now()
         out = []
-        for p in sorted(set(stats) | set(empties)):
+        for p in sorted(set(stats) | set(before)):
             win = window_for(p, frequency)
             n, bad = stats.get(p, (0, 0))
             r = RunResult(job=job, window=win, started=started, finished=finished,
                           scheduler=scheduler)
-            if bad:
+            if bad or p in late:
                 r.status, r.rejected = STATUS_ERROR, bad
-                r.message = MSG_REJECTED.format(n=bad)
+                r.message = MSG_REJECTED.format(n=bad) if bad else MSG_BUSY.format(n=1)
                 r.log(r.message)
             else:
                 r.deleted, r.inserted = before.get(p, 0), n
@@ -390,5 +270,5 @@ def replace_windows(spark: SparkSession, table: str, rows: DataFrame, frequency:
             out.append(r)
         return out
     finally:
-        if not keep_staging:
+        if not live:
             delete_path(spark, staging)

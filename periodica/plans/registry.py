@@ -702,10 +702,12 @@ def write_extract(spark: SparkSession, sf_dir: str, folder: str) -> None:
      .option("quote", "\u0000").csv(folder))
 
 
-def _routed(spark, folder: str) -> list[str]:
+def _routed(spark, folder: str) -> DataFrame:
+    """The files that belong to this source and to no other."""
+    from periodica.layouts import INGEST
     from periodica.sources.files import list_files, route
-    r = route(list_files(spark, folder), [ORDERS_INGEST])
-    return [x["path"] for x in r.where(F.col("spec") == ORDERS_INGEST.name).collect()]
+    r = route(list_files(spark, folder), [ORDERS_INGEST, *INGEST.values()])
+    return r.where((F.col("spec") == ORDERS_INGEST.name) & (F.col("n_matches") == 1))
 
 
 _INGEST_SQL = """

@@ -13,12 +13,14 @@ from pyspark.sql import functions as F
 from periodica.functions.periods import Window, in_window, period_start, window_for
 from periodica.operators.conformance import conform, violation_reason
 from periodica.operators.deliver import deliver_rows
-from periodica.operators.window_sink import REASON_COL, RunResult, replace_window
+from periodica.operators.window_sink import REASON_COL, RunResult, failed, replace_window
 from periodica.sources.tables import BRONZE, Lake, scan_window
+from periodica.sources.versions import forget_windows
 from periodica.spec import ID_COL, LANDING_PART_COL, LOAD_TS_COL, PERIOD_COL, ReportSpec
 
 
 RUN_LOG = "run_log"
+MSG_NO_LOG = "Sin registro en la bitacora: {e}"
 DATED = ("date", "timestamp", "timestamp_ntz")
 
 
@@ -51,7 +53,10 @@ def _pruned(landing: DataFrame, control: str, window: Window, landing_control: s
         last = window.end - dt.timedelta(days=1)
         src = src.where((F.col(LANDING_PART_COL) >= F.lit(window.start.replace(day=1)))
                         & (F.col(LANDING_PART_COL) <= F.lit(last.replace(day=1))))
-    return src.where(in_window(control, window))
+    day = F.col(control)
+    if src.schema[control].dataType.typeName() not in DATED:
+        day = day.try_cast("date")      # a text that is no date is in no window
+    return src.where(in_window(day, window))
 
 
 def _stored(spec: ReportSpec, src: DataFrame, landing: DataFrame, *more: str) -> DataFrame:
@@ -82,10 +87,10 @@ def _types(df: DataFrame) -> dict:
 
 def load(spark: SparkSession, lake: Lake, spec: ReportSpec, system_date,
          landing: DataFrame | None = None, scheduler: str | None = None,
-         swap: str | None = None, landing_control: str | None = None) -> RunResult:
+         landing_control: str | None = None) -> RunResult:
     """``load(spec, system_date)`` for a landing-sourced report (L*)."""
     if spec.source == "self":
-        return self_refresh(spark, lake, spec, system_date, scheduler=scheduler, swap=swap)
+        return self_refresh(spark, lake, spec, system_date, scheduler=scheduler)
     day = window_for(system_date, "daily").start
     window = window_for(day, spec.frequency)
     target = lake.ensure_report_table(spec)
@@ -99,38 +104,45 @@ def load(spark: SparkSession, lake: Lake, spec: ReportSpec, system_date,
         return load_rows(spec, src, window, day, by)
     return _logged(spark, lake, replace_window(
         spark, target, rows, window, _job(spec), quarantine_table=lake.fq("silver", "quarantine"),
-        scheduler=scheduler, swap=swap or lake.swap))
+        scheduler=scheduler))
 
 
 def _logged(spark: SparkSession, lake: Lake, result):
-    """Append the run log rows of a result, or of a list of them (S15), failures included."""
+    """Append the run log rows of a result, or of a list of them (S15), failures included.
+    A window that is stored stays a success when its log row cannot be written."""
     from periodica.operators.runlog import log_run
-    log_run(spark, lake.fq("silver", RUN_LOG), result if isinstance(result, list) else [result])
+    results = result if isinstance(result, list) else [result]
+    try:
+        log_run(spark, lake.fq("silver", RUN_LOG), results)
+    except Exception as e:
+        for r in results:
+            r.log(MSG_NO_LOG.format(e=e))
     return result
 
 
 def self_refresh(spark: SparkSession, lake: Lake, spec: ReportSpec, system_date,
-                 scheduler: str | None = None, swap: str | None = None) -> RunResult:
-    """Self-select load: the window is re-computed from a snapshot of itself
-    taken before the replace (fix of X1), with the injected date applied."""
+                 scheduler: str | None = None) -> RunResult:
+    """Self-select load: the window is re-computed from its committed version (fix of
+    X1), with the injected date applied. The version it read stays as it is until the
+    new one is committed, and is read again where another run commits first."""
     day = window_for(system_date, "daily").start
     window = window_for(day, spec.frequency)
     target = lake.report_table(spec)
     lake.require(target)
 
     def rows() -> DataFrame:
-        snap = scan_window(spark.table(target), spec.control, window, partitioned=True).drop(PERIOD_COL)
+        snap = scan_window(lake.report(spec), spec.control, window, partitioned=True).drop(PERIOD_COL)
         snap = _inject(snap, spec, day, F.lit(window.start))
         return snap.withColumn(REASON_COL, violation_reason(spec.stored_columns, None, _types(snap)))
     return _logged(spark, lake, replace_window(
         spark, target, rows, window, _job(spec), quarantine_table=lake.fq("silver", "quarantine"),
-        scheduler=scheduler, swap=swap or lake.swap))
+        scheduler=scheduler))
 
 
 def deliver(spark: SparkSession, lake: Lake, spec: ReportSpec, date) -> DataFrame:
     """``deliver(spec, date)`` (D*): read-only, one window, layout order."""
     window = window_for(date, spec.frequency)
-    return deliver_rows(spark.table(lake.report_table(spec)), spec, window, partitioned=True)
+    return deliver_rows(lake.report(spec), spec, window, partitioned=True)
 
 
 def seed(spark: SparkSession, lake: Lake, spec: ReportSpec, rows: DataFrame) -> int:
@@ -165,20 +177,24 @@ def backfill(spark: SparkSession, lake: Lake, spec: ReportSpec, landing: DataFra
     from periodica.operators.window_sink import replace_windows
     target = lake.ensure_report_table(spec)
     control = _control_source(spec)
+    started = dt.datetime.now()
     f = wf(first, spec.frequency) if first is not None else None
     la = wf(last, spec.frequency) if last is not None else None
-    src = landing
-    if f or la:
-        bounds = Window(spec.frequency, f.start if f else dt.date(1, 1, 1), la.end if la else dt.date(9999, 12, 31))
-        src = _pruned(src, control, bounds, landing_control)
-    day = F.col(control) if landing.schema[control].dataType.typeName() in DATED else F.col(control).try_cast("date")
-    src = src.withColumn(PERIOD_COL, period_start(day, spec.frequency))
-    run_day = wf(run_day, "daily").start if run_day is not None else dt.date.today()
-    rows = _stored(spec, _inject(src, spec, run_day, F.col(PERIOD_COL)), landing, PERIOD_COL)
-    return _logged(spark, lake, replace_windows(
-        spark, target, rows, spec.frequency, spec.control, _job(spec), first=f.start if f else None,
-        last=la.start if la else None, scheduler=scheduler,
-        quarantine_table=lake.fq("silver", "quarantine"), swap=lake.swap))
+    try:
+        src = landing
+        if f or la:
+            bounds = Window(spec.frequency, f.start if f else dt.date(1, 1, 1), la.end if la else dt.date(9999, 12, 31))
+            src = _pruned(src, control, bounds, landing_control)
+        day = F.col(control) if landing.schema[control].dataType.typeName() in DATED else F.col(control).try_cast("date")
+        src = src.withColumn(PERIOD_COL, period_start(day, spec.frequency))
+        run_day = wf(run_day, "daily").start if run_day is not None else dt.date.today()
+        rows = _stored(spec, _inject(src, spec, run_day, F.col(PERIOD_COL)), landing, PERIOD_COL)
+        results = replace_windows(
+            spark, target, rows, spec.frequency, spec.control, _job(spec), first=f.start if f else None,
+            last=la.start if la else None, scheduler=scheduler, quarantine_table=lake.fq("silver", "quarantine"))
+    except Exception as e:      # a row in the log, as for a single load; no window is named
+        results = [failed(RunResult(job=_job(spec), window=None, started=started, scheduler=scheduler), e)]
+    return _logged(spark, lake, results)
 
 
 def retire_report(spark: SparkSession, lake: Lake, spec: ReportSpec,
@@ -198,6 +214,7 @@ def retire_report(spark: SparkSession, lake: Lake, spec: ReportSpec,
     fq = lake.report_table(spec)
     if lake.exists(fq):
         spark.sql(f"DROP TABLE {fq}")
+        forget_windows(spark, fq)
         out["table_dropped"] = True
     standard = f"{lake.root}/{lake.db('silver')}/{spec.table}"
     for path in {*read_lines(spark, standard + LOCATION_SUFFIX), standard, standard + LOCATION_SUFFIX}:
@@ -211,8 +228,7 @@ def referential_violations(spark: SparkSession, lake: Lake, child: int) -> DataF
     from periodica.layouts import REFERENTIAL, SPECS
     from periodica.operators.joins import orphan_keys
     parent, key = REFERENTIAL[child]
-    return orphan_keys(spark.table(lake.report_table(SPECS[child])), key,
-                       spark.table(lake.report_table(SPECS[parent])), key)
+    return orphan_keys(lake.report(SPECS[child]), key, lake.report(SPECS[parent]), key)
 
 
 def companion_rows(spark: SparkSession, lake: Lake, numero: int, day) -> DataFrame:
@@ -222,7 +238,7 @@ def companion_rows(spark: SparkSession, lake: Lake, numero: int, day) -> DataFra
     from periodica.operators.joins import companion
     other, key = COMPANIONS[numero]
     a, b = SPECS[numero], SPECS[other]
-    left = scan_window(spark.table(lake.report_table(a)), a.control, window_for(day, a.frequency), True)
-    right = scan_window(spark.table(lake.report_table(b)), b.control, window_for(day, b.frequency), True)
+    left = scan_window(lake.report(a), a.control, window_for(day, a.frequency), True)
+    right = scan_window(lake.report(b), b.control, window_for(day, b.frequency), True)
     right = right.select(key, *[F.col(c).alias(f"{b.table}_{c}") for c in right.columns if c != key])
     return companion(left, right, [key])

@@ -6,6 +6,7 @@ import os
 import tempfile
 import uuid
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import SparkSession
 
 # Settings every job of the engine relies on. Time zone UTC keeps date casts of
@@ -33,6 +34,7 @@ BASE_CONF = {
 
 # a text file next to a table's folder: its folder since the last migration, and the one before
 LOCATION_SUFFIX = ".location"
+END_LINE = "."      # last line of a file of ``create_once``
 
 
 def build_session(master: str | None = None, app: str = "periodica",
@@ -106,6 +108,14 @@ def _file(spark: SparkSession, path: str):
     return p, p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
 
 
+def full_path(spark: SparkSession, path: str) -> str:
+    """The path with its file system, as Spark's file metadata gives it."""
+    if ":/" in path:
+        return path
+    p, fs = _file(spark, path)
+    return str(fs.makeQualified(p).toString())
+
+
 def write_lines(spark: SparkSession, path: str, lines: list[str]) -> None:
     """Replace a small text file (Hadoop FS, any scheme)."""
     p, fs = _file(spark, path)
@@ -132,6 +142,50 @@ def read_lines(spark: SparkSession, path: str) -> list[str]:
         reader.close()
 
 
+def create_once(spark: SparkSession, path: str, lines: list[str]) -> bool:
+    """Create a small text file, or return False where it exists: of several that
+    try, one succeeds. The file ends with a line of its own, so that one whose
+    writer died is told from a whole one (``read_once``)."""
+    body = "\n".join([*lines, END_LINE]).encode()
+    p, fs = _file(spark, path)
+    fs.mkdirs(p.getParent())
+    uri = fs.makeQualified(p).toUri()
+    if uri.getScheme() == "file":       # Hadoop's local file system looks and then creates, in two steps
+        try:
+            fd = os.open(uri.getPath(), os.O_CREAT | os.O_EXCL | os.O_WRONLY)
+        except FileExistsError:
+            return False
+        with os.fdopen(fd, "wb") as f:
+            f.write(body)
+        return True
+    try:
+        out = fs.create(p, False)
+    except Py4JJavaError as e:
+        if "AlreadyExists" in str(e.java_exception.getClass().getName()) or fs.exists(p):
+            return False
+        raise
+    try:
+        out.write(bytearray(body))
+    finally:
+        out.close()
+    return True
+
+
+def read_once(spark: SparkSession, path: str) -> list[str] | None:
+    """Lines of a file of ``create_once``; None where it is missing or not whole."""
+    lines = read_lines(spark, path)
+    return lines[:-1] if lines and lines[-1] == END_LINE else None
+
+
+def move_path(spark: SparkSession, old: str, new: str) -> None:
+    """Rename a folder that is complete into its place, in one step."""
+    p, fs = _file(spark, old)
+    q, _ = _file(spark, new)
+    fs.mkdirs(q.getParent())
+    if not fs.rename(p, q):
+        raise RuntimeError(f"{old} could not be renamed to {new}")
+
+
 def list_path(spark: SparkSession, path: str) -> list[str]:
     """Paths directly under a folder; none where it does not exist."""
     p, fs = _file(spark, path)

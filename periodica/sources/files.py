@@ -8,12 +8,15 @@ codes such as ``000111`` stay text until the typed conversion.
 from __future__ import annotations
 
 import io
+import json
 import re
 import zipfile
 from collections.abc import Iterable, Iterator
+from itertools import islice
+from urllib.parse import unquote
 from xml.etree import ElementTree as ET
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -21,7 +24,6 @@ from pyspark.sql import types as T
 from periodica.spec import SOURCE_FILE_COL, IngestSpec
 
 CORRUPT_COL = "_corrupt_record"
-ROW_COL = "_row"
 
 
 # -- S1: route --------------------------------------------------------------
@@ -56,29 +58,31 @@ def route(files: DataFrame, specs: Iterable[IngestSpec]) -> DataFrame:
 
 
 # -- headers ----------------------------------------------------------------
-def read_header(spark: SparkSession, path: str, encoding: str = "UTF-8") -> str:
-    """First line of one file through the Hadoop file system (any scheme)."""
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    stream = fs.open(p)
-    try:
-        reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(stream, encoding))
-        line = reader.readLine() or ""
-    finally:
-        stream.close()
-    return line.lstrip("﻿").rstrip("\r\n")
-
-
-def read_headers(spark: SparkSession, paths: list[str], encoding: str = "UTF-8",
-                 threads: int = 16) -> list[str]:
-    """First lines of many files; the small reads overlap on a thread pool so a
-    batch of many files does not wait on one open at a time."""
-    if len(paths) <= 1:
-        return [read_header(spark, p, encoding) for p in paths]
-    from concurrent.futures import ThreadPoolExecutor
-    with ThreadPoolExecutor(max_workers=min(threads, len(paths))) as pool:
-        return list(pool.map(lambda p: read_header(spark, p, encoding), paths))
+def first_lines(spark: SparkSession, paths: list[str], encoding: str = "UTF-8") -> DataFrame:
+    """(path, header): the first line that is not blank of every file, read in tasks.
+
+    A file may be cut into splits: the line is the one of lowest row number in the
+    file's first split. This is one more pass over the bytes, which only parts lines;
+    Spark's readers cannot stop after one.
+    """
+    lines = (spark.read.schema("value STRING").option("sep", "\u0001").option("quote", "\u0000")
+             .option("encoding", encoding).csv(paths)
+             .select(F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("at"), "value"))
+    first = (lines.where(F.col("at") == 0).withColumn("i", F.monotonically_increasing_id())
+             .groupBy("path").agg(F.min_by("value", "i").alias("header")))
+    return first.select("path", F.regexp_replace(F.col("header"), "^\ufeff", "").alias("header"))
+
+
+def header_groups(headers: DataFrame) -> dict[str, list[str]]:
+    """The files of each distinct header. Grouped on Spark; the paths come along for
+    the reader, which lists them on the driver in any case."""
+    rows = headers.groupBy("header").agg(F.sort_array(F.collect_list("path")).alias("paths")).collect()
+    return {r["header"]: [plain_path(p) for p in r["paths"]] for r in sorted(rows, key=lambda r: r["header"] or "")}
+
+
+def plain_path(p: str) -> str:
+    """A path as readers take it, from a file's metadata, which escapes it."""
+    return re.sub("^file:/+", "file:/", unquote(p))
 
 
 # -- S2: delimited ----------------------------------------------------------
@@ -90,15 +94,16 @@ def scan_delimited(spark: SparkSession, paths: list[str], spec: IngestSpec,
     explicit all-string schema in that header's order (no inference, no
     positional guessing across different headers). Malformed lines land in
     ``_corrupt_record`` instead of failing the job. A file whose header lacks a
-    ``required`` name is not read; it is returned in the second value as
-    ``{path: [missing names]}``.
+    ``required`` name, or that has no line, is not read; it is returned in the
+    second value as ``{path: [missing names]}``.
     """
-    groups: dict[str, list[str]] = {}
-    for p, header in zip(paths, read_headers(spark, paths, spec.encoding)):
-        groups.setdefault(header, []).append(p)
-    frames, rejected = [], {}
+    if not paths:
+        return None, {}
+    groups = header_groups(first_lines(spark, paths, spec.encoding))
+    frames, seen = [], {p for g in groups.values() for p in g}
+    rejected = {p: list(required or []) for p in paths if plain_path(p) not in seen}
     for header, group in groups.items():
-        names = [h.strip() for h in header.split(spec.delimiter)]
+        names = [h.strip() for h in (header or "").split(spec.delimiter)]
         missing = [r for r in (required or []) if r not in names]
         if missing:
             rejected.update({p: missing for p in group})
@@ -150,90 +155,112 @@ def _first_sheet_name(z: zipfile.ZipFile) -> str:
     return "xl/worksheets/sheet1.xml"
 
 
-def xlsx_rows(data: bytes) -> list[list[str | None]]:
-    """Cells of the first sheet as text (shared, inline and number cells)."""
-    z = zipfile.ZipFile(io.BytesIO(data))
-    shared: list[str] = []
-    if "xl/sharedStrings.xml" in z.namelist():
-        sst = ET.fromstring(z.read("xl/sharedStrings.xml"))
-        for si in sst.findall("m:si", _NS):
-            shared.append("".join(t.text or "" for t in si.iter(f"{{{_NS['m']}}}t")))
-    sheet = ET.fromstring(z.read(_first_sheet_name(z)))
-    rows = []
-    for row in sheet.iter(f"{{{_NS['m']}}}row"):
-        cells: dict[int, str | None] = {}
-        for c in row.findall("m:c", _NS):
-            t = c.get("t")
-            if t == "inlineStr":
-                is_ = c.find("m:is", _NS)
-                val = "".join(x.text or "" for x in is_.iter(f"{{{_NS['m']}}}t")) if is_ is not None else None
-            else:
-                v = c.find("m:v", _NS)
-                val = v.text if v is not None else None
-                if t == "s" and val is not None:
-                    val = shared[int(val)]
-                elif t == "b" and val is not None:
-                    val = "TRUE" if val == "1" else "FALSE"
-            cells[_col_index(c.get("r"))] = val
-        width = max(cells) + 1 if cells else 0
-        rows.append([cells.get(i) for i in range(width)])
-    return rows
+def _shared_strings(z: zipfile.ZipFile) -> list[str]:
+    if "xl/sharedStrings.xml" not in z.namelist():
+        return []
+    out, tag = [], f"{{{_NS['m']}}}si"
+    with z.open("xl/sharedStrings.xml") as f:
+        for _, el in ET.iterparse(f):
+            if el.tag == tag:
+                out.append("".join(t.text or "" for t in el.iter(f"{{{_NS['m']}}}t")))
+                el.clear()
+    return out
+
+
+def xlsx_rows(data: bytes) -> Iterator[list[str | None]]:
+    """Cells of the first sheet as text (shared, inline and number cells), row by row.
+
+    The sheet is parsed as a stream of events and each row is dropped once it has
+    been read, so a caller holds one row, and may stop early; besides the file itself
+    only its table of shared strings is kept."""
+    m = f"{{{_NS['m']}}}"
+    with zipfile.ZipFile(io.BytesIO(data)) as z:
+        shared = _shared_strings(z)
+        with z.open(_first_sheet_name(z)) as f:
+            events = ET.iterparse(f, events=("start", "end"))
+            parent = None       # of the rows: an element that grows unless its rows are removed
+            for event, el in events:
+                if event == "start":
+                    if el.tag == m + "sheetData":
+                        parent = el
+                    continue
+                if el.tag != m + "row":
+                    continue
+                cells: dict[int, str | None] = {}
+                for c in el.findall(m + "c"):
+                    t, v = c.get("t"), c.find(m + "v")
+                    val = v.text if v is not None else None
+                    if t == "inlineStr":
+                        own = c.find(m + "is")
+                        val = "".join(x.text or "" for x in own.iter(m + "t")) if own is not None else None
+                    elif t == "s" and val is not None:
+                        val = shared[int(val)]
+                    elif t == "b" and val is not None:
+                        val = "TRUE" if val == "1" else "FALSE"
+                    ref = c.get("r")
+                    cells[_col_index(ref) if ref else len(cells)] = val
+                yield [cells.get(i) for i in range(max(cells) + 1)] if cells else []
+                if parent is not None:
+                    parent.clear()
 
 
 WORKBOOK_SCHEMA = T.StructType([
     T.StructField(SOURCE_FILE_COL, T.StringType()),
-    T.StructField(ROW_COL, T.LongType()),
     T.StructField("cells", T.ArrayType(T.StringType())),
 ])
+SHEET_ROWS = 1000       # that a task hands over at once
 
 
-def _explode_workbooks(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for pdf in batches:
-        for path, content in zip(pdf["path"], pdf["content"]):
-            rows = xlsx_rows(bytes(content))
-            yield pd.DataFrame({SOURCE_FILE_COL: [path] * len(rows),
-                                ROW_COL: list(range(len(rows))),
-                                "cells": rows})
+def _sheet_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The rows below the header of each workbook (path, content)."""
+    for b in batches:
+        for path, content in zip(b.column(0).to_pylist(), b.column(1)):
+            rows = islice(xlsx_rows(content.as_py()), 1, None)
+            while part := list(islice(rows, SHEET_ROWS)):
+                yield pa.RecordBatch.from_arrays([pa.array([path] * len(part)), pa.array(part, pa.list_(pa.string()))],
+                                                 names=[SOURCE_FILE_COL, "cells"])
+
+
+def _sheet_headers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(path, header as JSON): the first row of each workbook; nothing else of it is parsed."""
+    for b in batches:
+        paths = b.column(0).to_pylist()
+        first = [[(h or "").strip() for h in next(xlsx_rows(c.as_py()), [])] for c in b.column(1)]
+        yield pa.RecordBatch.from_arrays([pa.array(paths, pa.string()), pa.array([json.dumps(h) for h in first], pa.string())],
+                                         names=["path", "header"])
 
 
 def scan_workbook(spark: SparkSession, paths: list[str], spec: IngestSpec | None = None,
                   required: list[str] | None = None) -> tuple[DataFrame | None, dict]:
     """First sheet of each ``.xlsx`` as text cells named by its header row.
 
-    ``binaryFile`` -> ``mapInPandas``: workbooks are spread over tasks and
-    parsed with the standard library (``zipfile`` + XML). The header row of
-    each file (one small row per file) names the cells with DataFrame
-    expressions. Legacy binary ``.xls`` is not read. Same return shape as
-    ``scan_delimited``.
+    Workbooks are spread over tasks (``binaryFile``) and parsed with the standard
+    library (``zipfile`` + XML events). A first pass reads the header row of each, and
+    workbooks are grouped by it as delimited files are; the second reads the rows.
+    Nothing is kept between the two. Legacy binary ``.xls`` is not read. Same return
+    shape as ``scan_delimited``.
     """
     rejected = {p: ["legacy .xls is not read"] for p in paths if not p.lower().endswith(".xlsx")}
     paths = [p for p in paths if p.lower().endswith(".xlsx")]
     if not paths:
         return None, rejected
-    # no repartition here: that would shuffle whole file bodies; the binaryFile
-    # scan already packs workbooks into tasks by size (maxPartitionBytes)
-    raw = (spark.read.format("binaryFile").load(paths)
-           .mapInPandas(_explode_workbooks, WORKBOOK_SCHEMA))
-    # parsed once: a reliable checkpoint in the shared folder cuts the lineage
-    # so the header pass and the body pass do not both re-parse every workbook
-    raw = raw.checkpoint(eager=True)
-    headers = {r[SOURCE_FILE_COL]: [h.strip() if h else "" for h in r["cells"]]
-               for r in raw.where(F.col(ROW_COL) == 0).select(SOURCE_FILE_COL, "cells").collect()}
-    groups: dict[tuple, list[str]] = {}
-    for path, names in headers.items():
-        groups.setdefault(tuple(names), []).append(path)
-    body = raw.where(F.col(ROW_COL) > 0)
+
+    # no repartition: that would shuffle whole file bodies; the binaryFile scan already
+    # packs workbooks into tasks by size (maxPartitionBytes)
+    def books(group: list[str]) -> DataFrame:
+        return spark.read.format("binaryFile").load(group).select("path", "content")
+    headers = books(paths).mapInArrow(_sheet_headers, "path string, header string")
     frames = []
-    for names, group in groups.items():
+    for header, group in header_groups(headers).items():
+        names = json.loads(header)
         missing = [r for r in (required or []) if r not in names]
         if missing:
             rejected.update({p: missing for p in group})
             continue
         sel = [F.try_element_at(F.col("cells"), F.lit(i + 1)).alias(n)
                for i, n in enumerate(names) if n]
-        frames.append(body.where(F.col(SOURCE_FILE_COL).isin(group))
-                      .select(*sel, F.lit(None).cast("string").alias(CORRUPT_COL),
-                              SOURCE_FILE_COL))
+        frames.append(books(group).mapInArrow(_sheet_rows, WORKBOOK_SCHEMA)
+                      .select(*sel, F.lit(None).cast("string").alias(CORRUPT_COL), SOURCE_FILE_COL))
     return _union(frames), rejected
 
 

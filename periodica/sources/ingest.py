@@ -1,14 +1,14 @@
 """File -> landing ingestion driven by an ``IngestSpec`` (S4 .. S11).
 
 One pass over the files computes the typed landing row and a rejection reason
-per row and appends the accepted rows to the landing table; the load timestamp
-is a literal fixed on the driver, so a retried task writes the same value.
+per row and stages both kinds; accepted rows then move into the landing table. The
+load timestamp is a literal fixed on the driver, so a retried task writes the same
+value. Any number of runs may offer the same files at once (``sources.claims``).
 """
 
 from __future__ import annotations
 
 import datetime as dt
-import re
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -17,9 +17,12 @@ from pyspark.sql import types as T
 
 from periodica.functions.formats import parse_date_any
 from periodica.functions.types import parse_type
-
+from periodica.session import delete_path, full_path, list_path, move_path
+from periodica.sources.appends import append_run, ensure_runs_table, find_runs
+from periodica.sources.claims import Claim, claim_files, close_claim, end_run, published_facts, publishing
 from periodica.sources.files import CORRUPT_COL, scan_delimited, scan_workbook
 from periodica.sources.tables import BRONZE, Lake
+from periodica.sources.versions import table_location
 from periodica.spec import ID_COL, LANDING_PART_COL, LOAD_TS_COL, SOURCE_FILE_COL, IngestSpec
 
 REASON_COL = "_reason"
@@ -27,14 +30,15 @@ EXCEL_EPOCH = dt.date(1899, 12, 30)   # day 0 of workbook date serials
 MANIFEST = "landed_files"
 REJECTS = "rejects"
 
-# a row when a file's batch starts and one when it is done; counts are those of the file's batch (per-file
-# counts are a grouped query on the landing's source_file column)
+REJECTED_COL = "_rejected"
+
+# a row for each landed file; counts are those of the file's batch (per-file counts are a
+# grouped query on the landing's source_file column)
 MANIFEST_SCHEMA = T.StructType([
     T.StructField("path", T.StringType()), T.StructField("spec", T.StringType()),
     T.StructField("batch_rows", T.LongType()), T.StructField("batch_rejected", T.LongType()),
-    T.StructField("landed_at", T.TimestampNTZType()), T.StructField("state", T.StringType()),
+    T.StructField("landed_at", T.TimestampNTZType()),
 ])
-STARTED, DONE = "started", "done"
 
 
 @dataclass
@@ -43,7 +47,7 @@ class IngestResult:
     accepted: int = 0
     rejected: int = 0
     files: list[str] = field(default_factory=list)
-    skipped: list[str] = field(default_factory=list)        # already landed
+    skipped: int = 0                                        # files that have landed, or that another run is landing
     bad_files: dict[str, list[str]] = field(default_factory=dict)  # missing headers
 
 
@@ -105,98 +109,109 @@ def convert(df: DataFrame, spec: IngestSpec, loaded_at: dt.datetime,
                      month.alias(LANDING_PART_COL))
 
 
-def landed_files(spark: SparkSession, lake: Lake) -> DataFrame:
-    """Manifest of landed files (one row per file)."""
-    return _manifest(spark, lake).where(F.col("state") == DONE).drop("state")
-
+def _manifest(spark: SparkSession, lake: Lake) -> str:
+    table = lake.fq(BRONZE, MANIFEST)
+    ensure_runs_table(spark, table, MANIFEST_SCHEMA)
+    return table
 
-def _manifest(spark: SparkSession, lake: Lake) -> DataFrame:
-    return spark.table(lake.ensure_table(BRONZE, MANIFEST, MANIFEST_SCHEMA, partitioned=False))
 
-
-def _note(spark: SparkSession, lake: Lake, spec: IngestSpec, files: list[str], state: str, accepted: int,
-          rejected: int, at: dt.datetime) -> None:
-    if files:
-        spark.createDataFrame([(p, spec.name, accepted, rejected, at, state) for p in files], MANIFEST_SCHEMA) \
-            .coalesce(1).write.insertInto(lake.fq(BRONZE, MANIFEST), overwrite=False)
-
-
-def same_path(p: str) -> str:
-    """One spelling of a file's path, for batch and stream alike."""
-    return re.sub("^file:/+", "file:/", p)
+def landed_files(spark: SparkSession, lake: Lake) -> DataFrame:
+    """Manifest of landed files (one row per file)."""
+    return find_runs(spark, _manifest(spark, lake))
 
 
-def file_states(spark: SparkSession, lake: Lake, spec: IngestSpec, paths: list[str]) -> dict[str, str]:
-    """``done`` or ``started`` for those paths of a batch that the manifest knows."""
-    cand = spark.createDataFrame([(p,) for p in paths], "path string")
-    rows = (_manifest(spark, lake).where(F.col("spec") == spec.name).join(cand, "path", "left_semi")
-            .groupBy("path").agg(F.min("state").alias("state")).collect())
-    return {r["path"]: r["state"] for r in rows}
+def claim(spark: SparkSession, lake: Lake, spec: IngestSpec, offered: DataFrame) -> Claim | None:
+    """Claim the offered files (path) that have not landed and that no other run is landing."""
+    def done() -> DataFrame:
+        return landed_files(spark, lake).where(F.col("spec") == spec.name)
+    root = f"{lake.root}/{lake.db(BRONZE)}/_claims/{spec.landing_table}"
+    return claim_files(spark, root, offered.select(F.regexp_replace("path", "^file:/+", "file:/").alias("path")), done)
 
 
 def land_files(spark: SparkSession, lake: Lake, spec: IngestSpec, typed: DataFrame, landing: str,
-               files: list[str], states: dict[str, str], at: dt.datetime) -> tuple[int, int]:
-    """Land the files of a batch once, whatever broke off an earlier try: a file
-    is claimed in the manifest before anything is written and marked done after
-    everything is. Of a file claimed but not done, rows or rejects that did get
-    written are found by its path and not written again."""
-    half = [p for p in files if states.get(p) == STARTED]
-    _note(spark, lake, spec, [p for p in files if p not in states], STARTED, 0, 0, at)
-    landed, refused = set(), set()
-    if half:
-        spark.catalog.refreshTable(landing)
-        landed = _holding(spark, landing, half)
-        rejects = lake.fq(BRONZE, REJECTS)
-        refused = _holding(spark, rejects, half) if spark.catalog.tableExists(rejects) else set()
-    n, bad = append_landing(spark, lake, spec, typed, landing, landed, refused)
-    _note(spark, lake, spec, files, DONE, n, bad, at)
-    return n, bad
-
-
-def _holding(spark: SparkSession, table: str, files: list[str]) -> set[str]:
-    return {r[0] for r in spark.table(table).where(F.col(SOURCE_FILE_COL).isin(files))
-            .select(SOURCE_FILE_COL).distinct().collect()}
-
-
-def append_landing(spark: SparkSession, lake: Lake, spec: IngestSpec, typed: DataFrame,
-                   landing: str, landed: set[str] = frozenset(), refused: set[str] = frozenset()) -> tuple[int, int]:
-    """Append the accepted rows of a converted frame to landing (S10) and, only
-    when there are rejects, write those to the rejects table. Rows of ``landed``
-    files and rejects of ``refused`` files are there already. Returns
-    ``(accepted, rejected)``."""
-    def fresh(seen: set[str]) -> Column:
-        return ~F.col(SOURCE_FILE_COL).isin(list(seen)) if seen else F.lit(True)
-    cols = spark.table(landing).columns
-    obs = Observation("ingest")
-    # rows clustered by landing month: the append writes a few right-sized
-    # files per month instead of one per input task and month; the counters
-    # sit after the exchange so a re-run map stage cannot count rows twice
+               mine: Claim, files: DataFrame, at: dt.datetime) -> tuple[int, int]:
+    """Land the rows of ``files`` (path) under a claim, once whatever breaks.
+
+    One pass over the source stages accepted and rejected rows together, apart from
+    all other runs. From then on the run is to be published, by itself or by the next
+    one that finds it dead: staged files are moved into the landing's months, rejects
+    and manifest rows are appended under the run's name, and each of these steps can
+    be repeated. Returns (accepted, rejected).
+    """
+    place = _place(spark, landing, mine.run)
+    schema = spark.table(landing).schema
+    obs = Observation(f"ingest_{mine.run[:8]}")
+    # rows clustered by landing month: a few right-sized files per month instead of one
+    # per input task and month; the counters sit after the exchange so a re-run map stage
+    # cannot count rows twice
     (typed.hint("rebalance", LANDING_PART_COL)
      .observe(obs, F.count(F.lit(1)).alias("n"), F.count_if(F.col(REASON_COL) != "").alias("bad"))
-     .where((F.col(REASON_COL) == "") & fresh(landed)).select(*cols)
-     .write.insertInto(landing, overwrite=False))
+     .select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema], REASON_COL,
+             (F.col(REASON_COL) != "").alias(REJECTED_COL))
+     .write.partitionBy(REJECTED_COL, LANDING_PART_COL).parquet(place))
+    files.write.parquet(f"{place}-files")
     m = obs.get
+    bad = int(m["bad"])
+    publishing(spark, mine.root, mine.run, [str(int(m["n"]) - bad), str(bad), at.isoformat()])
+    publish(spark, lake, spec, landing, mine, mine.run)
+    return int(m["n"]) - bad, bad
+
+
+def _place(spark: SparkSession, landing: str, run: str) -> str:
+    return f"{table_location(spark, landing)}/_incoming/{run}"
+
+
+def publish(spark: SparkSession, lake: Lake, spec: IngestSpec, landing: str, mine: Claim, run: str) -> None:
+    """Move what ``run`` staged into the landing, the rejects and the manifest, as far as
+    that has not been done, and close its claim."""
+    n, bad, at = published_facts(spark, mine.root, run)
+    place = _place(spark, landing, run)
+    _move_accepted(spark, landing, place, run)
+    if int(bad):
+        _add_rejects(spark, lake, spec, place, run)
+    _add_manifest(spark, lake, spec, place, run, int(n), int(bad), dt.datetime.fromisoformat(at))
+    close_claim(spark, mine.root, run)
+    delete_path(spark, place)
+    delete_path(spark, f"{place}-files")
+
+
+def _move_accepted(spark: SparkSession, landing: str, place: str, run: str) -> None:
+    """One rename for each staged file, as a job's commit does; names hold the run."""
+    root = table_location(spark, landing)
+    for month in list_path(spark, f"{place}/{REJECTED_COL}=false"):
+        name = month.rsplit("/", 1)[1]
+        for f in list_path(spark, month):
+            move_path(spark, f, f"{root}/{name}/{run}-{f.rsplit('/', 1)[1]}")
+        day = name.partition("=")[2]
+        value = "NULL" if day == "__HIVE_DEFAULT_PARTITION__" else f"DATE'{day}'"
+        spark.sql(f"ALTER TABLE {landing} ADD IF NOT EXISTS PARTITION ({LANDING_PART_COL} = {value})")
     spark.catalog.refreshTable(landing)
-    rejected = int(m["bad"])
-    if rejected:
-        (typed.where((F.col(REASON_COL) != "") & fresh(refused))
-         .select(F.lit(spec.name).alias("spec"), SOURCE_FILE_COL, REASON_COL,
-                 F.to_json(F.struct(*[c for c in typed.columns
-                                      if c not in (REASON_COL, SOURCE_FILE_COL)])).alias("row"))
-         .write.mode("append").saveAsTable(lake.fq(BRONZE, REJECTS)))
-    return int(m["n"]) - rejected, rejected
 
 
-def ingest(spark: SparkSession, lake: Lake, spec: IngestSpec, paths: list[str],
+def _add_rejects(spark: SparkSession, lake: Lake, spec: IngestSpec, place: str, run: str) -> None:
+    rows = spark.read.option("basePath", place).parquet(f"{place}/{REJECTED_COL}=true")
+    append_run(spark, lake.fq(BRONZE, REJECTS), rows.select(
+        F.lit(spec.name).alias("spec"), SOURCE_FILE_COL, REASON_COL,
+        F.to_json(F.struct(*[c for c in rows.columns if c not in (REASON_COL, SOURCE_FILE_COL, REJECTED_COL)])).alias("row")), run)
+
+
+def _add_manifest(spark: SparkSession, lake: Lake, spec: IngestSpec, place: str, run: str, n: int, bad: int,
+                  at: dt.datetime) -> None:
+    files = spark.read.schema("path string").parquet(f"{place}-files")
+    append_run(spark, _manifest(spark, lake), files.select(
+        "path", F.lit(spec.name).alias("spec"), F.lit(n).cast("long").alias("batch_rows"),
+        F.lit(bad).cast("long").alias("batch_rejected"), F.lit(at).cast("timestamp_ntz").alias("landed_at")), run)
+
+
+def ingest(spark: SparkSession, lake: Lake, spec: IngestSpec, paths: list[str] | DataFrame,
            run_date: dt.date | None = None, now: dt.datetime | None = None) -> IngestResult:
-    """Land new files of one source; a file already in the manifest is skipped,
-    so feeding the same file twice appends its rows once (S10).
-
-    One pass: files are read, converted and the accepted rows appended to the
-    landing table in a single job (atomic at job commit), while an
-    ``Observation`` counts rows and rejects. Only when rejects exist does a
-    second pass write them, with their reasons, to the rejects table; they
-    never reach landing, so their generated IDs need not match anything.
+    """Land new files of one source, given as paths or as a frame with a column ``path``.
+
+    A file that has landed, or that another run is landing, is skipped, so feeding the
+    same file twice appends its rows once (S10). The paths of new files come to the
+    driver, which lists them for Spark's reader; their first lines, rows and rejects
+    stay in tasks, and the files' rows are read once (``land_files``). Files of an
+    earlier run that broke off after its rows were complete are finished first.
     """
     res = IngestResult(spec.name)
     if spec.control_col and spec.control_from == "column" and spec.control_col not in dict(
@@ -205,25 +220,30 @@ def ingest(spark: SparkSession, lake: Lake, spec: IngestSpec, paths: list[str],
     if spec.control_from == "run_date" and run_date is None:
         run_date = load_timestamp(now).date()
     landing = lake.ensure_landing_table(spec)
-    paths = list(dict.fromkeys(map(same_path, paths)))
-    # the manifest is scanned once; only the batch's known candidates come back
-    states = file_states(spark, lake, spec, paths)
-    new = [p for p in paths if states.get(p) != DONE]
-    res.skipped = [p for p in paths if states.get(p) == DONE]
-    if not new:
+    offered = paths if isinstance(paths, DataFrame) else spark.createDataFrame(
+        [(full_path(spark, p),) for p in paths], "path string")
+    mine = claim(spark, lake, spec, offered)
+    res.skipped = offered.select("path").distinct().count() - (mine.n_paths if mine else 0)
+    if mine is None:
         return res
-    required = [s for s, _ in spec.column_map]
-    if spec.file_type == "excel":
-        raw, bad = scan_workbook(spark, new, spec, required)
-    else:
-        raw, bad = scan_delimited(spark, new, spec, required)
-    res.bad_files = bad
-    if raw is None:
-        return res
-    loaded_at = load_timestamp(now)
-    typed = convert(raw, spec, loaded_at, run_date)
-    res.files = [p for p in new if p not in bad]
-    res.accepted, res.rejected = land_files(spark, lake, spec, typed, landing, res.files, states, loaded_at)
+    try:
+        for run in mine.takes:
+            publish(spark, lake, spec, landing, mine, run)
+        new = [r["path"] for r in mine.paths.collect()]
+        scan = scan_workbook if spec.file_type == "excel" else scan_delimited
+        raw, res.bad_files = scan(spark, new, spec, [s for s, _ in spec.column_map])
+        if raw is None:
+            close_claim(spark, mine.root, mine.run)
+            return res
+        loaded_at = load_timestamp(now)
+        typed = convert(raw, spec, loaded_at, run_date)
+        res.files = [p for p in new if p not in res.bad_files]
+        files = mine.paths
+        if res.bad_files:
+            files = spark.createDataFrame([(p,) for p in res.files], "path string")
+        res.accepted, res.rejected = land_files(spark, lake, spec, typed, landing, mine, files, loaded_at)
+    finally:
+        end_run(mine.run)
     return res
 
 

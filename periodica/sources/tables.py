@@ -16,6 +16,7 @@ from pyspark.sql import types as T
 
 from periodica.functions.periods import Window, in_window, overlapping_periods
 from periodica.session import LOCATION_SUFFIX, path_exists, read_lines, shared_path
+from periodica.sources.versions import forget_windows, sync_windows, table_location
 from periodica.spec import LANDING_PART_COL, PERIOD_COL, SOURCE_FILE_COL, IngestSpec, ReportSpec
 
 BRONZE, SILVER = "bronze", "silver"
@@ -36,18 +37,15 @@ class Lake:
     """Catalog schemas ``bronze`` (landing) and ``silver`` (reports) under one root.
 
     With a shared metastore the definitions persist; with the in-memory catalog
-    (local runs) ``ensure_*`` re-attaches existing folders and recovers their
-    partitions, so a new session sees the data written by an earlier one.
+    (local runs) ``ensure_*`` re-attaches existing folders, recovers their
+    partitions and lets windows follow their commits (``sources.versions``), so a new
+    session sees the data written by an earlier one.
     """
 
-    def __init__(self, spark: SparkSession, root: str | None = None, prefix: str = "",
-                 swap: str | None = None):
+    def __init__(self, spark: SparkSession, root: str | None = None, prefix: str = ""):
         self.spark = spark
         self.root = (root or shared_path(spark, "periodica", "lake")).rstrip("/")
         self.prefix = prefix
-        # how a window load swaps its partition (see operators.window_sink):
-        # None = by catalog (location swap with a persistent metastore)
-        self.swap = swap
         for layer in (BRONZE, SILVER):
             spark.sql(f"CREATE DATABASE IF NOT EXISTS {self.db(layer)} "
                       f"LOCATION '{self.root}/{self.db(layer)}'")
@@ -86,11 +84,21 @@ class Lake:
                            f"{part} LOCATION '{loc}'{props}")
             if partitioned and existed:
                 self.spark.sql(f"ALTER TABLE {fq} RECOVER PARTITIONS")
+            forget_windows(self.spark, fq)
         return fq
 
     def ensure_report_table(self, spec: ReportSpec) -> str:
         types = {c.name: c.type.ddl for c in spec.stored_columns}
-        return self.ensure_table(SILVER, spec.table, spec.stored_schema(), True, types)
+        fq = self.ensure_table(SILVER, spec.table, spec.stored_schema(), True, types)
+        sync_windows(self.spark, fq, table_location(self.spark, fq))
+        return fq
+
+    def report(self, spec: ReportSpec) -> DataFrame:
+        """A report table as it was last committed, by this session or another."""
+        fq = self.report_table(spec)
+        self.require(fq)
+        sync_windows(self.spark, fq, table_location(self.spark, fq))
+        return self.spark.table(fq)
 
     def ensure_landing_table(self, spec: IngestSpec) -> str:
         """Append-only landing table, partitioned by the month of each row's

@@ -1,9 +1,9 @@
 """Continuous landing of arriving delimited files with Structured Streaming.
 
-The batch ingestion (``periodica.sources.ingest``) keeps a manifest of landed
-files and so does the stream: its checkpoint offers every file to one
-micro-batch, and the manifest tells which files of a replayed micro-batch have
-landed. Each micro-batch goes through the same typed conversion and
+The batch ingestion (``periodica.sources.ingest``) claims files and keeps a
+manifest of landed ones, and so does the stream: its checkpoint offers every file
+to one micro-batch, and the manifest tells which files of a replayed micro-batch
+have landed. Each micro-batch goes through the same typed conversion and
 the same append of accepted rows (and rejects) as a batch ingestion.
 
 ``Trigger.AvailableNow`` processes everything present and stops, which is how a
@@ -20,8 +20,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from periodica.session import shared_path
+from periodica.sources.claims import end_run
 from periodica.sources.files import CORRUPT_COL
-from periodica.sources.ingest import DONE, convert, file_states, land_files, load_timestamp
+from periodica.sources.ingest import claim, convert, land_files, load_timestamp, publish
 from periodica.sources.tables import Lake
 from periodica.spec import SOURCE_FILE_COL, IngestSpec
 
@@ -48,16 +49,20 @@ def file_stream(spark: SparkSession, folder: str, spec: IngestSpec,
 
 def _batch_writer(spark: SparkSession, lake: Lake, spec: IngestSpec, landing: str):
     def write(batch: DataFrame, epoch_id: int) -> None:
-        # the same conversion and append as a batch ingestion, under the same
-        # manifest: a replayed micro-batch, or one with files that a batch has
-        # landed, writes nothing twice (a micro-batch holds a bounded number of files)
+        # the same conversion, claims and append as a batch ingestion: a replayed
+        # micro-batch, or one with files that a batch has landed, writes nothing twice
         at = load_timestamp(dt.datetime.now())
         typed = convert(batch, spec, at, at.date())
-        files = [r[0] for r in typed.select(SOURCE_FILE_COL).distinct().collect()]
-        states = file_states(spark, lake, spec, files)
-        files = [p for p in files if states.get(p) != DONE]
-        if files:
-            land_files(spark, lake, spec, typed.where(F.col(SOURCE_FILE_COL).isin(files)), landing, files, states, at)
+        mine = claim(spark, lake, spec, typed.select(F.col(SOURCE_FILE_COL).alias("path")))
+        if mine is None:
+            return
+        try:
+            for run in mine.takes:
+                publish(spark, lake, spec, landing, mine, run)
+            rows = typed.join(mine.paths, typed[SOURCE_FILE_COL] == mine.paths["path"], "left_semi")
+            land_files(spark, lake, spec, rows, landing, mine, mine.paths, at)
+        finally:
+            end_run(mine.run)
     return write
 
 

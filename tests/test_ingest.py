@@ -69,7 +69,7 @@ def test_allow_empty_false(spark, lake):
 
 def test_workbook_first_sheet(spark):
     data = write_xlsx([["CODE", "Amount", "DAY"], ["000111", "1.5", "2026-04-17"], ["000112", None, "x"]])
-    assert xlsx_rows(data)[1] == ["000111", "1.5", "2026-04-17"]
+    assert list(xlsx_rows(data))[1] == ["000111", "1.5", "2026-04-17"]
     folder = unique_path(spark, "drop")
     os.makedirs(folder, exist_ok=True)
     p = os.path.join(folder, "T_1.xlsx")

@@ -18,12 +18,7 @@ def _snapshot(spark, lake, spec):
                   .drop("FECHA_EXTRACCION").collect())
 
 
-import pytest
-
-
-@pytest.mark.parametrize("swap", ["copy", "location"])
-def test_load_properties(spark, lake, swap):
-    lake.swap = swap
+def test_load_properties(spark, lake):
     spec = td.orders_spec(MONTHLY)
     landing = td.orders_landing(spark, SF)
     full = reports.backfill(spark, lake, spec, landing)
@@ -82,13 +77,11 @@ def test_guards_and_regressions(spark, lake):
     assert a and b and not a & b
 
 
-def test_location_swap_versions_and_self_refresh(spark, lake):
-    """Location swap: one folder per window version, the previous version is
-    removed, and a self-select refresh reads the old folder while writing the
-    new one (no staging copy needed)."""
+def test_versions_and_self_refresh(spark, lake):
+    """One folder per window version, the version before the last is removed, and a
+    self-select refresh reads the old folder while writing the new one."""
     import os
-    from periodica.operators.window_sink import partition_location
-    lake.swap = "location"
+    from periodica.sources.versions import partition_location
     spec = td.orders_spec(MONTHLY)
     landing = td.orders_landing(spark, SF)
     assert reports.load(spark, lake, spec, DAY, landing=landing).ok
@@ -128,11 +121,8 @@ def test_written_delivery_file(spark, lake):
     assert all(ln.split("|")[4][4] == "/" for ln in body)  # yyyy/MM/dd
 
 
-@pytest.mark.parametrize("swap", ["copy", "location"])
-def test_backfill_modes_agree(spark, lake, swap):
-    """A backfill, a second backfill over a narrower source and a window left
-    without rows give the same table in both swap modes; failed windows stay."""
-    lake.swap = swap
+def test_backfill_empties_windows_of_its_range(spark, lake):
+    """A second backfill over a narrower source empties the window left without rows."""
     spec = td.orders_spec(MONTHLY)
     landing = td.orders_landing(spark, SF)
     first = reports.backfill(spark, lake, spec, landing)
