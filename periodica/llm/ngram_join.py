@@ -36,10 +36,9 @@ from pyspark.sql import functions as F
 
 from periodica.llm.common import cut, put_back, read, set_aside, ship
 from periodica.llm.components import Forest, components
+from periodica.llm.word_hashes import K1, S32, mixed, word_hashes
 from periodica.session import delete_path, unique_path
 
-K1, K2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
-S32, S29 = np.uint64(32), np.uint64(29)
 SLICES = 16
 
 
@@ -61,54 +60,7 @@ class JaccardRules:
         return -(-self.percent * n // 100)
 
 
-def _mixed(h: np.ndarray) -> np.ndarray:
-    h = (h ^ (h >> S29)) * K2
-    return h ^ (h >> S32)
-
-
-# one random code for each byte, A-Z those of a-z; white space parts words
-CODES = np.random.default_rng(20).integers(1, 2 ** 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-CODES[65:91] = CODES[97:123]
-SPACE = np.isin(np.arange(256), [9, 10, 11, 12, 13, 32])
-BASE = np.uint64(0xD6E8FEB86659FD93)
-BASE_INVERSE = np.uint64(pow(int(BASE), -1, 2 ** 64))
-_powers: list[np.ndarray] = [np.zeros(0, np.uint64)] * 2
-
-
-def _power_tables(n: int) -> list[np.ndarray]:
-    """BASE ** i and its inverse modulo 2 ** 64 for i < n."""
-    if len(_powers[0]) < n:
-        for k, b in enumerate((BASE, BASE_INVERSE)):
-            p = np.full(n + n // 4 + 1, b)
-            p[0] = 1
-            _powers[k] = np.multiply.accumulate(p)
-    return _powers
-
-
-def _word_hashes(col: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Hash of each word, the document it is in, and the documents' word counts.
-
-    All texts are hashed at once: running sums of byte codes times powers of a
-    base give any word's polynomial hash by one difference."""
-    col = col.fill_null("").cast(pa.large_binary())
-    at = np.frombuffer(col.buffers()[1], np.int64)[col.offset:col.offset + len(col) + 1]
-    data = np.frombuffer(col.buffers()[2], np.uint8)[at[0]:at[-1]] if at[-1] > at[0] else np.zeros(0, np.uint8)
-    at = at - at[0]
-    blank = SPACE[data]
-    edge = np.ones(len(data) + 1, bool)         # a word may begin here
-    edge[1:] = np.append(blank, True)[:len(data)]
-    edge[at] = True
-    start = np.flatnonzero(edge[:-1] & ~blank)
-    stop = np.ones(len(data) + 1, bool)         # a word may end before here
-    stop[:-1] = blank
-    stop[at] = True
-    end = np.flatnonzero(stop[1:] & ~blank) + 1
-    up, down = _power_tables(len(data) + 1)
-    total = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum(CODES[data] * up[:len(data)], out=total[1:])
-    h = _mixed((total[end] - total[start]) * down[start])
-    doc = np.searchsorted(at[1:], start, "right")
-    return h, doc, np.bincount(doc, minlength=len(col)).astype(np.int64)
+SPACE = np.isin(np.arange(256), [9, 10, 11, 12, 13, 32])      # white space parts words
 
 
 def ngram_sets(texts: pa.Array, rules: JaccardRules,
@@ -118,7 +70,7 @@ def ngram_sets(texts: pa.Array, rules: JaccardRules,
     A-Z are lower-cased. A text of fewer words than an n-gram has its whole
     sequence as its one n-gram; a text without words, or null, an empty set.
     """
-    h, doc, n = _word_hashes(texts)
+    h, doc, n = word_hashes(texts, SPACE)
     start = np.cumsum(n) - n
     k = rules.words
     # a window of the next k words; of short texts, the first window holds what there is
@@ -129,7 +81,7 @@ def ngram_sets(texts: pa.Array, rules: JaccardRules,
     for i in range(k):
         nxt = (g ^ (g >> S32)) * K1 + h[np.minimum(at + i, max(len(h) - 1, 0))]
         g = nxt if (length > i).all() else np.where(length > i, nxt, g)
-    g = _mixed(g)
+    g = mixed(g)
     found, ends = [], np.cumsum(np.bincount(doc[at], minlength=len(n)))
     a = 0
     for b in ends.tolist():
@@ -146,9 +98,9 @@ def _bucket(g: np.ndarray, rules: JaccardRules) -> np.ndarray:
 
 def _classes_of(g: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     """64-bit id of each set, the same whatever its order."""
-    total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(_mixed(g ^ K1), dtype=np.uint64)])
+    total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(mixed(g ^ K1), dtype=np.uint64)])
     ends = np.cumsum(sizes)
-    return _mixed((total[ends] - total[ends - sizes]) ^ (sizes.astype(np.uint64) * K1)).view(np.int64)
+    return mixed((total[ends] - total[ends - sizes]) ^ (sizes.astype(np.uint64) * K1)).view(np.int64)
 
 
 def _chunks(batches: Iterator[pa.RecordBatch], n: int) -> Iterator[pa.RecordBatch]:
