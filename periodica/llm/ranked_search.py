@@ -4,11 +4,12 @@ A document's score depends on its length only through the normaliser m, a whole
 number, so documents of equal m form a stratum, and inside it a term's impact is a
 function of tf alone.
 
-Building: every document becomes its distinct terms with their tf. Documents are
-range-partitioned by m (a stratum of any size is spread by a hash of doc_id), and
-each task inverts what it holds: a row of the index is a part of one stratum, with
-its documents and, for each term, postings ordered by tf. The index holds every
-term of every document and does not depend on any query.
+Building: a first pass counts the terms of each document, which fixes every m. In a
+second one documents become their distinct terms with tf and are dealt by m, a large
+stratum by a hash of doc_id too, and each task inverts what it holds: a row of the
+index is a part of one stratum, with its documents and, for each term, postings
+ordered by tf. The index holds every term of every document and does not depend on
+any query.
 
 Searching: a block of items is sent to all tasks. For a part of a stratum the
 impact of each run of equal tf is computed once. The impact of a term's largest tf
@@ -33,8 +34,8 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from periodica.llm.common import cut, read, ship
-from periodica.llm.word_hashes import word_hashes
-from periodica.session import delete_path, read_lines, unique_path, write_lines
+from periodica.llm.word_hashes import word_counts, word_hashes
+from periodica.session import read_lines, unique_path, write_lines
 
 # terms are runs of ASCII letters, digits and everything outside ASCII
 BETWEEN = np.array([not (48 <= b <= 57 or 65 <= b <= 90 or 97 <= b <= 122 or b >= 128) for b in range(256)])
@@ -46,11 +47,13 @@ ROW = "m long, docs binary, terms binary, starts binary, tfs binary, places bina
 class SearchRules:
     k: int = 10
     texts: int = 256            # hashed together
-    part_docs: int = 1024       # of a row of the index
+    part_docs: int = 1024       # of a row of the index, at most 2 ** 16
     part_postings: int = 65536  # of a row, unless one document has more
     items: int = 256            # of a block, about
-    group_rows: int = 512       # of the index, searched together
-    group_docs: int = 16384
+    slice_postings: int = 262144    # inverted together, unless one document has more
+    spread: int = 200_000       # documents of a stratum that go to one task, about
+    group_rows: int = 128       # of the index, searched together
+    group_docs: int = 8192
 
 
 @dataclass(frozen=True)
@@ -85,6 +88,18 @@ def impact(tf: np.ndarray, m: np.ndarray) -> np.ndarray:
     return (1_000_000_000 * tf) // (1000 * tf + 8 * m)
 
 
+def _lengths(docs: DataFrame, rules: SearchRules) -> DataFrame:
+    """n_docs, n_terms of each task's documents (doc, text)."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        docs = terms = 0
+        for whole in batches:
+            for a in range(0, whole.num_rows, rules.texts):
+                n = word_counts(whole.column(1).slice(a, rules.texts), BETWEEN)
+                docs, terms = docs + int((n > 0).sum()), terms + int(n.sum())
+        yield pa.RecordBatch.from_arrays([pa.array([docs]), pa.array([terms])], names=["n_docs", "n_terms"])
+    return docs.mapInArrow(run, "n_docs long, n_terms long")
+
+
 def _terms(docs: DataFrame, rules: SearchRules) -> DataFrame:
     """doc, n, terms, tfs: each document's distinct terms, packed."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -94,7 +109,7 @@ def _terms(docs: DataFrame, rules: SearchRules) -> DataFrame:
                 h, doc, n = word_hashes(b.column(1), BETWEEN)
                 order = np.lexsort((h, doc))
                 h, doc = h[order], doc[order]
-                first = np.flatnonzero(np.concatenate([[True], (h[1:] != h[:-1]) | (doc[1:] != doc[:-1])])) if len(h) else np.zeros(0, np.int64)
+                first = _runs(h, doc)
                 tf = np.diff(np.append(first, len(h))).astype(np.uint32)
                 per = np.bincount(doc[first], minlength=b.num_rows)
                 yield pa.RecordBatch.from_arrays([b.column(0), pa.array(n), _packed(h[first], per), _packed(tf, per)],
@@ -102,6 +117,17 @@ def _terms(docs: DataFrame, rules: SearchRules) -> DataFrame:
     return docs.mapInArrow(run, "doc long, n long, terms binary, tfs binary")
 
 
+def _runs(*keys: np.ndarray) -> np.ndarray:
+    """Where the rows of sorted ``keys`` differ from the row before."""
+    if not len(keys[0]):
+        return np.zeros(0, np.int64)
+    new = np.zeros(len(keys[0]), bool)
+    new[0] = True
+    for k in keys:
+        new[1:] |= k[1:] != k[:-1]
+    return np.flatnonzero(new)
+
+
 def _parts(m: np.ndarray, postings: np.ndarray, rules: SearchRules) -> list[int]:
     """Where a row of the index begins: at another m, or when a part is full."""
     out, docs, held = [], 0, 0
@@ -113,31 +139,42 @@ def _parts(m: np.ndarray, postings: np.ndarray, rules: SearchRules) -> list[int]
     return out
 
 
+def _invert(b: pa.RecordBatch, begin: np.ndarray) -> pa.RecordBatch:
+    """Rows of the index that begin at these documents (doc, m, terms, tfs)."""
+    doc, m = b.column(0).to_numpy(), b.column(1).to_numpy()
+    terms, per = _unpacked(b.column(2), np.uint64)
+    tfs, _ = _unpacked(b.column(3), np.uint32)
+    docs = np.diff(np.append(begin, len(m)))
+    of_doc = np.repeat(np.arange(len(m), dtype=np.int32), per)
+    owner = np.repeat(np.arange(len(begin), dtype=np.int32), docs)[of_doc]
+    order = np.lexsort((tfs, terms, owner))         # postings by part, term and tf
+    terms, tfs, owner, of_doc = terms[order], tfs[order], owner[order], of_doc[order]
+    new = _runs(terms, owner)
+    base = np.searchsorted(owner, np.arange(len(begin)))
+    per_part, held = np.bincount(owner[new], minlength=len(begin)), np.bincount(owner, minlength=len(begin))
+    return pa.RecordBatch.from_arrays(
+        [pa.array(m[begin]), _packed(doc, docs), _packed(terms[new], per_part),
+         _packed((new - base[owner[new]]).astype(np.uint32), per_part), _packed(tfs, held),
+         _packed((of_doc - begin[owner]).astype(np.uint16), held)],
+        names=["m", "docs", "terms", "starts", "tfs", "places"])
+
+
 def _inverted(rows: DataFrame, rules: SearchRules) -> DataFrame:
     """Rows of the index from documents (doc, m, terms, tfs) that come in order of m."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            if not b.num_rows:
-                continue
-            doc, m = b.column(0).to_numpy(), b.column(1).to_numpy()
-            terms, per = _unpacked(b.column(2), np.uint64)
-            tfs, _ = _unpacked(b.column(3), np.uint32)
-            begin = np.array(_parts(m, per, rules))
-            part = np.repeat(np.arange(len(begin)), np.diff(np.append(begin, len(m))))
-            of_doc = np.repeat(np.arange(len(m)), per)
-            owner = part[of_doc]
-            order = np.lexsort((tfs, terms, owner))         # postings by part, term and tf
-            terms, tfs, owner, of_doc = terms[order], tfs[order], owner[order], of_doc[order]
-            places = (of_doc - begin[owner]).astype(np.uint32)
-            new = np.flatnonzero(np.concatenate([[True], (terms[1:] != terms[:-1]) | (owner[1:] != owner[:-1])]))
-            base = np.searchsorted(owner, np.arange(len(begin)))
-            starts = (new - base[owner[new]]).astype(np.uint32)
-            per_part = np.bincount(owner[new], minlength=len(begin))
-            held = np.bincount(owner, minlength=len(begin))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(m[begin]), _packed(doc, np.diff(np.append(begin, len(m)))), _packed(terms[new], per_part),
-                 _packed(starts, per_part), _packed(tfs, held), _packed(places, held)],
-                names=["m", "docs", "terms", "starts", "tfs", "places"])
+            m = b.column(1).to_numpy()
+            per = np.array([len(x) // 8 for x in b.column(2).to_pylist()], np.int64)
+            begin = _parts(m, per, rules)
+            a = 0
+            while a < len(begin):       # a slice of whole parts
+                z, held = a, 0
+                while z < len(begin) and (z == a or held < rules.slice_postings):
+                    end = begin[z + 1] if z + 1 < len(begin) else len(m)
+                    held, z = held + int(per[begin[z]:end].sum()), z + 1
+                first, last = begin[a], begin[z] if z < len(begin) else len(m)
+                yield _invert(b.slice(first, last - first), np.array(begin[a:z]) - first)
+                a = z
     return rows.mapInArrow(run, ROW)
 
 
@@ -148,15 +185,13 @@ def build_index(docs: DataFrame, path: str | None = None, rules: SearchRules = S
     are read; further columns are ignored."""
     spark = docs.sparkSession
     ship(spark)
-    path, place = path or unique_path(spark, "lexical-index"), unique_path(spark, "terms")
+    path = path or unique_path(spark, "lexical-index")
     slim = docs.select(F.coalesce(F.col(doc_id).cast("long"), F.lit(LAST)).alias("doc"), F.col(text).alias("text"))
-    _terms(slim, rules).write.parquet(place)
-    rows = spark.read.schema("doc long, n long, terms binary, tfs binary").parquet(place).filter("n > 0")
-    n_docs, n_terms = rows.agg(F.count("*"), F.coalesce(F.sum("n"), F.lit(0))).first()
+    n_docs, n_terms = _lengths(slim, rules).agg(*[F.coalesce(F.sum(c), F.lit(0)) for c in ("n_docs", "n_terms")]).first()
     m = F.expr(f"100L - 90L + (90L * n * {n_docs}L) div {max(n_terms, 1)}L")
-    dealt = rows.select("doc", m.alias("m"), "terms", "tfs").repartitionByRange("m", F.xxhash64("doc", "m")).sortWithinPartitions("m")
-    _inverted(dealt, rules).write.parquet(path)
-    delete_path(spark, place)
+    rows = _terms(slim, rules).filter("n > 0").select("doc", m.alias("m"), "terms", "tfs")
+    part = F.pmod(F.xxhash64("doc", "terms"), F.lit(-(-n_docs // rules.spread) or 1))
+    _inverted(rows.repartition("m", part).sortWithinPartitions("m"), rules).write.parquet(path)
     write_lines(spark, path + "/_counts", [str(n_docs), str(n_terms)])
     return LexicalIndex(path, n_docs, n_terms)
 
@@ -235,7 +270,7 @@ class Group:
         terms, per = _unpacked(b.column(2), np.uint64)
         starts, _ = _unpacked(b.column(3), np.uint32)
         tfs, held = _unpacked(b.column(4), np.uint32)
-        places, _ = _unpacked(b.column(5), np.uint32)
+        places, _ = _unpacked(b.column(5), np.uint16)
         row = np.repeat(np.arange(len(m)), per)
         begin = starts + (np.cumsum(held) - held)[row]
         length = np.diff(np.append(begin, len(tfs)))
@@ -246,7 +281,7 @@ class Group:
         of = np.repeat(np.arange(len(hit)), length)
         tf = tfs[take].astype(np.int64)
         # one impact for each run of equal tf
-        new = np.flatnonzero(np.concatenate([[True], (tf[1:] != tf[:-1]) | (of[1:] != of[:-1])])) if len(tf) else np.zeros(0, np.int64)
+        new = _runs(tf, of)
         once = impact(tf[new], m[row[of[new]]])
         self.impact = np.repeat(once, np.diff(np.append(new, len(tf)))).astype(np.float64)
         self.place = places[take] + (np.cumsum(n_docs) - n_docs)[row[of]]

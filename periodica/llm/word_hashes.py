@@ -31,21 +31,36 @@ def _power_tables(n: int) -> list[np.ndarray]:
     return _powers
 
 
+def _bytes(col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """All bytes of the texts, null being empty, and where each text begins."""
+    col = col.fill_null("").cast(pa.large_binary())
+    at = np.frombuffer(col.buffers()[1], np.int64)[col.offset:col.offset + len(col) + 1]
+    data = np.frombuffer(col.buffers()[2], np.uint8)[at[0]:at[-1]] if at[-1] > at[0] else np.zeros(0, np.uint8)
+    return data, at - at[0]
+
+
+def _starts(blank: np.ndarray, at: np.ndarray) -> np.ndarray:
+    edge = np.ones(len(blank) + 1, bool)        # a word may begin here
+    edge[1:] = np.append(blank, True)[:len(blank)]
+    edge[at] = True
+    return np.flatnonzero(edge[:-1] & ~blank)
+
+
+def word_counts(col: pa.Array, between: np.ndarray) -> np.ndarray:
+    """Words of each text."""
+    data, at = _bytes(col)
+    return np.diff(np.searchsorted(_starts(between[data], at), at))
+
+
 def word_hashes(col: pa.Array, between: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Hash of each word, the text it is in, and the texts' word counts; null is an empty text.
 
     ``between`` marks the bytes that part words. All texts are hashed at once:
     running sums of byte codes times powers of a base give any word's polynomial
     hash by one difference."""
-    col = col.fill_null("").cast(pa.large_binary())
-    at = np.frombuffer(col.buffers()[1], np.int64)[col.offset:col.offset + len(col) + 1]
-    data = np.frombuffer(col.buffers()[2], np.uint8)[at[0]:at[-1]] if at[-1] > at[0] else np.zeros(0, np.uint8)
-    at = at - at[0]
+    data, at = _bytes(col)
     blank = between[data]
-    edge = np.ones(len(data) + 1, bool)         # a word may begin here
-    edge[1:] = np.append(blank, True)[:len(data)]
-    edge[at] = True
-    start = np.flatnonzero(edge[:-1] & ~blank)
+    start = _starts(blank, at)
     stop = np.ones(len(data) + 1, bool)         # a word may end before here
     stop[:-1] = blank
     stop[at] = True
