@@ -1,11 +1,17 @@
 """Operator 5: quality rules with cross-document line frequency (DataFrame functions only).
 
 Lines are normalised (lower case, white space collapsed) and hashed. Per host the
-number of distinct documents that hold a line is counted, exact copies of a text
-counting once. Lines held by more than the share ``max_share`` of their host's
-distinct documents, and by more than ``max_docs`` of them, are removed, except from the line's first holder (the smallest document hash), so no
-content vanishes altogether. A document left with less than ``min_left`` of its
-words is depleted and rejected, as are those that fail the base rules.
+number of documents that hold a line is counted, each row being a document. Lines
+held by more than the share ``max_share`` of their host's documents, and by more
+than ``max_docs`` of them, are removed, except from the line's first holder, the
+text of the smallest hash, so no content vanishes altogether; exact copies of that
+text are left to a stage that looks for copies. A document left with less than
+``min_left`` of its words is depleted and rejected, as are those that fail the base
+rules.
+
+Each document's distinct lines are counted with a partial sum in every task, so a
+line's count needs neither its documents nor their texts in the shuffle. The few
+lines above the limits then find their documents by value.
 
 A null or empty text has no words and fails the base rule; a null host is a host
 of its own; equal rows get equal verdicts; further columns are ignored.
@@ -18,7 +24,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from periodica.llm.common import SPACES, WORD_SPLIT, let, put_back, read, set_aside, words_of
+from periodica.llm.common import SPACES, WORD_SPLIT, cut, let, put_back, read, set_aside, words_of
 
 SYMBOLS = "#*$%&|<>"
 WINDOW = 8
@@ -28,10 +34,11 @@ HAS_WORD = r"[^\x20\x09-\x0D]"
 @dataclass(frozen=True)
 class LineRules:
     max_docs: int = 20          # holders that a line may have on a host of any size
-    max_share: float = 0.06     # of the host's distinct documents
+    max_share: float = 0.06     # of the host's documents
     min_left: float = 0.3
     min_words: int = 20
     max_repeat_pct: int = 30
+    broadcast_lines: int = 500_000      # lines above the limits, of at most 64 bytes; more are joined by a shuffle
 
 
 def _repeat_words(hashes: Column) -> Column:
@@ -84,29 +91,43 @@ def base_metrics(docs: DataFrame, rules: LineRules, text: str = "text") -> DataF
     return d.withColumn("base_failed", failed).drop("_b", "_w", "_h", "_l")
 
 
+def _hashed_lines(text: Column) -> Column:
+    """Hashes of the lines that have a word, in order."""
+    return F.transform(F.filter(F.split(text, "\n", -1), lambda x: x.rlike(HAS_WORD)), _line_hash)
+
+
+def common_lines(docs: DataFrame, rules: LineRules, host: str = "source", text: str = "text") -> DataFrame:
+    """_ch, _cl: the lines (hashes) of each host that are above the limits."""
+    body = F.coalesce(F.col(text), F.lit(""))
+    sizes = docs.groupBy(F.col(host).alias("_sh")).agg(F.count("*").alias("_size"))
+    held = (docs.select(F.col(host).alias("_ch"), F.explode(F.array_distinct(_hashed_lines(body))).alias("_cl"))
+            .groupBy("_ch", "_cl").agg(F.count("*").alias("_docs")).filter(F.col("_docs") > rules.max_docs))
+    return cut(held.join(sizes, F.col("_ch").eqNullSafe(F.col("_sh")) & (F.col("_docs") > rules.max_share * F.col("_size")))
+               .select("_ch", "_cl"))
+
+
 def removed_lines(docs: DataFrame, rules: LineRules, host: str = "source", text: str = "text") -> DataFrame:
     """One row per distinct text of a host that loses lines: _host, _k1, _k2, hashes of its
-    lines to remove, and the share of its words that is left."""
+    lines to remove, and how many words they have."""
+    common = common_lines(docs, rules, host, text)
+    if common.count() <= rules.broadcast_lines:
+        common = F.broadcast(common)
     k = _keyed(docs.select(F.col(host), F.col(text)), host, text)
-    lines = k.select("_host", "_k1", "_k2", F.explode(F.split("_body", "\n", -1)).alias("_line"))
-    lines = lines.select("_host", "_k1", "_k2", _line_hash(F.col("_line")).alias("_lh"),
-                         F.size(words_of(F.col("_line"))).alias("_n")).filter("_n > 0")
-    # every copy of a text adds the same counts, so shares of words are those of one copy
-    held = lines.groupBy("_host", "_lh", "_k1", "_k2").agg(F.sum("_n").alias("_n"))
-    sizes = (k.select("_host", "_k1", "_k2").distinct().groupBy("_host").agg(F.count("*").alias("_size"))
-             .withColumnRenamed("_host", "_sh"))
-    common = (held.groupBy("_host", "_lh")
-              .agg(F.count("*").alias("_docs"), F.min(F.struct("_k1", "_k2")).alias("_first"))
-              .filter(F.col("_docs") > rules.max_docs)
-              .join(sizes, F.col("_host").eqNullSafe(F.col("_sh")) & (F.col("_docs") > rules.max_share * F.col("_size")))
-              .select(F.col("_host").alias("_ch"), F.col("_lh").alias("_cl"), "_first"))
-    hit = held.join(common, F.col("_host").eqNullSafe(F.col("_ch")) & (F.col("_lh") == F.col("_cl")), "left")
-    gone = (F.col("_cl").isNotNull()
-            & ~((F.col("_first._k1") == F.col("_k1")) & (F.col("_first._k2") == F.col("_k2"))))
-    return (hit.groupBy("_host", "_k1", "_k2")
-            .agg(F.collect_list(F.when(gone, F.col("_lh"))).alias("_lines"),
-                 (F.lit(1.0) - F.sum(F.when(gone, F.col("_n")).otherwise(0)) / F.sum("_n")).alias("_left"))
-            .filter(F.size("_lines") > 0))
+    lines = k.select("_host", "_k1", "_k2", F.posexplode(F.split("_body", "\n", -1)).alias("_at", "_line"))
+    lines = lines.filter(F.col("_line").rlike(HAS_WORD)).withColumn("_lh", _line_hash(F.col("_line")))
+    hit = lines.join(common, F.col("_host").eqNullSafe(F.col("_ch")) & (F.col("_lh") == F.col("_cl")))
+    # copies of a text have the same lines at the same places
+    hit = hit.groupBy("_host", "_lh", "_k1", "_k2", "_at").agg(F.max(F.size(words_of(F.col("_line")))).alias("_n"))
+    hit = hit.groupBy("_host", "_lh", "_k1", "_k2").agg(F.sum("_n").alias("_n"))
+    first = (hit.groupBy("_host", "_lh").agg(F.min(F.struct("_k1", "_k2")).alias("_first"))
+             .withColumnsRenamed({"_host": "_fh", "_lh": "_fl"}))
+    hit = hit.join(first, F.col("_host").eqNullSafe(F.col("_fh")) & (F.col("_lh") == F.col("_fl"))).filter(
+        ~((F.col("_first._k1") == F.col("_k1")) & (F.col("_first._k2") == F.col("_k2"))))
+    return hit.groupBy("_host", "_k1", "_k2").agg(F.collect_list("_lh").alias("_lines"), F.sum("_n").alias("_gone"))
+
+
+def _words_left() -> Column:
+    return F.coalesce(F.lit(1.0) - F.col("_gone") / F.col("n_words"), F.lit(1.0))
 
 
 def _with_removed(rows: DataFrame, removed: DataFrame, columns: list[str]) -> DataFrame:
@@ -121,8 +142,8 @@ def quality(docs: DataFrame, rules: LineRules = LineRules(), host: str = "source
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(host).alias("source"), F.col(text).alias("text"))
     slim = _keyed(base_metrics(rows, rules), "source", "text").drop("text", "source", "_body")
     removed = removed_lines(docs, rules, host, text)
-    out = _with_removed(slim, removed.withColumn("_cut", F.size("_lines")), ["_left", "_cut"])
-    left = F.coalesce(F.col("_left"), F.lit(1.0))
+    out = _with_removed(slim, removed.withColumn("_cut", F.size("_lines")), ["_gone", "_cut"])
+    left = _words_left()
     return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
                       "base_failed", F.coalesce(F.col("_cut"), F.lit(0)).cast("long").alias("lines_removed"),
                       left.alias("words_left"),
@@ -134,10 +155,10 @@ def cleaned(docs: DataFrame, rules: LineRules = LineRules(), host: str = "source
     """The kept documents without their over-frequent lines; the columns of ``docs``, n_chars counted anew."""
     keep = [host, text, "n_chars"]
     good = base_metrics(set_aside(docs, keep), rules, text).filter(~F.col("base_failed"))
-    rows = _with_removed(_keyed(good, host, text), removed_lines(docs, rules, host, text), ["_left", "_lines"])
+    rows = _with_removed(_keyed(good, host, text), removed_lines(docs, rules, host, text), ["_gone", "_lines"])
     left = let(F.col("_lines"), lambda gone: F.array_join(F.filter(
         F.split("_body", "\n", -1), lambda x: ~F.array_contains(gone, _line_hash(x)) | ~x.rlike(HAS_WORD)), "\n"))
-    rows = (rows.filter(F.coalesce(F.col("_left"), F.lit(1.0)) >= rules.min_left)
+    rows = (rows.filter(_words_left() >= rules.min_left)
             .withColumn(text, F.when(F.col("_lines").isNull(), F.col(text)).otherwise(left)))
     if "n_chars" in docs.columns:
         rows = rows.withColumn("n_chars", F.when(F.col("_lines").isNull(), F.col("n_chars"))

@@ -8,11 +8,12 @@ BASE = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "
 
 
 def _holders(rows):
+    """Documents that hold each line of a host, by number of the row."""
     held = defaultdict(set)
-    for source, text in rows:
+    for i, (source, text) in enumerate(rows):
         for line in (text or "").split("\n"):
             if words(line):
-                held[source, line_key(line)].add(text or "")
+                held[source, line_key(line)].add(i)
     return held
 
 
@@ -30,7 +31,10 @@ def _corpus():
         rows.append((100 + i, f"COOKIES  help us deliver our services every day.\nPlease accept all of the terms and conditions "
                               f"before you go on reading any of this page\nx{i} y{i}", "h1"))       # hardly anything else
     rows += [(200 + i, f"Cookies help us deliver our services every day.\n{body(200 + i)}", "h2") for i in range(3)]
-    rows += [(300 + i, "The same copied document, " + body(300), "h1") for i in range(40)]          # copies count once
+    # copies count each, and as first holders of their lines they all keep them
+    rows += [(300 + i, "The same copied document, " + body(300), "h1") for i in range(40)]
+    # hardly more than a line that copies hold, which makes it common
+    rows += [(400, "The same copied document, " + body(300) + "\nwith three more", "h1")]
     return rows
 
 
@@ -40,14 +44,18 @@ def test_line_frequency(spark):
     got = {r.doc_id: r for r in quality(docs, rules).collect()}
     held = _holders([(r[2], r[1]) for r in _corpus()])
     common = {k for k, v in held.items() if len(v) > 5}
-    assert {k[1] for k in common} == {"cookies help us deliver our services every day.",
+    assert {k[1] for k in common} == {"cookies help us deliver our services every day.", line_key(_corpus()[-2][1]),
                                       "please accept all of the terms and conditions before you go on reading any of this page"}
     lost = [d for d, r in got.items() if r.lines_removed]
     assert all(got[200 + i].kept and not got[200 + i].lines_removed for i in range(3))
-    assert all(got[300 + i].kept and not got[300 + i].lines_removed for i in range(40))
+    assert len({got[300 + i].lines_removed for i in range(40)}) == 1
     assert all(got[i].kept for i in range(12))
+    # the dealt rule rejects documents that the base rules keep
     assert sum(not got[100 + i].kept for i in range(12)) in (10, 11, 12)
-    assert len(lost) in (22, 23)           # the first holder of each line keeps it
+    assert not any(got[100 + i].base_failed for i in range(12))
+    # the first holder of a line keeps it: the copies, or the one text that has three words more
+    assert got[400].lines_removed + got[300].lines_removed == 1 and got[400].kept != bool(got[400].lines_removed)
+    assert len([d for d in lost if d < 300]) in (22, 23)
     for d in lost:
         n = sum(len(words(x)) for x in dict((a, b) for a, b, _ in _corpus())[d].split("\n") if ("h1", line_key(x)) in common)
         assert got[d].words_left >= 1 - n / got[d].n_words - 1e-9
