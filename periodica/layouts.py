@@ -121,12 +121,19 @@ PREVIOUS = {
               inject="period_start", inject_col="FECHAINFO"),
     142: dict(frequency=WEEKLY, control="FECHAINFO", source="self",
               inject="period_start", inject_col="FECHAINFO"),
+    132: dict(frequency=DAILY, control="FE_CORTE", source="self", inject="none", inject_col=None),
+    133: dict(frequency=DAILY, control="FECHAINFO", delete_on="FE_CON_OPE"),
     154: dict(frequency=DAILY, control="FE_CON_OPE", source="self"),
     157: dict(frequency=DAILY, control="FECHA", source="self"),
     210: dict(frequency=DAILY, control="FECHA_LIQ"),
 }
 
 
+# --- Fixed values: columns of an earlier layout: how many of the current ones it begins
+# --- with, and those that follow and that a later layout dropped.
+PREVIOUS_LAYOUTS = {132: (18, "FE_CORTE date ? | ACT_OPE_VAL numeric(15,0) ? | PAS_OPE_VAL numeric(15,0) ?")}
+
+
 # --- Fixed values: catalog bindings declared by the layouts (report column ->
 # --- catalog name, and the zero-pad width for keys that mix text and numbers).
 # --- The catalogs' allowed values are the regulator's catalog tables, loaded
@@ -200,7 +207,11 @@ def report(numero: int, version: str = "current") -> ReportSpec:
     if version == "current":
         return spec
     if version == "prev":
-        return spec.with_version(version="prev", **PREVIOUS[numero])
+        changes = dict(PREVIOUS[numero])
+        if numero in PREVIOUS_LAYOUTS:
+            n, more = PREVIOUS_LAYOUTS[numero]
+            changes["columns"] = spec.columns[:n] + parse_layout(more)
+        return spec.with_version(version="prev", **changes)
     raise ValueError(version)
 
 

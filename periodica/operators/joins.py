@@ -46,9 +46,25 @@ def valid_rows(child: DataFrame, child_key: str, parent: DataFrame, parent_key:
     return child.join(parents, child_key, "left_semi")
 
 
+def companion_repeats(left: DataFrame, right: DataFrame, keys: Iterable[str]) -> DataFrame:
+    """``keys..., n_left, n_right`` of the keys that both sides repeat. Each side is
+    counted before they meet, and only repeated keys reach the join."""
+    keys = list(keys)
+
+    def many(df: DataFrame, name: str) -> DataFrame:
+        return df.groupBy(*keys).agg(F.count(F.lit(1)).alias(name)).where(F.col(name) > 1)
+    return many(left, "n_left").join(many(right, "n_right"), keys)
+
+
 def companion(left: DataFrame, right: DataFrame, keys: Iterable[str], how: str = "inner") -> DataFrame:
-    """Rows of a report with their companion report rows by key."""
-    return left.join(right, list(keys), how)
+    """Rows of a report with their companion report rows by key.
+
+    A key that both sides repeat does not say which row belongs to which: it is left out
+    and reported by ``companion_repeats``. Every other key is single on one side, so the
+    result has no more rows than both sides together, whatever the keys hold."""
+    keys = list(keys)
+    unclear = companion_repeats(left, right, keys).select(*keys)
+    return left.join(unclear, keys, "left_anti").join(right, keys, how)
 
 
 def catalog_violations(df: DataFrame, column: str, catalog: DataFrame, report: str,
@@ -71,11 +87,17 @@ def catalog_violations(df: DataFrame, column: str, catalog: DataFrame, report: s
             .select(F.lit(report).alias("report"), F.lit(column).alias("column"), "value", "n_rows"))
 
 
+def violation_lines(violations: DataFrame, width: int = 4000) -> DataFrame:
+    """A3: the offending values of each (report, column), ascending, joined into lines of
+    about ``width`` characters (``operators.ordered.accumulate``)."""
+    from periodica.operators.ordered import accumulate
+    return accumulate(violations, ["report", "column"], "value", width, out="values")
+
+
 def violation_summary(violations: DataFrame) -> DataFrame:
     """One line per (report, column): total offending rows, number of distinct
-    offending values and their smallest / largest value. The list of values is
-    not concatenated here: at scale it is unbounded; the per-value rows stay
-    in ``catalog_violations``."""
+    offending values and their smallest / largest value; the values themselves are in
+    ``violation_lines``."""
     return (violations.groupBy("report", "column")
             .agg(F.sum("n_rows").alias("n_rows"),
                  F.count(F.lit(1)).alias("n_values"),

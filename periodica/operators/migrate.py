@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from periodica.functions.types import parse_type
 from periodica.session import LOCATION_SUFFIX, delete_path, read_lines, unique_path, write_lines
+from periodica.sources.tables import NOT_NULL
 from periodica.sources.versions import forget_windows, sync_windows, table_location
 from periodica.spec import PERIOD_COL
 
@@ -57,6 +58,25 @@ class Backfill:             # E11 NULL -> value before tightening to NOT NULL
     value: object
 
 
+@dataclass(frozen=True)
+class Tighten:              # E12 NULL -> NOT NULL; refused while a NULL is there
+    name: str
+
+
+@dataclass(frozen=True)
+class Loosen:               # E12 NOT NULL -> NULL
+    name: str
+
+
+@dataclass
+class Plan:
+    """The steps folded into one projection, and what may speak against them."""
+    columns: list[Column]
+    conversions: list[tuple[str, Column, Column]]       # column, source value, converted value
+    truncations: list[tuple[str, Column, Column]]       # column, TRUE when changed, old value
+    tightened: list[tuple[str, Column]]                 # column, new value: must not be NULL
+
+
 def _find(cols: list[str], name: str) -> str | None:
     for c in cols:
         if c == name:
@@ -67,17 +87,12 @@ def _find(cols: list[str], name: str) -> str | None:
     return None
 
 
-def plan_columns(df: DataFrame, steps) -> tuple[list[Column], list[tuple[str, Column, Column]], list[tuple[str, Column]]]:
-    """Fold the steps into one projection.
-
-    Returns ``(projection, conversions, truncations)`` where ``conversions``
-    holds ``(column, source value, converted value)`` for type changes (a row
-    loses data where the source is not NULL and the converted value is) and
-    ``truncations`` holds ``(column, TRUE-when-changed, old value)``.
-    """
+def plan_columns(df: DataFrame, steps) -> Plan:
+    """Fold the steps into one projection. A row loses data where the source of a
+    conversion is not NULL and the converted value is."""
     cols: dict[str, Column] = {c: F.col(f"`{c}`") for c in df.columns}
     types = {f.name: f.dataType for f in df.schema.fields}
-    conversions, truncations = [], []
+    conversions, truncations, tight = [], [], []
     for st in steps:
         names = list(cols)
         if isinstance(st, AddColumn):
@@ -110,8 +125,8 @@ def plan_columns(df: DataFrame, steps) -> tuple[list[Column], list[tuple[str, Co
             if t.kind == "varchar":
                 conv = src.cast("string")
                 lost = F.length(conv) > t.length
-                conversions.append((k, src, F.when(~lost, conv)))
-                cols[k] = conv
+                cols[k] = F.when(~lost, conv)
+                conversions.append((k, src, cols[k]))
             else:
                 conv = src.try_cast(target)
                 if t.kind == "numeric":
@@ -132,32 +147,77 @@ def plan_columns(df: DataFrame, steps) -> tuple[list[Column], list[tuple[str, Co
             k = _find(names, st.name)
             if k is not None:
                 cols[k] = F.coalesce(cols[k], F.lit(st.value).cast(types[k]))
-    return [v.alias(k) for k, v in cols.items()], conversions, truncations
+        elif isinstance(st, Tighten):
+            k = _find(names, st.name)
+            if k is not None:
+                tight.append((k, cols[k]))
+    return Plan([v.alias(k) for k, v in cols.items()], conversions, truncations, tight)
+
+
+def declared_layout(spark: SparkSession, table: str) -> tuple[dict[str, str], set[str]]:
+    """Declared type of each column (``varchar(3)``, not its storage type), and the
+    columns that must not be NULL, from the catalog."""
+    types = {}
+    for r in spark.sql(f"DESCRIBE TABLE {table}").collect():
+        if not r["col_name"] or r["col_name"].startswith("#"):
+            break
+        types[r["col_name"]] = r["data_type"]
+    row = spark.sql(f"SHOW TBLPROPERTIES {table}").where(F.col("key") == NOT_NULL).first()
+    return types, set(filter(None, row["value"].split(","))) if row else set()
+
+
+def plan_layout(types: dict[str, str], required: set[str], steps) -> tuple[dict[str, str], set[str]]:
+    """The declared layout after the steps."""
+    types, required = dict(types), set(required)
+    for st in steps:
+        if isinstance(st, AddColumn):
+            if _find(list(types), st.name) is None:
+                types[st.name] = parse_type(st.type_text).ddl
+        elif isinstance(st, Rename):
+            old = _find(list(types), st.old)
+            if old is not None and st.new not in types and (old.lower() == st.new.lower() or _find(list(types), st.new) is None):
+                types = {(st.new if k == old else k): v for k, v in types.items()}
+                required = {st.new if k == old else k for k in required}
+        elif isinstance(st, Drop):
+            gone = {_find(list(types), n) for n in st.names}
+            types, required = {k: v for k, v in types.items() if k not in gone}, required - gone
+        elif k := _find(list(types), getattr(st, "name", "")):
+            if isinstance(st, Retype):
+                types[k] = parse_type(st.type_text).ddl
+            elif isinstance(st, Truncate):
+                types[k] = f"VARCHAR({st.length})"
+            elif isinstance(st, Tighten):
+                required.add(k)
+            elif isinstance(st, Loosen):
+                required.discard(k)
+    return types, required
 
 
 def migrate(df: DataFrame, steps) -> DataFrame:
     """The migrated frame (lazy); values that do not convert become NULL, see
     ``migration_rejects`` for the rows that would lose data."""
-    proj, _, _ = plan_columns(df, steps)
-    return df.select(*proj)
+    return df.select(*plan_columns(df, steps).columns)
 
 
 def migration_rejects(df: DataFrame, steps, keys: list[str]) -> DataFrame:
-    """Rows that lose a value in a type change (E10, E14): ``keys..., column,
-    value``. An empty result means the migration is lossless."""
-    _, conversions, _ = plan_columns(df, steps)
-    if not conversions:
+    """Rows that lose a value in a type change (E10, E14), or hold a NULL that a
+    tightening forbids (E12): ``keys..., field, value``. An empty result means the
+    migration is lossless."""
+    plan = plan_columns(df, steps)
+    found = [F.when(src.isNotNull() & conv.isNull(), F.struct(F.lit(name).alias("field"), src.cast("string").alias("value")))
+             for name, src, conv in plan.conversions]
+    found += [F.when(value.isNull(), F.struct(F.lit(name).alias("field"), F.lit(None).cast("string").alias("value")))
+              for name, value in plan.tightened]
+    if not found:
         return df.limit(0).select(*keys, F.lit("").alias("field"), F.lit("").alias("value"))
-    items = F.array(*[F.when(src.isNotNull() & conv.isNull(),
-                             F.struct(F.lit(name).alias("field"), src.cast("string").alias("value")))
-                      for name, src, conv in conversions])
+    items = F.array(*found)
     return (df.select(*keys, F.explode(F.filter(items, lambda x: x.isNotNull())).alias("r"))
             .select(*keys, "r.field", "r.value"))
 
 
 def truncated_rows(df: DataFrame, steps, keys: list[str]) -> DataFrame:
     """Rows whose text a narrowing step cuts (E13), with the old value."""
-    _, _, truncs = plan_columns(df, steps)
+    truncs = plan_columns(df, steps).truncations
     if not truncs:
         return df.limit(0).select(*keys, F.lit("").alias("field"), F.lit("").alias("value"))
     items = F.array(*[F.when(cond, F.struct(F.lit(n).alias("field"),
@@ -172,8 +232,8 @@ def migrate_table(spark: SparkSession, table: str, steps, keys: list[str],
     """Rewrite a catalog table with the migrated schema and swap it in.
 
     One pass: the new version is written next to the old folder while an
-    ``Observation`` counts values a type change would lose (E10, E14) and
-    texts a narrowing cuts (E13). A version with losses is discarded before
+    ``Observation`` counts values a type change would lose (E10, E14), NULLs that a
+    tightening forbids (E12) and texts a narrowing cuts (E13). A version with losses is discarded before
     any swap and the rejects are returned (computed lazily from the untouched
     table); otherwise the old definition is dropped and the new one renamed
     into place (or to ``new_name``, E7). A swap interrupted between the two
@@ -185,24 +245,27 @@ def migrate_table(spark: SparkSession, table: str, steps, keys: list[str],
         raise LookupError(f"table {table} does not exist")
     sync_windows(spark, table, table_location(spark, table))
     df = spark.table(table)
-    proj, conversions, truncs = plan_columns(df, steps)
+    plan = plan_columns(df, steps)
     lost = F.lit(False)
-    for _, src, conv in conversions:
+    for _, src, conv in plan.conversions:
         lost = lost | (src.isNotNull() & conv.isNull())
     cut = F.lit(False)
-    for _, cond, _ in truncs:
+    for _, cond, _ in plan.truncations:
         cut = cut | F.coalesce(cond, F.lit(False))
+    null = F.lit(False)
+    for _, value in plan.tightened:
+        null = null | value.isNull()
     obs = Observation("migrate")
-    out = (df.select(*proj, lost.alias("_lost"), cut.alias("_cut"))
-           .observe(obs, F.count_if(F.col("_lost")).alias("lost"), F.count_if(F.col("_cut")).alias("cut"))
-           .drop("_lost", "_cut"))
-    staged, path = write_version(spark, table, out)
+    out = (df.select(*plan.columns, lost.alias("_lost"), cut.alias("_cut"), null.alias("_null"))
+           .observe(obs, *[F.count_if(F.col(f"_{c}")).alias(c) for c in ("lost", "cut", "null")])
+           .drop("_lost", "_cut", "_null"))
+    staged, path = write_version(spark, table, out, *plan_layout(*declared_layout(spark, table), steps))
     m = obs.get
-    if m["lost"] or (m["cut"] and not allow_truncation):
+    if m["lost"] or m["null"] or (m["cut"] and not allow_truncation):
         spark.sql(f"DROP TABLE IF EXISTS {staged}")
         delete_path(spark, path)
         return {"status": "Error", "table": table, "lost": int(m["lost"]), "truncated": int(m["cut"]),
-                "rejects": migration_rejects(df, steps, keys)}
+                "nulls": int(m["null"]), "rejects": migration_rejects(df, steps, keys)}
     final = swap_in(spark, table, staged, new_name)
     return {"status": "Exitoso", "table": final, "truncated": int(m["cut"])}
 
@@ -212,21 +275,27 @@ def _staged_name(table: str) -> str:
     return f"{db + '.' if db else ''}{name}__new"
 
 
-def write_version(spark: SparkSession, table: str, df: DataFrame) -> tuple[str, str]:
-    """Write ``df`` as a new version of ``table`` in a fresh folder next to the
-    old one (partitioned by ``period_start`` when present)."""
+def write_version(spark: SparkSession, table: str, df: DataFrame, types: dict[str, str] | None = None,
+                  required: set[str] = frozenset()) -> tuple[str, str]:
+    """Write ``df`` as a new version of ``table`` in a fresh folder next to the old one
+    (partitioned by ``period_start`` when present). The table is created from its
+    declared layout and then filled, so that ``varchar(n)`` and what must not be NULL
+    stay in the catalog (E9, E12). Other tables' writers share no folder with this one."""
+    if types is None:
+        types, required = declared_layout(spark, table)
     staged = _staged_name(table)
     spark.sql(f"DROP TABLE IF EXISTS {staged}")
     name = table.rpartition(".")[2]
     loc = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").where("col_name = 'Location'").first()
     root = loc["data_type"].rsplit("/", 1)[0] if loc else unique_path(spark, "migrate")
     path = f"{root}/{name}__{unique_path(spark, 'v').rsplit('/', 1)[-1]}"
+    cols = ", ".join(f"`{f.name}` {types.get(f.name, f.dataType.simpleString())}" for f in df.schema.fields)
+    parts = f"PARTITIONED BY ({PERIOD_COL})" if PERIOD_COL in df.columns else ""
+    held = ",".join(sorted(c for c in required if c in df.columns))
+    spark.sql(f"CREATE TABLE {staged} ({cols}) USING parquet {parts} LOCATION '{path}' TBLPROPERTIES ('{NOT_NULL}' = '{held}')")
     if PERIOD_COL in df.columns:  # a few right-sized files per window, not one per task and window
         df = df.hint("rebalance", PERIOD_COL)
-    w = df.write.mode("overwrite").format("parquet").option("path", path)
-    if PERIOD_COL in df.columns:
-        w = w.partitionBy(PERIOD_COL)
-    w.saveAsTable(staged)
+    df.select(*[f"`{c}`" for c in spark.table(staged).columns]).write.insertInto(staged, overwrite=False)
     return staged, path
 
 

@@ -34,7 +34,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from periodica.functions.periods import Window
+from periodica.functions.periods import Window, in_window, period_start, window_for
 from periodica.session import delete_path
 from periodica.sources.appends import append_run
 from periodica.sources.versions import (VERSIONS, Version, commit_window, point_windows, sync_windows,
@@ -173,9 +173,12 @@ def replace_window(spark: SparkSession, table: str, rows: DataFrame | Callable[[
 def replace_windows(spark: SparkSession, table: str, rows: DataFrame, frequency: str,
                     control: str, job: str, first: dt.date | None = None,
                     last: dt.date | None = None, scheduler: str | None = None,
-                    quarantine_table: str | None = None) -> list[RunResult]:
+                    quarantine_table: str | None = None, only: set[dt.date] | None = None,
+                    seen: dict[dt.date, int] | None = None) -> list[RunResult]:
     """Replace every window between ``first`` and ``last`` (inclusive period
-    starts; all windows of ``rows`` when omitted) in one distributed job.
+    starts; all windows of ``rows`` when omitted), or of the set ``only``, in one
+    distributed job. ``seen`` holds the versions that ``rows`` was made from, where it
+    was made from the table itself.
 
     Rows are rebalanced by window and written once, partitioned by window, inside
     the table's folder; per-window counts come from one grouped aggregate of what
@@ -184,13 +187,12 @@ def replace_windows(spark: SparkSession, table: str, rows: DataFrame, frequency:
     its folder becomes the window: nothing is copied and no live folder is written
     to. A window that another load committed meanwhile ends with status ``Error``.
 
-    Windows of the range that exist in the target but have no source rows are
+    Windows of the range or set that exist in the target but have no source rows are
     emptied, so no stale rows survive; without a range nothing outside the rows'
     own windows changes. Violating rows whose control date does not convert
     belong to no window: they are quarantined and counted in one more result,
     whose window is None.
     """
-    from periodica.functions.periods import period_start, window_for
     if REASON_COL not in rows.columns:
         rows = rows.withColumn(REASON_COL, F.lit(""))
     if PERIOD_COL not in rows.columns:
@@ -202,9 +204,11 @@ def replace_windows(spark: SparkSession, table: str, rows: DataFrame, frequency:
         rows = rows.where(F.col(PERIOD_COL) >= F.lit(first))
     if last is not None:
         rows = rows.where(F.col(PERIOD_COL) <= F.lit(last))
+    if only is not None:
+        rows = rows.where(F.col(PERIOD_COL).isin(list(only)))
     started = dt.datetime.now()
     root = table_location(spark, table)
-    seen = sync_windows(spark, table, root)
+    seen = sync_windows(spark, table, root) if seen is None else seen
     staging = f"{root}/{VERSIONS}/batch_{uuid.uuid4().hex}"
     live = False        # whether a window of the staged batch has been committed
     try:
@@ -224,7 +228,9 @@ def replace_windows(spark: SparkSession, table: str, rows: DataFrame, frequency:
             target = target.where(F.col(PERIOD_COL) >= F.lit(first))
         if last is not None:
             target = target.where(F.col(PERIOD_COL) <= F.lit(last))
-        if first is None and last is None:
+        if only is not None:
+            target = target.where(F.col(PERIOD_COL).isin(list(only)))
+        elif first is None and last is None:
             # all windows of the rows, and no others: without rows nothing changes
             target = target.where(F.col(PERIOD_COL).isin(list(stats)))
         before = {r[PERIOD_COL]: int(r["n"]) for r in
@@ -272,3 +278,39 @@ def replace_windows(spark: SparkSession, table: str, rows: DataFrame, frequency:
     finally:
         if not live:
             delete_path(spark, staging)
+
+
+def replace_by(spark: SparkSession, table: str, rows: DataFrame, window: Window, delete_on: str, frequency: str,
+               control: str, job: str, quarantine_table: str | None = None, scheduler: str | None = None) -> RunResult:
+    """A load whose delete and insert go by different columns: the stored rows whose
+    ``delete_on`` lies in ``window`` go, whatever window they are stored in, and ``rows``
+    are added to the windows of their control date.
+
+    Only the windows that hold rows to delete, or get rows, are written anew; each is
+    committed by itself, from the version that was read."""
+    res = RunResult(job=job, window=window, scheduler=scheduler)
+    try:
+        seen = sync_windows(spark, table, table_location(spark, table))
+        stored = spark.table(table)
+        gone = F.coalesce(in_window(delete_on, window), F.lit(False))
+        counts = {r[PERIOD_COL]: int(r["n"]) for r in
+                  stored.where(gone).groupBy(PERIOD_COL).agg(F.count(F.lit(1)).alias("n")).collect()}
+        if REASON_COL not in rows.columns:
+            rows = rows.withColumn(REASON_COL, F.lit(""))
+        rows = rows.withColumn(PERIOD_COL, period_start(control, frequency))
+        touched = set(counts) | {r[0] for r in rows.select(PERIOD_COL).distinct().collect() if r[0] is not None}
+        kept = stored.where(F.col(PERIOD_COL).isin(list(touched)) & ~gone).withColumn(REASON_COL, F.lit(""))
+        results = replace_windows(spark, table, kept.unionByName(rows.select(*kept.columns)), frequency, control, job,
+                                  quarantine_table=quarantine_table, only=touched, seen=seen)
+        failures = [r for r in results if not r.ok]
+        res.deleted = sum(counts.values())
+        res.inserted = sum(r.inserted - r.deleted for r in results if r.ok) + res.deleted
+        if failures:
+            res.status, res.message = STATUS_ERROR, failures[0].message
+            res.rejected = sum(r.rejected for r in failures)
+        for line in ([MSG_DELETED.format(n=res.deleted)] if res.deleted else []) + [res.message or MSG_DONE.format(n=res.inserted)]:
+            res.log(line)
+        res.finished = dt.datetime.now()
+        return res
+    except Exception as e:
+        return failed(res, e)

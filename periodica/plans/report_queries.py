@@ -17,7 +17,7 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from periodica.functions.periods import window_for
+from periodica.functions.periods import DAILY, window_for
 from periodica.layouts import PREVIOUS, SPECS, report, report_142_versions
 from periodica.plans import reports
 from periodica.plans import testdata as td
@@ -111,6 +111,9 @@ def oracle(spec: ReportSpec, src: str, day: dt.date) -> str:
 def _register(numero: int, spec: ReportSpec | None = None, suffix: str = "") -> None:
     spec = spec or SPECS[numero]
     src, day = ("events", EVENT_DAY) if spec.source == "self" else ("lineitem", LINE_DAY)
+    if src == "events" and spec.frequency == DAILY and spec.control != LOAD_TS_COL:
+        # a day that the control column has: its dates are those of the events, shifted by its place
+        day += dt.timedelta(days=next(i for i, c in enumerate(spec.stored_columns) if c.name == spec.control))
 
     @register(f"report_{numero:03d}{suffix}", oracle(spec, src, day))
     def q(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -118,7 +121,7 @@ def _register(numero: int, spec: ReportSpec | None = None, suffix: str = "") ->
         landing = landing_frame(spark, sf_dir, spec, src)
         if spec.source == "self":
             # the stored table as it stands before the run: every window of the source
-            seeded = reports.backfill(spark, lake, spec.with_version(source="landing"), landing)
+            seeded = reports.backfill(spark, lake, spec.with_version(source="landing", inject="none"), landing)
             if not all(r.ok for r in seeded):
                 raise RuntimeError(seeded[0].message)
             res = reports.self_refresh(spark, lake, spec, day)
@@ -136,7 +139,8 @@ for _n in sorted(SPECS):
     _register(_n)
 # earlier versions kept by the rollback scripts (§2.M) and the two older 142 deliveries
 for _n in sorted(PREVIOUS):
-    _register(_n, report(_n, "prev"), "_prev")
+    if not report(_n, "prev").delete_on:
+        _register(_n, report(_n, "prev"), "_prev")
 _v142 = report_142_versions()
 _register(142, _v142["weekly_ymd"], "_weekly_ymd")
 _register(142, _v142["monthly_ymd"], "_monthly_ymd")
@@ -159,3 +163,93 @@ def report_212_ref_213(spark: SparkSession, sf_dir: str) -> DataFrame:
         if not all(r.ok for r in res):
             raise RuntimeError(res[0].message)
     return reports.referential_violations(spark, lake, 212)
+
+
+_PREV133, _DAY133 = report(133, "prev"), dt.date(2024, 2, 12)
+_STORED133 = ", ".join(f"CAST({stored_expr(_PREV133, c.name, 'events')} AS DECIMAL({c.type.precision},{c.type.scale})) AS {c.name}"
+                       if c.type.kind == "numeric" else f"{stored_expr(_PREV133, c.name, 'events')} AS {c.name}"
+                       for c in _PREV133.columns)
+
+
+@register("report_133_prev", f"""
+SELECT {_STORED133} FROM events WHERE {stored_expr(_PREV133, 'FECHAINFO', 'events')} = DATE '{_DAY133}'
+UNION ALL SELECT * FROM (SELECT {_STORED133} FROM events) s
+WHERE FE_CON_OPE <> DATE '{_DAY133}'""")
+def report_133_prev(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The earlier 133: a daily load that deletes by FE_CON_OPE and inserts by FECHAINFO.
+    Rows of the day's FE_CON_OPE go from whatever window holds them, and what the day's
+    window held of other days stays beside the rows that are added (whole table)."""
+    lake = scratch_lake(spark)
+    landing = landing_frame(spark, sf_dir, _PREV133, "events")
+    first = reports.backfill(spark, lake, _PREV133, landing)
+    run = reports.load(spark, lake, _PREV133, _DAY133, landing=landing)
+    if not all(r.ok for r in [*first, run]):
+        raise RuntimeError(run.message)
+    return lake.report(_PREV133).select(*[c.name for c in _PREV133.columns])
+
+
+_PREV132, _OLD132, _NEW132 = report(132, "prev"), dt.date(2024, 2, 5), dt.date(2024, 2, 6)
+
+
+def _layout_sql(spec: ReportSpec, day: dt.date, names: list[str]) -> str:
+    have = {c.name: c for c in spec.columns}
+    out = []
+    for n in names:
+        e = stored_expr(spec, n, "events") if n in have else "NULL"
+        if n == spec.inject_col:
+            e = f"DATE '{day}'"
+        c = have.get(n) or next(x for x in SPECS[132].columns + _PREV132.columns if x.name == n)
+        out.append(f"CAST({e} AS {dict(numeric=f'DECIMAL({c.type.precision},{c.type.scale})', date='DATE').get(c.type.kind, 'VARCHAR')}) AS {n}")
+    return f"SELECT {', '.join(out)} FROM events WHERE {stored_expr(spec, spec.control, 'events')} = DATE '{day}'"
+
+
+_NAMES132 = [c.name for c in SPECS[132].columns] + [c.name for c in _PREV132.columns[18:]]
+
+
+@register("report_132_two_layouts", f"{_layout_sql(_PREV132, _OLD132, _NAMES132)} UNION ALL "
+                                    f"{_layout_sql(SPECS[132].with_version(inject_col=None), _NEW132, _NAMES132)}")
+def report_132_two_layouts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A window loaded under the layout with FE_CORTE, one under the layout that dropped
+    it, in one table that was not rewritten: each is read under its own layout."""
+    lake, out = scratch_lake(spark), None
+    for spec, day in ((_PREV132, _OLD132), (SPECS[132], _NEW132)):
+        if lake.exists(lake.report_table(spec)):
+            lake.relayout(spec)
+        res = reports.load(spark, lake, spec.with_version(source="landing", inject="none"), day,
+                           landing=landing_frame(spark, sf_dir, spec, "events"))
+        if not res.ok:
+            raise RuntimeError(res.message)
+    for spec, day in ((_PREV132, _OLD132), (SPECS[132], _NEW132)):
+        rows = lake.window_as(spec, window_for(day, DAILY)).select(*[c.name for c in spec.columns])
+        out = rows if out is None else out.unionByName(rows, allowMissingColumns=True)
+    return out.select(*_NAMES132)
+
+
+_PAIR_KEY = "CAST(event_id % 397 AS STRING)"     # some keys twice in a day, most once or never
+_PAIR_DAY = dt.date(2024, 1, 22)
+
+
+@register("report_155_with_156", f"""
+WITH a AS (SELECT {_PAIR_KEY} AS NU_ID FROM events
+           WHERE {stored_expr(SPECS[155], "FE_CON_OPE", "events")} = DATE '{_PAIR_DAY}'),
+     b AS (SELECT {_PAIR_KEY} AS NU_ID FROM events
+           WHERE {stored_expr(SPECS[156], "FECHA", "events")} = DATE '{_PAIR_DAY}'),
+     n AS (SELECT NU_ID, count(*) AS n_left FROM a GROUP BY 1), m AS (SELECT NU_ID, count(*) AS n_right FROM b GROUP BY 1)
+SELECT NU_ID, n_left, n_right, CASE WHEN n_left > 1 AND n_right > 1 THEN 0 ELSE n_left * n_right END AS joined
+FROM n JOIN m USING (NU_ID)""")
+def report_155_with_156(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """155 with 156 by NU_ID, both stored from the whole events table, which repeats
+    keys: a key that both repeat is reported, any other joined."""
+    lake, day = scratch_lake(spark), _PAIR_DAY
+    for n in (155, 156):
+        keyed = landing_frame(spark, sf_dir, SPECS[n], "events").drop("NU_ID").join(
+            td.table(spark, sf_dir, "events").select(F.expr(SOURCES["events"]["id"]).alias(ID_COL), F.expr(_PAIR_KEY).alias("NU_ID")), ID_COL)
+        res = reports.backfill(spark, lake, SPECS[n].with_version(source="landing"), keyed)
+        if not all(r.ok for r in res):
+            raise RuntimeError(res[0].message)
+    joined = reports.companion_rows(spark, lake, 155, day).groupBy("NU_ID").agg(F.count("*").alias("joined"))
+    sizes = [lake.report(SPECS[n]).where(F.col(SPECS[n].control) == F.lit(day)).groupBy("NU_ID").agg(F.count("*").alias(c))
+             for n, c in ((155, "n_left"), (156, "n_right"))]
+    unclear = reports.companion_unclear(spark, lake, 155, day).withColumn("joined", F.lit(0).cast("long"))
+    clear = sizes[0].join(sizes[1], "NU_ID").join(joined, "NU_ID")
+    return clear.unionByName(unclear.select(*clear.columns))

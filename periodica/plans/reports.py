@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from periodica.functions.periods import Window, in_window, period_start, window_for
 from periodica.operators.conformance import conform, violation_reason
 from periodica.operators.deliver import deliver_rows
-from periodica.operators.window_sink import REASON_COL, RunResult, failed, replace_window
+from periodica.operators.window_sink import REASON_COL, RunResult, failed, replace_by, replace_window
 from periodica.sources.tables import BRONZE, Lake, scan_window
 from periodica.sources.versions import forget_windows
 from periodica.spec import ID_COL, LANDING_PART_COL, LOAD_TS_COL, PERIOD_COL, ReportSpec
@@ -102,6 +102,10 @@ def load(spark: SparkSession, lake: Lake, spec: ReportSpec, system_date,
             fq = lake.fq(BRONZE, INGEST[spec.numero].landing_table)
             src, by = spark.table(fq), lake.landing_control(fq)
         return load_rows(spec, src, window, day, by)
+    if spec.delete_on:
+        return _logged(spark, lake, replace_by(
+            spark, target, rows(), window, spec.delete_on, spec.frequency, spec.control, _job(spec),
+            quarantine_table=lake.fq("silver", "quarantine"), scheduler=scheduler))
     return _logged(spark, lake, replace_window(
         spark, target, rows, window, _job(spec), quarantine_table=lake.fq("silver", "quarantine"),
         scheduler=scheduler))
@@ -231,14 +235,25 @@ def referential_violations(spark: SparkSession, lake: Lake, child: int) -> DataF
     return orphan_keys(lake.report(SPECS[child]), key, lake.report(SPECS[parent]), key)
 
 
-def companion_rows(spark: SparkSession, lake: Lake, numero: int, day) -> DataFrame:
-    """The window's rows of a report with its companion report's rows of
-    the same window, joined by the shared key."""
+def _companions(spark: SparkSession, lake: Lake, numero: int, day) -> tuple[DataFrame, DataFrame, str]:
     from periodica.layouts import COMPANIONS, SPECS
-    from periodica.operators.joins import companion
     other, key = COMPANIONS[numero]
     a, b = SPECS[numero], SPECS[other]
     left = scan_window(lake.report(a), a.control, window_for(day, a.frequency), True)
     right = scan_window(lake.report(b), b.control, window_for(day, b.frequency), True)
-    right = right.select(key, *[F.col(c).alias(f"{b.table}_{c}") for c in right.columns if c != key])
+    return left, right.select(key, *[F.col(c).alias(f"{b.table}_{c}") for c in right.columns if c != key]), key
+
+
+def companion_rows(spark: SparkSession, lake: Lake, numero: int, day) -> DataFrame:
+    """The window's rows of a report with its companion report's rows of the same
+    window, joined by the shared key; not those of a key that both repeat."""
+    from periodica.operators.joins import companion
+    left, right, key = _companions(spark, lake, numero, day)
     return companion(left, right, [key])
+
+
+def companion_unclear(spark: SparkSession, lake: Lake, numero: int, day) -> DataFrame:
+    """The keys that a report and its companion both repeat in the window."""
+    from periodica.operators.joins import companion_repeats
+    left, right, key = _companions(spark, lake, numero, day)
+    return companion_repeats(left, right, [key])

@@ -16,10 +16,11 @@ from pyspark.sql import types as T
 
 from periodica.functions.periods import Window, in_window, overlapping_periods
 from periodica.session import LOCATION_SUFFIX, path_exists, read_lines, shared_path
-from periodica.sources.versions import forget_windows, sync_windows, table_location
+from periodica.sources.versions import forget_windows, partition_location, sync_windows, table_location
 from periodica.spec import LANDING_PART_COL, PERIOD_COL, SOURCE_FILE_COL, IngestSpec, ReportSpec
 
 BRONZE, SILVER = "bronze", "silver"
+NOT_NULL = "periodica.not_null"     # table property: the columns that must not be NULL
 LANDING_CONTROL = "periodica.landing.control"   # table property: column behind landing_month
 
 
@@ -89,7 +90,8 @@ class Lake:
 
     def ensure_report_table(self, spec: ReportSpec) -> str:
         types = {c.name: c.type.ddl for c in spec.stored_columns}
-        fq = self.ensure_table(SILVER, spec.table, spec.stored_schema(), True, types)
+        held = sorted(c.name for c in spec.stored_columns if not c.nullable)
+        fq = self.ensure_table(SILVER, spec.table, spec.stored_schema(), True, types, properties={NOT_NULL: ",".join(held)})
         sync_windows(self.spark, fq, table_location(self.spark, fq))
         return fq
 
@@ -116,6 +118,27 @@ class Lake:
         row = self.spark.sql(f"SHOW TBLPROPERTIES {fq}").where(F.col("key") == LANDING_CONTROL).first()
         return (row["value"] or None) if row else None
 
+    def relayout(self, spec: ReportSpec) -> str:
+        """Let a report table take another layout without rewriting it (E8): the definition
+        is made anew over the same folders. Windows loaded from now on have the new
+        layout; those before keep theirs in their files, and are read by name: a column
+        that the new layout drops is not shown, one that it adds is NULL. ``window_as``
+        still reads them under the layout they were loaded by."""
+        fq = self.report_table(spec)
+        self.require(fq)
+        self.spark.sql(f"DROP TABLE {fq}")
+        forget_windows(self.spark, fq)
+        return self.ensure_report_table(spec)
+
+    def window_as(self, spec: ReportSpec, window: Window) -> DataFrame:
+        """A stored window under the layout of ``spec``, which may be an earlier one."""
+        fq = self.report_table(spec)
+        sync_windows(self.spark, fq, table_location(self.spark, fq))
+        folder = partition_location(self.spark, fq, window.start)
+        if folder is None:
+            return self.spark.createDataFrame([], spec.stored_schema())
+        return self.spark.read.schema(spec.stored_schema()).parquet(folder)
+
     def report_table(self, spec: ReportSpec) -> str:
         return self.fq(SILVER, spec.table)
 

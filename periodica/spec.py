@@ -77,6 +77,7 @@ class ReportSpec:
     version: str = "current"
     active: bool = True
     file_name: str | None = None
+    delete_on: str | None = None     # a load deletes by this column instead of the control column
 
     def __post_init__(self):
         if self.frequency not in FREQUENCIES:
