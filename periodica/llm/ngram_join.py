@@ -23,6 +23,7 @@ subtree is left as soon as the n-grams that remain cannot reach t.
 
 from __future__ import annotations
 
+import uuid
 import zlib
 from collections import Counter
 from collections.abc import Iterator
@@ -147,12 +148,18 @@ def _order_table(signed: DataFrame, rules: JaccardRules) -> Broadcast:
 
 
 def _prefixes(docs: DataFrame, order: Broadcast, rules: JaccardRules) -> DataFrame:
-    """(token, cid, n, place) for the n-grams of each set's prefix."""
+    """(token, cid, n, place) for the n-grams of each set's prefix, once for each class and
+    task: a class of any number of copies has as many rows at an n-gram as there are tasks."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen = np.zeros(0, np.int64)
         for b in _chunks(batches, rules.texts):
             g, sizes = ngram_sets(b.column(0), rules, order.value)
             cids = _classes_of(g, sizes)
-            keep = np.where(sizes > 0, sizes - (-(-rules.percent * sizes // 100)) + 1, 0)
+            fresh = np.zeros(len(cids), bool)
+            fresh[np.unique(cids, return_index=True)[1]] = True
+            fresh &= ~np.isin(cids, seen)
+            seen = np.append(seen, cids[fresh])
+            keep = np.where(fresh & (sizes > 0), sizes - (-(-rules.percent * sizes // 100)) + 1, 0)
             owner = np.repeat(np.arange(len(sizes)), sizes)
             place = np.arange(len(g)) - (np.cumsum(sizes) - sizes)[owner]
             m = place < keep[owner]
@@ -162,8 +169,10 @@ def _prefixes(docs: DataFrame, order: Broadcast, rules: JaccardRules) -> DataFra
     return docs.select("text").mapInArrow(run, "token long, cid long, n int, place int")
 
 
-def _texts(docs: DataFrame, wanted: DataFrame, rules: JaccardRules) -> DataFrame:
-    """(cid, text): a text of each wanted class (doc_id, cid); a repeated doc_id may give one twice."""
+def _texts(docs: DataFrame, wanted: DataFrame, rules: JaccardRules, place: str) -> str:
+    """A table of (cid, text), bucketed by cid in the folder ``place``: a text of each wanted
+    class (doc_id, cid); a repeated doc_id may give one twice. Texts are dealt by cid
+    once, and every comparison reads them where they are."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
         for b in _chunks(batches, rules.texts):
@@ -172,11 +181,15 @@ def _texts(docs: DataFrame, wanted: DataFrame, rules: JaccardRules) -> DataFrame
                   if int(cids[i]) not in seen]
             seen.update(cids[ok].tolist())
             yield b.take(pa.array(ok, pa.int64()))
+    spark = docs.sparkSession
     wanted = cut(wanted.select(F.col("doc_id").alias("_w"), "cid"))
     if wanted.count() <= rules.broadcast_rows:
         wanted = F.broadcast(wanted)
     rows = docs.join(wanted, F.col("doc_id").eqNullSafe(F.col("_w"))).select("cid", "text")
-    return rows.mapInArrow(run, "cid long, text string")
+    parts, table = int(spark.conf.get("spark.sql.shuffle.partitions")), f"ngram_texts_{uuid.uuid4().hex}"
+    (rows.mapInArrow(run, "cid long, text string").repartition(parts, "cid")
+     .write.bucketBy(parts, "cid").option("path", place).saveAsTable(table))
+    return table
 
 
 def _no_place() -> list[Column]:
@@ -338,14 +351,14 @@ def _mixed_tokens(shared: DataFrame, roots: DataFrame | None, salts: tuple[int,
     """The shared n-grams at which several components meet: all rows, with the component
     that has most classes there (``major``) and, for each salt, one class of it."""
     rows = _with_roots(shared, roots)
+    ends = rows.groupBy("token").agg(F.min("root").alias("_a"), F.max("root").alias("_z")).filter("_a <> _z").select("token")
+    rows = cut(rows.join(ends, "token", "left_semi"))
     one = F.struct("cid", "n", "place", "shared")
     per = rows.groupBy("token", "root").agg(
         F.count("*").alias("k"), *[F.min_by(one, F.xxhash64(F.lit(i), F.col("cid"))).alias(f"c{i}") for i in salts])
     best = F.struct("k", "root")
-    major = (per.groupBy("token").agg(F.max_by("root", best).alias("major"), F.count("*").alias("roots"),
-                                      F.sum("k").alias("all"), F.max("k").alias("inside"),
-                                      F.max_by(F.array(*[f"c{i}" for i in salts]) if salts else F.lit(None), best).alias("some"))
-             .filter("roots > 1"))
+    major = (per.groupBy("token").agg(F.max_by("root", best).alias("major"), F.sum("k").alias("all"), F.max("k").alias("inside"),
+                                      F.max_by(F.array(*[f"c{i}" for i in salts]) if salts else F.lit(None), best).alias("some")))
     return rows.join(major, "token")
 
 
@@ -416,8 +429,8 @@ def near_documents(docs: DataFrame, rules: JaccardRules = JaccardRules(), doc_id
     shared = cut(shared.withColumn("shared", F.count("*").over(Window.partitionBy("cid"))))
     wanted = full.join(shared.select("cid").distinct(), "cid", "left_semi").groupBy("cid").agg(F.min("doc_id").alias("doc_id"))
     place = unique_path(docs.sparkSession, "ngram-texts")
-    _texts(docs, wanted, rules).write.parquet(place)
-    texts = docs.sparkSession.read.parquet(place)
+    table = _texts(docs, wanted, rules, place)
+    texts = docs.sparkSession.table(table)
     roots = _merged(None, cut(_compare(cut(_star_pairs(shared, rules)), texts, order, rules, rules.probes)))
     for r in range(rules.stray_rounds):
         pairs = cut(_stray_pairs(shared, roots, 10 * r, rules))
@@ -425,7 +438,8 @@ def near_documents(docs: DataFrame, rules: JaccardRules = JaccardRules(), doc_id
     pairs, blocks = _open(shared, roots, rules)
     links = _compare(cut(pairs), texts, order, rules).unionByName(_tries(blocks, texts, order, rules))
     roots = _merged(roots, cut(links))
-    delete_path(docs.sparkSession, place)      # all comparisons are made and cut
+    docs.sparkSession.sql(f"DROP TABLE {table}")        # all comparisons are made and cut
+    delete_path(docs.sparkSession, place)
     order.destroy()
     known = _with_roots(full.groupBy("cid").agg(F.min("doc_id").alias("low")), roots)
     lows = known.groupBy("root").agg(F.min("low").alias("component")).withColumnRenamed("root", "_root")
