@@ -28,6 +28,7 @@ class MixRules:
     block: int = 64                       # words
     slots: int = 1024                     # blocks of an output shard
     rounds: int = 12                      # of the index permutation
+    task_slots: int = 65536               # numbered by one task, about
     cells: int = 4096                     # of the table that a slot draws its source from
     seed: int = 11
 
@@ -115,7 +116,7 @@ def drawn_slots(targets: DataFrame, rules: MixRules) -> DataFrame:
         F.col("under_at").alias("at"), F.lit(None).alias("o"),
         F.struct("source", "got", F.col("under_at").alias("start")).alias("u"))
     at = Window.orderBy("at")
-    moves = (over.unionByName(under).groupBy("at").agg(F.max("o").alias("o"), F.max("u").alias("u"))
+    moves = cut(over.unionByName(under).groupBy("at").agg(F.max("o").alias("o"), F.max("u").alias("u"))
              .select("at", F.last("o", True).over(at).alias("o"), F.last("u", True).over(at).alias("u"),
                      F.lead("at").over(at).alias("to"))
              .select(F.col("o.source").alias("_ms"), F.col("u.source").alias("to_source"),
@@ -123,6 +124,8 @@ def drawn_slots(targets: DataFrame, rules: MixRules) -> DataFrame:
                      (F.col("o.quota") + F.col("to") - F.col("o.start")).alias("to_i"),
                      (F.col("u.got") + F.col("at") - F.col("u.start")).alias("new_i")))
     at_shard = running_start(counts, ["source"], ["shard"], "n", chunks_for(counts.count()), "start")
+    # a row of counts stands for many slots: tasks are sized by slots, not by rows
+    at_shard = cut(at_shard).repartition(-(-total // rules.task_slots) or 1, "shard", "source")
     each = at_shard.select("shard", "source", F.posexplode(F.array_repeat(F.lit(0), F.col("n").cast("int"))).alias("j", "_"),
                            "start").select("shard", "source", (F.col("start") + F.col("j")).alias("i"))
     moved = each.join(moves, _same("source", "_ms") & (F.col("i") >= F.col("from_i"))
@@ -149,8 +152,9 @@ def pieces(placed: DataFrame, rules: MixRules) -> DataFrame:
 
 
 def _times(targets: DataFrame, rules: MixRules) -> DataFrame:
-    return (drawn_slots(targets, rules).groupBy("source", "block").agg(F.count("*").alias("times"))
-            .select(F.col("source").alias("_ts"), F.col("block").alias("_tb"), "times"))
+    """How often each block is taken; cut, so that the plans that use it stay small."""
+    return cut(drawn_slots(targets, rules).groupBy("source", "block").agg(F.count("*").alias("times"))
+               .select(F.col("source").alias("_ts"), F.col("block").alias("_tb"), "times"))
 
 
 ORDER = ["doc_id", "text_hash", "size"]
