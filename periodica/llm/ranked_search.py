@@ -25,6 +25,7 @@ of a few percent.
 from __future__ import annotations
 
 import math
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -51,7 +52,7 @@ class SearchRules:
     part_postings: int = 65536  # of a row, unless one document has more
     items: int = 256            # of a block, about
     slice_postings: int = 262144    # inverted together, unless one document has more
-    spread: int = 200_000       # documents of a stratum that go to one task, about
+    spread: int = 4096          # documents of a stratum that are kept together; larger ones are dealt out
     group_rows: int = 128       # of the index, searched together
     group_docs: int = 8192
 
@@ -89,15 +90,15 @@ def impact(tf: np.ndarray, m: np.ndarray) -> np.ndarray:
 
 
 def _lengths(docs: DataFrame, rules: SearchRules) -> DataFrame:
-    """n_docs, n_terms of each task's documents (doc, text)."""
+    """n, docs: how many documents (doc, text) have n terms, by task."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        docs = terms = 0
+        seen: Counter = Counter()
         for whole in batches:
             for a in range(0, whole.num_rows, rules.texts):
-                n = word_counts(whole.column(1).slice(a, rules.texts), BETWEEN)
-                docs, terms = docs + int((n > 0).sum()), terms + int(n.sum())
-        yield pa.RecordBatch.from_arrays([pa.array([docs]), pa.array([terms])], names=["n_docs", "n_terms"])
-    return docs.mapInArrow(run, "n_docs long, n_terms long")
+                seen.update(word_counts(whole.column(1).slice(a, rules.texts), BETWEEN).tolist())
+        yield pa.RecordBatch.from_arrays([pa.array(list(seen), pa.int64()), pa.array(list(seen.values()), pa.int64())],
+                                         names=["n", "docs"])
+    return docs.mapInArrow(run, "n long, docs long")
 
 
 def _terms(docs: DataFrame, rules: SearchRules) -> DataFrame:
@@ -187,11 +188,15 @@ def build_index(docs: DataFrame, path: str | None = None, rules: SearchRules = S
     ship(spark)
     path = path or unique_path(spark, "lexical-index")
     slim = docs.select(F.coalesce(F.col(doc_id).cast("long"), F.lit(LAST)).alias("doc"), F.col(text).alias("text"))
-    n_docs, n_terms = _lengths(slim, rules).agg(*[F.coalesce(F.sum(c), F.lit(0)) for c in ("n_docs", "n_terms")]).first()
+    lengths = cut(_lengths(slim, rules).filter("n > 0").groupBy("n").agg(F.sum("docs").alias("docs")))
+    n_docs, n_terms = lengths.agg(F.coalesce(F.sum("docs"), F.lit(0)), F.coalesce(F.sum(F.col("n") * F.col("docs")), F.lit(0))).first()
     m = F.expr(f"100L - 90L + (90L * n * {n_docs}L) div {max(n_terms, 1)}L")
-    rows = _terms(slim, rules).filter("n > 0").select("doc", m.alias("m"), "terms", "tfs")
-    part = F.pmod(F.xxhash64("doc", "terms"), F.lit(-(-n_docs // rules.spread) or 1))
-    _inverted(rows.repartition("m", part).sortWithinPartitions("m"), rules).write.parquet(path)
+    # large strata are dealt out; there are at most n_docs / spread of them
+    large = (lengths.groupBy(m.alias("m")).agg(F.ceil(F.sum("docs") / rules.spread).alias("parts")).filter("parts > 1"))
+    rows = _terms(slim, rules).filter("n > 0").select("doc", m.alias("m"), "terms", "tfs").join(F.broadcast(large), "m", "left")
+    part = F.pmod(F.xxhash64("doc", "terms"), F.coalesce("parts", F.lit(1)))
+    dealt = rows.repartition("m", part).sortWithinPartitions("m").select("doc", "m", "terms", "tfs")
+    _inverted(dealt, rules).write.parquet(path)
     write_lines(spark, path + "/_counts", [str(n_docs), str(n_terms)])
     return LexicalIndex(path, n_docs, n_terms)
 

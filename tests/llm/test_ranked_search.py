@@ -61,7 +61,8 @@ def made(seed, n=400):
 def test_ties_and_parts(spark):
     docs, items = made(1)
     d, q = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
-    for rules in (SearchRules(), SearchRules(k=3, texts=7, part_docs=5, part_postings=20, items=8, group_rows=3, group_docs=16)):
+    for rules in (SearchRules(), SearchRules(k=3, texts=7, part_docs=5, part_postings=20, items=8, group_rows=3, group_docs=16,
+                                             slice_postings=50, spread=3)):
         index = build_index(d, rules=rules)
         assert got(search(index, q, rules)) == brute(docs, items, rules.k)
         assert open_index(spark, index.path) == index
