@@ -16,7 +16,7 @@ from periodica.llm.ngram_join import JaccardRules, deduplicated
 from periodica.llm.packing import TOKENIZER, PackRules, pack, token_pieces
 from periodica.llm.quality_lines import cleaned
 from periodica.llm.toxicity import clean_documents
-from periodica.session import unique_path
+from periodica.session import delete_path, unique_path
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -59,10 +59,14 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over documents; each result is a table in the shared folder."""
-    docs = read(spark, sf_dir, "documents")
+    """All stages over documents; each result is a table in the shared folder, which goes
+    as soon as the next one is written. The last one stays."""
+    docs, last = read(spark, sf_dir, "documents"), None
     for name, stage in STAGES:
         path = unique_path(spark, "pipeline-" + name.replace(" ", "-"))
         stage(spark, docs, sf_dir).write.parquet(path)
         docs = spark.read.parquet(path)
+        if last:
+            delete_path(spark, last)
+        last = path
     return docs

@@ -8,11 +8,12 @@ Project (one stage, no shuffle). Only the two reports with a declared order
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from periodica.functions.formats import render_date
 from periodica.functions.periods import Window
+from periodica.operators.ordered import numbered_lines
 from periodica.sources.tables import scan_window
 from periodica.spec import ID_COL, ReportSpec
 
@@ -51,3 +52,15 @@ def write_delivery(df: DataFrame, path: str, sep: str = "|") -> None:
     (df.write.mode("overwrite").option("header", True).option("sep", sep)
        .option("encoding", "UTF-8").option("nullValue", "").option("emptyValue", "")
        .csv(path))
+
+
+def delivered_lines(spark: SparkSession, path: str) -> DataFrame:
+    """(line, value): the lines of a written delivery below its headers, numbered from 1 as
+    they stand: part file by part file, and line by line in each."""
+    lines = spark.read.text(path).select(
+        "value", F.col("_metadata.file_name").alias("_file"), F.col("_metadata.file_block_start").alias("_at"))
+    lines = lines.withColumn("_row", F.monotonically_increasing_id())
+    # the header is the first line of a file
+    first = lines.groupBy("_file").agg(F.min(F.struct("_at", "_row")).alias("_first"))
+    body = lines.join(first, "_file").where((F.col("_at") != F.col("_first._at")) | (F.col("_row") != F.col("_first._row")))
+    return numbered_lines(body, [F.col("_file"), F.col("_at"), F.col("_row")]).select("line", "value")
