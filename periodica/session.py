@@ -26,6 +26,8 @@ BASE_CONF = {
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "static",
     "spark.sql.parquet.filterPushdown": "true",
+    # paths given one by one are listed by a job of this many tasks at most
+    "spark.sql.sources.parallelPartitionDiscovery.parallelism": "64",
     # a checkpoint goes with the last reference to it
     "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",

@@ -9,6 +9,10 @@ TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineite
           "documents", "embeddings", "pages", "benchmark", "labels", "conversations"]
 
 
+# the smallest tables have no such row; larger ones do
+EMPTY_HERE: set[str] = set()
+
+
 @pytest.fixture(scope="module")
 def con():
     c = duckdb.connect()
@@ -27,6 +31,7 @@ def test_query_matches_oracle(spark, con, name):
     from tools.check_oracle import digest
     df = E.queries()[name](spark, SF_SMALL)
     rows = [tuple(r) for r in df.collect()]
+    assert rows or name in EMPTY_HERE, "a query without rows proves nothing"
     sql = E.oracle_sql().get(name)
     if sql is None:
         return
