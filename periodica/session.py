@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -132,6 +133,13 @@ def write_lines(spark: SparkSession, path: str, lines: list[str]) -> None:
 
 def read_lines(spark: SparkSession, path: str) -> list[str]:
     """Lines of a small text file; none where it does not exist."""
+    local = _on_local_disk(spark, path)
+    if local:
+        try:
+            with open(local, encoding="utf-8") as f:
+                return f.read().splitlines()
+        except FileNotFoundError:
+            return []
     p, fs = _file(spark, path)
     if not fs.exists(p):
         return []
@@ -146,22 +154,39 @@ def read_lines(spark: SparkSession, path: str) -> list[str]:
         reader.close()
 
 
+_default_is_local: dict[str, bool] = {}
+
+
+def _on_local_disk(spark: SparkSession, path: str) -> str | None:
+    """The path as this process opens it, where it lies on the local file system."""
+    if path.startswith("file:"):
+        return re.sub("^file:/+", "/", path)
+    if not path.startswith("/"):
+        return None
+    app = spark.sparkContext.applicationId
+    if app not in _default_is_local:
+        _, fs = _file(spark, path)
+        _default_is_local[app] = str(fs.getUri().getScheme()) == "file"
+    return path if _default_is_local[app] else None
+
+
 def create_once(spark: SparkSession, path: str, lines: list[str]) -> bool:
     """Create a small text file, or return False where it exists: of several that
     try, one succeeds. The file ends with a line of its own, so that one whose
     writer died is told from a whole one (``read_once``)."""
     body = "\n".join([*lines, END_LINE]).encode()
-    p, fs = _file(spark, path)
-    fs.mkdirs(p.getParent())
-    uri = fs.makeQualified(p).toUri()
-    if uri.getScheme() == "file":       # Hadoop's local file system looks and then creates, in two steps
+    local = _on_local_disk(spark, path)
+    if local:       # Hadoop's local file system looks and then creates, in two steps
+        os.makedirs(os.path.dirname(local), exist_ok=True)
         try:
-            fd = os.open(uri.getPath(), os.O_CREAT | os.O_EXCL | os.O_WRONLY)
+            fd = os.open(local, os.O_CREAT | os.O_EXCL | os.O_WRONLY)
         except FileExistsError:
             return False
         with os.fdopen(fd, "wb") as f:
             f.write(body)
         return True
+    p, fs = _file(spark, path)
+    fs.mkdirs(p.getParent())
     try:
         out = fs.create(p, False)
     except Py4JJavaError as e:
@@ -192,6 +217,10 @@ def move_path(spark: SparkSession, old: str, new: str) -> None:
 
 def list_path(spark: SparkSession, path: str) -> list[str]:
     """Paths directly under a folder; none where it does not exist."""
+    local = _on_local_disk(spark, path)
+    if local:       # without a call of the JVM for each path; checksum files are not shown there either
+        names = os.listdir(local) if os.path.isdir(local) else []
+        return [f"file:{local.rstrip('/')}/{n}" for n in names if not (n.startswith(".") and n.endswith(".crc"))]
     p, fs = _file(spark, path)
     return [str(s.getPath().toString()) for s in fs.listStatus(p)] if fs.exists(p) else []
 
