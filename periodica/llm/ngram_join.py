@@ -111,22 +111,23 @@ def _chunks(batches: Iterator[pa.RecordBatch], n: int) -> Iterator[pa.RecordBatc
 
 
 def _signed(docs: DataFrame, rules: JaccardRules) -> DataFrame:
-    """Per document (doc_id, n, cid); and, per task and slice, packed bucket counts."""
+    """Per document (doc_id, h, n, cid); and, per task and slice, packed bucket counts."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros(2 ** rules.order_bits, np.uint32)
-        names = ["doc_id", "n", "cid", "slice", "counts"]
+        names = ["doc_id", "h", "n", "cid", "slice", "counts"]
         for b in _chunks(batches, rules.texts):
-            g, sizes = ngram_sets(b.column(1), rules)
+            g, sizes = ngram_sets(b.column(2), rules)
             np.add.at(counts, _bucket(g, rules), 1)
             none = pa.nulls(b.num_rows, pa.int32())
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(sizes), pa.array(_classes_of(g, sizes)), none,
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(sizes), pa.array(_classes_of(g, sizes)), none,
                                               pa.nulls(b.num_rows, pa.binary())], names=names)
         if counts.any():
             parts = [zlib.compress(p.tobytes(), 1) for p in np.split(counts, SLICES)]
             none = pa.nulls(SLICES, pa.int64())
-            yield pa.RecordBatch.from_arrays([none, none, none, pa.array(range(SLICES), pa.int32()),
+            yield pa.RecordBatch.from_arrays([none, none, none, none, pa.array(range(SLICES), pa.int32()),
                                               pa.array(parts, pa.binary())], names=names)
-    return docs.mapInArrow(run, "doc_id long, n long, cid long, slice int, counts binary")
+    return docs.select("doc_id", F.xxhash64("text").alias("h"), "text").mapInArrow(
+        run, "doc_id long, h long, n long, cid long, slice int, counts binary")
 
 
 def _order_table(signed: DataFrame, rules: JaccardRules) -> Broadcast:
@@ -169,6 +170,26 @@ def _prefixes(docs: DataFrame, order: Broadcast, rules: JaccardRules) -> DataFra
     return docs.select("text").mapInArrow(run, "token long, cid long, n int, place int")
 
 
+def _shared(prefixes: DataFrame, rules: JaccardRules) -> DataFrame:
+    """(token, cid, n, place, shared): the n-grams at which classes meet that may reach t.
+
+    A class stays at an n-gram if the class of the nearest size there is near enough, and
+    where only two classes are left, if these two can reach t. ``shared`` counts a
+    class's n-grams after the first of these rules: no pair that reaches t has more in
+    common in its prefixes, as it meets at each of them."""
+    token = Window.partitionBy("token")
+    rows = (prefixes.select("*", F.min("cid").over(token).alias("_lo"), F.max("cid").over(token).alias("_hi"))
+            .filter("_lo <> _hi").groupBy("token", "cid").agg(F.first("n").alias("n"), F.first("place").alias("place")))
+    by_size = token.orderBy("n", "cid")
+    rows = rows.select("*", F.lag("n").over(by_size).alias("_below"), F.lead("n").over(by_size).alias("_above"))
+    rows = rows.filter(f"100 * _below >= {rules.percent} * n OR 100 * n >= {rules.percent} * _above")
+    rows = cut(rows.select("token", "cid", "n", "place", F.count("*").over(Window.partitionBy("cid")).alias("shared")))
+    by_cid, one = token.orderBy("cid"), F.struct("n", "place", "shared")
+    pairs = rows.select("token", "cid", one.alias("x"), F.count("*").over(token).alias("_k"),
+                        F.coalesce(F.lag(one).over(by_cid), F.lead(one).over(by_cid)).alias("y"))
+    return cut(pairs.filter((F.col("_k") > 2) | _possible("x", "y", rules)).select("token", "cid", "x.*"))
+
+
 def _texts(docs: DataFrame, wanted: DataFrame, rules: JaccardRules, place: str) -> str:
     """A table of (cid, text), bucketed by cid in the folder ``place``: a text of each wanted
     class (doc_id, cid); a repeated doc_id may give one twice. Texts are dealt by cid
@@ -405,28 +426,16 @@ def _open(shared: DataFrame, roots: DataFrame, rules: JaccardRules) -> tuple[Dat
     return pairs, blocks
 
 
-def near_documents(docs: DataFrame, rules: JaccardRules = JaccardRules(), doc_id: str = "doc_id",
-                   text: str = "text") -> DataFrame:
-    """doc_id, n_shingles, component_id: one row per input row.
-
-    A null or empty text links with nothing and names itself; equal rows are
-    copies of each other; a null doc_id never names a component unless all of the
-    component's are null; whole texts are read, whatever their length; an empty
-    table gives no rows; further columns are ignored.
-    """
+def _grouped(docs: DataFrame, rules: JaccardRules, doc_id: str, text: str) -> DataFrame:
+    """doc_id, h (hash of the text), n, component_id, and whether the row is the one that
+    names its group (``first``)."""
     ship(docs.sparkSession)
     docs = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
     signed = cut(_signed(docs, rules))
     order = _order_table(signed, rules)
-    rows = signed.filter(F.col("slice").isNull()).select("doc_id", "n", "cid")
+    rows = signed.filter(F.col("slice").isNull()).select("doc_id", "h", "n", "cid")
     full = rows.filter("n > 0")
-    met = Window.partitionBy("token")
-    shared = (_prefixes(docs, order, rules)
-              .select("*", F.min("cid").over(met).alias("_lo"), F.max("cid").over(met).alias("_hi"))
-              .filter("_lo <> _hi").groupBy("token", "cid")
-              .agg(F.first("n").alias("n"), F.first("place").alias("place")))
-    # with the number of shared n-grams in a class's prefix: no pair has more in common there
-    shared = cut(shared.withColumn("shared", F.count("*").over(Window.partitionBy("cid"))))
+    shared = _shared(_prefixes(docs, order, rules), rules)
     wanted = full.join(shared.select("cid").distinct(), "cid", "left_semi").groupBy("cid").agg(F.min("doc_id").alias("doc_id"))
     place = unique_path(docs.sparkSession, "ngram-texts")
     table = _texts(docs, wanted, rules, place)
@@ -442,21 +451,37 @@ def near_documents(docs: DataFrame, rules: JaccardRules = JaccardRules(), doc_id
     delete_path(docs.sparkSession, place)
     order.destroy()
     known = _with_roots(full.groupBy("cid").agg(F.min("doc_id").alias("low")), roots)
-    lows = known.groupBy("root").agg(F.min("low").alias("component")).withColumnRenamed("root", "_root")
-    known = known.join(lows, F.col("root") == F.col("_root")).select(F.col("cid").alias("_c"), "component")
+    order_of = F.struct(F.col("low").isNull().alias("none"), "low", "cid")
+    lows = known.groupBy("root").agg(F.min("low").alias("component"), F.min_by("cid", order_of).alias("_first")).withColumnRenamed("root", "_root")
+    known = known.join(lows, F.col("root") == F.col("_root")).select(
+        F.col("cid").alias("_c"), "component", "low", (F.col("cid") == F.col("_first")).alias("_names"))
     return (rows.join(known, (F.col("cid") == F.col("_c")) & (F.col("n") > 0), "left")
-            .select("doc_id", F.col("n").alias("n_shingles"),
-                    F.when(F.col("_c").isNull(), F.col("doc_id")).otherwise(F.col("component")).alias("component_id")))
+            .select("doc_id", "h", "n", F.when(F.col("_c").isNull(), F.col("doc_id")).otherwise(F.col("component")).alias("component_id"),
+                    (F.col("_c").isNull() | (F.col("_names") & F.col("doc_id").eqNullSafe(F.col("low")))).alias("first")))
+
+
+def near_documents(docs: DataFrame, rules: JaccardRules = JaccardRules(), doc_id: str = "doc_id",
+                   text: str = "text") -> DataFrame:
+    """doc_id, n_shingles, component_id: one row per input row.
+
+    A null or empty text links with nothing and names itself; equal rows are
+    copies of each other; a null doc_id never names a component unless all of the
+    component's are null; whole texts are read, whatever their length; an empty
+    table gives no rows; further columns are ignored.
+    """
+    return _grouped(docs, rules, doc_id, text).select("doc_id", F.col("n").alias("n_shingles"), "component_id")
 
 
 def deduplicated(docs: DataFrame, rules: JaccardRules = JaccardRules()) -> DataFrame:
-    """One document of each group: the one that names it. Equal rows become one."""
-    found = near_documents(docs, rules)
-    kept = found.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("_k")).distinct()
+    """One document of each group: that of the smallest doc_id, a null one only where the
+    group has no other. Equal rows become one; of one doc_id with several texts, each
+    goes with its own group."""
+    found = _grouped(docs, rules, "doc_id", "text")
+    kept = found.filter("first").select(F.col("doc_id").alias("_k"), F.col("h").alias("_kh")).distinct()
     keep = ["doc_id", "text"]
-    rows = (set_aside(docs, keep).join(kept, F.col("doc_id").eqNullSafe(F.col("_k")), "left_semi")
-            .withColumn("_h", F.xxhash64("text")).dropDuplicates(["doc_id", "_h"]))
-    return put_back(rows, docs.columns, keep)
+    rows = set_aside(docs, keep).withColumn("_h", F.xxhash64("text"))
+    rows = rows.join(kept, F.col("doc_id").cast("long").eqNullSafe(F.col("_k")) & (F.col("_h") == F.col("_kh")), "left_semi")
+    return put_back(rows.dropDuplicates(["doc_id", "_h"]), docs.columns, keep)
 
 
 def op8_prefix_tree(spark: SparkSession, sf_dir: str) -> DataFrame:

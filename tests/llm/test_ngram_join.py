@@ -80,3 +80,12 @@ def test_edges(spark, edge, empty, clash):
     kept = deduplicated(clash)
     assert kept.columns == clash.columns and sorted(r.doc_id for r in kept.collect()) == [1, 3, 4, 5, 6, 7, 8]
     assert deduplicated(empty).count() == 0
+
+
+def test_each_row_goes_with_its_own_group(spark):
+    """Near copies without doc_id, and one doc_id with two texts."""
+    from periodica.llm.ngram_join import deduplicated
+    a, b = (" ".join(f"{x}{i}" for i in range(60)) for x in "ab")
+    rows = [(1, a), (None, a + " more"), (None, b), (1, b), (2, a), (2, a), (3, ""), (3, ""), (None, None)]
+    kept = deduplicated(spark.createDataFrame(rows, "doc_id long, text string"), JaccardRules(words=5, percent=80)).collect()
+    assert sorted(map(tuple, kept), key=str) == sorted([(1, a), (1, b), (3, ""), (None, None)], key=str)
