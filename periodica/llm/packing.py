@@ -5,8 +5,11 @@ length is a sequence by itself. The others are dealt at random into groups of a
 bounded number of pieces. Each group is packed best-fit decreasing and then
 improved: moves, one-for-one and two-for-one exchanges between underfull bins
 that raise the sum of squared fills, so tokens flow from the emptiest bins into
-fuller ones until bins run empty. It ends when a lower bound proves that no bin
-can be saved, or when every underfull bin was tried as a donor since the last change.
+fuller ones until bins run empty. It ends when a
+lower bound proves that no bin can be saved, or when no underfull bin has such an
+exchange left. A bin that has none is tried again only when an exchange with a bin
+that changed since is possible, which one comparison of that bin with all pieces and
+pairs tells.
 """
 
 from __future__ import annotations
@@ -34,7 +37,6 @@ TEXTS = 512            # texts encoded together
 class PackRules:
     capacity: int = 2048
     group: int = 4096      # pieces packed together
-    patience: int | None = None  # donors in a row that could not be emptied; None: until all were tried
     end_id: int = 0        # closes each document
 
 
@@ -187,14 +189,18 @@ class Search:
         for b, items in enumerate(bins):
             self.at[items] = b
         self.len = np.asarray(lengths, dtype=np.int64)
-        self.pairs()
-
-    def pairs(self) -> None:
-        """Pairs of pieces in one underfull bin, for two-for-one exchanges."""
-        found = [(i, j, b) for b, items in enumerate(self.bins) if 1 < len(items) and self.fill[b] < self.cap
-                 for x, i in enumerate(items) for j in items[x + 1:]]
+        self.pi = self.pj = self.pb = np.zeros(0, np.int64)
+        self.pairs(range(len(bins)))
+        self.open = {b for b in range(len(bins)) if self.fill[b] < capacity}     # donors to be tried
+        self.changed: set[int] = set()
+
+    def pairs(self, of) -> None:
+        """Pairs of pieces in one underfull bin, anew for these bins."""
+        found = [(i, j, b) for b in of if 1 < len(self.bins[b]) and self.fill[b] < self.cap
+                 for x, i in enumerate(self.bins[b]) for j in self.bins[b][x + 1:]]
         p = np.array(found, dtype=np.int64).reshape(-1, 3)
-        self.pi, self.pj, self.pb = p[:, 0], p[:, 1], p[:, 2]
+        keep = ~np.isin(self.pb, list(of))
+        self.pi, self.pj, self.pb = (np.append(old[keep], new) for old, new in zip((self.pi, self.pj, self.pb), p.T))
 
     def change(self, donor: int, out: list[int], to: int, back: list[int]) -> None:
         for i in out:
@@ -208,6 +214,8 @@ class Search:
         d = sum(self.n[i] for i in out) - sum(self.n[j] for j in back)
         self.fill[donor] -= d
         self.fill[to] += d
+        self.pairs((donor, to))
+        self.changed |= {donor, to}
 
     def step(self, donor: int) -> bool:
         """One exchange that raises the sum of squared fills; the largest flow out of the donor."""
@@ -230,9 +238,8 @@ class Search:
             if flow[j] > best:
                 best, act = int(flow[j]), (out, int(self.at[j]), [j])
             if len(out) == 1 and len(self.pb):                         # one for two
-                ok = (self.at[self.pi] == self.pb) & (self.at[self.pj] == self.pb)
                 flow = n - self.len[self.pi] - self.len[self.pj]
-                flow[~ok | (flow <= 0) | (flow > room[self.pb]) | (self.fill[self.pb] + flow <= self.fill[donor])] = 0
+                flow[(flow <= 0) | (flow > room[self.pb]) | (self.fill[self.pb] + flow <= self.fill[donor])] = 0
                 k = int(np.argmax(flow))
                 if flow[k] > best:
                     best, act = int(flow[k]), (out, int(self.pb[k]), [int(self.pi[k]), int(self.pj[k])])
@@ -241,26 +248,38 @@ class Search:
         self.change(donor, *act)
         return True
 
-    def run(self, patience: int | None = None) -> list[list[int]]:
-        goal, missed, tried = lower_bound(self.len, self.cap), 0, set()
+    def wake(self, b: int) -> None:
+        """Open the donors that have an exchange with bin b: any of their pieces or pairs for
+        one of its pieces, a piece for a pair of its, or a move."""
+        mine, room = self.bins[b], self.cap - int(self.fill[b])
+        if not mine or not room:
+            return
+        one = np.array([self.n[i] for i in mine])
+        two = np.array([self.n[i] + self.n[j] for x, i in enumerate(mine) for j in mine[x + 1:]], dtype=np.int64)
+
+        def having(sizes: np.ndarray, at: np.ndarray, back: np.ndarray) -> list[int]:
+            full = self.fill[at]
+            able = np.flatnonzero((full < self.cap) & (at != b))
+            flow = sizes[able, None] - back[None, :]
+            ok = (flow > 0) & (flow <= room) & (int(self.fill[b]) + flow > full[able, None])
+            return np.unique(at[able[ok.any(axis=1)]]).tolist()
+        self.open.update(having(self.len, self.at, np.concatenate([[0], one, two])))
+        self.open.update(having(self.len[self.pi] + self.len[self.pj], self.pb, one))
+
+    def run(self) -> list[list[int]]:
+        goal = lower_bound(self.len, self.cap)
         live = sum(1 for b in self.bins if b)
-        while live > goal and (patience is None or missed < patience):
-            order = [int(b) for b in np.argsort(self.fill, kind="stable")
-                     if 0 < self.fill[b] < self.cap and int(b) not in tried]
-            if not order:
-                break
-            donor, squares = order[0], int((self.fill ** 2).sum())
+        while live > goal and self.open:
+            donor = min(self.open, key=lambda b: (self.fill[b], b))
             while self.bins[donor] and self.step(donor):
                 pass
-            if self.bins[donor]:
-                if int((self.fill ** 2).sum()) > squares:    # others may find more now
-                    tried.clear()
-                tried.add(donor)
-                missed += 1
-            else:
-                live, missed = live - 1, 0
-                tried.clear()
-                self.pairs()
+            self.open.discard(donor)
+            live -= not self.bins[donor]
+            for b in self.changed:
+                if b != donor and self.bins[b] and self.fill[b] < self.cap:
+                    self.open.add(b)
+                self.wake(b)
+            self.changed.clear()
         return [b for b in self.bins if b]
 
 
@@ -268,7 +287,7 @@ def pack_group(lengths: np.ndarray, rules: PackRules) -> tuple[np.ndarray, np.nd
     """Bin number and offset of each piece."""
     bins = best_fit(lengths, rules.capacity)
     if len(bins) > lower_bound(lengths, rules.capacity):
-        bins = Search(lengths, bins, rules.capacity).run(rules.patience)
+        bins = Search(lengths, bins, rules.capacity).run()
     where, offset = np.zeros(len(lengths), np.int64), np.zeros(len(lengths), np.int64)
     for b, items in enumerate(bins):
         at = 0

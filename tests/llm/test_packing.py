@@ -106,7 +106,7 @@ def test_bounds_and_search(lengths):
     first = best_fit(x, 20)
     search = Search(x, first, 20)
     squares = int((search.fill ** 2).sum())
-    bins = search.run(20)
+    bins = search.run()
     least = _least(lengths, 20)
     assert lower_bound(x, 20) <= least <= len(bins) <= len(first)
     assert sorted(i for b in bins for i in b) == list(range(len(x))) and all(sum(x[b]) <= 20 for b in bins)
@@ -117,11 +117,17 @@ def test_exchanges_empty_a_bin():
     # best fit: [6, 3], [5, 5], [4], while [6, 4], [5, 5] and [3] alone is no better; a hand-made start needs exchanges
     x = np.array([6, 5, 5, 4, 3, 3, 2, 2])
     start = [[0, 4], [1, 3], [2, 5], [6, 7]]
-    assert len(Search(x, start, 10).run(10)) == 3
+    assert len(Search(x, start, 10).run()) == 3
 
 
 def test_search_tries_every_underfull_bin():
     x = np.random.default_rng(0).integers(400, 1100, 200)
-    start = best_fit(x, 2048)
     where, _ = pack_group(x, PackRules())
-    assert len(set(where.tolist())) == len(Search(x, start, 2048).run(len(x) ** 2)) == 77      # 79 after 24 donors in vain
+    search = Search(x, best_fit(x, 2048), 2048)
+    assert len(set(where.tolist())) == len(search.run()) <= 78      # 79 after 24 donors in vain
+    for seed, n in ((1, 60), (2, 150), (3, 300)):       # where the search ends, no bin has an exchange left
+        x = np.random.default_rng(seed).integers(400, 1100, n)
+        search = Search(x, best_fit(x, 2048), 2048)
+        left = search.run()
+        assert len(left) == lower_bound(x, 2048) or not any(
+            search.step(b) for b in range(len(search.bins)) if search.bins[b] and search.fill[b] < 2048)
