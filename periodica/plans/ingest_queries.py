@@ -2,7 +2,7 @@
 source's own form, made by Spark from a whole test table, are routed, read by header,
 converted and landed.
 
-Workbooks (S3) are written by tasks, one per partition. Values follow the rule of
+Workbooks (S3) of bounded size are written by tasks, row by row. Values follow the rule of
 ``report_queries.source_expr``, as text in the files and as typed values in the
 oracle; every second workbook has its columns the other way round, so that reading by
 position would show.
@@ -14,8 +14,9 @@ import datetime as dt
 import posixpath
 import re
 from collections.abc import Iterator
+from itertools import count
 
-import pandas as pd
+import pyarrow as pa
 from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -25,12 +26,13 @@ from periodica.plans import testdata as td
 from periodica.plans.registry import register, scratch_lake
 from periodica.plans.report_queries import stored_expr
 from periodica.session import unique_path
-from periodica.sources.files import list_files, route, write_xlsx
+from periodica.sources.files import list_files, route, text_row, text_rows, write_sheet
 from periodica.sources.ingest import ingest
 from periodica.spec import ID_COL, LANDING_PART_COL, LOAD_TS_COL, SOURCE_FILE_COL, IngestSpec, ReportSpec
 
 SRC, RUN_DATE = "events", dt.date(2024, 2, 1)
-WORKBOOKS = 8       # files that a source is dealt into
+WORKBOOKS = 8       # files that a source is dealt into, at least
+BOOK_ROWS = 50_000  # of a workbook, at most
 
 
 def file_stem(spec: IngestSpec) -> str:
@@ -55,21 +57,40 @@ def file_columns(spec: ReportSpec, ing: IngestSpec) -> list:
     return out
 
 
-def write_workbooks(df: DataFrame, folder: str, stem: str, files: int) -> None:
-    """One workbook per partition, each in a folder of its own, since a source may have one name only."""
+def write_workbooks(df: DataFrame, folder: str, stem: str, most: int = BOOK_ROWS) -> None:
+    """Workbooks of at most ``most`` rows, each in a folder of its own, since a source may have
+    one name only. A task writes its partition's rows as they come, one workbook after
+    the other; every second one has its columns the other way round."""
     headers = df.columns
 
-    def write(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
-        part = TaskContext.get().partitionId()
-        rows = pd.concat([pd.DataFrame(columns=headers), *batches])[headers if part % 2 else headers[::-1]]
+        part, n = TaskContext.get().partitionId(), 0
         place, path = ((fs.LocalFileSystem(), folder.removeprefix("file:")) if folder.startswith(("/", "file:"))
                        else fs.FileSystem.from_uri(folder))
-        place.create_dir(posixpath.join(path, str(part)), recursive=True)
-        with place.open_output_stream(posixpath.join(path, str(part), f"{stem}.xlsx")) as out:
-            out.write(write_xlsx([list(rows.columns), *rows.values.tolist()]))
-        yield pd.DataFrame({"n": [len(rows)]})
-    df.repartition(files).mapInPandas(write, "n long").agg(F.sum("n")).collect()
+        left = next(batches, None)
+
+        def sheet(turned: bool) -> Iterator[bytes]:
+            """The next rows, and in ``left`` what comes after them."""
+            nonlocal left, n
+            names, at = headers[::-1] if turned else headers, 2
+            yield text_row(names, 1)
+            while left is not None and at < most + 2:
+                rows, left = left.slice(0, most + 2 - at), left.slice(most + 2 - at)
+                yield text_rows(rows.select(names), at)
+                at, n = at + rows.num_rows, n + rows.num_rows
+                while left is not None and not left.num_rows:
+                    left = next(batches, None)
+
+        for k in count():
+            if k and left is None:
+                break
+            book = posixpath.join(path, f"{part}-{k}")
+            place.create_dir(book, recursive=True)
+            with place.open_output_stream(posixpath.join(book, f"{stem}.xlsx")) as out:
+                write_sheet(out, sheet((part + k) % 2 == 0))
+        yield pa.RecordBatch.from_arrays([pa.array([n], pa.int64())], names=["n"])
+    df.mapInArrow(write, "n long").agg(F.sum("n")).collect()
 
 
 def landed_sql(spec: ReportSpec, ing: IngestSpec) -> str:
@@ -93,9 +114,13 @@ def _register(numero: int) -> None:
     @register(f"ingest_{numero:03d}", landed_sql(spec, ing))
     def q(spark: SparkSession, sf_dir: str) -> DataFrame:
         lake, folder = scratch_lake(spark), unique_path(spark, "drop")
-        cells = td.table(spark, sf_dir, SRC).select(*file_columns(spec, ing))
+        rows = td.table(spark, sf_dir, SRC)
         if ing.file_type == "excel":
-            write_workbooks(cells, folder, file_stem(ing), WORKBOOKS)
+            # more rows make more workbooks, not larger ones; the table's own columns are dealt out, not the cells
+            rows = rows.repartition(max(WORKBOOKS, 2 * rows.count() // BOOK_ROWS))
+        cells = rows.select(*file_columns(spec, ing))
+        if ing.file_type == "excel":
+            write_workbooks(cells, folder, file_stem(ing))
         else:
             plain = unique_path(spark, "drop")
             cells.write.option("header", True).option("sep", ing.delimiter).option("quote", "\u0000").csv(plain)

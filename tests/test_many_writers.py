@@ -184,6 +184,48 @@ def test_workbook_rows_one_by_one(spark):
     assert list(bad.values()) == [["B"]]
 
 
+def test_workbooks_are_bounded(spark):
+    """A workbook holds a bounded number of rows however many its task has; nulls and marks survive."""
+    from periodica.plans.ingest_queries import write_workbooks
+    folder = unique_path(spark, "drop")
+    rows = [(f"k{i}", None if i % 3 else f"<{i}> & é") for i in range(1000)]
+    write_workbooks(spark.createDataFrame(rows, "a string, b string").repartition(3), folder, "W", 100)
+    books = [r.path for r in list_files(spark, folder).collect()]
+    assert len(books) >= 10
+    heads, found = set(), []
+    for p in books:
+        with open(p.removeprefix("file:"), "rb") as fh:
+            head, *body = xlsx_rows(fh.read())
+        assert len(body) <= 100
+        heads.add(tuple(head))
+        found += [tuple(dict(zip(head, r)).get(c) for c in "ab") for r in body]
+    assert heads == {("a", "b"), ("b", "a")} and sorted(found) == sorted(rows)
+    none = unique_path(spark, "drop")
+    write_workbooks(spark.createDataFrame([], "a string, b string").repartition(2), none, "W", 100)
+    for r in list_files(spark, none).collect():
+        with open(r.path.removeprefix("file:"), "rb") as fh:
+            assert [sorted(x) for x in xlsx_rows(fh.read())] == [["a", "b"]]
+
+
+def test_sheet_cells():
+    """Gaps, several text runs, shared strings, booleans, cells without a reference, over many blocks."""
+    import io
+    import zipfile
+    data = io.BytesIO(write_xlsx([]))
+    ns = "http://schemas.openxmlformats.org/spreadsheetml/2006/main"
+    row = ('<row r="{0}">\n<c r="A{0}" t="s"><v>1</v></c> <c r="C{0}" t="inlineStr"><is><r><t>x</t></r><r><t> y</t></r></is></c>'
+           '<c t="b"><v>1</v></c><c r="AA{0}"><f>1+1</f><v>2</v></c><c r="AB{0}" t="inlineStr"><is><t></t></is></c><c r="AC{0}"><v></v></c></row>\n')
+    out = io.BytesIO()
+    with zipfile.ZipFile(data) as old, zipfile.ZipFile(out, "w") as z:
+        for n in old.namelist():
+            z.writestr(n, old.read(n) if "sheet1" not in n else
+                       f'<worksheet xmlns="{ns}"><cols/>\n<sheetData>{"".join(row.format(i) for i in range(1, 3001))}<row/></sheetData><x/></worksheet>')
+        z.writestr("xl/sharedStrings.xml", f'<sst xmlns="{ns}"><si><t>a</t></si><si><r><t>b</t></r><r><t>é</t></r></si></sst>')
+    *rows, last = xlsx_rows(out.getvalue())
+    assert last == [] and len(rows) == 3000
+    assert all(r == ["bé", None, "x y", "TRUE", *[None] * 22, "2", "", None] for r in rows)
+
+
 def test_order_over_partitions(spark):
     rows = spark.range(3000).select(F.when(F.col("id") % 3 > 0, F.lit("hot")).otherwise(F.lit(None).cast("string")).alias("g"),
                                     F.format_string("%05d", "id").alias("v"))
