@@ -21,9 +21,10 @@ BASE_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # rebalanced writes (multi-window backfills, landing appends) aim at
-    # ~128 MB per task/file; AQE splits a window or month holding a third of
-    # all rows into several tasks and packs small ones together
-    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
+    # ~16 MB per task/file; AQE splits a window or month holding a third of
+    # all rows into several tasks and packs small ones together. These are bytes
+    # as shuffled, compressed; a task sorts its rows as they are, ten times as large or more
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16m",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "static",
     "spark.sql.parquet.filterPushdown": "true",

@@ -135,3 +135,18 @@ def test_backfill_empties_windows_of_its_range(spark, lake):
     assert by_start[march.start].inserted == 0 and by_start[march.start].deleted > 0
     assert spark.table(t).count() == narrowed.count()
     assert spark.table(t).where(F.col("period_start") == F.lit(march.start)).count() == 0
+
+
+def test_large_window_is_written_by_several_tasks(spark, lake):
+    """A window that one month of rows fills is not sorted and written by one task."""
+    spec = td.orders_spec(MONTHLY)
+    n = 600_000
+    rows = spark.range(0, n, 1, 8).select(
+        F.col("id").alias("o_orderkey"), F.xxhash64("id").alias("o_custkey"), F.lit("O").alias("o_orderstatus"),
+        (F.col("id") % 1000 / 8).alias("o_totalprice"), F.lit(DAY).alias("o_orderdate"),
+        F.substring(F.md5(F.col("id").cast("string")), 1, 15).alias("o_orderpriority"),
+        F.sha2(F.col("id").cast("string"), 256).alias("ID"), F.lit("2026-01-01 00:00:00").cast("timestamp_ntz").alias("FECHA_EXTRACCION"))
+    done = reports.backfill(spark, lake, spec, rows)
+    assert [r.inserted for r in done] == [n]
+    files = spark.table(lake.report_table(spec)).groupBy(F.input_file_name()).count().collect()
+    assert len(files) > 1 and sum(r["count"] for r in files) == n
