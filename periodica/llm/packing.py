@@ -46,13 +46,13 @@ class WordIds:
     The tokenizer drops white space and no token crosses it, so the ids of a text
     are those of its words, one after another. It lower-cases, and it parts marks
     from letters and digits, so ``words`` may do both beforehand where a full stop
-    or comma stands alone. Unknown words are encoded together, with a digit
+    or comma stands alone (İ becomes an i and a mark, which joins what follows). Unknown words are encoded together, with a digit
     between them: it is one token, and those words have none. Known words are
     kept up to ``most``; what is learnt beyond that is forgotten after its texts.
     """
 
     PLAIN = re.compile(rb"[^0-9\x80-\xff]+")
-    JOINED = re.compile(r"[^\w \t\n\r\f\v][.,]|_[.,]|[.,][^ \t\n\r\f\v]")
+    JOINED = re.compile(r"[^\w \t\n\r\f\v][.,]|[_İ][.,]|[.,][^ \t\n\r\f\v]")
 
     def __init__(self, path: str, most: int = CACHE_WORDS):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
