@@ -139,13 +139,13 @@ def _order_table(signed: DataFrame, rules: JaccardRules) -> Broadcast:
         for x in t.column("counts"):
             total += np.frombuffer(zlib.decompress(x.as_py()), np.uint32)
         return pa.table({"slice": pa.array([t.column("slice")[0].as_py()], pa.int32()),
-                         "counts": pa.array([total.tobytes()], pa.binary())})
+                         "counts": pa.array([zlib.compress(np.minimum(total, 2 ** 32 - 1).astype(np.uint32).tobytes(), 1)], pa.binary())})
     parts = (signed.filter(F.col("slice").isNotNull()).select("slice", "counts")
              .groupBy("slice").applyInArrow(add, "slice int, counts binary").collect())
-    table = np.zeros(2 ** rules.order_bits, np.uint64)
+    table = np.zeros(2 ** rules.order_bits, np.uint32)
     for r in parts:
-        table[r["slice"] * width:(r["slice"] + 1) * width] = np.frombuffer(bytes(r["counts"]), np.uint64)
-    return signed.sparkSession.sparkContext.broadcast(np.minimum(table, 2 ** 32 - 1).astype(np.uint32))
+        table[r["slice"] * width:(r["slice"] + 1) * width] = np.frombuffer(zlib.decompress(r["counts"]), np.uint32)
+    return signed.sparkSession.sparkContext.broadcast(table)
 
 
 def _prefixes(docs: DataFrame, order: Broadcast, rules: JaccardRules) -> DataFrame:
