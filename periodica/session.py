@@ -28,6 +28,9 @@ BASE_CONF = {
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "static",
     "spark.sql.parquet.filterPushdown": "true",
+    # the JVM interprets a method of more bytes of code: the wide conversions of a landing
+    # run several times faster as smaller methods than as one of a whole stage
+    "spark.sql.codegen.hugeMethodLimit": "8000",
     # paths given one by one are listed by a job of this many tasks at most
     "spark.sql.sources.parallelPartitionDiscovery.parallelism": "64",
     # a checkpoint goes with the last reference to it
