@@ -93,6 +93,12 @@ def ngram_sets(texts: pa.Array, rules: JaccardRules,
     return np.concatenate(found) if found else np.zeros(0, np.uint64), sizes
 
 
+def _sets_of_many(texts: pa.Array, rules: JaccardRules) -> tuple[np.ndarray, np.ndarray]:
+    """``ngram_sets`` of a block's texts, a few at a time: hashing takes many times a text's own memory."""
+    parts = [ngram_sets(texts.slice(a, rules.texts), rules) for a in range(0, len(texts), rules.texts)]
+    return np.concatenate([g for g, _ in parts]), np.concatenate([n for _, n in parts])
+
+
 def _bucket(g: np.ndarray, rules: JaccardRules) -> np.ndarray:
     return (g & np.uint64(2 ** rules.order_bits - 1)).astype(np.int64)
 
@@ -297,7 +303,7 @@ def _tries(rows: DataFrame, texts: DataFrame, order: Broadcast, rules: JaccardRu
     work = rows.join(texts, "cid")
 
     def run(t: pa.Table) -> pa.Table:
-        g, sizes = ngram_sets(t.column("text").combine_chunks(), rules)
+        g, sizes = _sets_of_many(t.column("text").combine_chunks(), rules)
         cids, probe, root = t.column("cid").to_pylist(), t.column("probe").to_pylist(), t.column("root").to_pylist()
         met = t.column("place").null_count == 0
         place, shared = (t.column(c).to_numpy() if met else None for c in ("place", "shared"))

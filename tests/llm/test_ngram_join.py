@@ -89,3 +89,24 @@ def test_each_row_goes_with_its_own_group(spark):
     rows = [(1, a), (None, a + " more"), (None, b), (1, b), (2, a), (2, a), (3, ""), (3, ""), (None, None)]
     kept = deduplicated(spark.createDataFrame(rows, "doc_id long, text string"), JaccardRules(words=5, percent=80)).collect()
     assert sorted(map(tuple, kept), key=str) == sorted([(1, a), (1, b), (3, ""), (None, None)], key=str)
+
+
+def test_a_block_of_long_texts_is_hashed_in_parts():
+    """The memory of hashing does not grow with the number of texts in a block."""
+    import tracemalloc
+
+    import numpy as np
+    import pyarrow as pa
+
+    from periodica.llm.ngram_join import _sets_of_many, ngram_sets
+    rules = JaccardRules()
+    texts = pa.array([" ".join(f"w{(i * 7 + j) % 977}" for j in range(600)) for i in range(2048)] + [None, "", "one two"])
+    tops, found = [], []
+    for f in (ngram_sets, _sets_of_many):
+        tracemalloc.start()
+        found.append(f(texts, rules))
+        tops.append(tracemalloc.get_traced_memory()[1])
+        tracemalloc.stop()
+    print(tops)
+    assert all(np.array_equal(x, y) for x, y in zip(*found))
+    assert tops[1] < tops[0] / 2
