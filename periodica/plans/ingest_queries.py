@@ -26,7 +26,7 @@ from periodica.plans import testdata as td
 from periodica.plans.registry import register, scratch_lake
 from periodica.plans.report_queries import stored_expr
 from periodica.session import unique_path
-from periodica.sources.files import list_files, route, text_row, text_rows, write_sheet
+from periodica.sources.files import SHEET_ROWS, list_files, route, text_row, text_rows, write_sheet
 from periodica.sources.ingest import ingest
 from periodica.spec import ID_COL, LANDING_PART_COL, LOAD_TS_COL, SOURCE_FILE_COL, IngestSpec, ReportSpec
 
@@ -76,7 +76,8 @@ def write_workbooks(df: DataFrame, folder: str, stem: str, most: int = BOOK_ROWS
             names, at = headers[::-1] if turned else headers, 2
             yield text_row(names, 1)
             while left is not None and at < most + 2:
-                rows, left = left.slice(0, most + 2 - at), left.slice(most + 2 - at)
+                some = min(SHEET_ROWS, most + 2 - at)
+                rows, left = left.slice(0, some), left.slice(some)
                 yield text_rows(rows.select(names), at)
                 at, n = at + rows.num_rows, n + rows.num_rows
                 while left is not None and not left.num_rows:

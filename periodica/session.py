@@ -31,6 +31,9 @@ BASE_CONF = {
     # the JVM interprets a method of more bytes of code: the wide conversions of a landing
     # run several times faster as smaller methods than as one of a whole stage
     "spark.sql.codegen.hugeMethodLimit": "8000",
+    # a batch for Python ends with the row that takes it over this: one workbook or a few
+    # thousand wide rows, not 64 MB of them; a worker and its task hold several copies of it
+    "spark.sql.execution.arrow.maxBytesPerBatch": "4m",
     # paths given one by one are listed by a job of this many tasks at most
     "spark.sql.sources.parallelPartitionDiscovery.parallelism": "64",
     # a checkpoint goes with the last reference to it

@@ -189,3 +189,32 @@ def test_plain_rows_are_not_parsed_one_by_one(monkeypatch):
     monkeypatch.setattr(files, "_cells", lambda *a: calls.append(1) or cells(*a))
     got = [r for cols in files.sheet_columns(data, 2) for r in zip(*(c.to_pylist() for c in cols))]
     assert got == [(f"a & {i}", str(i) if i % 3 else None) for i in range(20_000)] and not calls
+
+
+def test_a_worker_holds_a_workbook_or_two_and_not_all_of_its_task(spark, tmp_path):
+    import pyarrow as pa
+    for i in range(8):
+        (tmp_path / f"{i}.xlsx").write_bytes(os.urandom(3 << 20))
+
+    def sizes(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([b.num_rows], pa.int64())], names=["n"])
+    spark.conf.set("spark.sql.files.minPartitionNum", "1")
+    try:
+        books = spark.read.format("binaryFile").load(str(tmp_path)).select("path", "content")
+        assert books.rdd.getNumPartitions() == 1
+        got = [r.n for r in books.mapInArrow(sizes, "n long").collect()]
+    finally:
+        spark.conf.unset("spark.sql.files.minPartitionNum")
+    assert sum(got) == 8 and max(got) <= 2
+
+
+def test_workbooks_are_written_in_parts(spark):
+    from periodica.plans.ingest_queries import write_workbooks
+    folder = unique_path(spark, "drop")
+    cells = spark.range(5000).repartition(1).selectExpr("string(id) AS A", "nullif(string(id % 3), '0') AS B")
+    write_workbooks(cells, folder, "x", most=2300)
+    paths = [r.path for r in list_files(spark, folder).collect()]
+    rows, bad = scan_workbook(spark, paths, None, ["A", "B"])
+    assert len(paths) == 3 and not bad
+    assert sorted((int(r.A), r.B) for r in rows.collect()) == [(i, str(i % 3) if i % 3 else None) for i in range(5000)]
