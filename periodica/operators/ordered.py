@@ -15,15 +15,16 @@ from pyspark.sql import functions as F
 from periodica.session import ensure_shared_dir
 
 BEFORE = (Window.unboundedPreceding, -1)
+TASK_ROWS = 100_000     # of a range of rows, about: more rows make more ranges, whatever the session's partitions
 
 
 def running_total(df: DataFrame, group: list[str], order: list[Column], amount: Column, out: str) -> DataFrame:
     """Add ``out``: the sum of ``amount`` over the rows of the group that come before, in
     the given order. Rows that are equal in all of it come in any order, so give an
-    order without ties where that matters."""
+    order without ties where that matters. ``df`` is read twice: its rows are counted first."""
     ensure_shared_dir(df.sparkSession)
-    keys = [F.col(c) for c in group] + order
-    rows = (df.withColumn("_amount", amount.cast("long")).repartitionByRange(*keys)
+    keys, n = [F.col(c) for c in group] + order, df.count() // TASK_ROWS + 1
+    rows = (df.withColumn("_amount", amount.cast("long")).repartitionByRange(n, *keys)
             .sortWithinPartitions(*keys).checkpoint(eager=True))
     rows = rows.select("*", F.spark_partition_id().alias("_part"), F.monotonically_increasing_id().alias("_i"))
     parts = rows.groupBy(*group, "_part").agg(F.sum("_amount").alias("_sum"))
@@ -31,7 +32,8 @@ def running_total(df: DataFrame, group: list[str], order: list[Column], amount:
     parts = parts.select(*[F.col(c).alias(f"_g{i}") for i, c in enumerate(group)], F.col("_part").alias("_p"),
                          F.coalesce(F.sum("_sum").over(before), F.lit(0)).alias("_base"))
     inside = Window.partitionBy(*group, "_part").orderBy("_i").rowsBetween(*BEFORE)
-    rows = rows.withColumn("_in", F.coalesce(F.sum("_amount").over(inside), F.lit(0)))
+    # a task takes a few ranges, not a share of all rows
+    rows = rows.repartition(n, "_part").withColumn("_in", F.coalesce(F.sum("_amount").over(inside), F.lit(0)))
     same = F.col("_part") == F.col("_p")
     for i, c in enumerate(group):
         same = same & F.col(c).eqNullSafe(F.col(f"_g{i}"))

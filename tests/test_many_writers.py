@@ -5,6 +5,7 @@ import shutil
 import subprocess
 import sys
 import tracemalloc
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
@@ -241,6 +242,22 @@ def test_order_over_partitions(spark):
     assert ", ".join(text[None]) == ", ".join(f"{i:05d}" for i in range(0, 3000, 3))
 
 
+def test_more_rows_in_order_make_more_tasks_not_larger_ones(spark, monkeypatch):
+    monkeypatch.setattr("periodica.operators.ordered.TASK_ROWS", 100, raising=False)
+    few = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "2")
+    try:
+        rows = spark.range(5000).select(F.col("id").alias("v"), F.when(F.col("id") % 5 > 0, 1).alias("g"))
+        lines = numbered_lines(rows, [F.col("v").desc()]).select("*", F.spark_partition_id().alias("task")).collect()
+        by_group = running_total(rows, ["g"], [F.col("v")], F.lit(1), "before").collect()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", few)
+    assert all(r.line == 5000 - r.v for r in lines) and len(lines) == 5000
+    assert sorted(r.before for r in by_group if r.g) == list(range(4000))
+    assert sorted(r.before for r in by_group if r.g is None) == list(range(1000))
+    assert max(Counter(r.task for r in lines).values()) < 1500
+
+
 def test_the_entry_lives_without_training_data(tmp_path):
     here = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
     shutil.copytree(here, tmp_path / "repo", ignore=shutil.ignore_patterns("llm", ".git", "__pycache__", ".pytest_cache"))
