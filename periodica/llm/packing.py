@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from periodica.llm.common import cut, read, ship
 
 TOKENIZER = "word_bpe_49k.json"
-CACHE_WORDS = 1_500_000  # words of one Python worker's cache
+CACHE_WORDS = 300_000  # words of one Python worker's cache, about 45 MB; workers live on through later stages
 TEXTS = 512            # texts encoded together
 
 

@@ -38,7 +38,7 @@ class CrfRules:
     l2: float = 1e-6
     limit: float = 0.5        # scores from here on are toxic
     texts: int = 256          # texts scored together
-    known_words: int = 400_000
+    known_words: int = 100_000     # cached by a Python worker, which lives on through later stages
 
 
 EDGES = ".,;:!?\"'()[]{}*#$%&-_"

@@ -104,3 +104,25 @@ def test_spans(spark):
     for r in rows:
         said = [texts[r.doc_id][s.start:s.end] for s in r.spans]
         assert any("Zorkface" in x for x in said) == (r.doc_id % 3 == 0) and r.predicted == (r.doc_id % 3 == 0)
+
+
+@pytest.mark.parametrize("learn", ["toxicity", "packing"])
+def test_what_a_worker_keeps_for_later_stages_is_small(learn):
+    """Python workers live on: the word caches of two stages stay in one worker while others run."""
+    import tracemalloc
+
+    import public_tokenizers
+
+    from periodica.llm.packing import TOKENIZER, WordIds
+    from periodica.llm.toxicity import Model, Scorer
+    rules = CrfRules()
+    ones = Model(np.zeros((1 << rules.bits) + 1), np.ones(2), np.ones((2, 2)), np.ones(4))
+    know = WordIds(public_tokenizers.path(TOKENIZER)).ids if learn == "packing" else Scorer(ones, rules).score
+    tracemalloc.start()
+    try:
+        for a in range(0, 480_000, 4000):
+            know([" ".join(f"{chr(97 + i % 26)}{i:x}" for i in range(a + k, a + k + 500)) for k in range(0, 4000, 500)])
+        kept = tracemalloc.get_traced_memory()[0]
+    finally:
+        tracemalloc.stop()
+    assert kept < 50e6 if learn == "packing" else kept < 30e6
