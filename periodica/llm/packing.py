@@ -16,6 +16,8 @@ from __future__ import annotations
 
 import os
 import re
+import struct
+import unicodedata
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -40,26 +42,43 @@ class PackRules:
     end_id: int = 0        # closes each document
 
 
-class WordIds:
+class Letters(dict):
+    """Each letter (code point) as the tokenizer's model takes it, or a space where it does
+    not join a run of letters. Asked of the tokenizer itself, once for each letter."""
+
+    def __init__(self, tokenizer):
+        super().__init__()
+        self.normalizer, self.splitter = tokenizer.normalizer, tokenizer.pre_tokenizer
+
+    def __missing__(self, c: int) -> str:
+        plain = self.normalizer.normalize_str(chr(c))
+        run = self.splitter.pre_tokenize_str("a" + plain)
+        self[c] = run[0][0][1:] if plain and len(run) == 1 else " "
+        return self[c]
+
+
+class WordIds(dict):
     """Token ids of texts, word by word, as little-endian unsigned 32-bit bytes.
 
     The tokenizer drops white space and no token crosses it, so the ids of a text
     are those of its words, one after another. It lower-cases, and it parts marks
     from letters and digits, so ``words`` may do both beforehand where a full stop
-    or comma stands alone (İ becomes an i and a mark, which joins what follows). Unknown words are encoded together, with a digit
-    between them: it is one token, and those words have none. Known words are
-    kept up to ``most``; what is learnt beyond that is forgotten after its texts.
+    or comma stands alone (İ becomes an i and a mark, which joins what follows). A word
+    of letters alone is one run, which goes to the tokenizer's model without the steps
+    before it. Known words are kept up to ``most``; what is learnt beyond that is
+    forgotten after its texts.
     """
 
-    PLAIN = re.compile(rb"[^0-9\x80-\xff]+")
-    JOINED = re.compile(r"[^\w \t\n\r\f\v][.,]|[_İ][.,]|[.,][^ \t\n\r\f\v]")
+    # a full stop or comma next to something other than a word or white space
+    JOINED = re.compile(r"[.,](?:[^ \t\n\r\f\v]|(?<=[^\w \t\n\r\f\v][.,])|(?<=[_İ][.,]))")
 
     def __init__(self, path: str, most: int = CACHE_WORDS):
+        super().__init__()
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         self.tokenizer, self.most = Tokenizer.from_file(path), most
-        self.known: dict[bytes, bytes] = {}
-        self.digit = self.one("0")
+        self.model, self.letters = self.tokenizer.model, Letters(self.tokenizer)
+        self.learnt: list[bytes] = []
 
     def one(self, text: str) -> np.ndarray:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4")
@@ -70,33 +89,25 @@ class WordIds:
         data = text.encode()
         return (data if b"<|" in data else data.lower()).split()
 
-    def learn(self, words: set[bytes]) -> None:
-        plain = []
-        for w in words:
-            if w.decode().isalpha() or self.PLAIN.fullmatch(w):
-                plain.append(w)
-            else:
-                self.known[w] = self.one(w.decode()).tobytes()
-        for a in range(0, len(plain), 1000):
-            part = plain[a:a + 1000]
-            ids = self.one(" 0 ".join(w.decode() for w in part))
-            at = np.flatnonzero(ids == self.digit[0])
-            if len(self.digit) == 1 and len(at) == len(part) - 1:
-                data, begin = ids.tobytes(), 0
-                for w, end in zip(part, [*(4 * at).tolist(), len(data)]):
-                    self.known[w] = data[begin:end]
-                    begin = end + 4
-            else:
-                self.known.update((w, self.one(w.decode()).tobytes()) for w in part)
+    def __missing__(self, word: bytes) -> bytes:
+        text, run = word.decode(), " "
+        if text.isalpha() and (text.isascii() or unicodedata.is_normalized("NFC", text)):
+            run = text.translate(self.letters)
+        if " " in run:
+            data = self.one(text).tobytes()
+        else:
+            ids = [t.id for t in self.model.tokenize(run)]
+            data = struct.pack(f"<{len(ids)}I", *ids)
+        self[word] = data
+        self.learnt.append(word)
+        return data
 
     def ids(self, texts: list[str]) -> list[bytes]:
-        split = [self.words(x) for x in texts]
-        unknown = set().union(*split).difference(self.known)
-        self.learn(unknown)
-        out = [b"".join(map(self.known.__getitem__, w)) for w in split]
-        if len(self.known) > self.most:
-            for w in unknown:
-                del self.known[w]
+        out = [b"".join(map(self.__getitem__, self.words(x))) for x in texts]
+        if len(self) > self.most:
+            for w in self.learnt:
+                del self[w]
+        self.learnt.clear()
         return out
 
 

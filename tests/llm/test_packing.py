@@ -72,6 +72,23 @@ def test_word_ids_are_the_tokenizers(texts):
     assert [np.frombuffer(b, "<u4").tolist() for b in known.ids(texts)] == [known.one(t).tolist() for t in texts]
 
 
+@settings(max_examples=300, deadline=None)
+@given(st.text(max_size=6), st.text(alphabet=st.characters(categories=["L", "M", "Nd", "Pc"]), max_size=4))
+def test_any_word_is_the_tokenizers(word, letters):
+    known = _known(0)
+    for x in (word, letters, f"ab{letters}c", f"{letters}. {word},", "\u1100\u1161\u11a8", "e\u0301a", "\u2126\u212b", "ΑΣ", "x<|İA.É"):
+        assert np.frombuffer(known.ids([x])[0], "<u4").tolist() == known.one(x).tolist()
+
+
+def test_words_of_letters_go_to_the_model_alone(monkeypatch):
+    known, asked = WordIds(PATH, 10_000), []
+    words = [f"{a}{b}{c}" for a in "zéßñqжΣ" for b in ("anel", "ördo", "ÇA") for c in ("", "tion", "èque")]
+    want = known.one(" ".join(words)).tolist()
+    one = WordIds.one
+    monkeypatch.setattr(WordIds, "one", lambda self, x: asked.append(x) or one(self, x))
+    assert np.frombuffer(known.ids([" ".join(words)])[0], "<u4").tolist() == want and not asked
+
+
 _made: dict = {}
 
 
